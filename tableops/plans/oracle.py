@@ -111,3 +111,60 @@ FROM customer WHERE c_acctbal < 0"""
 
 ORACLE["load_good_rows"] = """
 SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE NOT (c_acctbal < 0)"""
+
+_AUDIT_SOURCES = {
+    1: ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"],
+    2: ["documents", "labels", "benchmark", "pages"],
+    3: ["events", "embeddings", "conversations"],
+}
+
+
+def _audit_sql(key: int, names: list[str]) -> str:
+    src = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS source_count FROM {n}"
+        + (" WHERE doc_id < 0" if n == "labels" else "") for n in names)
+    tgt = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS target_count FROM {n}"
+        + (" WHERE o_orderstatus <> 'P'" if n == "orders" else "")
+        for n in names if n != "benchmark")
+    return (f"SELECT CAST({key} AS BIGINT) AS source_key, s.table_name, s.source_count, "
+            f"coalesce(t.target_count, -1) AS target_count, 'Y' AS md_active_flag "
+            f"FROM ({src}) s LEFT JOIN ({tgt}) t ON s.table_name = t.table_name "
+            f"WHERE s.source_count <> 0")
+
+
+ORACLE["count_audit"] = " UNION ALL ".join(_audit_sql(k, v) for k, v in _AUDIT_SOURCES.items())
+
+ORACLE["retire_and_append"] = (
+    "SELECT source_key, table_name, source_count, target_count, "
+    "CASE WHEN source_key = 2 THEN 'N' ELSE md_active_flag END AS md_active_flag FROM ("
+    + " UNION ALL ".join(_audit_sql(k, v) for k, v in _AUDIT_SOURCES.items())
+    + ") UNION ALL " + _audit_sql(2, _AUDIT_SOURCES[2]))
+
+ORACLE["copy_count_check"] = """
+SELECT 'lineitem' AS table_name, count(*) AS source_count, count(*) AS target_count,
+       TRUE AS matched FROM lineitem"""
+
+ORACLE["soft_delete_view"] = """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE (CASE WHEN event_type = 'error' THEN TRUE WHEN event_type = 'signup' THEN NULL
+            ELSE FALSE END) <> TRUE"""
+
+ORACLE["global_rank_orders"] = """
+SELECT o_orderkey, o_custkey, CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS ranking
+FROM orders"""
+
+ORACLE["row_number_page"] = """
+SELECT o_orderkey, o_totalprice, ranking FROM (
+  SELECT o_orderkey, o_totalprice,
+         CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS ranking FROM orders)
+WHERE ranking BETWEEN 1001 AND 2000"""
+
+ORACLE["chunk_counts"] = """
+SELECT CAST((rn - 1) // 500 AS BIGINT) AS chunk_id, count(*) AS n_rows,
+       min(rn) AS first_rank, max(rn) AS last_rank
+FROM (SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS rn FROM orders)
+GROUP BY 1"""
+
+ORACLE["replicate_orders"] = "SELECT * FROM orders"
+ORACLE["replicate_keyless"] = "SELECT *, CAST(0 AS BIGINT) AS chunk_id FROM nation"

@@ -8,15 +8,18 @@ names match the DuckDB SQL in ``oracle.py``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_header_col
+from ..operators import audit, paging, softdelete
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
 from ..sources.delimited import good_rows, land_delimited, reject_rows
 from . import fixtures as fx
+from . import replicate
 from .loader import load_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +93,144 @@ def load_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = land_delimited(spark, src, work_dir(spark, "stage-customer"), "CSV")
     return good_rows(raw).select(F.col("c_custkey").cast("long").alias("c_custkey"),
                                  "c_name", "c_mktsegment")
+
+
+# -- 2. count audit and soft delete ------------------------------------------
+TEST_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+               "events", "documents", "embeddings", "pages", "benchmark", "labels",
+               "conversations"]
+# Which test tables stand for which registered source in the audit queries.
+AUDIT_SOURCES = {
+    1: ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"],
+    2: ["documents", "labels", "benchmark", "pages"],
+    3: ["events", "embeddings", "conversations"],
+}
+
+
+def _audit_inputs(spark, sf_dir, names):
+    """Sources are the test tables (`labels` stands for an empty source);
+    targets are copies, `orders` only partly replicated, `benchmark` missing."""
+    src, tgt = {}, {}
+    for n in names:
+        df = read_table(spark, sf_dir, n)
+        src[n] = df.filter(F.col("doc_id") < 0) if n == "labels" else df
+        if n == "benchmark":
+            tgt[n] = None
+        elif n == "orders":
+            tgt[n] = df.filter(F.col("o_orderstatus") != "P")
+        else:
+            tgt[n] = df
+    return src, tgt
+
+
+def _no_clock(df: DataFrame) -> DataFrame:
+    return df.drop("source_date", "target_date")
+
+
+@register
+def count_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source vs target counts for every enabled source."""
+    registry = spark.createDataFrame(
+        [(k, f"source {k}", "SQL SERVER", "Y") for k in AUDIT_SOURCES]
+        + [(9, "flat files", "FLAT FILE", "Y"), (8, "retired", "SQL SERVER", "N")],
+        "source_key long, source_name string, source_type string, audit_enabled_flag string")
+    keys = [r.source_key for r in audit.registry_filter(registry, "SQL SERVER")
+            .select("source_key").collect()]
+    parts = [audit.count_audit(k, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[k]))
+             for k in sorted(keys)]
+    return _no_clock(reduce(DataFrame.unionByName, parts))
+
+
+@register
+def retire_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results of sources 1..3 kept; a new run of source 2 retires its old rows."""
+    old = reduce(DataFrame.unionByName,
+                 [audit.count_audit(k, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[k]))
+                  for k in sorted(AUDIT_SOURCES)])
+    new = audit.count_audit(2, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[2]))
+    return _no_clock(audit.retire_and_append(old, new, 2))
+
+
+@register
+def copy_count_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`lineitem` copied to a new table and both counts compared."""
+    src = read_table(spark, sf_dir, "lineitem")
+    out = work_dir(spark, "copy-lineitem")
+    src.write.parquet(out)
+    return audit.copy_count_check("lineitem", src, spark.read.parquet(out))
+
+
+@register
+def soft_delete_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Views hiding soft-deleted `events` rows
+    (flag TRUE for errors, NULL for signups, FALSE otherwise)."""
+    import uuid
+    tag = uuid.uuid4().hex[:8]
+    src_db, rpt_db = f"replica_{tag}", f"reporting_{tag}"
+    base = work_dir(spark, "softdelete")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {src_db} LOCATION '{base}/src'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {rpt_db} LOCATION '{base}/rpt'")
+    ev = read_table(spark, sf_dir, "events")
+    flag = (F.when(F.col("event_type") == "error", F.lit(True))
+            .when(F.col("event_type") == "signup", F.lit(None).cast("boolean"))
+            .otherwise(F.lit(False)))
+    ev.withColumn(softdelete.DELETE_FLAG, flag).write.parquet(f"{base}/data/events")
+    ev.limit(0).write.parquet(f"{base}/data/audit")
+    spark.catalog.createTable(f"{src_db}.events", path=f"{base}/data/events", source="parquet")
+    spark.catalog.createTable(f"{src_db}.{softdelete.AUDIT_TABLE}", path=f"{base}/data/audit",
+                              source="parquet")
+    softdelete.soft_delete_views(spark, src_db, rpt_db)
+    return spark.table(f"{rpt_db}.events")
+
+
+# -- 3. paging and chunked replication ---------------------------------------
+@register
+def global_rank_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank of every `orders` row by key, without a single-task sort."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return paging.global_rank(o, ["o_orderkey"])
+
+
+@register
+def row_number_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + P13: the page of ranks 1001..2000 (the page slice is the feature)."""
+    o = read_table(spark, sf_dir, "orders")
+    return paging.rank_between(paging.global_rank(o, ["o_orderkey"]), 1001, 2000) \
+        .select("o_orderkey", "o_totalprice", "ranking")
+
+
+@register
+def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of 500 ranks over `orders`."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey")
+    chunked = paging.with_chunks(paging.global_rank(o, ["o_orderkey"]), 500)
+    return paging.chunk_summary(chunked)
+
+
+@register
+def replicate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders` copied in chunks of 500; chunk 0 already
+    present from an earlier, interrupted run and skipped on restart."""
+    o = read_table(spark, sf_dir, "orders")
+    keys = spark.createDataFrame([("orders", "o_orderkey", 1), ("lineitem", "l_orderkey", 1)],
+                                 "table_name string, column_name string, key_ordinal int")
+    key_cols = replicate.primary_key_columns(keys, "orders")
+    target = work_dir(spark, "replica-orders")
+    earlier = paging.with_chunks(paging.global_rank(o, key_cols), 500).drop("ranking")
+    earlier.filter(F.col("chunk_id") == 0).write.partitionBy("chunk_id").parquet(target)
+    res = replicate.replicate_table(spark, o, "orders", target, key_cols, batch=500)
+    if res.skipped_chunks != 1 or res.written_chunks != res.total_chunks - 1:
+        raise AssertionError(f"unexpected restart bookkeeping: {res}")
+    return spark.read.parquet(target).drop("chunk_id")
+
+
+@register
+def replicate_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 without a key: `nation` copied as one chunk."""
+    import warnings
+    n = read_table(spark, sf_dir, "nation")
+    target = work_dir(spark, "replica-nation")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        replicate.replicate_table(spark, n, "nation", target, None)
+    return spark.read.parquet(target)
