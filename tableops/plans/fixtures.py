@@ -81,3 +81,54 @@ def customer_csv_with_rejects(spark: SparkSession, sf_dir: str) -> str:
               last.alias("c_mktsegment"))
      .write.option("header", True).option("quote", "\u0000").csv(out))
     return out
+
+
+# Source column types given to the catalog rows derived from `part`
+# (the type list of the reference's source system, binary ones included).
+SOURCE_TYPES = ["smallint", "tinyint", "decimal", "float", "int", "money", "numeric",
+                "datetime", "datetime2", "smalldatetime", "bigint", "bit", "date",
+                "varchar", "nvarchar", "varbinary", "image", "binary"]
+
+
+def catalog_from_part(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """An information-schema catalog whose tables and columns are named from
+    `part` rows: table = a part type or noun with a _DIM/_DFACT/_FACT suffix
+    by size; column = a *_KEY, *_MONTH_KEY, *_DATE_KEY, excluded or plain name
+    by brand number; type from the size.  (table, column) pairs are unique."""
+    p = read_table(spark, sf_dir, "part")
+    noun = F.upper(F.split_part("p_name", F.lit(" "), F.lit(2)))
+    adj = F.upper(F.split_part("p_name", F.lit(" "), F.lit(1)))
+    ptype = F.upper("p_type")
+    b = F.split_part("p_brand", F.lit("#"), F.lit(2)).cast("int")
+    suffix = (F.when(F.col("p_size") <= 10, F.lit("_DIM"))
+              .when(F.col("p_size") <= 20, F.lit("_DFACT")).otherwise(F.lit("_FACT")))
+    table = F.concat(F.when(b % 2 == 0, ptype).otherwise(noun), suffix)
+    column = (F.when(F.col("p_size") % 7 == 0, F.concat_ws("_", adj, noun, F.lit("NAME")))
+              .when(b % 5 == 0, F.concat(ptype, F.lit("_KEY")))
+              .when(b % 5 == 1, F.concat(noun, F.lit("_KEY")))
+              .when(b % 5 == 2, F.concat(adj, F.lit("_MONTH_KEY")))
+              .when(b % 5 == 3, F.concat(adj, F.lit("_DATE_KEY")))
+              .otherwise(F.element_at(F.array(*[F.lit(x) for x in (
+                  "PKEY", "MD_NATURAL_KEY", "DATE_KEY", "MONTH_DATE_KEY")]),
+                  (F.col("p_size") % 4 + 1).cast("int"))))
+    dtype = F.element_at(F.array(*[F.lit(t) for t in SOURCE_TYPES]),
+                         (F.col("p_size") % len(SOURCE_TYPES) + 1).cast("int"))
+    scale = F.when(dtype.isin("decimal", "numeric", "money"), F.col("p_size") % 3) \
+        .when((dtype == "float") & (F.col("p_size") % 2 == 0), F.lit(2))
+    rows = p.select(table.alias("table_name"), column.alias("column_name"),
+                    dtype.alias("data_type"), scale.cast("int").alias("numeric_scale"),
+                    "p_partkey")
+    cols = (rows.groupBy("table_name", "column_name")
+            .agg(F.min_by(F.struct("data_type", "numeric_scale"), "p_partkey").alias("t"),
+                 F.min("p_partkey").alias("first_key")))
+    from pyspark.sql import Window
+    w = Window.partitionBy("table_name").orderBy("first_key")
+    columns = cols.select(
+        F.lit("PROD_DB").alias("table_catalog"), F.lit("PUBLIC").alias("table_schema"),
+        "table_name", "column_name", F.col("t.data_type").alias("data_type"),
+        F.col("t.numeric_scale").alias("numeric_scale"),
+        F.row_number().over(w).cast("int").alias("ordinal_position"))
+    tables = columns.select("table_catalog", "table_schema", "table_name").distinct() \
+        .withColumn("table_type", F.when(F.col("table_name").startswith("PROMO"), F.lit("VIEW"))
+                    .otherwise(F.lit("BASE TABLE")))
+    return tables, columns

@@ -168,3 +168,135 @@ GROUP BY 1"""
 
 ORACLE["replicate_orders"] = "SELECT * FROM orders"
 ORACLE["replicate_keyless"] = "SELECT *, CAST(0 AS BIGINT) AS chunk_id FROM nation"
+
+_SOURCE_TYPES = ["smallint", "tinyint", "decimal", "float", "int", "money", "numeric",
+                 "datetime", "datetime2", "smalldatetime", "bigint", "bit", "date",
+                 "varchar", "nvarchar", "varbinary", "image", "binary"]
+_TYPES_LIST = "[" + ", ".join(f"'{t}'" for t in _SOURCE_TYPES) + "]"
+
+_CATALOG_CTES = f"""
+prt AS (SELECT *, upper(split_part(p_name, ' ', 2)) AS noun,
+               upper(split_part(p_name, ' ', 1)) AS adj, upper(p_type) AS ptype,
+               CAST(split_part(p_brand, '#', 2) AS INTEGER) AS b,
+               ({_TYPES_LIST})[p_size % 18 + 1] AS dtype FROM part),
+crow AS (
+  SELECT CASE WHEN b % 2 = 0 THEN ptype ELSE noun END ||
+         CASE WHEN p_size <= 10 THEN '_DIM' WHEN p_size <= 20 THEN '_DFACT' ELSE '_FACT' END
+           AS table_name,
+         CASE WHEN p_size % 7 = 0 THEN adj || '_' || noun || '_NAME'
+              WHEN b % 5 = 0 THEN ptype || '_KEY'
+              WHEN b % 5 = 1 THEN noun || '_KEY'
+              WHEN b % 5 = 2 THEN adj || '_MONTH_KEY'
+              WHEN b % 5 = 3 THEN adj || '_DATE_KEY'
+              ELSE (['PKEY', 'MD_NATURAL_KEY', 'DATE_KEY', 'MONTH_DATE_KEY'])[p_size % 4 + 1]
+         END AS column_name,
+         dtype AS data_type,
+         CAST(CASE WHEN dtype IN ('decimal', 'numeric', 'money') THEN p_size % 3
+                   WHEN dtype = 'float' AND p_size % 2 = 0 THEN 2 END AS INTEGER) AS numeric_scale,
+         p_partkey
+  FROM prt),
+cagg AS (SELECT table_name, column_name,
+                arg_min({{'d': data_type, 's': numeric_scale}}, p_partkey) AS t,
+                min(p_partkey) AS first_key
+         FROM crow GROUP BY table_name, column_name),
+cat_columns AS (
+  SELECT 'PROD_DB' AS table_catalog, 'PUBLIC' AS table_schema, table_name, column_name,
+         t.d AS data_type, t.s AS numeric_scale,
+         CAST(row_number() OVER (PARTITION BY table_name ORDER BY first_key) AS INTEGER)
+           AS ordinal_position
+  FROM cagg),
+cat_tables AS (
+  SELECT DISTINCT table_catalog, table_schema, table_name,
+         CASE WHEN table_name LIKE 'PROMO%' THEN 'VIEW' ELSE 'BASE TABLE' END AS table_type
+  FROM cat_columns),
+mapped AS (
+  SELECT c.*, CASE
+      WHEN c.data_type IN ('smallint', 'tinyint', 'decimal', 'float', 'int', 'money', 'numeric')
+        THEN 'NUMBER(38, ' || coalesce(CAST(c.numeric_scale AS VARCHAR), '0') || ')'
+      WHEN c.data_type IN ('datetime', 'datetime2', 'smalldatetime') THEN 'DATETIME'
+      ELSE 'VARCHAR' END AS target_type
+  FROM cat_columns c JOIN cat_tables t
+    ON c.table_catalog = t.table_catalog AND c.table_schema = t.table_schema
+   AND c.table_name = t.table_name
+  WHERE t.table_type = 'BASE TABLE' AND c.data_type NOT IN ('varbinary', 'image', 'binary')),
+edges AS (
+  SELECT CL.table_name AS left_table, CL.column_name AS left_column,
+         TR.table_name AS right_table, 'PKEY' AS right_column
+  FROM cat_columns CL, (SELECT DISTINCT table_name FROM cat_columns) TR
+  WHERE CL.column_name LIKE '%KEY' AND CL.column_name NOT IN ('MD_NATURAL_KEY', 'PKEY')
+    AND TR.table_name = substr(CL.column_name, 1, length(CL.column_name) - 4) || '_DIM'
+  UNION
+  SELECT CL.table_name, CL.column_name, TR.table_name, 'PKEY'
+  FROM cat_columns CL, (SELECT DISTINCT table_name FROM cat_columns) TR
+  WHERE CL.column_name LIKE '%KEY' AND CL.column_name NOT IN ('MD_NATURAL_KEY', 'PKEY')
+    AND TR.table_name = substr(CL.column_name, 1, length(CL.column_name) - 4) || '_DFACT'
+  UNION
+  SELECT table_name, column_name, 'MONTH_DIM_VIEW', 'PKEY' FROM cat_columns
+  WHERE column_name LIKE '%MONTH%KEY' AND column_name NOT IN ('MD_NATURAL_KEY', 'PKEY')
+  UNION
+  SELECT table_name, column_name, 'DATE_DIM', 'PKEY' FROM cat_columns
+  WHERE column_name LIKE '%DATE%KEY' AND column_name NOT LIKE '%MONTH%'
+    AND column_name NOT IN ('MD_NATURAL_KEY', 'PKEY', 'DATE_KEY'))
+"""
+
+ORACLE["type_mapping"] = f"""WITH {_CATALOG_CTES}
+SELECT table_name, column_name, ordinal_position, data_type, numeric_scale, target_type
+FROM mapped"""
+
+ORACLE["grouped_columns"] = f"""WITH {_CATALOG_CTES}
+SELECT table_name, count(*) AS n_columns,
+       string_agg(column_name || ' ' || target_type, ', ' ORDER BY ordinal_position)
+         AS column_list
+FROM mapped GROUP BY table_name"""
+
+ORACLE["convert_orders"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       o_orderstatus, CAST(o_totalprice AS DECIMAL(38,0)) AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders"""
+
+ORACLE["relationships"] = f"WITH {_CATALOG_CTES} SELECT * FROM edges"
+
+ORACLE["entities"] = f"""WITH {_CATALOG_CTES},
+seen AS (
+  SELECT left_table AS entity, right_table || chr(1) || left_table || chr(1) || '0' AS s
+  FROM edges
+  UNION ALL
+  SELECT right_table, right_table || chr(1) || left_table || chr(1) || '1' FROM edges),
+folded AS (
+  SELECT table_name AS entity,
+         string_agg(column_name || ' ' || data_type, ', ' ORDER BY ordinal_position)
+           AS column_list
+  FROM cat_columns GROUP BY table_name)
+SELECT s.entity,
+       CASE WHEN s.entity LIKE '%DIM' THEN '#d0e0d0' WHEN s.entity LIKE '%DFACT' THEN '#ececfc'
+            ELSE '#fcecec' END AS color,
+       replace(min(s.s), chr(1), '|') AS first_seen_key, f.column_list
+FROM seen s LEFT JOIN folded f ON s.entity = f.entity
+GROUP BY s.entity, f.column_list"""
+
+_TEST_EDGES = [
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("labels", "doc_id", "documents", "doc_id"),
+    ("events", "user_id", "customer", "c_custkey"),
+]
+
+
+def _edge_sql(child, ccol, parent, pcol):
+    ptab = f"(SELECT * FROM {parent} WHERE lang <> 'de')" if parent == "documents" else parent
+    return (f"SELECT '{child}' AS child_table, '{ccol}' AS child_column, "
+            f"'{parent}' AS parent_table, '{pcol}' AS parent_column, "
+            f"count(*) AS child_rows, count(c.k) AS keyed_rows, "
+            f"count(DISTINCT c.k) AS child_keys, "
+            f"count(DISTINCT c.k) FILTER (WHERE c.k IS NOT NULL AND p.k IS NULL) AS orphan_keys, "
+            f"count(*) FILTER (WHERE c.k IS NOT NULL AND p.k IS NULL) AS orphan_rows "
+            f"FROM (SELECT {ccol} AS k FROM {child}) c "
+            f"LEFT JOIN (SELECT DISTINCT {pcol} AS k FROM {ptab}) p ON c.k = p.k")
+
+
+ORACLE["check_relationships"] = " UNION ALL ".join(_edge_sql(*e) for e in _TEST_EDGES)

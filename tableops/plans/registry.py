@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_header_col
-from ..operators import audit, paging, softdelete
+from ..operators import audit, metadata, paging, relations, softdelete
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
 from ..sources.delimited import good_rows, land_delimited, reject_rows
@@ -234,3 +234,72 @@ def replicate_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
         warnings.simplefilter("ignore")
         replicate.replicate_table(spark, n, "nation", target, None)
     return spark.read.parquet(target)
+
+
+# -- 4. catalog metadata and relationships ----------------------------------
+@register
+def type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target types of every base-table, non-binary column."""
+    tables, columns = fx.catalog_from_part(spark, sf_dir)
+    return metadata.type_mapping(tables, columns).select(
+        "table_name", "column_name", "ordinal_position", "data_type", "numeric_scale",
+        "target_type")
+
+
+@register
+def grouped_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per table, its mapped columns folded in ordinal order."""
+    tables, columns = fx.catalog_from_part(spark, sf_dir)
+    return metadata.group_columns(metadata.type_mapping(tables, columns)).select(
+        "table_name", "n_columns", "column_list")
+
+
+@register
+def convert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders` and `customer` catalogued from their schemas and
+    converted to the mapped target types; `orders` returned."""
+    frames = {n: read_table(spark, sf_dir, n) for n in ("orders", "customer")}
+    tables, columns = metadata.frame_catalog(frames)
+    conv, status = metadata.convert_tables(spark, frames, metadata.type_mapping(tables, columns))
+    failed = [r for r in status.collect() if r.status != "converted"]
+    if failed:
+        raise RuntimeError(f"conversion failed: {failed}")
+    return conv["orders"]
+
+
+@register
+def relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges inferred by the naming rules."""
+    tables, columns = fx.catalog_from_part(spark, sf_dir)
+    return relations.order_edges(relations.infer_relationships(tables, columns))
+
+
+@register
+def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct entities of the edges, colour, first-seen key, columns."""
+    tables, columns = fx.catalog_from_part(spark, sf_dir)
+    edges = relations.infer_relationships(tables, columns)
+    return relations.entities(edges, columns)
+
+
+# Configured edges of the test tables (child, column, parent, column).
+TEST_EDGES = [
+    ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    ("lineitem", "l_partkey", "part", "p_partkey"),
+    ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    ("orders", "o_custkey", "customer", "c_custkey"),
+    ("customer", "c_nationkey", "nation", "n_nationkey"),
+    ("nation", "n_regionkey", "region", "r_regionkey"),
+    ("labels", "doc_id", "documents", "doc_id"),
+    ("events", "user_id", "customer", "c_custkey"),
+]
+
+
+@register
+def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child rows, keys and orphans per edge (German documents removed,
+    so some labels lose their parent)."""
+    names = {t for e in TEST_EDGES for t in (e[0], e[2])}
+    frames = {n: read_table(spark, sf_dir, n) for n in names}
+    frames["documents"] = frames["documents"].filter(F.col("lang") != "de")
+    return relations.check_relationships(frames, TEST_EDGES)
