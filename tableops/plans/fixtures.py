@@ -132,3 +132,47 @@ def catalog_from_part(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
         .withColumn("table_type", F.when(F.col("table_name").startswith("PROMO"), F.lit("VIEW"))
                     .otherwise(F.lit("BASE TABLE")))
     return tables, columns
+
+
+def write_file_tree(rows: DataFrame, base: str) -> str:
+    """Write ``(rel_path, content)`` rows as files under ``base`` (sub-folders
+    made as needed), spread over tasks with ``mapInPandas``."""
+    import os
+
+    import pandas as pd
+    root = base[len("file:"):] if base.startswith("file:") else base
+
+    def _write(batches):
+        for pdf in batches:
+            for rel, content in zip(pdf["rel_path"], pdf["content"]):
+                path = os.path.join(root, rel)
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "wb") as fh:
+                    fh.write(content)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    rows.select("rel_path", "content").mapInPandas(_write, "n long").agg(F.sum("n")).collect()
+    return base
+
+
+def doc_file_name(id_col: str = "doc_id") -> F.Column:
+    return F.concat(F.lit("doc_"), F.col(id_col).cast("string"), F.lit(".txt"))
+
+
+def document_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with one text file per document, except the Spanish ones."""
+    d = read_table(spark, sf_dir, "documents").filter(F.col("lang") != "es")
+    base = work_dir(spark, "fixture-docfiles")
+    return write_file_tree(d.select(doc_file_name().alias("rel_path"),
+                                    F.encode("text", "UTF-8").alias("content")), base)
+
+
+def document_folders(spark: SparkSession, sf_dir: str) -> str:
+    """Documents filed under one sub-folder per source ('Source srcN'), the
+    German ones under 'Compressed'."""
+    d = read_table(spark, sf_dir, "documents")
+    folder = F.when(F.col("lang") == "de", F.lit("Compressed")) \
+        .otherwise(F.concat(F.lit("Source "), F.col("source")))
+    base = work_dir(spark, "fixture-docfolders")
+    return write_file_tree(d.select(F.concat_ws("/", folder, doc_file_name()).alias("rel_path"),
+                                    F.encode("text", "UTF-8").alias("content")), base)

@@ -300,3 +300,41 @@ def _edge_sql(child, ccol, parent, pcol):
 
 
 ORACLE["check_relationships"] = " UNION ALL ".join(_edge_sql(*e) for e in _TEST_EDGES)
+
+ORACLE["file_list"] = """
+SELECT 'doc_' || doc_id || '.txt' AS file_name FROM documents WHERE lang <> 'es'"""
+
+ORACLE["copy_files"] = """
+SELECT 'doc_' || doc_id || '.txt' AS file_name, CAST(strlen(text) AS BIGINT) AS bytes
+FROM documents WHERE lang <> 'es'"""
+
+ORACLE["manifest_join"] = """
+SELECT source AS invoice_id, 'doc_' || doc_id || '.txt' AS file_name
+FROM documents WHERE lang <> 'es'"""
+
+ORACLE["bundle_manifest"] = """
+SELECT invoice_id, CAST(row_number() OVER (PARTITION BY invoice_id ORDER BY file_name) AS BIGINT)
+         AS file_seq, file_name
+FROM (SELECT source AS invoice_id, 'doc_' || doc_id || '.txt' AS file_name
+      FROM documents WHERE lang <> 'es')"""
+
+ORACLE["files_vs_records"] = """
+SELECT 'doc_' || doc_id || '.txt' AS file_name,
+       CASE WHEN lang = 'es' THEN 'missing_file' WHEN lang = 'fr' THEN 'unexpected_file'
+            ELSE 'matched' END AS status
+FROM documents"""
+
+ORACLE["zip_bundles"] = """
+SELECT conv_id, part, count(*) AS n_files, count(*) AS n_entries,
+       CAST(sum(strlen(text)) AS BIGINT) AS n_bytes
+FROM (SELECT conv_id, text,
+             CAST((row_number() OVER (PARTITION BY conv_id
+                   ORDER BY 'turn_' || lpad(CAST(turn AS VARCHAR), 4, '0') || '_' || role || '.txt')
+                   - 1) // 3 AS BIGINT) AS part
+      FROM conversations)
+GROUP BY conv_id, part"""
+
+ORACLE["zip_folders"] = """
+SELECT 'INVOICES_Source' || source || '.zip' AS archive_name, count(*) AS n_files,
+       CAST(sum(strlen(text)) AS BIGINT) AS n_bytes
+FROM documents WHERE lang <> 'de' GROUP BY source"""

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_header_col
-from ..operators import audit, metadata, paging, relations, softdelete
+from ..operators import audit, filesets, metadata, paging, relations, softdelete
+from ..sources import files
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
 from ..sources.delimited import good_rows, land_delimited, reject_rows
@@ -303,3 +304,80 @@ def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = {n: read_table(spark, sf_dir, n) for n in names}
     frames["documents"] = frames["documents"].filter(F.col("lang") != "de")
     return relations.check_relationships(frames, TEST_EDGES)
+
+
+# -- 5. files, manifests and archives ----------------------------------------
+@register
+def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of the files in a folder (one file per non-Spanish document)."""
+    return files.list_files(spark, fx.document_files(spark, sf_dir)).select("file_name")
+
+
+@register
+def copy_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8 + A7: every file copied under a new prefix; the copy's listing
+    count must equal the source's."""
+    src = fx.document_files(spark, sf_dir)
+    target = work_dir(spark, "copied-docfiles")
+    copied = files.copy_files(files.read_files(spark, src), target)
+    out = work_dir(spark, "copy-report")
+    copied.write.parquet(out)
+    check = audit.copy_count_check("docfiles", files.list_files(spark, src),
+                                   files.list_files(spark, target)).first()
+    if not check.matched:
+        raise AssertionError(f"copy count mismatch: {check}")
+    return spark.read.parquet(out).select("file_name", "bytes")
+
+
+def _attachments(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    return d.select(F.col("source").alias("invoice_id"), fx.doc_file_name().alias("file_name"))
+
+
+@register
+def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 + O1: attachment records joined to the folder listing."""
+    listing = files.list_files(spark, fx.document_files(spark, sf_dir))
+    return filesets.manifest_join(_attachments(spark, sf_dir), listing)
+
+
+@register
+def bundle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each invoice's present files in order, numbered 1..n."""
+    listing = files.list_files(spark, fx.document_files(spark, sf_dir))
+    pairs = filesets.manifest_join(_attachments(spark, sf_dir), listing)
+    return filesets.group_files(pairs).select("invoice_id", "file_seq", "file_name")
+
+
+@register
+def files_vs_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folder listing vs expected records (given as Windows paths);
+    records are the non-French documents."""
+    listing = files.list_files(spark, fx.document_files(spark, sf_dir))
+    d = read_table(spark, sf_dir, "documents").filter(F.col("lang") != "fr")
+    records = d.select(F.concat(F.lit("C:\\invoices\\"), F.col("source"), F.lit("\\"),
+                                fx.doc_file_name()).alias("file_name"))
+    return filesets.files_vs_records(listing, records)
+
+
+@register
+def zip_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One archive per conversation (turns as files), at most 3 files
+    per archive part; each archive opened again and its entries counted."""
+    c = read_table(spark, sf_dir, "conversations")
+    turns = c.select("conv_id", F.concat(F.lit("turn_"), F.lpad(F.col("turn").cast("string"), 4, "0"),
+                                         F.lit("_"), F.col("role"), F.lit(".txt"))
+                     .alias("file_name"), F.encode("text", "UTF-8").alias("content"))
+    z = filesets.zip_bundles(turns, "conv_id", files_per_archive=3)
+    return filesets.archive_contents(z).select(
+        F.col("group_id").cast("long").alias("conv_id"), "part", "n_files", "n_entries",
+        "n_bytes")
+
+
+@register
+def zip_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One archive per sub-folder except 'Compressed'."""
+    tree = fx.document_folders(spark, sf_dir)
+    z = filesets.zip_folders(files.read_files(spark, tree, recursive=True), "INVOICES")
+    return filesets.archive_contents(z).groupBy("archive_name").agg(
+        F.sum("n_entries").alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
