@@ -176,3 +176,59 @@ def document_folders(spark: SparkSession, sf_dir: str) -> str:
     base = work_dir(spark, "fixture-docfolders")
     return write_file_tree(d.select(F.concat_ws("/", folder, doc_file_name()).alias("rel_path"),
                                     F.encode("text", "UTF-8").alias("content")), base)
+
+
+def customer_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Point worklist: one point per customer, degrees from key arithmetic."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("record_source"),
+        (F.lit(-70.0) + (F.col("c_custkey") * 104729 % 14000) / 100.0).alias("latitude"),
+        (F.lit(-180.0) + (F.col("c_custkey") * 7919 % 36000) / 100.0).alias("longitude"))
+
+
+def _ring(points):
+    return F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y")) for x, y in points])
+
+
+def nation_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygon layer in Web Mercator metres: per nation a triangle and a
+    square with a square hole around (lon, lat) = (-170 + 14k, -60 + 25 (k % 5));
+    name = nation, layer = region.  Vertices in degrees are whole numbers."""
+    from ..operators.geo import to_web_mercator  # noqa: F401 (same formula)
+    from ..functions.scalars import mercator_x, mercator_y
+    n = read_table(spark, sf_dir, "nation").join(
+        read_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"),
+        "n_regionkey")
+    cx = F.lit(-170.0) + F.col("n_nationkey") * 14
+    cy = F.lit(-60.0) + (F.col("n_nationkey") % 5) * 25
+
+    def ring(offsets):
+        return F.array(*[F.struct(mercator_x(cx + dx).alias("x"), mercator_y(cy + dy).alias("y"))
+                         for dx, dy in offsets])
+
+    tri = n.select(F.concat(F.lit("T"), F.col("n_nationkey").cast("string")).alias("poly_id"),
+                   F.lit("NWMLS").alias("nwmls"), F.col("n_name").alias("name"),
+                   F.col("r_name").alias("layer"),
+                   F.concat(F.lit("areas/"), F.col("n_name")).alias("path"),
+                   F.array(ring([(-5, -4), (5, -4), (0, 6), (-5, -4)])).alias("rings"))
+    sq = n.select(F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("poly_id"),
+                  F.lit("NWMLS").alias("nwmls"), F.col("n_name").alias("name"),
+                  F.col("r_name").alias("layer"),
+                  F.concat(F.lit("areas/"), F.col("n_name")).alias("path"),
+                  F.array(ring([(-6, -6), (6, -6), (6, 6), (-6, 6), (-6, -6)]),
+                          ring([(-2, -2), (2, -2), (2, 2), (-2, 2), (-2, -2)])).alias("rings"))
+    return tri.unionByName(sq)
+
+
+def nation_gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed geocoding responses per nation name, except nations of region 4
+    (those addresses miss)."""
+    n = read_table(spark, sf_dir, "nation").filter(F.col("n_regionkey") != 4)
+    loc = F.struct((F.lit(-60.0) + (F.col("n_nationkey") % 5) * 25).alias("lat"),
+                   (F.lit(-170.0) + F.col("n_nationkey") * 14).alias("lng"))
+    result = F.struct(F.initcap("n_name").alias("formatted_address"),
+                      F.struct(loc.alias("location")).alias("geometry"))
+    return n.select(F.col("n_name").alias("address"),
+                    F.struct(F.array(result).alias("results"), F.lit("OK").alias("status"))
+                    .alias("response"))

@@ -338,3 +338,70 @@ ORACLE["zip_folders"] = """
 SELECT 'INVOICES_Source' || source || '.zip' AS archive_name, count(*) AS n_files,
        CAST(sum(strlen(text)) AS BIGINT) AS n_bytes
 FROM documents WHERE lang <> 'de' GROUP BY source"""
+
+_MX = "(6378137.0 * (({v}) * (pi() / 180.0)))"
+_MY = "(6378137.0 * ln(tan(pi() / 4 + (({v}) * (pi() / 180.0)) / 2)))"
+_PTS = ("SELECT c_custkey AS id, c_mktsegment AS record_source, "
+        "CAST(-70.0 AS DOUBLE) + CAST(c_custkey * 104729 % 14000 AS DOUBLE) / 100.0 AS lat, "
+        "CAST(-180.0 AS DOUBLE) + CAST(c_custkey * 7919 % 36000 AS DOUBLE) / 100.0 AS lon "
+        "FROM customer")
+# (shape, ring, vertex, dx, dy, ring size) of the triangle and the holed square
+_SHAPES = [("T", 0, [(-5, -4), (5, -4), (0, 6), (-5, -4)]),
+           ("S", 0, [(-6, -6), (6, -6), (6, 6), (-6, 6), (-6, -6)]),
+           ("S", 1, [(-2, -2), (2, -2), (2, 2), (-2, 2), (-2, -2)])]
+_SHAPE_ROWS = ", ".join(f"('{s}', {r}, {i}, {dx}, {dy}, {len(v)})"
+                        for s, r, v in _SHAPES for i, (dx, dy) in enumerate(v))
+_GEO_CTES = f"""
+pts AS ({_PTS}),
+pm AS (SELECT id, record_source, {_MX.format(v='lon')} AS px, {_MY.format(v='lat')} AS py
+       FROM pts),
+shapes(shape, ring, seq, dx, dy, n) AS (VALUES {_SHAPE_ROWS}),
+verts AS (
+  SELECT s.shape || CAST(n.n_nationkey AS VARCHAR) AS poly_id, s.ring, s.seq, s.n,
+         {_MX.format(v='CAST(-170.0 AS DOUBLE) + n.n_nationkey * 14 + s.dx')} AS x,
+         {_MY.format(v='CAST(-60.0 AS DOUBLE) + (n.n_nationkey % 5) * 25 + s.dy')} AS y
+  FROM nation n, shapes s),
+edges AS (
+  SELECT a.poly_id, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+  FROM verts a JOIN verts b
+    ON a.poly_id = b.poly_id AND a.ring = b.ring AND b.seq = (a.seq + 1) % a.n),
+pip AS (
+  SELECT p.id, e.poly_id
+  FROM pm p, edges e
+  GROUP BY p.id, e.poly_id
+  HAVING sum(CASE WHEN ((e.y1 > p.py) <> (e.y2 > p.py))
+                   AND (p.px < (e.x2 - e.x1) * (p.py - e.y1) / (e.y2 - e.y1) + e.x1)
+                  THEN 1 ELSE 0 END) % 2 = 1
+     AND NOT bool_or((e.x2 - e.x1) * (p.py - e.y1) - (e.y2 - e.y1) * (p.px - e.x1) = 0
+                     AND p.px BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2)
+                     AND p.py BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2)))
+"""
+
+ORACLE["web_mercator"] = f"""WITH {_GEO_CTES}
+SELECT id, round(px, 3) AS x, round(py, 3) AS y FROM pm"""
+
+ORACLE["point_in_polygon"] = f"WITH {_GEO_CTES} SELECT id, poly_id FROM pip"
+
+ORACLE["area_tag_job"] = f"""WITH {_GEO_CTES}
+SELECT pip.id AS ID, c.c_mktsegment AS RECORD_SOURCE, 'NWMLS' AS MLS_NAME,
+       n.n_name AS MLS_AREA_NAME, r.r_name AS COUNTY, pip.poly_id AS MLS_AREA_ID
+FROM pip JOIN customer c ON c.c_custkey = pip.id
+JOIN nation n ON CAST(substr(pip.poly_id, 2) AS INTEGER) = n.n_nationkey
+JOIN region r ON r.r_regionkey = n.n_regionkey
+WHERE c.c_mktsegment <> 'AUTOMOBILE'"""
+
+ORACLE["missing_worklist"] = """
+SELECT doc_id, source, lang FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)"""
+
+ORACLE["geocode_enrich"] = """
+SELECT c.c_custkey AS ID, c.c_mktsegment AS RECORD_SOURCE,
+       CASE WHEN n.n_regionkey <> 4 THEN 'OK' END AS status,
+       CASE WHEN n.n_regionkey <> 4 THEN array_to_string(list_transform(
+            string_split(lower(n.n_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') END
+         AS formatted_address,
+       CASE WHEN n.n_regionkey <> 4 THEN CAST(-60.0 AS DOUBLE) + (n.n_nationkey % 5) * 25 END
+         AS lat,
+       CASE WHEN n.n_regionkey <> 4 THEN CAST(-170.0 AS DOUBLE) + n.n_nationkey * 14 END AS lng
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE c.c_mktsegment <> 'MACHINERY'"""

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalize_header_col
-from ..operators import audit, filesets, metadata, paging, relations, softdelete
+from ..operators import audit, filesets, geo, metadata, paging, relations, softdelete
 from ..sources import files
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
 from ..sources.delimited import good_rows, land_delimited, reject_rows
 from . import fixtures as fx
-from . import replicate
+from . import geo_jobs, replicate
 from .loader import load_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -381,3 +381,63 @@ def zip_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     z = filesets.zip_folders(files.read_files(spark, tree, recursive=True), "INVOICES")
     return filesets.archive_contents(z).groupBy("archive_name").agg(
         F.sum("n_entries").alias("n_files"), F.sum("n_bytes").alias("n_bytes"))
+
+
+# -- 6. geography -------------------------------------------------------------
+@register
+def web_mercator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer points in EPSG:3857 metres (rounded to mm)."""
+    p = geo.to_web_mercator(fx.customer_points(spark, sf_dir))
+    return p.select("id", F.round("px", 3).alias("x"), F.round("py", 3).alias("y"))
+
+
+@register
+def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (customer point, containing polygon) pair."""
+    pts = geo.to_web_mercator(fx.customer_points(spark, sf_dir))
+    return geo.point_in_polygon(pts, fx.nation_polygons(spark, sf_dir)).select("id", "poly_id")
+
+
+@register
+def area_tag_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R15 (S11, T14, J5, T20, K6): customers not yet tagged (automobile
+    segment already done) tagged with their areas, written as JSON lines
+    and read back."""
+    pts = fx.customer_points(spark, sf_dir)
+    done = pts.filter(F.col("record_source") == "AUTOMOBILE").select("id")
+    out = geo_jobs.area_tag_job(pts, done, fx.nation_polygons(spark, sf_dir),
+                                work_dir(spark, "area-json"))
+    schema = "ID long, RECORD_SOURCE string, MLS_NAME string, MLS_AREA_NAME string, " \
+             "COUNTY string, MLS_AREA_ID string"
+    return spark.read.schema(schema).json(out)
+
+
+@register
+def missing_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that have no label yet."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    return geo.missing_worklist(d, read_table(spark, sf_dir, "labels"), "doc_id")
+
+
+@register
+def geocode_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R14 (S11, J6, T19, K6): customers' nation names geocoded from landed
+    responses (misses kept), JSON lines written and read back."""
+    c = read_table(spark, sf_dir, "customer").join(
+        read_table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "c_nationkey"),
+        "c_nationkey")
+    work = c.select(F.col("c_custkey").alias("id"),
+                    F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")).alias("api_address"),
+                    F.col("c_mktsegment").alias("record_source"))
+    done = work.filter(F.col("record_source") == "MACHINERY").select("id")
+    out = geo_jobs.geocode_job(work, done, fx.nation_gazetteer(spark, sf_dir),
+                               work_dir(spark, "geocode-json"))
+    schema = ("ID long, RECORD_SOURCE string, status string, "
+              "results array<struct<formatted_address string, "
+              "geometry struct<location struct<lat double, lng double>>>>")
+    j = spark.read.schema(schema).json(out)
+    first = F.element_at("results", 1)
+    return j.select("ID", "RECORD_SOURCE", "status",
+                    first["formatted_address"].alias("formatted_address"),
+                    first["geometry"]["location"]["lat"].alias("lat"),
+                    first["geometry"]["location"]["lng"].alias("lng"))
