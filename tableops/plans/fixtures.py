@@ -232,3 +232,32 @@ def nation_gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(F.col("n_name").alias("address"),
                     F.struct(F.array(result).alias("results"), F.lit("OK").alias("status"))
                     .alias("response"))
+
+
+EVENT_LIST = "EventInformation"
+# Status per event type in the landed responses: errors fail, signups hit the quota.
+EVENT_STATUS = {"error": (5, "Invalid request parameter"), "signup": (11, "Quota exceeded")}
+
+
+def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One landed API response per event: XML envelope around the JSON text
+    ``{"EventInformation": [event], "Status": {...}}``."""
+    e = read_table(spark, sf_dir, "events")
+    code, msg = F.lit(2), F.lit("Success.")
+    for et, (c, m) in EVENT_STATUS.items():
+        code = F.when(F.col("event_type") == et, F.lit(c)).otherwise(code)
+        msg = F.when(F.col("event_type") == et, F.lit(m)).otherwise(msg)
+    item = F.struct(F.col("event_id").alias("EventID"), F.col("user_id").alias("UserID"),
+                    F.col("event_type").alias("EventType"), F.col("value").alias("Value"),
+                    F.col("props").alias("Props"))
+    payload = F.to_json(F.struct(F.array(item).alias(EVENT_LIST),
+                                 F.struct(code.alias("Code"), msg.alias("Message")).alias("Status")))
+    escaped = F.replace(F.replace(F.replace(payload, F.lit("&"), F.lit("&amp;")),
+                                  F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    body = F.concat(
+        F.lit('<soap:Envelope xmlns:soap="http://www.w3.org/2003/05/soap-envelope">'
+              '<soap:Body><GetEventsResponse><GetEventsResult>'),
+        escaped,
+        F.lit("</GetEventsResult></GetEventsResponse></soap:Body></soap:Envelope>"))
+    return e.select(F.col("event_id").alias("call_id"), F.lit(EVENT_LIST).alias("header"),
+                    body.alias("body"))

@@ -405,3 +405,46 @@ SELECT c.c_custkey AS ID, c.c_mktsegment AS RECORD_SOURCE,
        CASE WHEN n.n_regionkey <> 4 THEN CAST(-170.0 AS DOUBLE) + n.n_nationkey * 14 END AS lng
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE c.c_mktsegment <> 'MACHINERY'"""
+
+ORACLE["api_envelope"] = """
+SELECT event_id AS call_id, event_id AS EventID, user_id AS UserID, event_type AS EventType,
+       value AS Value, props AS Props
+FROM events WHERE event_type NOT IN ('error', 'signup')"""
+
+ORACLE["api_routes"] = """
+SELECT event_id AS call_id,
+       CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'retry' ELSE 'data' END
+         AS route,
+       CASE WHEN event_type = 'error' THEN '5 - Invalid request parameter' END AS error
+FROM events"""
+
+ORACLE["api_retry_list"] = "SELECT event_id AS call_id FROM events WHERE event_type = 'signup'"
+
+ORACLE["api_hierarchy"] = """
+SELECT c.c_custkey AS TaskID, r.r_name AS business_unit, n.n_name AS project,
+       c.c_mktsegment AS division
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+ORACLE["api_form_results"] = """
+SELECT l.l_orderkey AS FormID, l.l_linenumber AS line, r.r_name AS business_unit,
+       n.n_name AS project, l.l_quantity AS quantity
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+ORACLE["request_plan"] = """
+WITH rng AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS date_from,
+                    CAST(max(o_orderdate) AS DATE) AS date_to FROM orders GROUP BY o_custkey),
+w AS (SELECT o_custkey, date_to, CAST(date_from + INTERVAL (3 * i) MONTH AS DATE) AS window_from
+      FROM rng, range(0, 1 + CAST(datediff('month', date_from, date_to) / 3 AS BIGINT) + 1) t(i))
+SELECT o_custkey, window_from,
+       least(date_to, CAST(window_from + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)) AS window_to
+FROM w WHERE window_from <= date_to"""
+
+ORACLE["request_pages"] = """
+SELECT ship_year, start_row, 1000 AS page_size
+FROM (SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS n
+      FROM lineitem GROUP BY 1),
+     unnest(generate_series(0, n - 1, 1000)) AS t(start_row)"""

@@ -12,9 +12,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import normalize_header_col
-from ..operators import audit, filesets, geo, metadata, paging, relations, softdelete
+from ..operators import api, audit, filesets, geo, metadata, paging, relations, softdelete
 from ..sources import files
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
@@ -441,3 +442,93 @@ def geocode_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
                     first["formatted_address"].alias("formatted_address"),
                     first["geometry"]["location"]["lat"].alias("lat"),
                     first["geometry"]["location"]["lng"].alias("lng"))
+
+
+# -- 7. API responses ---------------------------------------------------------
+_EVENT_ELEMENT = T.StructType([
+    T.StructField("EventID", T.LongType()), T.StructField("UserID", T.LongType()),
+    T.StructField("EventType", T.StringType()), T.StructField("Value", T.DoubleType()),
+    T.StructField("Props", T.StringType()),
+])
+
+
+@register
+def api_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity rows of the successful calls."""
+    parsed = api.parse_responses(fx.event_responses(spark, sf_dir), fx.EVENT_LIST, _EVENT_ELEMENT)
+    data, _, _ = api.extract(parsed, fx.EVENT_LIST)
+    return data
+
+
+@register
+def api_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route and error text of every call."""
+    parsed = api.parse_responses(fx.event_responses(spark, sf_dir), fx.EVENT_LIST, _EVENT_ELEMENT)
+    return parsed.select("call_id", "route", "error")
+
+
+@register
+def api_retry_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls that hit the quota become a retry list (no recursion)."""
+    parsed = api.parse_responses(fx.event_responses(spark, sf_dir), fx.EVENT_LIST, _EVENT_ELEMENT)
+    _, retry, _ = api.extract(parsed, fx.EVENT_LIST)
+    return retry.select("call_id")
+
+
+def _hierarchy_tables(spark, sf_dir):
+    units = read_table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("BusinessUnitID"), F.col("r_name").alias("Name"))
+    projects = read_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("ProjectID"), F.col("n_regionkey").alias("BusinessUnitID"),
+        F.col("n_name").alias("Name"))
+    return units, projects
+
+
+@register
+def api_hierarchy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tasks (customers) under project (nation) and business unit
+    (region), with the trade of the package they were issued to."""
+    units, projects = _hierarchy_tables(spark, sf_dir)
+    c = read_table(spark, sf_dir, "customer")
+    tasks = c.select(F.col("c_custkey").alias("TaskID"), F.col("c_nationkey").alias("ProjectID"),
+                     F.col("c_custkey").alias("IssuedToPackageID"))
+    trades = c.select(F.col("c_custkey").alias("package_id"),
+                      F.col("c_mktsegment").alias("division"))
+    out = api.package_trade_lookup(api.hierarchy_expand(units, projects, tasks), trades)
+    return out.select("TaskID", "business_unit", "project", "division")
+
+
+@register
+def api_form_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form results (line items) -> forms (orders) -> project (customer
+    nation) -> business unit."""
+    units, projects = _hierarchy_tables(spark, sf_dir)
+    forms = read_table(spark, sf_dir, "orders").join(
+        read_table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("ProjectID")),
+        "o_custkey").select(F.col("o_orderkey").alias("FormID"), "ProjectID")
+    results = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("FormID"), F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").alias("quantity"))
+    per_form = api.hierarchy_expand(units, projects, forms)
+    return results.join(per_form, "FormID").select("FormID", "line", "business_unit", "project",
+                                                   "quantity")
+
+
+@register
+def request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer, the first..last order date split into calls of at
+    most three months."""
+    o = read_table(spark, sf_dir, "orders")
+    ranges = o.groupBy("o_custkey").agg(F.to_date(F.min("o_orderdate")).alias("date_from"),
+                                        F.to_date(F.max("o_orderdate")).alias("date_to"))
+    return api.request_windows(ranges).select("o_custkey", "window_from", "window_to")
+
+
+@register
+def request_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of 1000 rows over the line items shipped per year."""
+    li = read_table(spark, sf_dir, "lineitem")
+    totals = li.groupBy(F.year("l_shipdate").alias("ship_year")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return api.request_pages(totals).select("ship_year", "start_row", "page_size")
