@@ -261,3 +261,85 @@ def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</GetEventsResult></GetEventsResponse></soap:Body></soap:Envelope>"))
     return e.select(F.col("event_id").alias("call_id"), F.lit(EVENT_LIST).alias("header"),
                     body.alias("body"))
+
+
+def _long_cells(wide: DataFrame, titles: list[str], display: dict) -> tuple[DataFrame, DataFrame]:
+    """Wide rows -> sparse long cells (no cell for a NULL value) + columns."""
+    spark = wide.sparkSession
+    items = [F.struct(F.lit(i + 1).cast("long").alias("column_id"),
+                      F.col(f"`{t}`").alias("value"),
+                      F.col(f"`{display[t]}`").alias("display_value") if t in display
+                      else F.col(f"`{t}`").alias("display_value"))
+             for i, t in enumerate(titles)]
+    cells = (wide.select("row_id", F.explode(F.array(*items)).alias("c"))
+             .select("row_id", "c.*").filter(F.col("value").isNotNull()))
+    columns = spark.createDataFrame([(i + 1, t) for i, t in enumerate(titles)],
+                                    "column_id long, title string")
+    return cells, columns
+
+
+def order_sheet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A form sheet with one row per order; pending orders are new entries."""
+    from ..operators import forms
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    day = lambda k: F.date_format(F.date_add(F.col("o_orderdate"), k), "yyyy-MM-dd")
+    comment = F.when(~F.col("o_orderpriority").startswith("5"),
+                     F.concat(F.lit("Priority "), F.col("o_orderpriority")))
+    wide = j.select(
+        F.col("o_orderkey").alias("row_id"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(forms.NEW_ENTRY))
+         .otherwise(F.lit(forms.PROCESSED)).alias("Record Source"),
+        F.col("c_name").alias("Owner"),
+        F.concat(F.lit("Order "), F.col("o_orderkey").cast("string")).alias("Project Name"),
+        F.col("c_name").alias("Client"), comment.alias("Comments"),
+        F.col("n_name").alias("Address"), F.col("c_mktsegment").alias("Market"),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("Value"),
+        F.concat(F.lit("$"), money_text("o_totalprice")).alias("Value__display"),
+        day(0).alias("Precon Start Date"), day(30).alias("Construction Start Date"),
+        day(365).alias("Const Completion Date"),
+        F.col("c_custkey").cast("string").alias("Client Contact"),
+        F.lit(None).cast("string").alias("Designer"))
+    return _long_cells(wide, forms.FORM_TITLES, {"Value": "Value__display"})
+
+
+CONVERSATION_ROLES = ["user", "assistant", "system"]
+
+
+def conversation_sheet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A sheet with one row per conversation and one column per role, each
+    cell the role's first turn (display value: its first 20 characters)."""
+    c = read_table(spark, sf_dir, "conversations")
+    first = c.groupBy("conv_id", "role").agg(F.min_by("text", "turn").alias("text"))
+    ids = F.element_at(F.create_map(*[x for i, r in enumerate(CONVERSATION_ROLES)
+                                      for x in (F.lit(r), F.lit(i + 1))]), F.col("role"))
+    cells = first.select(F.col("conv_id").alias("row_id"), ids.cast("long").alias("column_id"),
+                         F.col("text").alias("value"),
+                         F.substring("text", 1, 20).alias("display_value"))
+    columns = spark.createDataFrame([(i + 1, r) for i, r in enumerate(CONVERSATION_ROLES)],
+                                    "column_id long, title string")
+    return cells, columns
+
+
+def event_notifications(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Sheet-row notifications from `events` in two overlapping batches
+    (days 1-19 and 10-30); signups are new entries.  Returns a glob of the
+    batch files."""
+    from ..operators import forms
+    e = read_table(spark, sf_dir, "events")
+    rows = e.select(
+        F.col("event_id").alias("row_id"), F.lit("Smartsheet webhook callback").alias("header"),
+        F.col("ts").cast("timestamp").alias("event_time"),
+        F.when(F.col("event_type") == "signup", F.lit(forms.NEW_ENTRY))
+         .otherwise(F.lit(forms.PROCESSED)).alias("Record Source"),
+        F.concat(F.lit("Event "), F.col("event_id").cast("string")).alias("Project Name"),
+        F.col("props").alias("Comments"), F.col("props").alias("Comments__display"),
+        F.col("value").cast("string").alias("Value"),
+        F.col("value").cast("string").alias("Value__display"))
+    rows.filter(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")) \
+        .write.json(f"{base}/batch1")
+    rows.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")) \
+        .write.json(f"{base}/batch2")
+    return f"{base}/batch*/*.json"

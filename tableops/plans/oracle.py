@@ -448,3 +448,62 @@ SELECT ship_year, start_row, 1000 AS page_size
 FROM (SELECT CAST(year(l_shipdate) AS INTEGER) AS ship_year, count(*) AS n
       FROM lineitem GROUP BY 1),
      unnest(generate_series(0, n - 1, 1000)) AS t(start_row)"""
+
+_CONV_FIRST = """(SELECT conv_id, role, arg_min(text, turn) AS text
+                  FROM conversations GROUP BY conv_id, role)"""
+ORACLE["pivot_sheet"] = f"""
+SELECT conv_id AS row_id,
+       max(CASE WHEN role = 'user' THEN text END) AS "user",
+       max(CASE WHEN role = 'assistant' THEN text END) AS assistant,
+       max(CASE WHEN role = 'system' THEN text END) AS system,
+       max(CASE WHEN role = 'user' THEN substr(text, 1, 20) END) AS user__display
+FROM {_CONV_FIRST} GROUP BY conv_id"""
+
+
+def _form_html_sql() -> str:
+    from ..operators import forms as f
+    sql = ["'" + f.HTML_HEADER.replace("'", "''") + "'"]
+    shown = {
+        "Owner": "c.c_name", "Project Name": "'Order ' || o.o_orderkey", "Client": "c.c_name",
+        "Comments": "CASE WHEN o.o_orderpriority LIKE '5%' THEN '' "
+                    "ELSE 'Priority ' || o.o_orderpriority END",
+        "Address": "n.n_name", "Market": "c.c_mktsegment",
+        "Value": "'$' || format('{:,.2f}', CAST(o.o_totalprice AS DECIMAL(18,2)))",
+        "Precon Start Date": "strftime(o.o_orderdate, '%Y-%m-%d')",
+        "Construction Start Date": "strftime(o.o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d')",
+        "Const Completion Date": "strftime(o.o_orderdate + INTERVAL 365 DAY, '%Y-%m-%d')",
+        "Client Contact": "CAST(c.c_custkey AS VARCHAR)", "Designer": "''",
+    }
+    for title, label, alt in f.NOTIFICATION_ROWS:
+        start = f.ROW_HTML_START.format(bg=f.ALT_BACKGROUND if alt else f.ROW_BACKGROUND)
+        sql.append("'" + (start + label + f.ROW_HTML_MIDDLE).replace("'", "''") + "'")
+        sql.append(f"({shown[title]})")
+        sql.append("'" + f.ROW_HTML_END + "'")
+    sql.append("'" + f.HTML_FOOTER.replace("'", "''") + "'")
+    return " || ".join(sql)
+
+
+_ORDER_SHEET_FROM = """FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+
+ORACLE["form_notifications"] = f"""
+SELECT o.o_orderkey AS row_id, 'Project Opportunity: Order ' || o.o_orderkey AS subject,
+       {_form_html_sql()} AS html
+{_ORDER_SHEET_FROM} WHERE o.o_orderstatus = 'P'"""
+
+ORACLE["form_comments"] = f"""
+SELECT o.o_orderkey AS row_id, 'Priority ' || o.o_orderpriority AS comment_text
+{_ORDER_SHEET_FROM}
+WHERE o.o_orderstatus = 'P' AND o.o_orderpriority NOT LIKE '5%'"""
+
+ORACLE["form_status_updates"] = """
+SELECT o_orderkey AS row_id, 'Form' AS record_source FROM orders"""
+
+ORACLE["classify_notifications"] = """
+SELECT event_id, CASE WHEN event_type = 'signup' THEN 'challenge'
+                      WHEN event_type = 'click' THEN 'change' ELSE 'ignored' END AS kind
+FROM events"""
+
+ORACLE["stream_new_entries"] = """
+SELECT event_id AS row_id, 'Project Opportunity: Event ' || event_id AS subject
+FROM events WHERE event_type = 'signup'"""

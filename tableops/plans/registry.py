@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import normalize_header_col
-from ..operators import api, audit, filesets, geo, metadata, paging, relations, softdelete
+from ..operators import (api, audit, filesets, forms, geo, metadata, paging, relations,
+                         softdelete)
+from ..streaming import form_events
 from ..sources import files
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
@@ -532,3 +534,60 @@ def request_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = li.groupBy(F.year("l_shipdate").alias("ship_year")).agg(
         F.count(F.lit(1)).alias("n_rows"))
     return api.request_pages(totals).select("ship_year", "start_row", "page_size")
+
+
+# -- 8. form sheets and notifications ------------------------------------------
+@register
+def pivot_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation sheet pivoted to one row per conversation."""
+    cells, columns = fx.conversation_sheet(spark, sf_dir)
+    wide = forms.pivot_sheet(cells, columns, fx.CONVERSATION_ROLES)
+    return wide.select("row_id", "user", "assistant", "system", "user__display")
+
+
+@register
+def form_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subject and HTML body for every new form entry."""
+    cells, columns = fx.order_sheet(spark, sf_dir)
+    wide = forms.pivot_sheet(cells, columns, forms.FORM_TITLES)
+    return forms.render_notification(forms.new_entries(wide))
+
+
+@register
+def form_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Comments to post for new entries that have one."""
+    cells, columns = fx.order_sheet(spark, sf_dir)
+    wide = forms.pivot_sheet(cells, columns, forms.FORM_TITLES)
+    return forms.comments(forms.new_entries(wide))
+
+
+@register
+def form_status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New entries marked processed; the sheet's Record Source after."""
+    cells, columns = fx.order_sheet(spark, sf_dir)
+    wide = forms.pivot_sheet(cells, columns, forms.FORM_TITLES)
+    updated = forms.apply_updates(cells, forms.status_updates(forms.new_entries(wide), columns))
+    after = forms.pivot_sheet(updated, columns, [forms.RECORD_SOURCE])
+    return after.select("row_id", F.col(f"`{forms.RECORD_SOURCE}`").alias("record_source"))
+
+
+@register
+def classify_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incoming notification headers (one per event) classified."""
+    e = read_table(spark, sf_dir, "events")
+    header = (F.when(F.col("event_type") == "signup", F.lit("Smartsheet-Hook-Challenge: abc"))
+              .when(F.col("event_type") == "click", F.lit("Smartsheet-Change-Agent"))
+              .when(F.col("event_type") == "view", F.lit("smartsheet lower case"))
+              .otherwise(F.concat(F.lit("X-Forwarded: "), F.col("event_type"))))
+    return e.select("event_id", forms.classify_notification(header).alias("kind"))
+
+
+@register
+def stream_new_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping notification batches streamed
+    (availableNow, one file per trigger); each new entry notified once."""
+    base = work_dir(spark, "form-stream")
+    src = fx.event_notifications(spark, sf_dir, f"{base}/in")
+    form_events.run_available(spark, src, f"{base}/out", f"{base}/checkpoint",
+                              max_files_per_trigger=4)
+    return spark.read.parquet(f"{base}/out/{form_events.NOTIFY_DIR}").select("row_id", "subject")
