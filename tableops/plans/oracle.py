@@ -507,3 +507,50 @@ FROM events"""
 ORACLE["stream_new_entries"] = """
 SELECT event_id AS row_id, 'Project Opportunity: Event ' || event_id AS subject
 FROM events WHERE event_type = 'signup'"""
+
+_SNAPSHOTS = """(SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""
+
+ORACLE["snapshot_names"] = f"""
+SELECT d AS snapshot_date, 'zBACKUP_PROD_DB_' || strftime(d, '%m_%d_%Y') AS name,
+       'PROD_DB' AS db
+FROM {_SNAPSHOTS}"""
+
+ORACLE["retention_plan"] = f"""
+SELECT 'zBACKUP_PROD_DB_' || strftime(d, '%m_%d_%Y') AS name, d AS snapshot_date,
+       CAST(DATE '2001-08-16' - d AS INTEGER) AS age_days,
+       d = DATE '2001-08-16' - INTERVAL 15 DAY AS "drop",
+       d <= DATE '2001-08-16' - INTERVAL 15 DAY AS drop_older
+FROM {_SNAPSHOTS}"""
+
+ORACLE["snapshot_tables"] = """
+SELECT t AS table_name, n AS rows_before, n AS rows_after,
+       'snapshot zBACKUP_PROD_DB_08_16_2001' AS status
+FROM (SELECT 'region' AS t, count(*) AS n FROM region UNION ALL
+      SELECT 'nation', count(*) FROM nation UNION ALL
+      SELECT 'supplier', count(*) FROM supplier UNION ALL
+      SELECT 'customer', count(*) FROM customer)"""
+
+ORACLE["truncate_and_load"] = """
+SELECT t AS table_name, n AS source_count,
+       CASE WHEN t = 'nation' THEN (SELECT count(*) FROM nation WHERE n_regionkey = 0)
+            ELSE 0 END AS rows_before, n AS rows_after, TRUE AS matched
+FROM (SELECT 'region' AS t, count(*) AS n FROM region UNION ALL
+      SELECT 'nation', count(*) FROM nation UNION ALL
+      SELECT 'supplier', count(*) FROM supplier UNION ALL
+      SELECT 'part', count(*) FROM part)"""
+
+ORACLE["csv_round_trip"] = "SELECT * FROM orders"
+
+ORACLE["json_lines"] = """
+SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN 'ok' END AS c_comment, 6 AS n_keys
+FROM customer"""
+
+ORACLE["text_lines"] = "SELECT p_name AS value FROM part"
+
+ORACLE["strict_load"] = "SELECT * FROM supplier"
+
+ORACLE["load_history"] = """
+SELECT run, 'PART_LOADED' AS table_name,
+       CASE WHEN run = 1 THEN 0 ELSE n END AS rows_before, n AS rows_after,
+       CAST(0 AS BIGINT) AS rejects, 'loaded' AS status
+FROM (SELECT count(*) AS n FROM part), (VALUES (1), (2)) v(run)"""

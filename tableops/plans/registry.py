@@ -15,15 +15,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import normalize_header_col
+from ..functions.scalars import backup_name
 from ..operators import (api, audit, filesets, forms, geo, metadata, paging, relations,
-                         softdelete)
+                         snapshots, softdelete)
+from ..sinks.writers import write_csv, write_json_lines, write_text_lines
 from ..streaming import form_events
 from ..sources import files
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
-from ..sources.delimited import good_rows, land_delimited, reject_rows
+from ..sources.delimited import (good_rows, land_delimited, read_headerless, read_strict,
+                                 reject_rows)
 from . import fixtures as fx
-from . import geo_jobs, replicate
+from . import geo_jobs, replicate, transfer
 from .loader import load_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -591,3 +594,113 @@ def stream_new_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     form_events.run_available(spark, src, f"{base}/out", f"{base}/checkpoint",
                               max_files_per_trigger=4)
     return spark.read.parquet(f"{base}/out/{form_events.NOTIFY_DIR}").select("row_id", "subject")
+
+
+# -- 9. snapshots, transfers and sinks -----------------------------------------
+_SNAPSHOT_TODAY = "2001-08-16"
+
+
+def _snapshot_list(spark, sf_dir):
+    """Snapshot names: one per distinct order date of `orders`."""
+    o = read_table(spark, sf_dir, "orders")
+    days = o.select(F.to_date("o_orderdate").alias("d")).distinct()
+    return days.select(backup_name(F.lit("PROD_DB"), "d").alias("name"), "d")
+
+
+@register
+def snapshot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot name per date (order dates stand for run dates)."""
+    s = _snapshot_list(spark, sf_dir)
+    return s.select(F.col("d").alias("snapshot_date"), "name",
+                    snapshots.snapshot_db("name").alias("db"))
+
+
+@register
+def retention_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which snapshots to drop on a fixed day, exact rule and older-or-equal rule."""
+    s = _snapshot_list(spark, sf_dir).select("name")
+    exact = snapshots.retention_plan(s, F.to_date(F.lit(_SNAPSHOT_TODAY)))
+    older = snapshots.retention_plan(s, F.to_date(F.lit(_SNAPSHOT_TODAY)),
+                                     mode=snapshots.MODE_OLDER).select(
+        "name", F.col("drop").alias("drop_older"))
+    return exact.join(older, "name").select("name", "snapshot_date", "age_days", "drop",
+                                            "drop_older")
+
+
+@register
+def snapshot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dated copies of four tables, taken twice (the second
+    replaces the first); history rows without clock columns."""
+    import datetime as dt
+    tables = {n: read_table(spark, sf_dir, n) for n in ("region", "nation", "supplier", "customer")}
+    base = work_dir(spark, "snapshots")
+    snapshots.snapshot_tables(spark, tables, base, "PROD_DB", dt.date(2001, 8, 16))
+    hist = snapshots.snapshot_tables(spark, tables, base, "PROD_DB", dt.date(2001, 8, 16))
+    return hist.select("table_name", "rows_before", "rows_after", "status")
+
+
+@register
+def truncate_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R18 (S8, A4, K5, K3, S3, A7): four tables exported to CSV and loaded
+    strictly into targets that already hold an older copy."""
+    tables = {n: read_table(spark, sf_dir, n) for n in ("region", "nation", "supplier", "part")}
+    exp, tgt = work_dir(spark, "export"), work_dir(spark, "target")
+    older = tables["nation"].filter(F.col("n_regionkey") == 0)
+    transfer.transfer_dataset(spark, {"nation": older}, exp, tgt)
+    return transfer.transfer_dataset(spark, tables, exp, tgt)
+
+
+@register
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 (all quoted), S4: `orders` written as headerless quoted CSV and
+    read back by position into the table's schema."""
+    o = read_table(spark, sf_dir, "orders")
+    out = work_dir(spark, "csv-orders")
+    write_csv(o, out, quote_all=True, header=False)
+    return read_headerless(spark, out, o.schema)
+
+
+@register
+def json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: `customer` as JSON lines with null fields kept (a comment that is
+    NULL for negative balances); every line keeps all six keys."""
+    c = read_table(spark, sf_dir, "customer").withColumn(
+        "c_comment", F.when(F.col("c_acctbal") >= 0, F.lit("ok")))
+    out = work_dir(spark, "json-customer")
+    write_json_lines(c, out)
+    lines = spark.read.text(out)
+    return lines.select(
+        F.get_json_object("value", "$.c_custkey").cast("long").alias("c_custkey"),
+        F.get_json_object("value", "$.c_comment").alias("c_comment"),
+        F.json_array_length(F.concat(F.lit("["), F.array_join(
+            F.transform(F.json_object_keys("value"), lambda k: F.lit("0")), ","), F.lit("]")))
+        .alias("n_keys"))
+
+
+@register
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: part names written one per line (range-ordered files), read back."""
+    out = work_dir(spark, "text-part")
+    write_text_lines(read_table(spark, sf_dir, "part"), "p_name", out, ordered=True)
+    return spark.read.text(out)
+
+
+@register
+def strict_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: a clean CSV export of `supplier` loaded with abort-on-error."""
+    s = read_table(spark, sf_dir, "supplier")
+    out = work_dir(spark, "csv-supplier")
+    write_csv(s, out, header=True)
+    return read_strict(spark, out, s.schema, header=True)
+
+
+@register
+def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One history row per load; the same file loaded twice into one
+    target (rows before/after, rejects, status; clock columns dropped)."""
+    src = fx.part_semicolon_file(spark, sf_dir)
+    target = work_dir(spark, "load-history")
+    first = load_file(spark, src, "PART_LOADED", "CSV_SEMICOLON_DELIMITER", target).history
+    second = load_file(spark, src, "PART_LOADED", "CSV_SEMICOLON_DELIMITER", target).history
+    return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2))) \
+        .select("run", "table_name", "rows_before", "rows_after", "rejects", "status")
