@@ -56,9 +56,16 @@ def strip_thousands(c: Column | str) -> Column:
     return F.replace(col_(c), F.lit(","), F.lit(""))
 
 
+# A superset of the texts a decimal cast accepts (optional blanks, sign,
+# digits and one point, optional exponent).  Texts outside it cannot parse,
+# so they skip the parser, whose failures are costly exceptions.
+NUMBER_SHAPE = r"^[\x00-\x20]*[+-]?[\p{Nd}.]+([eE][+-]?\p{Nd}+)?[\x00-\x20]*$"
+
+
 def try_number(c: Column | str, scale: int = 0) -> Column:
     """Tolerant number parse after removing ',' (NULL when it does not parse)."""
-    return strip_thousands(c).try_cast(DecimalType(38, scale))
+    text = strip_thousands(c)
+    return F.when(text.rlike(NUMBER_SHAPE), text.try_cast(DecimalType(38, scale)))
 
 
 def to_number(c: Column | str, scale: int = 0) -> Column:

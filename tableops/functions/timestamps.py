@@ -29,6 +29,24 @@ SPARK_PATTERNS = {
     "AUTO": None,
 }
 NOT_A_DATE = "NOT_A_DATE"
+# Shapes that a text must have for the mask to possibly parse it (each a
+# superset of what the parser accepts: blanks allowed at both ends, widths
+# relaxed).  A text outside the shape is a failure without calling the
+# parser, whose failures are costly exceptions.
+_D = r"\p{Nd}"
+MASK_SHAPES = {
+    "DD-MON-YY": rf"^\s*{_D}{{1,2}}-\p{{L}}{{3,9}}-{_D}{{2,}}\s*$",
+    "Mon DD, YYYY HH:MI:SS AM":
+        rf"^\s*\p{{L}}{{3,9}} {_D}{{1,2}}, {_D}{{4,}} {_D}{{1,2}}:{_D}{{1,2}}:{_D}{{1,2}} "
+        rf"\p{{L}}{{2}}\s*$",
+    "DD-MON-YY HH12.MI.SS.FF9 AM":
+        rf"^\s*{_D}{{1,2}}-\p{{L}}{{3,9}}-{_D}{{2,}} {_D}{{1,2}}\.{_D}{{1,2}}\.{_D}{{1,2}}"
+        rf"\.{_D}{{1,9}} \p{{L}}{{2}}\s*$",
+    "YYYY-": rf"^\s*{_D}{{4,}}-\s*$",
+    "MM/DD/YYYY HH12:MI AM":
+        rf"^\s*{_D}{{1,2}}/{_D}{{1,2}}/{_D}{{4,}} {_D}{{1,2}}:{_D}{{1,2}} \p{{L}}{{2}}\s*$",
+    "AUTO": rf"^[\x00-\x20]*([+-]?{_D}|T)",
+}
 # Two-digit years 80-99 mean 19xx, 00-79 mean 20xx.
 TWO_DIGIT_CENTURY_START = 1980
 
@@ -49,9 +67,9 @@ def try_timestamp(c: Column | str, mask: str) -> Column:
     """Tolerant parse with one candidate mask (NULL when it does not fit)."""
     c = col_(c)
     pattern = SPARK_PATTERNS[mask]
-    if pattern is None:
-        return c.try_cast("timestamp_ntz")
-    return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+    parsed = (c.try_cast("timestamp_ntz") if pattern is None
+              else F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz"))
+    return F.when(c.rlike(MASK_SHAPES[mask]), parsed)
 
 
 def to_timestamp(c: Column | str, mask: str) -> Column:
