@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from ..functions.scalars import decimal_scale, to_number, try_number
 from ..functions.timestamps import (NOT_A_DATE, TIMESTAMP_INPUT_FORMATS, first_zero_mask,
                                     to_timestamp, try_timestamp)
+from ..session import spread
 
 VARCHAR, NUMBER, DATETIME = "VARCHAR", "NUMBER", "DATETIME"
 
@@ -54,7 +55,7 @@ def profile_aggregate(stage: DataFrame) -> DataFrame:
     names = stage.columns
     if not names:
         raise ValueError("stage has no columns")
-    long = stage.select(F.explode(F.array(*[
+    long = spread(stage).select(F.explode(F.array(*[
         F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").alias("v")) for n in names]))
         .alias("kv")).select("kv.column_name", "kv.v")
     v = F.col("v")
@@ -112,8 +113,8 @@ def typed_projection(stage: DataFrame, profile: list[ColumnProfile]) -> DataFram
     All-null columns are left out.  Casts are strict (ANSI), so a value
     that stops parsing fails the job, like the reference's INSERT.
     """
-    return stage.select(*[typed_column(p.column_name, p) for p in profile
-                          if p.data_type is not None])
+    return spread(stage).select(*[typed_column(p.column_name, p) for p in profile
+                                  if p.data_type is not None])
 
 
 def spark_type(p: ColumnProfile) -> T.DataType:

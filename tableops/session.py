@@ -83,3 +83,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all cores before CPU-heavy row-local work (text
+    parsing) when the input has fewer splits than the cluster has cores;
+    a parquet row group is never split, so a small input can be one task.
+    Large inputs already have at least that many splits and pass unchanged
+    (no shuffle is added)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -77,3 +77,18 @@ def test_classify_notification(spark):
                                "h string")
     assert [r[0] for r in df.select(forms.classify_notification("h")).collect()] == \
         ["challenge", "change", "ignored"]
+
+
+def test_envelope_text_fast_path_equals_xpath(spark):
+    bodies = [
+        '<?xml version="1.0" encoding="utf-8"?>\n<soap:Envelope xmlns:soap="u"><soap:Body>'
+        '<R a="x>y">{"k": "a &amp; b &lt;c&gt; &quot;q&quot; &apos;s&apos;"}</R></soap:Body>'
+        '</soap:Envelope>\n',
+        "<a> lead <b>mid</b> trail </a>",
+        "<a><!-- c --><![CDATA[<raw>]]>&#65;x</a>",
+        "<a><?pi data?>t</a>",
+    ]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    out = df.select(api.envelope_text("body").alias("fast"),
+                    F.xpath_string("body", F.lit("/")).alias("xp")).collect()
+    assert all(r.fast == r.xp for r in out), [(r.fast, r.xp) for r in out]
