@@ -63,13 +63,23 @@ def century_fix(ts: Column, mask: str) -> Column:
     return F.when(F.year(ts) >= hi, ts - F.expr("INTERVAL 100 YEARS")).otherwise(ts)
 
 
-def try_timestamp(c: Column | str, mask: str) -> Column:
-    """Tolerant parse with one candidate mask (NULL when it does not fit)."""
+def parses_as_timestamp(c: Column | str, mask: str) -> Column:
+    """Whether a text parses with one candidate mask (NULL for NULL text).
+
+    Only the outcome is used, so the tolerant parser may go through the
+    session time zone; no exception is raised for a text that fails."""
     c = col_(c)
     pattern = SPARK_PATTERNS[mask]
     parsed = (c.try_cast("timestamp_ntz") if pattern is None
-              else F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz"))
-    return F.when(c.rlike(MASK_SHAPES[mask]), parsed)
+              else F.try_to_timestamp(c, F.lit(pattern)))
+    return F.when(c.isNotNull(), c.rlike(MASK_SHAPES[mask]) & parsed.isNotNull())
+
+
+def try_timestamp(c: Column | str, mask: str) -> Column:
+    """Tolerant parse with one mask: the exact local date-time (two-digit
+    years pivoted), NULL when the text does not fit.  The strict parser
+    runs only where the tolerant test passed, so it never fails."""
+    return F.when(F.coalesce(parses_as_timestamp(c, mask), F.lit(False)), to_timestamp(c, mask))
 
 
 def to_timestamp(c: Column | str, mask: str) -> Column:

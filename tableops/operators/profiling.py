@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import decimal_scale, to_number, try_number
 from ..functions.timestamps import (NOT_A_DATE, TIMESTAMP_INPUT_FORMATS, first_zero_mask,
-                                    to_timestamp, try_timestamp)
+                                    parses_as_timestamp, to_timestamp)
 from ..session import spread
 
 VARCHAR, NUMBER, DATETIME = "VARCHAR", "NUMBER", "DATETIME"
@@ -63,7 +63,7 @@ def profile_aggregate(stage: DataFrame) -> DataFrame:
         F.count(v).alias("nn"),
         _fail_count(v, try_number(v)).alias("num"),
         F.coalesce(F.max(decimal_scale(v)), F.lit(0)).alias("scale"),
-        *[_fail_count(v, try_timestamp(v, m)).alias(f"ts{j}")
+        *[F.count_if(v.isNotNull() & ~parses_as_timestamp(v, m)).alias(f"ts{j}")
           for j, m in enumerate(TIMESTAMP_INPUT_FORMATS)])
 
 

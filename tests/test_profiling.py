@@ -61,3 +61,17 @@ def test_round_trip_types(spark):
     prof, df = _profile(spark, [("10", "2020-01-01 10:00:00", "x")], ["n", "t", "s"])
     out = typed_projection(df, list(prof.values())).first()
     assert out["n"] == Decimal(10) and out["t"] == dt.datetime(2020, 1, 1, 10) and out["s"] == "x"
+
+
+def test_tolerant_timestamp_is_exact_local_time(spark):
+    from tableops.functions.timestamps import try_timestamp
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("03/10/2024 02:30 AM",), ("bad",), (None,)], "v string")
+        out = [r[0] for r in df.select(try_timestamp("v", "MM/DD/YYYY HH12:MI AM")).collect()]
+        assert out == [dt.datetime(2024, 3, 10, 2, 30), None, None]
+        prof, _ = _profile(spark, [("03/10/2024 02:30 AM",)], ["d"])
+        assert prof["d"].date_mask == "MM/DD/YYYY HH12:MI AM"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
