@@ -98,3 +98,17 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("target_date", T.TimestampNTZType()),
     T.StructField("md_active_flag", T.StringType()),
 ])
+
+
+def commit_results(old_base: str, new: DataFrame, source_key: int) -> str:
+    """R5 end to end on a versioned results table: read the latest version,
+    retire this source's rows, append the new ones and write the result as
+    a new version (nothing is written when the new run has no rows)."""
+    from ..sinks.writers import latest_version, read_latest, write_version
+    spark = new.sparkSession
+    if latest_version(spark, old_base) is None:
+        return write_version(new, old_base)
+    if new.isEmpty():
+        return latest_version(spark, old_base)
+    return write_version(retire_and_append(read_latest(spark, old_base), new, source_key),
+                         old_base)

@@ -57,6 +57,13 @@ HTML_FOOTER = ("</table>" + GREEN_LINE + "<br><br><br>"
 MAX_BROADCAST_COLUMNS = 100_000
 
 
+def read_sheet(spark, cells_path: str, columns_path: str) -> tuple[DataFrame, DataFrame]:
+    """A landed sheet (parquet): cells and the column title list."""
+    cells = spark.read.parquet(cells_path).select("row_id", "column_id", "value",
+                                                  "display_value")
+    return cells, spark.read.parquet(columns_path).select("column_id", "title")
+
+
 def cells_with_titles(cells: DataFrame, columns: DataFrame) -> DataFrame:
     """Resolve every cell's column title.  The column list is a
     sheet's width; it is broadcast after checking its size."""

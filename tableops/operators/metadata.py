@@ -166,3 +166,8 @@ def frame_catalog(frames: dict[str, DataFrame], catalog: str = "spark_catalog",
         crows, "table_catalog string, table_schema string, table_name string, "
                "column_name string, data_type string, numeric_scale int, ordinal_position int")
     return tables, columns
+
+
+def dataset_tables(spark: SparkSession, database: str) -> list[str]:
+    """Names of every table of one database (names only, on the driver)."""
+    return sorted(t.name for t in spark.catalog.listTables(database))

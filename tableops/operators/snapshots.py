@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import BACKUP_DATE_FORMAT, BACKUP_PREFIX, backup_name
+from ..functions.scalars import BACKUP_DATE_FORMAT, BACKUP_PREFIX
 from ..sinks.writers import _now, count_or_zero, history_row
 
 # ---------------------------------------------------------------------------
@@ -51,7 +51,7 @@ def snapshot_tables(spark: SparkSession, tables: dict[str, DataFrame], base_path
     replacing an existing snapshot of the same day; one history row per
     table.  Each copy is a distributed write; several tables are copied at
     once (independent Spark jobs from a small thread pool)."""
-    name = spark.range(1).select(backup_name(F.lit(db), F.lit(day)).alias("n")).first()["n"]
+    name = f"{BACKUP_PREFIX}{db}_{day:%m_%d_%Y}"   # same text as backup_name()
 
     def _copy(item):
         table, df = item

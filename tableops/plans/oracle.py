@@ -554,3 +554,8 @@ SELECT run, 'PART_LOADED' AS table_name,
        CASE WHEN run = 1 THEN 0 ELSE n END AS rows_before, n AS rows_after,
        CAST(0 AS BIGINT) AS rejects, 'loaded' AS status
 FROM (SELECT count(*) AS n FROM part), (VALUES (1), (2)) v(run)"""
+
+ORACLE["area_tag_geojson"] = f"""WITH {_GEO_CTES}
+SELECT pip.id, pip.poly_id, n.n_name AS name, r.r_name AS layer
+FROM pip JOIN nation n ON CAST(substr(pip.poly_id, 2) AS INTEGER) = n.n_nationkey
+JOIN region r ON r.r_regionkey = n.n_regionkey"""

@@ -18,9 +18,9 @@ from ..functions.scalars import normalize_header_col
 from ..functions.scalars import backup_name
 from ..operators import (api, audit, filesets, forms, geo, metadata, paging, relations,
                          snapshots, softdelete)
-from ..sinks.writers import write_csv, write_json_lines, write_text_lines
+from ..sinks.writers import write_csv, write_json_lines, write_text_lines, write_version
 from ..streaming import form_events
-from ..sources import files
+from ..sources import files, polygons
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
 from ..sources.delimited import (good_rows, land_delimited, read_headerless, read_strict,
@@ -150,12 +150,15 @@ def count_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def retire_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results of sources 1..3 kept; a new run of source 2 retires its old rows."""
+    """Results of sources 1..3 stored as a versioned table; a new run of
+    source 2 retires its old rows and is committed as a new version."""
+    base = work_dir(spark, "count-results")
     old = reduce(DataFrame.unionByName,
                  [audit.count_audit(k, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[k]))
                   for k in sorted(AUDIT_SOURCES)])
+    write_version(old, base)
     new = audit.count_audit(2, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[2]))
-    return _no_clock(audit.retire_and_append(old, new, 2))
+    return _no_clock(spark.read.parquet(audit.commit_results(base, new, 2)))
 
 
 @register
@@ -418,6 +421,17 @@ def area_tag_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).json(out)
 
 
+@register
+def area_tag_geojson(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S12 + J5: the polygon layer written as GeoJSON lines, read back by
+    the layer source, and every customer point tagged with it."""
+    path = work_dir(spark, "layer-geojson")
+    polygons.write_geojson_lines(fx.nation_polygons(spark, sf_dir), path)
+    layer = polygons.read_geojson_lines(spark, path)
+    pts = geo.to_web_mercator(fx.customer_points(spark, sf_dir))
+    return geo.point_in_polygon(pts, layer).select("id", "poly_id", "name", "layer")
+
+
 @register
 def missing_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that have no label yet."""
