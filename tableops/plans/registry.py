@@ -243,7 +243,8 @@ def replicate_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         replicate.replicate_table(spark, n, "nation", target, None)
-    return spark.read.parquet(target)
+    # chunk folders are discovered as partition values (typed int by inference)
+    return spark.read.parquet(target).withColumn("chunk_id", F.col("chunk_id").cast("long"))
 
 
 # -- 4. catalog metadata and relationships ----------------------------------
