@@ -28,6 +28,22 @@ MAX_RANGE_MONTHS = 3
 BUSINESS_UNITS = "BusinessUnitInformation"
 PROJECTS = "ProjectInformation"
 TASKS = "ProjectTasksListInformation"
+PACKAGE_TRADES = "PackageTradeInformation"
+FORMS = "ProjectFormsListInformation"
+FORM_RESULTS = "FormInformation"
+ENTITY_LISTS = [BUSINESS_UNITS, PROJECTS, TASKS, PACKAGE_TRADES, FORMS, FORM_RESULTS]
+# Fields of one task in the task list response.
+_S, _L, _D, _B, _TS = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType(), \
+    T.TimestampNTZType()
+TASK_ELEMENT = T.StructType([T.StructField(n, t) for n, t in [
+    ("TaskID", _S), ("TaskTypeLinkID", _L), ("Location", _S), ("Description", _S),
+    ("Status", _S), ("StatusColour", _S), ("StatusDate", _TS), ("IssuedDate", _TS),
+    ("TaskType", _S), ("IssuedToPackageID", _L), ("IssuedToPackage", _S),
+    ("IssuedToOrganisation", _S), ("TargetDate", _TS), ("IssuedByUser", _S),
+    ("IssuedByOrganisation", _S), ("IssuedByOrganisationType", _S), ("Priority", _S),
+    ("Cause", _S), ("CausedByOrganisation", _S), ("ActualFinishDate", _TS), ("Cost", _D),
+    ("OverDue", _B), ("Complete", _B), ("Closed", _B), ("Resolution", _S),
+    ("LastModified", _TS)]])
 
 ROUTE_DATA, ROUTE_RETRY, ROUTE_ERROR = "data", "retry", "error"
 
@@ -109,6 +125,15 @@ def extract(parsed: DataFrame, header: str) -> tuple[DataFrame, DataFrame, DataF
     return data, retry, errors
 
 
+def extract_all(responses: DataFrame, elements: dict[str, T.StructType]
+                ) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
+    """R16 over a table of mixed calls ``(call_id, header, body)``: per list
+    name, its (data, retry, errors).  Each is a filter of the one landed
+    table on ``header`` followed by the parse with that list's schema."""
+    return {h: extract(parse_responses(responses.filter(F.col("header") == h), h, el), h)
+            for h, el in elements.items()}
+
+
 def package_trade_lookup(tasks: DataFrame, trades: DataFrame) -> DataFrame:
     """Each task with the trade (division) of the package it was issued to."""
     t = trades.select(F.col("package_id").alias("IssuedToPackageID"), "division")

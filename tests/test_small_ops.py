@@ -92,3 +92,28 @@ def test_envelope_text_fast_path_equals_xpath(spark):
     out = df.select(api.envelope_text("body").alias("fast"),
                     F.xpath_string("body", F.lit("/")).alias("xp")).collect()
     assert all(r.fast == r.xp for r in out), [(r.fast, r.xp) for r in out]
+
+
+def test_task_list_response(spark):
+    body = ('<soap:Envelope xmlns:soap="http://www.w3.org/2003/05/soap-envelope"><soap:Body>'
+            '<GetProjectTasksListResponse><GetProjectTasksListResult>'
+            '{"ProjectTasksListInformation":[{"TaskID":"T1.5","TaskTypeLinkID":77,'
+            '"Location":"Level 2&gt;Room 4","IssuedToPackageID":901,"Cost":12.5,'
+            '"OverDue":false,"Closed":true,"ActualFinishDate":null,'
+            '"LastModified":"2019-03-04T05:06:07"}],'
+            '"Status":{"Code":2,"Message":"Success."}}'
+            '</GetProjectTasksListResult></GetProjectTasksListResponse></soap:Body></soap:Envelope>')
+    quota = body.replace('"Code":2', '"Code":11')
+    df = spark.createDataFrame([(1, api.TASKS, body), (2, api.TASKS, quota),
+                                (3, api.PROJECTS, "<x>{\"Status\":{\"Code\":9,\"Message\":\"m\"}}</x>")],
+                               "call_id long, header string, body string")
+    import datetime as _dt
+    out = api.extract_all(df, {api.TASKS: api.TASK_ELEMENT,
+                               api.PROJECTS: api.TASK_ELEMENT})
+    tasks, retry, errors = out[api.TASKS]
+    row = tasks.first()
+    assert (row.TaskID, row.Location, row.IssuedToPackageID, row.Closed) == \
+        ("T1.5", "Level 2>Room 4", 901, True)
+    assert row.LastModified == _dt.datetime(2019, 3, 4, 5, 6, 7)
+    assert [r.call_id for r in retry.collect()] == [2]
+    assert [r.error for r in out[api.PROJECTS][2].collect()] == ["9 - m"]
