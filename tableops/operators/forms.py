@@ -88,6 +88,17 @@ def pivot_sheet(cells: DataFrame, columns: DataFrame, titles: list[str] | None =
                     *[F.col(f"`{t}_d`").alias(f"{t}__display") for t in titles]))
 
 
+def new_entry_cells(cells: DataFrame, columns: DataFrame) -> DataFrame:
+    """P10 before the pivot: only the cells of rows whose Record Source cell
+    is a new entry (a semi-join on the row ids found in that one column), so
+    the pivot shuffles new rows only.  A filter on the pivoted column could
+    not be pushed below the pivot by the optimizer."""
+    rs = columns.filter(F.col("title") == RECORD_SOURCE).select("column_id")
+    new_ids = (cells.join(F.broadcast(rs), "column_id")
+               .filter(F.col("value") == NEW_ENTRY).select("row_id"))
+    return cells.join(new_ids, "row_id", "left_semi")
+
+
 def new_entries(wide: DataFrame) -> DataFrame:
     """P10: rows whose Record Source is exactly 'Form - New Entry'."""
     return wide.filter(F.col(f"`{RECORD_SOURCE}`") == NEW_ENTRY)

@@ -567,7 +567,7 @@ def pivot_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def form_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subject and HTML body for every new form entry."""
     cells, columns = fx.order_sheet(spark, sf_dir)
-    wide = forms.pivot_sheet(cells, columns, forms.FORM_TITLES)
+    wide = forms.pivot_sheet(forms.new_entry_cells(cells, columns), columns, forms.FORM_TITLES)
     return forms.render_notification(forms.new_entries(wide))
 
 
@@ -575,7 +575,7 @@ def form_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def form_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comments to post for new entries that have one."""
     cells, columns = fx.order_sheet(spark, sf_dir)
-    wide = forms.pivot_sheet(cells, columns, forms.FORM_TITLES)
+    wide = forms.pivot_sheet(forms.new_entry_cells(cells, columns), columns, forms.FORM_TITLES)
     return forms.comments(forms.new_entries(wide))
 
 
