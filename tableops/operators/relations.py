@@ -103,34 +103,62 @@ def entities(edges: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     return ents.join(folded, "entity", "left")
 
 
+def _tagged_keys(frames: dict[str, DataFrame], wanted: dict[str, list[tuple[int, str]]],
+                 key_type: str) -> DataFrame:
+    """(edge, k) rows: each table read once, its key columns for all its
+    edges exploded side by side."""
+    parts = []
+    for table, cols in wanted.items():
+        items = [F.struct(F.lit(e).alias("edge"), F.col(c).cast(key_type).alias("k"))
+                 for e, c in cols]
+        parts.append(frames[table].select(F.explode(F.array(*items)).alias("x"))
+                     .select("x.edge", "x.k"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_relationships(frames: dict[str, DataFrame], edges: list[tuple[str, str, str, str]]
                         ) -> DataFrame:
     """Check each inferred or configured edge on the data.
 
     Per edge (child table, child column -> parent table, parent column):
     child rows, rows with a non-null key, distinct child keys, orphan keys
-    and orphan rows (non-null key without a parent).  The child side is
-    first reduced to (key, rows) by a partial aggregate, so a hot key costs
-    one row per task before the shuffle; the parent side is reduced to its
-    distinct keys; one left join of the two reduced sides and one aggregate
-    give all counts.  All edges form one union, one job.
+    and orphan rows (non-null key without a parent).
+
+    Each child and parent table is scanned once for all its edges (its key
+    columns exploded into ``(edge, key)`` rows).  The child side is reduced
+    to ``(edge, key, rows)`` by a partial aggregate, so a hot key costs one
+    row per task before the shuffle; the parent side to its distinct keys;
+    one left join and one aggregate per edge give all counts.
     """
-    parts = []
-    for child, ccol, parent, pcol in edges:
-        c = frames[child]
-        keyed = (c.select(F.col(ccol).alias("k")).groupBy("k")
-                 .agg(F.count(F.lit(1)).alias("n")))
-        parents = (frames[parent].select(F.col(pcol).alias("k")).distinct()
-                   .withColumn("has_parent", F.lit(True)))
-        orphan = F.col("k").isNotNull() & F.col("has_parent").isNull()
-        parts.append(keyed.join(parents, "k", "left").agg(
-            F.lit(child).alias("child_table"), F.lit(ccol).alias("child_column"),
-            F.lit(parent).alias("parent_table"), F.lit(pcol).alias("parent_column"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("child_rows"),
-            F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0))
-             .cast("long").alias("keyed_rows"),
-            F.count("k").cast("long").alias("child_keys"),
-            F.count_if(orphan).cast("long").alias("orphan_keys"),
-            F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).cast("long")
-             .alias("orphan_rows")))
-    return reduce(DataFrame.unionByName, parts)
+    integral = ("tinyint", "smallint", "int", "bigint")
+    types = {frames[t].schema[c].dataType.simpleString()
+             for ch, cc, pt, pc in edges for t, c in ((ch, cc), (pt, pc))}
+    key_type = "bigint" if types <= set(integral) else "string"
+    child_cols: dict[str, list[tuple[int, str]]] = {}
+    parent_cols: dict[str, list[tuple[int, str]]] = {}
+    for i, (child, ccol, parent, pcol) in enumerate(edges):
+        child_cols.setdefault(child, []).append((i, ccol))
+        parent_cols.setdefault(parent, []).append((i, pcol))
+    keyed = (_tagged_keys(frames, child_cols, key_type).groupBy("edge", "k")
+             .agg(F.count(F.lit(1)).alias("n")))
+    parents = (_tagged_keys(frames, parent_cols, key_type).filter(F.col("k").isNotNull())
+               .distinct().withColumn("has_parent", F.lit(True)))
+    orphan = F.col("k").isNotNull() & F.col("has_parent").isNull()
+    stats = keyed.join(parents, ["edge", "k"], "left").groupBy("edge").agg(
+        F.sum("n").cast("long").alias("child_rows"),
+        F.coalesce(F.sum(F.when(F.col("k").isNotNull(), F.col("n"))), F.lit(0))
+         .cast("long").alias("keyed_rows"),
+        F.count("k").cast("long").alias("child_keys"),
+        F.count_if(orphan).cast("long").alias("orphan_keys"),
+        F.coalesce(F.sum(F.when(orphan, F.col("n"))), F.lit(0)).cast("long")
+         .alias("orphan_rows"))
+    spark = next(iter(frames.values())).sparkSession
+    edge_rows = spark.createDataFrame(
+        [(i, *e) for i, e in enumerate(edges)],
+        "edge int, child_table string, child_column string, parent_table string, "
+        "parent_column string")
+    zero = F.lit(0).cast("long")
+    return edge_rows.join(stats, "edge", "left").select(
+        "child_table", "child_column", "parent_table", "parent_column",
+        *[F.coalesce(c, zero).alias(c) for c in
+          ("child_rows", "keyed_rows", "child_keys", "orphan_keys", "orphan_rows")])
