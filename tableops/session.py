@@ -87,11 +87,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Spread rows over all cores before CPU-heavy row-local work (text
-    parsing) when the input has fewer splits than the cluster has cores;
-    a parquet row group is never split, so a small input can be one task.
-    Large inputs already have at least that many splits and pass unchanged
-    (no shuffle is added)."""
+    parsing) when the input is read from fewer files than the cluster has
+    cores: a parquet row group is never split, so a small input can be a
+    single task.  Inputs read from many files pass unchanged (no shuffle is
+    added).  The check lists input files only; it runs no job."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    n_files = len(df.inputFiles())
+    if n_files == 0 or n_files >= target:
         return df
     return df.repartition(target)
