@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from ..operators.profiling import ColumnProfile, profile_columns, typed_projection
 from ..session import work_dir
 from ..sinks.writers import _now, count_or_zero, history_row, replace_table
-from ..sources.delimited import CORRUPT_COL, good_rows, land_delimited, reject_rows
+from ..sources.delimited import (CORRUPT_COL, good_rows, land_delimited, number_rejects,
+                                 reject_rows)
 
 STATUS_LOADED = "loaded"
 STATUS_NO_DATA = "no data in source file"
@@ -33,12 +34,18 @@ class LoadResult:
     profile: list[ColumnProfile]
     history: DataFrame
     status: str
+    source_path: str = ""
 
     def stage(self, spark: SparkSession) -> DataFrame:
         return good_rows(spark.read.parquet(self.stage_path))
 
-    def rejects(self, spark: SparkSession, table_name: str) -> DataFrame:
-        return reject_rows(spark.read.parquet(self.stage_path), table_name)
+    def rejects(self, spark: SparkSession, table_name: str, with_lines: bool = True
+                ) -> DataFrame:
+        """The load-error table; ``with_lines`` numbers the rejected lines
+        (one extra text scan of the source files)."""
+        raw = spark.read.parquet(self.stage_path)
+        numbered = number_rejects(spark, self.source_path, raw) if with_lines else None
+        return reject_rows(raw, table_name, numbered)
 
 
 def load_file(spark: SparkSession, source_path: str, table_name: str,
@@ -60,7 +67,7 @@ def load_file(spark: SparkSession, source_path: str, table_name: str,
     if not any(p.data_type for p in profile):
         hist = history_row(spark, table_name, started, rows_before, rows_before, rejects,
                            STATUS_NO_DATA)
-        return LoadResult(None, stage_path, profile, hist, STATUS_NO_DATA)
+        return LoadResult(None, stage_path, profile, hist, STATUS_NO_DATA, source_path)
 
     # pass 3: typed projection, create-or-replace with the source file comment
     source_name = source_path.replace("\\", "/").rstrip("/").rsplit("/", 1)[-1]
@@ -70,7 +77,7 @@ def load_file(spark: SparkSession, source_path: str, table_name: str,
     rows_after = spark.read.parquet(final_path).count()
     hist = history_row(spark, table_name, started, rows_before, rows_after, rejects,
                        STATUS_LOADED)
-    return LoadResult(final_path, stage_path, profile, hist, STATUS_LOADED)
+    return LoadResult(final_path, stage_path, profile, hist, STATUS_LOADED, source_path)
 
 
 def load_files(spark: SparkSession, jobs: list[tuple[str, str, str]],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,9 @@ SOURCE_ENCODING = "ISO-8859-1"
 
 CORRUPT_COL = "_corrupt_record"
 FILE_COL = "_source_file"
+BLOCK_COL = "_block_start"
+ROW_COL = "_row_in_part"
+POS_COLS = [BLOCK_COL, "_part", ROW_COL]
 
 
 def delimiter_for(file_format: str) -> str:
@@ -57,7 +60,60 @@ def read_delimited(spark: SparkSession, path: str, file_format: str = "CSV",
     df = (_reader(spark, delimiter_for(file_format), True)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
           .schema(schema).csv(path))
-    return df.withColumn(FILE_COL, F.col("_metadata.file_path"))
+    return (df.withColumn(FILE_COL, F.col("_metadata.file_path"))
+            .withColumn(BLOCK_COL, F.col("_metadata.file_block_start"))
+            .withColumn("_part", F.spark_partition_id())
+            .withColumn(ROW_COL, F.monotonically_increasing_id()))
+
+
+def _split_positions(df: DataFrame) -> DataFrame:
+    """Position of every row inside its file split: rows of a split come in
+    file order, and a task reads its splits one after the other, so the
+    position is the row id minus the split's first row id (one small
+    aggregate row per split)."""
+    keys = [FILE_COL, BLOCK_COL, "_part"]
+    first = df.groupBy(*keys).agg(F.min(ROW_COL).alias("_first"))
+    return df.join(first, keys).withColumn("_pos", F.col(ROW_COL) - F.col("_first"))
+
+
+def line_numbers(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, block, k, line)`` for every non-blank physical line: ``k`` is
+    its rank among the non-blank lines of its split, ``line`` its 1-based
+    line number in the file.  Reads the files as text (line breaks are the
+    same bytes in every supported encoding); all steps are per split or per
+    file-split list, no task sees a whole file."""
+    t = (spark.read.text(path)
+         .select(F.col("_metadata.file_path").alias(FILE_COL),
+                 F.col("_metadata.file_block_start").alias(BLOCK_COL),
+                 F.spark_partition_id().alias("_part"),
+                 F.monotonically_increasing_id().alias(ROW_COL),
+                 # the CSV reader skips lines that are empty after Java trim()
+                 F.col("value").rlike(r"^[\x00-\x20]*$").alias("_blank")))
+    t = _split_positions(t)
+    per_split = t.groupBy(FILE_COL, BLOCK_COL).agg(F.count(F.lit(1)).alias("_n"))
+    before = per_split.withColumn("_before", F.sum("_n").over(
+        Window.partitionBy(FILE_COL).orderBy(BLOCK_COL)
+        .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_before"])
+    nonblank = t.filter(~F.col("_blank")).withColumn("_k", F.row_number().over(
+        Window.partitionBy(FILE_COL, BLOCK_COL).orderBy("_pos")) - 1)
+    return (nonblank.join(before.select(FILE_COL, BLOCK_COL, "_before"), [FILE_COL, BLOCK_COL])
+            .select(FILE_COL, BLOCK_COL, "_k",
+                    (F.col("_before") + F.col("_pos") + 1).cast("decimal(38,0)").alias("line")))
+
+
+def number_rejects(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
+    """Malformed rows of a landed parse with their physical line numbers.
+
+    A parsed record is the k-th non-blank line of its split (the header
+    line, first non-blank line of a file, is not a record); the text read
+    of the same files gives each such line its number.  Only the malformed
+    rows are joined to the numbered lines."""
+    pos = _split_positions(raw.select(FILE_COL, BLOCK_COL, "_part", ROW_COL, CORRUPT_COL))
+    bad = pos.filter(F.col(CORRUPT_COL).isNotNull()).withColumn(
+        "_k", F.col("_pos") + F.when(F.col(BLOCK_COL) == 0, 1).otherwise(0))
+    lines = line_numbers(spark, path)
+    return bad.join(lines, [FILE_COL, BLOCK_COL, "_k"], "left").select(
+        FILE_COL, CORRUPT_COL, "line")
 
 
 def land_delimited(spark: SparkSession, path: str, out_path: str, file_format: str = "CSV",
@@ -70,16 +126,21 @@ def land_delimited(spark: SparkSession, path: str, out_path: str, file_format: s
 
 
 def good_rows(raw: DataFrame) -> DataFrame:
-    return raw.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL, FILE_COL)
+    return raw.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL, FILE_COL, *POS_COLS)
 
 
-def reject_rows(raw: DataFrame, table_name: str) -> DataFrame:
-    """Rejected lines in the shape of the load-error table."""
-    return raw.filter(F.col(CORRUPT_COL).isNotNull()).select(
+def reject_rows(raw: DataFrame, table_name: str, numbered: DataFrame | None = None) -> DataFrame:
+    """Rejected lines in the shape of the load-error table; ``numbered``
+    (from ``number_rejects``) fills the line column."""
+    src = raw.filter(F.col(CORRUPT_COL).isNotNull())
+    line = F.lit(None).cast("decimal(38,0)")
+    if numbered is not None:
+        src, line = numbered, F.col("line")
+    return src.select(
         F.lit("malformed record: field count or quoting does not match the header")
          .alias("error"),
         F.col(FILE_COL).alias("file"),
-        F.lit(None).cast("decimal(38,0)").alias("line"),
+        line.alias("line"),
         F.lit(None).cast("decimal(38,0)").alias("character"),
         F.lit("parsing").alias("category"),
         F.lit(table_name).alias("table_name"),

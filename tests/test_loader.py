@@ -19,7 +19,8 @@ def test_rejects_are_skipped_and_recorded(spark, tmp_dir):
     res = load_file(spark, src, "T1", "CSV", f"{tmp_dir}/out")
     assert sorted(r["id"] for r in res.stage(spark).collect()) == ["1", "4"]
     rej = res.rejects(spark, "T1").collect()
-    assert sorted(r["rejected_record"] for r in rej) == ["2,short", "3,p,q,r"]
+    assert sorted((r["rejected_record"], int(r["line"])) for r in rej) == \
+        [("2,short", 3), ("3,p,q,r", 4)]
     final = spark.read.parquet(res.table_path)
     assert final.count() == 2 and str(final.schema["id"].dataType) == "DecimalType(38,0)"
 
@@ -49,3 +50,30 @@ def test_strict_load_aborts(spark, tmp_dir):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.IntegerType())])
     with pytest.raises(Exception):
         read_strict(spark, src, schema).collect()
+
+
+def test_reject_line_numbers_with_blank_lines_and_files(spark, tmp_dir):
+    _write(f"{tmp_dir}/in2/a.csv", "id,a\n\n1,x\n2,y,z\n \t\n3,w\n4\n")
+    _write(f"{tmp_dir}/in2/b.csv", "id,a\n5,v,extra\n6,u\n")
+    res = load_file(spark, f"{tmp_dir}/in2", "T4", "CSV", f"{tmp_dir}/out4")
+    got = sorted((r["file"].rsplit("/", 1)[-1], r["rejected_record"], int(r["line"]))
+                 for r in res.rejects(spark, "T4").collect())
+    assert got == [("a.csv", "2,y,z", 4), ("a.csv", "4", 7), ("b.csv", "5,v,extra", 2)]
+
+
+def test_reject_line_numbers_across_splits(spark, tmp_dir):
+    lines = ["id,a"] + [f"{i},v{i}" if i % 7 else f"{i},bad,{i}" for i in range(1, 400)]
+    lines.insert(50, "")
+    _write(f"{tmp_dir}/in3/big.csv", "\n".join(lines) + "\n")
+    expect = sorted((ln, i + 1) for i, ln in enumerate(lines) if ln.count(",") == 2)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    old_cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "16")
+    try:
+        res = load_file(spark, f"{tmp_dir}/in3", "T5", "CSV", f"{tmp_dir}/out5")
+        got = sorted((r["rejected_record"], int(r["line"])) for r in res.rejects(spark, "T5").collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.set("spark.sql.files.openCostInBytes", old_cost)
+    assert got == expect
