@@ -21,8 +21,8 @@ SKIP_FOLDER = "Compressed"      # sub-folder never archived
 ARCHIVE_EXT = ".zip"
 
 MATCHED, MISSING_FILE, UNEXPECTED_FILE = "matched", "missing_file", "unexpected_file"
-# Files per archive part: a group larger than this is split into parts so
-# no task builds an unbounded archive.
+# Files per archive part (on average): a larger group is split into parts
+# so no task builds an unbounded archive.
 DEFAULT_FILES_PER_ARCHIVE = 1000
 
 
@@ -98,17 +98,19 @@ def zip_bundles(files: DataFrame, group_col: str, files_per_archive: int =
     """One zip archive per group holding its files under their base
     names; ``(group_id, part, n_files, archive)``.
 
-    ``files`` has ``(group, file_name, content)``.  Each group's files are
-    numbered by the distributed ``group_files`` and cut into parts of at
-    most ``files_per_archive`` files, so a hot group becomes several
-    archives built in parallel rather than one unbounded task.  Building
-    the archive bytes is the only Python step (``applyInPandas`` per part).
-    """
+    ``files`` has ``(group, file_name, content)``.  A group of n files is cut
+    into ceil(n / files_per_archive) parts by a hash of the file name, so a
+    hot group becomes many archives built in parallel (each about
+    ``files_per_archive`` files) instead of one unbounded task.  Group sizes
+    are a partial-aggregated count; no sort and no copy of the contents is
+    needed.  Building the archive bytes is the only Python step
+    (``applyInPandas`` per part; files in name order inside an archive)."""
     keyed = files.select(F.col(group_col).cast("string").alias("group_id"), "file_name",
                          "content")
-    parts = (group_files(keyed, "group_id", "file_name")
-             .withColumn("part", F.floor((F.col("file_seq") - 1) / files_per_archive)
-                         .cast("long")))
+    sizes = keyed.groupBy("group_id").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(files_per_archive)).alias("_parts"))
+    parts = keyed.join(sizes, "group_id").withColumn(
+        "part", F.pmod(F.xxhash64("file_name"), F.col("_parts")).cast("long"))
     return (parts.select("group_id", "part", "file_name", "content")
             .groupBy("group_id", "part").applyInPandas(_zip_group, _ZIP_SCHEMA))
 

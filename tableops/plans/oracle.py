@@ -325,14 +325,9 @@ SELECT 'doc_' || doc_id || '.txt' AS file_name,
 FROM documents"""
 
 ORACLE["zip_bundles"] = """
-SELECT conv_id, part, count(*) AS n_files, count(*) AS n_entries,
+SELECT conv_id, count(*) AS n_files, count(*) AS n_entries,
        CAST(sum(strlen(text)) AS BIGINT) AS n_bytes
-FROM (SELECT conv_id, text,
-             CAST((row_number() OVER (PARTITION BY conv_id
-                   ORDER BY 'turn_' || lpad(CAST(turn AS VARCHAR), 4, '0') || '_' || role || '.txt')
-                   - 1) // 3 AS BIGINT) AS part
-      FROM conversations)
-GROUP BY conv_id, part"""
+FROM conversations GROUP BY conv_id"""
 
 ORACLE["zip_folders"] = """
 SELECT 'INVOICES_Source' || source || '.zip' AS archive_name, count(*) AS n_files,

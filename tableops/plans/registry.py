@@ -372,16 +372,17 @@ def files_vs_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def zip_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One archive per conversation (turns as files), at most 3 files
-    per archive part; each archive opened again and its entries counted."""
+    """One archive per conversation (turns as files), cut into parts of
+    about 3 files; every archive opened again and its entries counted;
+    totals per conversation."""
     c = read_table(spark, sf_dir, "conversations")
     turns = c.select("conv_id", F.concat(F.lit("turn_"), F.lpad(F.col("turn").cast("string"), 4, "0"),
                                          F.lit("_"), F.col("role"), F.lit(".txt"))
                      .alias("file_name"), F.encode("text", "UTF-8").alias("content"))
-    z = filesets.zip_bundles(turns, "conv_id", files_per_archive=3)
-    return filesets.archive_contents(z).select(
-        F.col("group_id").cast("long").alias("conv_id"), "part", "n_files", "n_entries",
-        "n_bytes")
+    z = filesets.archive_contents(filesets.zip_bundles(turns, "conv_id", files_per_archive=3))
+    return z.groupBy(F.col("group_id").cast("long").alias("conv_id")).agg(
+        F.sum("n_files").alias("n_files"), F.sum("n_entries").alias("n_entries"),
+        F.sum("n_bytes").alias("n_bytes"))
 
 
 @register

@@ -75,3 +75,16 @@ def test_replication_restart_is_idempotent(spark, tmp_dir):
     assert (again.skipped_chunks, again.written_chunks) == (5, 0)
     back = spark.read.parquet(target)
     assert back.count() == 2345 and back.select("k").distinct().count() == 2345
+
+
+def test_zip_parts_split_hot_group(spark):
+    files = spark.range(2500).select(
+        F.when(F.col("id") < 2000, F.lit("HOT")).otherwise(F.lit("small")).alias("g"),
+        F.format_string("f%05d.txt", F.col("id")).alias("file_name"),
+        F.encode(F.format_string("x%d", F.col("id")), "UTF-8").alias("content"))
+    z = filesets.archive_contents(filesets.zip_bundles(files, "g", files_per_archive=200))
+    per = {r.group_id: r for r in z.groupBy("group_id").agg(
+        F.count("*").alias("parts"), F.sum("n_entries").alias("n"),
+        F.max("n_entries").alias("biggest")).collect()}
+    assert per["HOT"].n == 2000 and per["HOT"].parts == 10 and per["HOT"].biggest < 300
+    assert per["small"].n == 500 and per["small"].parts <= 3
