@@ -88,3 +88,16 @@ def test_zip_parts_split_hot_group(spark):
         F.max("n_entries").alias("biggest")).collect()}
     assert per["HOT"].n == 2000 and per["HOT"].parts == 10 and per["HOT"].biggest < 300
     assert per["small"].n == 500 and per["small"].parts <= 3
+
+
+def test_replicate_tables_reports_each(spark, tmp_dir):
+    from tableops.plans import replicate
+    frames = {"a": spark.range(1200).withColumnRenamed("id", "k"),
+              "b": spark.range(30).withColumnRenamed("id", "x")}
+    keys = spark.createDataFrame([("a", "k", 1), ("b", "missing_col", 1)],
+                                 "table_name string, column_name string, key_ordinal int")
+    out = {r.table_name: r for r in
+           replicate.replicate_tables(spark, frames, keys, f"{tmp_dir}/rep", batch=500).collect()}
+    assert out["a"].status == "copied" and out["a"].total_chunks == 3
+    assert out["b"].status == "failed" and out["b"].error
+    assert spark.read.parquet(f"{tmp_dir}/rep/a").count() == 1200
