@@ -101,3 +101,22 @@ def test_replicate_tables_reports_each(spark, tmp_dir):
     assert out["a"].status == "copied" and out["a"].total_chunks == 3
     assert out["b"].status == "failed" and out["b"].error
     assert spark.read.parquet(f"{tmp_dir}/rep/a").count() == 1200
+
+
+def test_watermark_dedupe_and_challenges_ignored(spark, tmp_dir):
+    rows1 = [{"row_id": 1, "header": "Smartsheet x", "event_time": "2024-01-01T00:00:00",
+              "Record Source": "Form - New Entry", "Project Name": "P1"},
+             {"row_id": 9, "header": "Smartsheet-Hook-Challenge: y",
+              "event_time": "2024-01-01T00:00:00", "Record Source": "Form - New Entry",
+              "Project Name": "P9"}]
+    rows2 = [dict(rows1[0], event_time="2024-01-01T00:05:00"),
+             {"row_id": 2, "header": "Smartsheet x", "event_time": "2024-01-01T00:06:00",
+              "Record Source": "Form - New Entry", "Project Name": "P2"}]
+    for b, rows in (("b1", rows1), ("b2", rows2)):
+        os.makedirs(f"{tmp_dir}/in/{b}")
+        with open(f"{tmp_dir}/in/{b}/part.json", "w") as fh:
+            fh.write("\n".join(json.dumps(r) for r in rows))
+    form_events.run_available(spark, f"{tmp_dir}/in/b*/*.json", f"{tmp_dir}/out",
+                              f"{tmp_dir}/ck", max_files_per_trigger=1, watermark="1 hour")
+    notes = spark.read.parquet(f"{tmp_dir}/out/{form_events.NOTIFY_DIR}").collect()
+    assert sorted(r.row_id for r in notes) == [1, 2]
