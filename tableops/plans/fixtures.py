@@ -343,3 +343,32 @@ def event_notifications(spark: SparkSession, sf_dir: str, base: str) -> str:
     rows.filter(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz")) \
         .write.json(f"{base}/batch2")
     return f"{base}/batch*/*.json"
+
+
+def task_and_project_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses of two call types from `events`: a task list per
+    click/view/purchase event (task fields from the event) and a project
+    list per signup/error event."""
+    from ..operators import api
+    e = read_table(spark, sf_dir, "events")
+    task = F.struct(F.concat(F.lit("T"), F.col("event_id").cast("string")).alias("TaskID"),
+                    F.col("user_id").alias("TaskTypeLinkID"),
+                    F.col("event_type").alias("TaskType"),
+                    F.col("user_id").alias("IssuedToPackageID"),
+                    F.col("value").alias("Cost"),
+                    (F.col("event_type") == "purchase").alias("Complete"),
+                    F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("LastModified"))
+    project = F.struct(F.col("event_id").alias("ProjectID"), F.col("event_type").alias("Name"))
+    is_task = F.col("event_type").isin("click", "view", "purchase")
+    status = F.struct(F.lit(2).alias("Code"), F.lit("Success.").alias("Message"))
+    payload = F.when(is_task, F.to_json(F.struct(F.array(task).alias(api.TASKS),
+                                                 status.alias("Status")))) \
+        .otherwise(F.to_json(F.struct(F.array(project).alias(api.PROJECTS),
+                                      status.alias("Status"))))
+    body = F.concat(F.lit("<Envelope><Body><R>"),
+                    F.replace(F.replace(payload, F.lit("&"), F.lit("&amp;")), F.lit("<"),
+                              F.lit("&lt;")),
+                    F.lit("</R></Body></Envelope>"))
+    return e.select(F.col("event_id").alias("call_id"),
+                    F.when(is_task, F.lit(api.TASKS)).otherwise(F.lit(api.PROJECTS))
+                    .alias("header"), body.alias("body"))

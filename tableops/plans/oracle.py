@@ -554,3 +554,10 @@ ORACLE["area_tag_geojson"] = f"""WITH {_GEO_CTES}
 SELECT pip.id, pip.poly_id, n.n_name AS name, r.r_name AS layer
 FROM pip JOIN nation n ON CAST(substr(pip.poly_id, 2) AS INTEGER) = n.n_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey"""
+
+ORACLE["api_entities"] = """
+SELECT event_id AS call_id, 'T' || event_id AS TaskID, user_id AS TaskTypeLinkID,
+       event_type AS TaskType, user_id AS IssuedToPackageID, value AS Cost,
+       event_type = 'purchase' AS Complete, date_trunc('second', ts) AS LastModified,
+       CAST(NULL AS BOOLEAN) AS Closed
+FROM events WHERE event_type IN ('click', 'view', 'purchase')"""

@@ -720,3 +720,16 @@ def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = load_file(spark, src, "PART_LOADED", "CSV_SEMICOLON_DELIMITER", target).history
     return first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2))) \
         .select("run", "table_name", "rows_before", "rows_after", "rejects", "status")
+
+
+@register
+def api_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R16 with several lists: task-list and project-list calls landed in
+    one table, each parsed with its list's schema; the task rows returned."""
+    responses = fx.task_and_project_responses(spark, sf_dir)
+    project = T.StructType([T.StructField("ProjectID", T.LongType()),
+                            T.StructField("Name", T.StringType())])
+    out = api.extract_all(responses, {api.TASKS: api.TASK_ELEMENT, api.PROJECTS: project})
+    tasks = out[api.TASKS][0]
+    return tasks.select("call_id", "TaskID", "TaskTypeLinkID", "TaskType", "IssuedToPackageID",
+                        "Cost", "Complete", "LastModified", "Closed")
