@@ -12,13 +12,16 @@ Point-in-polygon is a grid-cell equi-join followed by an exact test:
   higher-order functions.  A point on an edge or vertex is outside, like a
   geometry library's ``contains``.
 
-The cell size defaults to the 75th percentile of polygon extents, so a
-typical polygon covers a handful of cells whatever the coordinate units;
-neither side is broadcast unless AQE sees it is small.
+The default cell size bounds the exploded polygon-cell table to a small
+multiple of the polygon count (see ``default_cell_size``), whatever the
+coordinate units or the mix of shapes; neither side is broadcast unless
+AQE sees it is small.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,11 +63,24 @@ def polygon_edges(polygons: DataFrame) -> DataFrame:
             .withColumn("maxy", F.expr(f"array_max(transform({pts}, p -> p.y))")))
 
 
-def default_cell_size(poly: DataFrame) -> float:
-    """75th percentile of polygon extents (one approximate aggregate)."""
-    ext = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
-    v = poly.agg(F.percentile_approx(ext, 0.75).alias("c")).first()["c"]
-    return float(v) if v and v > 0 else 1.0
+# Target cells per polygon on average (bounds the exploded cell table).
+CELLS_PER_POLYGON = 4
+
+
+def default_cell_size(poly: DataFrame, k: int = CELLS_PER_POLYGON) -> float:
+    """Cell size c that bounds the polygon-cell table: a bbox w x h covers at
+    most (w/c + 1)(h/c + 1) = wh/c^2 + (w+h)/c + 1 cells, so with
+    c = max(sqrt(sum wh / kn), sum(w+h) / kn) all n polygons cover at most
+    (2k + 1) n cells, whatever the mix of huge, thin and tiny shapes (one
+    aggregate over the layer)."""
+    w, h = F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")
+    r = poly.agg(F.sum(w * h).alias("a"), F.sum(w + h).alias("p"),
+                 F.count(F.lit(1)).alias("n")).first()
+    if not r or not r["n"]:
+        return 1.0
+    kn = float(k * r["n"])
+    c = max(math.sqrt((r["a"] or 0.0) / kn), (r["p"] or 0.0) / kn)
+    return c if c > 0 else 1.0
 
 
 def point_in_polygon(points: DataFrame, polygons: DataFrame, cell_size: float | None = None,

@@ -14,6 +14,9 @@ over all tasks:
    number bounded by the partition count, not the data);
 4. rank = rows in earlier partitions + position + 1, a per-row expression.
 
+The number of range partitions grows with the input size (see
+``sized_partitions``), so no task sorts an outsized partition.
+
 The key must be unique for the ranking to be deterministic, as with
 ``row_number``.
 """
@@ -26,12 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import chunk_count
-from ..session import cut_lineage
+from ..session import cut_lineage, sized_partitions
 
 RANK_COL = "ranking"
 CHUNK_COL = "chunk_id"
 # Rows per chunk in the reference's copy loop.
 DEFAULT_BATCH = 50_000
+# Input bytes per range partition of the distributed sort.
+SORT_PARTITION_BYTES = 1 << 30
 
 
 def _key_cols(keys: list[str | Column]) -> list[Column]:
@@ -41,8 +46,7 @@ def _key_cols(keys: list[str | Column]) -> list[Column]:
 def global_rank(df: DataFrame, keys: list[str | Column], num_partitions: int | None = None,
                 rank_col: str = RANK_COL) -> DataFrame:
     """1-based rank by ``keys`` (ascending), computed without a single-task sort."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or sized_partitions(df, SORT_PARTITION_BYTES)
     kc = _key_cols(keys)
     tagged = (df.repartitionByRange(n, *kc).sortWithinPartitions(*kc)
               .withColumn("_pid", F.spark_partition_id())
@@ -53,9 +57,11 @@ def global_rank(df: DataFrame, keys: list[str | Column], num_partitions: int | N
     n_parts = max(sizes) + 1 if sizes else 1
     offsets = list(itertools.accumulate(
         (sizes.get(p, 0) for p in range(n_parts)), initial=0))[:n_parts]
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                          F.col("_pid") + 1)
-    return tagged.withColumn(rank_col, offset + F.col("_pos") + 1).drop("_pid", "_pos")
+    # one row per range partition: a proven size bound for the broadcast
+    table = df.sparkSession.createDataFrame(list(enumerate(offsets)), "_pid int, _off long")
+    return (tagged.join(F.broadcast(table), "_pid")
+            .withColumn(rank_col, F.col("_off") + F.col("_pos") + 1)
+            .drop("_pid", "_pos", "_off"))
 
 
 def rank_between(ranked: DataFrame, lo: int, hi: int, rank_col: str = RANK_COL) -> DataFrame:

@@ -96,3 +96,46 @@ def spread(df: DataFrame) -> DataFrame:
     if n_files == 0 or n_files >= target:
         return df
     return df.repartition(target)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files a DataFrame reads (a driver-side listing of
+    file sizes, grouped by folder; no job)."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    by_dir: dict[str, set[str]] = {}
+    for f in files:
+        d, _, name = f.rpartition("/")
+        by_dir.setdefault(d, set()).add(name)
+    for d, names in by_dir.items():
+        p = jvm.org.apache.hadoop.fs.Path(d)
+        for st in p.getFileSystem(conf).listStatus(p):
+            if st.getPath().getName() in names:
+                total += st.getLen()
+    return total
+
+
+def sized_partitions(df: DataFrame, bytes_per_partition: int | None = None) -> int:
+    """Partition count for a full shuffle of ``df``: the configured shuffle
+    partitions, or more when the input is larger than that many partitions
+    of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (so a sort never
+    holds an outsized partition in one task)."""
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if bytes_per_partition is None:
+        adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+        bytes_per_partition = _parse_bytes(adv)
+    return max(base, -(-input_bytes(df) // max(bytes_per_partition, 1)))
+
+
+def _parse_bytes(text: str) -> int:
+    t = text.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    if t and t[-1] in mult:
+        return int(float(t[:-1]) * mult[t[-1]])
+    return int(t)

@@ -47,3 +47,17 @@ def test_brute_force_agreement(spark):
         return c
     expect = sorted((i, "T") for i, x, y in pts if inside(x, y))
     assert _hits(spark, pts, polys, cell=1.3) == expect
+
+
+def test_cell_table_is_bounded_for_mixed_shapes(spark):
+    from tableops.operators.geo import default_cell_size, polygon_edges
+    from pyspark.sql import functions as F
+    thin = [{"x": 0.0, "y": 0.0}, {"x": 1e6, "y": 0.0}, {"x": 1e6, "y": 1.0}, {"x": 0.0, "y": 1.0}]
+    rows = [("THIN", "t", "l", [thin]), ("HUGE", "h", "l", [_sq(0.0, 1e5)])] + \
+        [(f"s{i}", "s", "l", [_sq(float(i), i + 0.5)]) for i in range(200)]
+    poly = polygon_edges(_poly(spark, rows))
+    c = default_cell_size(poly)
+    cells = poly.select(((F.floor(F.col("maxx") / c) - F.floor(F.col("minx") / c) + 1)
+                         * (F.floor(F.col("maxy") / c) - F.floor(F.col("miny") / c) + 1))
+                        .alias("n")).agg(F.sum("n")).first()[0]
+    assert cells <= (2 * 4 + 1) * len(rows)
