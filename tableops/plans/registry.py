@@ -319,8 +319,11 @@ def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- 5. files, manifests and archives ----------------------------------------
 @register
 def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of the files in a folder (one file per non-Spanish document)."""
-    return files.list_files(spark, fx.document_files(spark, sf_dir)).select("file_name")
+    """Names of the files in a folder (one file per non-Spanish
+    document) written as text lines and loaded as the system's file list."""
+    table = files.file_list_job(spark, fx.document_files(spark, sf_dir), "DOCS",
+                                work_dir(spark, "file-list"))
+    return spark.read.parquet(table).select(F.col("FILE_NAME").alias("file_name"))
 
 
 @register

@@ -66,3 +66,17 @@ def copy_files(files: DataFrame, target_prefix: str) -> DataFrame:
                                 "bytes": sizes})
 
     return files.select("file_name", "content").mapInPandas(_copy, _COPY_SCHEMA)
+
+
+def file_list_job(spark: SparkSession, directory: str, system_name: str, target_base: str
+                  ) -> str:
+    """S5 + K7 + K1: the names in ``directory`` written as text lines
+    (``<SYSTEM>_FILES``) and as the one-column table ``<SYSTEM>_FILE_LIST``
+    (``FILE_NAME``), replacing an earlier list.  Returns the table path."""
+    names = list_files(spark, directory).select(F.col("file_name").alias("FILE_NAME"))
+    base = target_base.rstrip("/")
+    names.write.mode("overwrite").text(f"{base}/{system_name}_FILES")
+    table = f"{base}/{system_name}_FILE_LIST"
+    (spark.read.schema("FILE_NAME string").text(f"{base}/{system_name}_FILES")
+     .write.mode("overwrite").parquet(table))
+    return table
