@@ -151,7 +151,9 @@ def write_file_tree(rows: DataFrame, base: str) -> str:
                     fh.write(content)
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    rows.select("rel_path", "content").mapInPandas(_write, "n long").agg(F.sum("n")).collect()
+    from ..session import spread
+    spread(rows.select("rel_path", "content")).mapInPandas(_write, "n long") \
+        .agg(F.sum("n")).collect()
     return base
 
 

@@ -85,39 +85,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Inputs smaller than this are spread over all cores before CPU-heavy
+# row-local work (a parquet row group is never split, so a small input
+# can be a single task); larger inputs already have enough splits.
+SPREAD_BELOW_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread rows over all cores before CPU-heavy row-local work (text
-    parsing) when the input is read from fewer files than the cluster has
-    cores: a parquet row group is never split, so a small input can be a
-    single task.  Inputs read from many files pass unchanged (no shuffle is
-    added).  The check lists input files only; it runs no job."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    n_files = len(df.inputFiles())
-    if n_files == 0 or n_files >= target:
+    parsing) when the input is small (see ``SPREAD_BELOW_BYTES``); larger
+    inputs pass unchanged (no shuffle is added).  Runs no job."""
+    size = input_bytes(df)
+    if size == 0 or size >= SPREAD_BELOW_BYTES:
         return df
-    return df.repartition(target)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Total size of the files a DataFrame reads (a driver-side listing of
-    file sizes, grouped by folder; no job)."""
-    files = df.inputFiles()
-    if not files:
+    """Bytes of the relations a DataFrame reads: the sum of the planner's
+    size statistics of the plan's leaves (for files, the listed file sizes
+    after partition pruning).  No job and no file-system call; 0 when the
+    statistics are not available."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        it = leaves.iterator()
+        total = 0
+        while it.hasNext():
+            total += int(it.next().stats().sizeInBytes())
+        return total
+    except Exception:  # noqa: BLE001 - sizing is advisory only
         return 0
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    by_dir: dict[str, set[str]] = {}
-    for f in files:
-        d, _, name = f.rpartition("/")
-        by_dir.setdefault(d, set()).add(name)
-    for d, names in by_dir.items():
-        p = jvm.org.apache.hadoop.fs.Path(d)
-        for st in p.getFileSystem(conf).listStatus(p):
-            if st.getPath().getName() in names:
-                total += st.getLen()
-    return total
 
 
 def sized_partitions(df: DataFrame, bytes_per_partition: int | None = None) -> int:
