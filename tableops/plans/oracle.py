@@ -373,7 +373,7 @@ pip AS (
 """
 
 ORACLE["web_mercator"] = f"""WITH {_GEO_CTES}
-SELECT id, round(px, 3) AS x, round(py, 3) AS y FROM pm"""
+SELECT id, round(px, 3) + 0.0 AS x, round(py, 3) + 0.0 AS y FROM pm"""
 
 ORACLE["point_in_polygon"] = f"WITH {_GEO_CTES} SELECT id, poly_id FROM pip"
 

@@ -402,7 +402,9 @@ def zip_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def web_mercator(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer points in EPSG:3857 metres (rounded to mm)."""
     p = geo.to_web_mercator(fx.customer_points(spark, sf_dir))
-    return p.select("id", F.round("px", 3).alias("x"), F.round("py", 3).alias("y"))
+    # + 0.0 turns a rounded -0.0 into 0.0 (equal numbers, one text form)
+    return p.select("id", (F.round("px", 3) + F.lit(0.0)).alias("x"),
+                    (F.round("py", 3) + F.lit(0.0)).alias("y"))
 
 
 @register
