@@ -197,7 +197,6 @@ def nation_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Polygon layer in Web Mercator metres: per nation a triangle and a
     square with a square hole around (lon, lat) = (-170 + 14k, -60 + 25 (k % 5));
     name = nation, layer = region.  Vertices in degrees are whole numbers."""
-    from ..operators.geo import to_web_mercator  # noqa: F401 (same formula)
     from ..functions.scalars import mercator_x, mercator_y
     n = read_table(spark, sf_dir, "nation").join(
         read_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey"),
