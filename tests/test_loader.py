@@ -77,3 +77,12 @@ def test_reject_line_numbers_across_splits(spark, tmp_dir):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.set("spark.sql.files.openCostInBytes", old_cost)
     assert got == expect
+
+
+def test_register_with_source_comment(spark, tmp_dir):
+    src = f"{tmp_dir}/in6/My File.csv"
+    _write(src, "a,b\n1,x\n")
+    load_file(spark, src, "loaded_with_comment", "CSV", f"{tmp_dir}/out6", register=True)
+    t = spark.catalog.getTable("loaded_with_comment")
+    assert t.description == "Source file: My File.csv"
+    assert spark.table("loaded_with_comment").count() == 1
