@@ -51,8 +51,7 @@ def infer_relationships(tables: DataFrame, columns: DataFrame, schema: str = "PU
         "left_table", "left_column",
         F.explode(F.array(F.concat(stem, F.lit(DIM_SUFFIX)),
                           F.concat(stem, F.lit(DFACT_SUFFIX)))).alias("right_table"))
-    targets = (columns.join(in_schema, "table_name", "left_semi")
-               .select(F.col("table_name").alias("right_table")).distinct())
+    targets = cols.select(F.col("left_table").alias("right_table")).distinct()
     by_name = candidates.join(targets, "right_table", "left_semi")
 
     month = cols.filter(F.col("left_column").like(MONTH_KEY_PATTERN)

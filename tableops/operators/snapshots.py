@@ -37,12 +37,18 @@ def retention_plan(snapshots: DataFrame, today: _dt.date | Column,
     exactly ``today - days`` (the reference: a missed run leaves a snapshot
     for ever); ``older_or_equal`` drops every snapshot at least that old."""
     t = F.lit(today) if not isinstance(today, Column) else today
-    cutoff = F.date_sub(t, days)
     d = snapshot_date("name")
-    drop = (d == cutoff) if mode == MODE_EXACT else (d <= cutoff)
     return snapshots.select("name", d.alias("snapshot_date"),
                             F.datediff(t, d).alias("age_days"),
-                            F.coalesce(drop, F.lit(False)).alias("drop"))
+                            drop_flag(d, t, days, mode).alias("drop"))
+
+
+def drop_flag(snap_date: Column, today: Column, days: int = RETENTION_DAYS,
+              mode: str = MODE_EXACT) -> Column:
+    """Whether a snapshot of ``snap_date`` is dropped on ``today``."""
+    cutoff = F.date_sub(today, days)
+    drop = (snap_date == cutoff) if mode == MODE_EXACT else (snap_date <= cutoff)
+    return F.coalesce(drop, F.lit(False))
 
 
 def snapshot_tables(spark: SparkSession, tables: dict[str, DataFrame], base_path: str,

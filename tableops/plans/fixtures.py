@@ -131,7 +131,11 @@ def catalog_from_part(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     tables = columns.select("table_catalog", "table_schema", "table_name").distinct() \
         .withColumn("table_type", F.when(F.col("table_name").startswith("PROMO"), F.lit("VIEW"))
                     .otherwise(F.lit("BASE TABLE")))
-    return tables, columns
+    # land both as catalog tables, read back like an information schema
+    base = work_dir(spark, "fixture-catalog")
+    columns.write.parquet(f"{base}/columns")
+    tables.write.parquet(f"{base}/tables")
+    return spark.read.parquet(f"{base}/tables"), spark.read.parquet(f"{base}/columns")
 
 
 def write_file_tree(rows: DataFrame, base: str) -> str:

@@ -640,12 +640,10 @@ def snapshot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retention_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which snapshots to drop on a fixed day, exact rule and older-or-equal rule."""
     s = _snapshot_list(spark, sf_dir).select("name")
-    exact = snapshots.retention_plan(s, F.to_date(F.lit(_SNAPSHOT_TODAY)))
-    older = snapshots.retention_plan(s, F.to_date(F.lit(_SNAPSHOT_TODAY)),
-                                     mode=snapshots.MODE_OLDER).select(
-        "name", F.col("drop").alias("drop_older"))
-    return exact.join(older, "name").select("name", "snapshot_date", "age_days", "drop",
-                                            "drop_older")
+    today = F.to_date(F.lit(_SNAPSHOT_TODAY))
+    plan = snapshots.retention_plan(s, today)
+    return plan.withColumn("drop_older", snapshots.drop_flag(
+        F.col("snapshot_date"), today, mode=snapshots.MODE_OLDER))
 
 
 @register
