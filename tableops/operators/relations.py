@@ -104,8 +104,8 @@ def entities(edges: DataFrame, columns: DataFrame | None = None) -> DataFrame:
 
 def _tagged_keys(frames: dict[str, DataFrame], wanted: dict[str, list[tuple[int, str]]],
                  key_type: str) -> DataFrame:
-    """(edge, k) rows: each table read once, its key columns for all its
-    edges exploded side by side."""
+    """(edge, k) rows: each table read once for all the edges listed for it,
+    its key columns exploded side by side."""
     parts = []
     for table, cols in wanted.items():
         items = [F.struct(F.lit(e).alias("edge"), F.col(c).cast(key_type).alias("k"))
@@ -123,8 +123,9 @@ def check_relationships(frames: dict[str, DataFrame], edges: list[tuple[str, str
     child rows, rows with a non-null key, distinct child keys, orphan keys
     and orphan rows (non-null key without a parent).
 
-    Each child and parent table is scanned once for all its edges (its key
-    columns exploded into ``(edge, key)`` rows).  The child side is reduced
+    Each table is scanned once as a child (all its child edges) and once as
+    a parent (all its parent edges): its key columns are exploded into
+    ``(edge, key)`` rows.  The child side is reduced
     to ``(edge, key, rows)`` by a partial aggregate, so a hot key costs one
     row per task before the shuffle; the parent side to its distinct keys;
     one left join and one aggregate per edge give all counts.

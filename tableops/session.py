@@ -120,8 +120,8 @@ def input_bytes(df: DataFrame) -> int:
 def sized_partitions(df: DataFrame, bytes_per_partition: int | None = None) -> int:
     """Partition count for a full shuffle of ``df``: the configured shuffle
     partitions, or more when the input is larger than that many partitions
-    of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` (so a sort never
-    holds an outsized partition in one task)."""
+    of ``bytes_per_partition`` (default: the AQE advisory partition size), so
+    sort partitions stay near a target size as the input grows."""
     spark = df.sparkSession
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if bytes_per_partition is None:
