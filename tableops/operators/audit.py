@@ -24,18 +24,19 @@ def table_counts(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
     """A5 per side: (table_name, <prefix>_count, <prefix>_date), one row per table.
 
     One job: the column-free scans of all tables are tagged with the table
-    name and unioned, then counted by name (partial counts per task, one
-    small shuffle).  A table with no rows gets 0 from the name list."""
+    name and unioned with one zero-weight row per name (so an empty table
+    still gets a row), then summed by name: partial sums per task, one
+    small shuffle, no join."""
     if not tables:
         raise ValueError("no tables to count")
     spark = next(iter(tables.values())).sparkSession
+    names = spark.createDataFrame([(n, 0) for n in tables], "table_name string, _w int")
     tagged = reduce(DataFrame.unionByName,
-                    [df.select(F.lit(name).alias("table_name")) for name, df in tables.items()])
-    counts = tagged.groupBy("table_name").agg(F.count(F.lit(1)).alias("_n"))
-    names = spark.createDataFrame([(n,) for n in tables], "table_name string")
-    return (names.join(counts, "table_name", "left")
-            .select("table_name", F.coalesce("_n", F.lit(0)).alias(f"{prefix}_count"),
-                    F.localtimestamp().alias(f"{prefix}_date")))
+                    [df.select(F.lit(name).alias("table_name"), F.lit(1).alias("_w"))
+                     for name, df in tables.items()] + [names])
+    return tagged.groupBy("table_name").agg(
+        F.sum("_w").cast("long").alias(f"{prefix}_count"),
+        F.localtimestamp().alias(f"{prefix}_date"))
 
 
 def registry_filter(registry: DataFrame, source_type: str) -> DataFrame:
