@@ -13,8 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-ACTIVE, RETIRED = "Y", "N"
-MISSING_COUNT = -1
+# ---------------------------------------------------------------------------
+# Fixed values that must equal the reference's behaviour
+# ---------------------------------------------------------------------------
+ACTIVE, RETIRED = "Y", "N"          # md_active_flag values
+AUDIT_ENABLED = "Y"                 # audit_enabled_flag of a registered source
+AUDITED_SOURCE_TYPE = "SQL SERVER"  # source type the count audit runs for
+MISSING_COUNT = -1                  # target count of a target that cannot be read
 
 RESULT_COLUMNS = ["source_key", "table_name", "source_count", "source_date", "target_count",
                   "target_date", "md_active_flag"]
@@ -39,9 +44,9 @@ def table_counts(tables: dict[str, DataFrame], prefix: str) -> DataFrame:
         F.localtimestamp().alias(f"{prefix}_date"))
 
 
-def registry_filter(registry: DataFrame, source_type: str) -> DataFrame:
+def registry_filter(registry: DataFrame, source_type: str = AUDITED_SOURCE_TYPE) -> DataFrame:
     """Enabled sources of one type."""
-    return registry.filter((F.col("audit_enabled_flag") == "Y")
+    return registry.filter((F.col("audit_enabled_flag") == AUDIT_ENABLED)
                            & (F.col("source_type") == source_type))
 
 

@@ -138,10 +138,10 @@ def _no_clock(df: DataFrame) -> DataFrame:
 def count_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Source vs target counts for every enabled source."""
     registry = spark.createDataFrame(
-        [(k, f"source {k}", "SQL SERVER", "Y") for k in AUDIT_SOURCES]
-        + [(9, "flat files", "FLAT FILE", "Y"), (8, "retired", "SQL SERVER", "N")],
+        [(k, f"source {k}", audit.AUDITED_SOURCE_TYPE, "Y") for k in AUDIT_SOURCES]
+        + [(9, "flat files", "FLAT FILE", "Y"), (8, "retired", audit.AUDITED_SOURCE_TYPE, "N")],
         "source_key long, source_name string, source_type string, audit_enabled_flag string")
-    keys = [r.source_key for r in audit.registry_filter(registry, "SQL SERVER")
+    keys = [r.source_key for r in audit.registry_filter(registry)
             .select("source_key").collect()]
     parts = [audit.count_audit(k, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[k]))
              for k in sorted(keys)]
