@@ -93,12 +93,20 @@ def new_entry_cells(cells: DataFrame, columns: DataFrame) -> DataFrame:
     is a new entry (a semi-join on the row ids found in that one column), so
     the pivot shuffles new rows only.  A filter on the pivoted column could
     not be pushed below the pivot by the optimizer."""
-    rs = columns.filter(F.col("title") == RECORD_SOURCE).select("column_id")
-    new_ids = (cells.join(F.broadcast(rs), "column_id")
-               .filter(F.col("value") == NEW_ENTRY).select("row_id"))
+    rs_id = _record_source_column(columns)
+    new_ids = cells.filter((F.col("column_id") == rs_id)
+                           & (F.col("value") == NEW_ENTRY)).select("row_id")
     return cells.join(new_ids, "row_id", "left_semi")
 
 
+def _record_source_column(columns: DataFrame):
+    """Id of the Record Source column (one row of the column list)."""
+    rs = columns.filter(F.col("title") == RECORD_SOURCE).select("column_id").first()
+    if rs is None:
+        raise ValueError(f"sheet has no {RECORD_SOURCE!r} column")
+    return rs["column_id"]
+
+
 def new_entries(wide: DataFrame) -> DataFrame:
     """P10: rows whose Record Source is exactly 'Form - New Entry'."""
     return wide.filter(F.col(f"`{RECORD_SOURCE}`") == NEW_ENTRY)
@@ -136,10 +144,7 @@ def comments(wide: DataFrame) -> DataFrame:
 
 def status_updates(wide: DataFrame, columns: DataFrame) -> DataFrame:
     """The cell updates marking rows processed: ``(row_id, column_id, new_value)``."""
-    rs = columns.filter(F.col("title") == RECORD_SOURCE).select("column_id").first()
-    if rs is None:
-        raise ValueError(f"sheet has no {RECORD_SOURCE!r} column")
-    return wide.select("row_id", F.lit(rs["column_id"]).alias("column_id"),
+    return wide.select("row_id", F.lit(_record_source_column(columns)).alias("column_id"),
                        F.lit(PROCESSED).alias("new_value"))
 
 
