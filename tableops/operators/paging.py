@@ -46,6 +46,13 @@ def _key_cols(keys: list[str | Column]) -> list[Column]:
 def global_rank(df: DataFrame, keys: list[str | Column], num_partitions: int | None = None,
                 rank_col: str = RANK_COL) -> DataFrame:
     """1-based rank by ``keys`` (ascending), computed without a single-task sort."""
+    return ranked_with_count(df, keys, num_partitions, rank_col)[0]
+
+
+def ranked_with_count(df: DataFrame, keys: list[str | Column], num_partitions: int | None = None,
+                      rank_col: str = RANK_COL) -> tuple[DataFrame, int]:
+    """``global_rank`` plus the row count, known from the per-partition
+    sizes it collects anyway (no extra pass)."""
     n = num_partitions or sized_partitions(df, SORT_PARTITION_BYTES)
     kc = _key_cols(keys)
     tagged = (df.repartitionByRange(n, *kc).sortWithinPartitions(*kc)
@@ -59,9 +66,10 @@ def global_rank(df: DataFrame, keys: list[str | Column], num_partitions: int | N
         (sizes.get(p, 0) for p in range(n_parts)), initial=0))[:n_parts]
     # one row per range partition: a proven size bound for the broadcast
     table = df.sparkSession.createDataFrame(list(enumerate(offsets)), "_pid int, _off long")
-    return (tagged.join(F.broadcast(table), "_pid")
-            .withColumn(rank_col, F.col("_off") + F.col("_pos") + 1)
-            .drop("_pid", "_pos", "_off"))
+    ranked = (tagged.join(F.broadcast(table), "_pid")
+              .withColumn(rank_col, F.col("_off") + F.col("_pos") + 1)
+              .drop("_pid", "_pos", "_off"))
+    return ranked, sum(sizes.values())
 
 
 def rank_between(ranked: DataFrame, lo: int, hi: int, rank_col: str = RANK_COL) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.paging import CHUNK_COL, DEFAULT_BATCH, RANK_COL, global_rank, with_chunks
+from ..operators.paging import CHUNK_COL, DEFAULT_BATCH, RANK_COL, ranked_with_count, with_chunks
 from ..sinks.writers import path_exists
 
 
@@ -75,17 +75,23 @@ def replicate_table(spark: SparkSession, source: DataFrame, table_name: str,
         source = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                                  for f in target_schema.fields])
     if key_cols:
-        chunked = with_chunks(global_rank(source, key_cols), batch).drop(RANK_COL)
+        ranked, n_rows = ranked_with_count(source, key_cols)
+        chunked = with_chunks(ranked, batch).drop(RANK_COL)
+        total = -(-n_rows // batch)          # ceil, from the rank's partition sizes
     else:
         warnings.warn(f"{table_name}: no primary key, copied as one chunk", stacklevel=2)
         chunked = source.withColumn(CHUNK_COL, F.lit(0).cast("long"))
-    ids = chunked.select(CHUNK_COL).distinct()
-    total = ids.count()
+        total = 1
+    # finished chunks are the target's chunk folders (a footer-only read)
     done = finished_chunks(spark, target_path)
+    if done is not None:
+        done = done.filter(F.col(CHUNK_COL) < total).cache()
     todo = chunked if done is None else chunked.join(done, CHUNK_COL, "left_anti")
-    skipped = 0 if done is None else ids.join(done, CHUNK_COL, "left_semi").count()
+    skipped = 0 if done is None else done.count()
     (todo.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(CHUNK_COL).parquet(target_path))
+    if done is not None:
+        done.unpersist()
     return ReplicationResult(table_name, target_path, total, total - skipped, skipped)
 
 
