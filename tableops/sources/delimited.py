@@ -66,22 +66,23 @@ def read_delimited(spark: SparkSession, path: str, file_format: str = "CSV",
             .withColumn(ROW_COL, F.monotonically_increasing_id()))
 
 
-def _split_positions(df: DataFrame) -> DataFrame:
-    """Position of every row inside its file split: rows of a split come in
-    file order, and a task reads its splits one after the other, so the
-    position is the row id minus the split's first row id (one small
-    aggregate row per split)."""
-    keys = [FILE_COL, BLOCK_COL, "_part"]
-    first = df.groupBy(*keys).agg(F.min(ROW_COL).alias("_first"))
-    return df.join(first, keys).withColumn("_pos", F.col(ROW_COL) - F.col("_first"))
-
+def number_rejects(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
+    """Malformed rows of a landed parse with their physical line numbers.
 
-def line_numbers(spark: SparkSession, path: str) -> DataFrame:
-    """``(file, block, k, line)`` for every non-blank physical line: ``k`` is
-    its rank among the non-blank lines of its split, ``line`` its 1-based
-    line number in the file.  Reads the files as text (line breaks are the
-    same bytes in every supported encoding); all steps are per split or per
-    file-split list, no task sees a whole file."""
+    A parsed record is the k-th non-blank line of its file split (the
+    header, first non-blank line of a file, is not a record).  A text read
+    of the same files gives, per split, its line count and first row id
+    (partial aggregates, one row per split) and the positions of its blank
+    lines (rare; collected per split).  A reject's position in its split is
+    k moved past every blank line at or before it; its line number adds the
+    lines of the file's earlier splits.  No step shuffles all lines, and
+    only the malformed rows are joined."""
+    keys = [FILE_COL, BLOCK_COL, "_part"]
+    first = raw.groupBy(*keys).agg(F.min(ROW_COL).alias("_first"))
+    bad = (raw.filter(F.col(CORRUPT_COL).isNotNull()).select(*keys, ROW_COL, CORRUPT_COL)
+           .join(first, keys)
+           .withColumn("_k", F.col(ROW_COL) - F.col("_first")
+                       + F.when(F.col(BLOCK_COL) == 0, 1).otherwise(0)))
     t = (spark.read.text(path)
          .select(F.col("_metadata.file_path").alias(FILE_COL),
                  F.col("_metadata.file_block_start").alias(BLOCK_COL),
@@ -89,31 +90,22 @@ def line_numbers(spark: SparkSession, path: str) -> DataFrame:
                  F.monotonically_increasing_id().alias(ROW_COL),
                  # the CSV reader skips lines that are empty after Java trim()
                  F.col("value").rlike(r"^[\x00-\x20]*$").alias("_blank")))
-    t = _split_positions(t)
-    per_split = t.groupBy(FILE_COL, BLOCK_COL).agg(F.count(F.lit(1)).alias("_n"))
-    before = per_split.withColumn("_before", F.sum("_n").over(
+    splits = t.groupBy(*keys).agg(F.min(ROW_COL).alias("_first"),
+                                  F.count(F.lit(1)).alias("_n"))
+    before = splits.select(FILE_COL, BLOCK_COL, F.coalesce(F.sum("_n").over(
         Window.partitionBy(FILE_COL).orderBy(BLOCK_COL)
-        .rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_before"])
-    nonblank = t.filter(~F.col("_blank")).withColumn("_k", F.row_number().over(
-        Window.partitionBy(FILE_COL, BLOCK_COL).orderBy("_pos")) - 1)
-    return (nonblank.join(before.select(FILE_COL, BLOCK_COL, "_before"), [FILE_COL, BLOCK_COL])
-            .select(FILE_COL, BLOCK_COL, "_k",
-                    (F.col("_before") + F.col("_pos") + 1).cast("decimal(38,0)").alias("line")))
-
-
-def number_rejects(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
-    """Malformed rows of a landed parse with their physical line numbers.
-
-    A parsed record is the k-th non-blank line of its split (the header
-    line, first non-blank line of a file, is not a record); the text read
-    of the same files gives each such line its number.  Only the malformed
-    rows are joined to the numbered lines."""
-    pos = _split_positions(raw.select(FILE_COL, BLOCK_COL, "_part", ROW_COL, CORRUPT_COL))
-    bad = pos.filter(F.col(CORRUPT_COL).isNotNull()).withColumn(
-        "_k", F.col("_pos") + F.when(F.col(BLOCK_COL) == 0, 1).otherwise(0))
-    lines = line_numbers(spark, path)
-    return bad.join(lines, [FILE_COL, BLOCK_COL, "_k"], "left").select(
-        FILE_COL, CORRUPT_COL, "line")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    blanks = (t.filter("_blank").join(splits, keys)
+              .groupBy(FILE_COL, BLOCK_COL)
+              .agg(F.array_sort(F.collect_list(F.col(ROW_COL) - F.col("_first"))).alias("_bl")))
+    located = (bad.join(before, [FILE_COL, BLOCK_COL])
+               .join(blanks, [FILE_COL, BLOCK_COL], "left")
+               .withColumn("_p", F.aggregate(
+                   F.coalesce(F.col("_bl"), F.array().cast("array<bigint>")), F.col("_k"),
+                   lambda p, b: F.when(b <= p, p + 1).otherwise(p))))
+    return located.select(FILE_COL, CORRUPT_COL,
+                          (F.col("_before") + F.col("_p") + 1).cast("decimal(38,0)")
+                          .alias("line"))
 
 
 def land_delimited(spark: SparkSession, path: str, out_path: str, file_format: str = "CSV",
