@@ -117,3 +117,16 @@ def test_task_list_response(spark):
     assert row.LastModified == _dt.datetime(2019, 3, 4, 5, 6, 7)
     assert [r.call_id for r in retry.collect()] == [2]
     assert [r.error for r in out[api.PROJECTS][2].collect()] == ["9 - m"]
+
+
+def test_relationship_check_with_a_hot_key(spark):
+    child = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("fk"))
+    parent = spark.range(0, 2000).select(F.col("id").alias("pk"))
+    row = relations.check_relationships({"c": child, "p": parent},
+                                        [("c", "fk", "p", "pk")]).first()
+    others = [i for i in range(3000) if i % 3]       # a third of the rows carry key 7
+    assert row.child_rows == 3000 and row.keyed_rows == 3000
+    assert row.child_keys == len(set(others) | {7})
+    assert row.orphan_keys == len([i for i in others if i >= 2000])
+    assert row.orphan_rows == row.orphan_keys
