@@ -61,3 +61,17 @@ def test_cell_table_is_bounded_for_mixed_shapes(spark):
                          * (F.floor(F.col("maxy") / c) - F.floor(F.col("miny") / c) + 1))
                         .alias("n")).agg(F.sum("n")).first()[0]
     assert cells <= (2 * 4 + 1) * len(rows)
+
+
+def test_hot_cell_points(spark):
+    polys = _poly(spark, [("A", "a", "l", [_sq(0.0, 100.0)]), ("B", "b", "l", [_sq(40.0, 60.0)])])
+    # a third of the points fall into one small area (one grid cell)
+    pts = [(i, 50.0 + (i % 97) / 1000.0, 50.0 + (i % 89) / 1000.0) for i in range(1000)] + \
+          [(1000 + i, (i * 37) % 130 - 15.0 + 0.5, (i * 53) % 130 - 15.0 + 0.5) for i in range(2000)]
+    got = _hits(spark, pts, polys, cell=10.0)
+
+    def inside(x, y, lo, hi):
+        return lo < x < hi and lo < y < hi
+    expect = sorted([(i, "A") for i, x, y in pts if inside(x, y, 0.0, 100.0)]
+                    + [(i, "B") for i, x, y in pts if inside(x, y, 40.0, 60.0)])
+    assert got == expect
