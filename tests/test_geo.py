@@ -75,3 +75,27 @@ def test_hot_cell_points(spark):
     expect = sorted([(i, "A") for i, x, y in pts if inside(x, y, 0.0, 100.0)]
                     + [(i, "B") for i, x, y in pts if inside(x, y, 40.0, 60.0)])
     assert got == expect
+
+
+def test_geojson_multipolygon_layer(spark, tmp_dir):
+    import json
+    import os
+    from tableops.sources.polygons import read_geojson_lines
+    sq = lambda a, b: [[a, a], [b, a], [b, b], [a, b], [a, a]]
+    feats = [
+        {"type": "Feature", "properties": {"ID": "M", "NWMLS": "x", "Name": "multi",
+                                           "Layer": "L", "Path": "p"},
+         "geometry": {"type": "MultiPolygon", "coordinates": [[sq(0, 2)], [sq(5, 7), sq(5.5, 6.5)]]}},
+        {"type": "Feature", "properties": {"ID": "P", "Name": "poly"},
+         "geometry": {"type": "Polygon", "coordinates": [sq(1, 6)]}},
+        {"type": "Feature", "properties": {"ID": "X"},
+         "geometry": {"type": "Point", "coordinates": [1, 1]}},
+    ]
+    os.makedirs(f"{tmp_dir}/layer")
+    with open(f"{tmp_dir}/layer/l.json", "w") as fh:
+        fh.write("\n".join(json.dumps(f) for f in feats))
+    layer = read_geojson_lines(spark, f"{tmp_dir}/layer")
+    assert sorted(r.poly_id for r in layer.collect()) == ["M", "P"]
+    pts = [(1, 1.0, 1.0), (2, 6.0, 6.0), (3, 5.2, 5.2), (4, 3.0, 3.0)]
+    # (1, 1) is a corner of P (outside P); (6, 6) is in the hole of M and a corner of P
+    assert _hits(spark, pts, layer) == [(1, "M"), (3, "M"), (3, "P"), (4, "P")]
