@@ -154,12 +154,26 @@ def hierarchy_expand(units: DataFrame, projects: DataFrame, children: DataFrame,
 def request_windows(ranges: DataFrame, start: str = "date_from", end: str = "date_to",
                     months: int = MAX_RANGE_MONTHS) -> DataFrame:
     """Split every requested date range into calls of at most
-    ``months`` months: ``(…, window_from, window_to)``, inclusive days."""
-    step = F.make_ym_interval(F.lit(0), F.lit(months))
-    starts = F.sequence(F.col(start), F.col(end), step)
+    ``months`` months: ``(..., window_from, window_to)``, inclusive days.
+
+    Each window starts where the previous one ends (its start plus
+    ``months`` months, month ends clamped) and ends the day before the next
+    start, so the windows cover the range without gaps even from a
+    month-end start.  The starts are built per row with a higher-order
+    function over a bounded index sequence (no self-join, no driver loop)."""
+    s, e = F.col(start), F.col(end)
+    n = (F.floor(F.months_between(e, s) / months) + 2).cast("int")
+
+    def step(d):
+        return F.add_months(d, months)
+
+    starts = F.aggregate(
+        F.sequence(F.lit(1), n), F.array(s),
+        lambda acc, _: F.when(step(F.element_at(acc, -1)) <= e,
+                              F.concat(acc, F.array(step(F.element_at(acc, -1)))))
+        .otherwise(acc))
     return (ranges.withColumn("window_from", F.explode(starts))
-            .withColumn("window_to", F.least(
-                F.col(end), F.date_add(F.add_months("window_from", months), -1))))
+            .withColumn("window_to", F.least(e, F.date_add(step(F.col("window_from")), -1))))
 
 
 def request_pages(totals: DataFrame, total: str = "n_rows",

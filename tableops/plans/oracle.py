@@ -430,13 +430,17 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey"""
 
 ORACLE["request_plan"] = """
-WITH rng AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS date_from,
-                    CAST(max(o_orderdate) AS DATE) AS date_to FROM orders GROUP BY o_custkey),
-w AS (SELECT o_custkey, date_to, CAST(date_from + INTERVAL (3 * i) MONTH AS DATE) AS window_from
-      FROM rng, range(0, 1 + CAST(datediff('month', date_from, date_to) / 3 AS BIGINT) + 1) t(i))
+WITH RECURSIVE rng AS (
+  SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS date_from,
+         CAST(max(o_orderdate) AS DATE) AS date_to FROM orders GROUP BY o_custkey),
+w(o_custkey, date_to, window_from) AS (
+  SELECT o_custkey, date_to, date_from FROM rng
+  UNION ALL
+  SELECT o_custkey, date_to, CAST(window_from + INTERVAL 3 MONTH AS DATE) FROM w
+  WHERE CAST(window_from + INTERVAL 3 MONTH AS DATE) <= date_to)
 SELECT o_custkey, window_from,
        least(date_to, CAST(window_from + INTERVAL 3 MONTH - INTERVAL 1 DAY AS DATE)) AS window_to
-FROM w WHERE window_from <= date_to"""
+FROM w"""
 
 ORACLE["request_pages"] = """
 SELECT ship_year, start_row, 1000 AS page_size

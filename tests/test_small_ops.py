@@ -130,3 +130,16 @@ def test_relationship_check_with_a_hot_key(spark):
     assert row.child_keys == len(set(others) | {7})
     assert row.orphan_keys == len([i for i in others if i >= 2000])
     assert row.orphan_rows == row.orphan_keys
+
+
+def test_request_windows_cover_month_end_ranges_without_gaps(spark):
+    import datetime as _dt
+    r = spark.createDataFrame([(_dt.date(2020, 1, 31), _dt.date(2021, 2, 2))],
+                              "date_from date, date_to date")
+    w = sorted((x.window_from, x.window_to) for x in api.request_windows(r).collect())
+    assert w[0][0] == _dt.date(2020, 1, 31) and w[-1][1] == _dt.date(2021, 2, 2)
+    for (f1, t1), (f2, _) in zip(w, w[1:]):
+        assert t1 + _dt.timedelta(days=1) == f2            # contiguous, no gap
+    for f, t in w:
+        m = (t.year - f.year) * 12 + t.month - f.month
+        assert m < 3 or (m == 3 and t.day < f.day)      # never more than three months
