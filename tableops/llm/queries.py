@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import read_table, work_dir
-from . import packing, simple8b
+from . import language_id, packing, risk_thresholds, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -23,6 +23,16 @@ def register(fn):
     return fn
 
 
+@register
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word-first backoff language of every document of `documents`."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = language_id.held_out()
+    model = language_id.fit(docs.filter(~held_out))
+    return (language_id.predict(docs, model)
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
 @register
 def op5_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Simple-8b block files of `documents`, read back."""
@@ -32,6 +42,14 @@ def op5_simple8b_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read_documents(spark, path)
 
 
+@register
+def op6_risk_thresholds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Risk-controlled quality rules over `documents`, held against `labels`."""
+    got = risk_thresholds.judge(read_table(spark, sf_dir, "documents"),
+                                read_table(spark, sf_dir, "labels"))
+    return got.select("doc_id", *risk_thresholds.BASE, "base_failed", "kept")
+
+
 @register
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum-of-squares packing of `documents` into sequences of 2048 tokens."""
