@@ -78,8 +78,9 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, style: str = "word",
         end = np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows = []
-            for d, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                ids = enc.encode(text.as_py()) + end
+            texts = enc.encode(b.column(1).to_pylist())
+            for d, ids in zip(b.column(0).to_pylist(), texts, strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows.append((d, k, at // 4, len(part) // 4, crc32(part)))

@@ -76,8 +76,9 @@ def _selectors(width: np.ndarray, room: np.ndarray) -> np.ndarray:
     for sel in range(14, -1, -1):
         widest(COUNTS[sel])
     for sel in range(14, -1, -1):
-        fits = (widest(COUNTS[sel]) <= BITS[sel]) & (room >= COUNTS[sel])
-        out[fits] = sel
+        fits = widest(COUNTS[sel]) <= BITS[sel]
+        if fits.any():
+            np.copyto(out, np.uint8(sel), where=fits & (room >= COUNTS[sel]))
     return out
 
 
@@ -89,9 +90,9 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
     if not n:
         none = np.zeros(0, np.uint64)
         return none, starts, starts, none
-    room = SUB_BLOCK - np.arange(n) % SUB_BLOCK
+    room = np.resize(np.arange(SUB_BLOCK, 0, -1, dtype=np.uint16), n)
     tail = n - n % SUB_BLOCK
-    room[tail:] = n - np.arange(tail, n)
+    room[tail:] = np.arange(n - tail, 0, -1)
     sel = _selectors(_bit_widths(ids), room)
     counts = np.array(COUNTS, np.int64)
     jump = counts[sel]
@@ -207,8 +208,9 @@ def write_blocks(docs: DataFrame, path: str, tokenizer_path: str, style: str = "
                  "payload": pa.array([payload], pa.binary())})
 
         for b in batches:
-            for d, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                got = np.frombuffer(enc.encode(text.as_py()) + end, "<u4")
+            texts = enc.encode(b.column(1).to_pylist())
+            for d, text in zip(b.column(0).to_pylist(), texts, strict=True):
+                got = np.frombuffer(text + end, "<u4")
                 doc_ids.append(d)
                 ids.append(got)
                 size += len(got)

@@ -22,43 +22,77 @@ import zlib
 
 import numpy as np
 
-# Distinct units kept per Python worker (two generations of this many).
-CACHE_UNITS = 250_000
+# Distinct units kept per Python worker and position (two generations each).
+CACHE_UNITS = 100_000
+# Texts are encoded in chunks of about so many characters.
+CHUNK_CHARS = 1_000_000
 
 # Python's white space holds every white-space character of the tokenizers'
 # patterns, so a non-space character here is one there too.
-_STOPS = (".", ",")
 _BORDER = re.compile(r"(?<=\S)([ \n])(?=\S)")
+_STOPS = (".", ",")
 
 
-class _Units(dict):
-    """unit -> ids as little-endian uint32 bytes; encodes what is missing."""
+class _Units:
+    """Ids of units, as little-endian uint32 bytes, that stand behind ``prefix``.
 
-    def __init__(self, encode, prefix: str, checked: bool):
-        super().__init__()
-        self.encode, self.prefix, self.checked = encode, prefix, checked
-        self.old: dict[str, bytes] = {}
-        self.stops = {c: encode(c) for c in _STOPS}
+    ``learn`` encodes the units it has not seen in one call: units are joined
+    by line breaks, whose own ids (``line``) mark the borders in the result;
+    a tokenizer that drops line breaks encodes units one by one in a batch.
+    """
 
-    def __missing__(self, unit: str) -> bytes:
-        got = self.old.get(unit)
-        if got is None:
-            if self.checked and (not unit or unit[0].isspace() or unit[-1].isspace()):
-                raise KeyError(unit)
+    def __init__(self, tokenizer, prefix: str, line: list[int], checked: bool):
+        self.tokenizer, self.prefix, self.line, self.checked = tokenizer, prefix, line, checked
+        self.known: dict[str, bytes | None] = {}
+        self.old: dict[str, bytes | None] = {}
+        self.stops = {c: self._single(c) for c in _STOPS}
+
+    def _single(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
+                        "<u4").tobytes()
+
+    def learn(self, units: set[str]) -> dict[str, bytes | None]:
+        """The table, with all ``units`` in it (None: not a unit by itself)."""
+        if len(self.known) > CACHE_UNITS:
+            self.old, self.known = self.known, {}
+        known, old = self.known, self.old
+        fresh, ends = [], []
+        for u in units - known.keys():
+            if u in old:
+                known[u] = old[u]
+            elif self.checked and (not u or u[0].isspace() or u[-1].isspace()):
+                known[u] = None
             # a full stop or comma after letters is always a piece of its own
-            if unit[-1:] in _STOPS and unit[:-1].isalpha():
-                got = self[unit[:-1]] + self.stops[unit[-1]]
+            elif u[-1:] in _STOPS and u[:-1].isalpha():
+                ends.append(u)
             else:
-                got = self.encode(self.prefix + unit)
-        if len(self) >= CACHE_UNITS:
-            self.old = dict(self)
-            self.clear()
-        self[unit] = got
-        return got
+                fresh.append(u)
+        stems = {u[:-1] for u in ends} - known.keys()
+        for u in stems & old.keys():
+            known[u] = old[u]
+        fresh.extend(stems - known.keys() - set(fresh))
+        self._encode(fresh)
+        for u in ends:
+            known[u] = known[u[:-1]] + self.stops[u[-1]]
+        return known
+
+    def _encode(self, fresh: list[str]) -> None:
+        plain = [u for u in fresh if u.isascii() and "\n" not in u and len(self.line) == 1]
+        if plain:
+            text = "\n".join(self.prefix + u for u in plain)
+            ids = np.array(self.tokenizer.encode_batch_fast(
+                [text], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(ids == self.line[0])
+            if len(at) == len(plain) - 1:
+                for u, part in zip(plain, np.split(ids, at), strict=True):
+                    self.known[u] = part.tobytes() if u is plain[0] else part[1:].tobytes()
+                fresh = [u for u in fresh if u not in self.known]
+        for u in fresh:
+            self.known[u] = self._single(self.prefix + u)
 
 
 class TextEncoder:
-    """``encode(text)`` -> ids as little-endian uint32 bytes (null: none)."""
+    """``encode(texts)`` -> for each, its ids as little-endian uint32 bytes (null: none)."""
 
     def __init__(self, path: str, style: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -67,35 +101,51 @@ class TextEncoder:
         self.tokenizer.encode_special_tokens = True
         if style not in ("byte", "word"):
             raise ValueError(f"unknown style {style!r}")
-        self.style = style
-        byte = style == "byte"
-        self.first = _Units(self._ids, "", byte)
-        self.later = _Units(self._ids, " " if byte else "", byte)
-        self.line = self._ids("\n") if byte else b""
-
-    def _ids(self, unit: str) -> bytes:
-        return np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids,
-                        "<u4").tobytes()
-
-    def encode(self, text: str | None) -> bytes:
+        self.byte = style == "byte"
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.first = _Units(self.tokenizer, "", line, self.byte)
+        self.later = _Units(self.tokenizer, " " if self.byte else "", line, self.byte)
+        self.line = np.array(line, "<u4").tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        out: list[bytes] = []
+        chunk: list[str] = []
+        size = 0
+        for t in texts:
+            chunk.append(t or "")
+            size += len(chunk[-1])
+            if size >= CHUNK_CHARS:
+                out.extend(self._chunk(chunk))
+                chunk, size = [], 0
+        return out + self._chunk(chunk)
+
+    def _chunk(self, texts: list[str]) -> list[bytes]:
+        if not self.byte:
+            units = [t.replace("\n", " ").split(" ") for t in texts]
+            known = self.first.learn(set().union(*units) | {""})
+            return [b"".join(map(known.__getitem__, u)) for u in units]
+        lines = [[x.split(" ") for x in t.split("\n")] for t in texts]
+        first = self.first.learn({x[0] for t in lines for x in t})
+        # first units are learnt here too, which does no harm
+        later = self.later.learn(set().union(*(x for t in lines for x in t)))
+        out = []
+        for text, split in zip(texts, lines, strict=True):
+            try:
+                out.append(self.line.join(
+                    [first[x[0]] + b"".join(map(later.__getitem__, x[1:])) for x in split]))
+            except TypeError:  # runs of white space, or white space at an end
+                out.append(self._by_borders(text))
+        return out
+
+    def _by_borders(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.style == "word":
-            return b"".join(map(self.first.__getitem__, text.replace("\n", " ").split(" ")))
-        first, later = self.first.__getitem__, self.later.__getitem__
-        try:
-            lines = []
-            for line in text.split("\n"):
-                units = line.split(" ")
-                lines.append(first(units[0]) + b"".join(map(later, units[1:])))
-            return self.line.join(lines)
-        except KeyError:  # runs of white space, or white space at an end
-            parts = _BORDER.split(text)
-            out = [self._ids(parts[0])]
-            for border, unit in zip(parts[1::2], parts[2::2], strict=True):
-                out.append(self._ids(" " + unit) if border == " "
-                           else self.line + self._ids(unit))
-            return b"".join(out)
+        one = self.first._single
+        parts = _BORDER.split(text)
+        out = [one(parts[0])]
+        for border, unit in zip(parts[1::2], parts[2::2], strict=True):
+            out.append(one(" " + unit) if border == " " else self.line + one(unit))
+        return b"".join(out)
 
 
 def crc32(ids: bytes) -> int:
