@@ -10,9 +10,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import read_table, work_dir
-from . import language_id, packing, risk_thresholds, simple8b
+from . import language_id, mixing, packing, risk_thresholds, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +56,11 @@ def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum-of-squares packing of `documents` into sequences of 2048 tokens."""
     return packing.pack_documents(read_table(spark, sf_dir, "documents"),
                                   public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Min-cost-flow mix of `documents`, one source a document."""
+    got = mixing.mix(read_table(spark, sf_dir, "documents"), F.array("source"),
+                     mixing.word_count(F.col("text")))
+    return got.select("doc_id", "size", "source_size", "target", "taken")
