@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, work_dir
-from . import language_id, mixing, packing, risk_thresholds, simple8b
+from . import language_id, mixing, packing, risk_thresholds, simple8b, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,12 @@ def register(fn):
     return fn
 
 
+@register
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and boosted trees over every url of `pages`."""
+    return url_filter.judge(read_table(spark, sf_dir, "pages"))[0]
+
+
 @register
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word-first backoff language of every document of `documents`."""
