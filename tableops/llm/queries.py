@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, work_dir
-from . import language_id, mixing, packing, risk_thresholds, simple8b, url_filter
+from . import language_id, mixing, packing, quote_links, risk_thresholds, simple8b, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +70,10 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.mix(read_table(spark, sf_dir, "documents"), F.array("source"),
                      mixing.word_count(F.col("text")))
     return got.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register
+def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reply threads of `conversations`, shown with nested quotations."""
+    return quote_links.link_quotes(
+        quote_links.quoting_messages(read_table(spark, sf_dir, "conversations")))
