@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, work_dir
-from . import language_id, mixing, packing, quote_links, risk_thresholds, simple8b, url_filter
+from . import (embedding_join, language_id, mixing, packing, quote_links, risk_thresholds,
+               simple8b, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -77,3 +78,9 @@ def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reply threads of `conversations`, shown with nested quotations."""
     return quote_links.link_quotes(
         quote_links.quoting_messages(read_table(spark, sf_dir, "conversations")))
+
+
+@register
+def op3_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all `embeddings` with cosine >= 0.9."""
+    return embedding_join.near_duplicates(read_table(spark, sf_dir, "embeddings"))

@@ -23,7 +23,7 @@ import zlib
 import numpy as np
 
 # Distinct units kept per Python worker and position (two generations each).
-CACHE_UNITS = 100_000
+CACHE_UNITS = 200_000
 # Texts are encoded in chunks of about so many characters.
 CHUNK_CHARS = 1_000_000
 
@@ -36,13 +36,13 @@ _STOPS = (".", ",")
 class _Units:
     """Ids of units, as little-endian uint32 bytes, that stand behind ``prefix``.
 
-    ``learn`` encodes the units it has not seen in one call: units are joined
-    by line breaks, whose own ids (``line``) mark the borders in the result;
-    a tokenizer that drops line breaks encodes units one by one in a batch.
+    ``learn`` encodes the units it has not seen in one call, joined by
+    ``border``, whose single id marks the borders in the result.
     """
 
-    def __init__(self, tokenizer, prefix: str, line: list[int], checked: bool):
-        self.tokenizer, self.prefix, self.line, self.checked = tokenizer, prefix, line, checked
+    def __init__(self, tokenizer, prefix: str, border: str, checked: bool):
+        self.tokenizer, self.prefix, self.border, self.checked = tokenizer, prefix, border, checked
+        self.border_id, = tokenizer.encode(border, add_special_tokens=False).ids
         self.known: dict[str, bytes | None] = {}
         self.old: dict[str, bytes | None] = {}
         self.stops = {c: self._single(c) for c in _STOPS}
@@ -55,40 +55,47 @@ class _Units:
         """The table, with all ``units`` in it (None: not a unit by itself)."""
         if len(self.known) > CACHE_UNITS:
             self.old, self.known = self.known, {}
-        known, old = self.known, self.old
-        fresh, ends = [], []
-        for u in units - known.keys():
+        known, old, checked = self.known, self.old, self.checked
+        fresh, ends = set(), []
+        for u in units:
+            if u in known:
+                continue
             if u in old:
                 known[u] = old[u]
-            elif self.checked and (not u or u[0].isspace() or u[-1].isspace()):
+            elif checked and (not u or u[0].isspace() or u[-1].isspace()):
                 known[u] = None
             # a full stop or comma after letters is always a piece of its own
             elif u[-1:] in _STOPS and u[:-1].isalpha():
                 ends.append(u)
+                stem = u[:-1]
+                if stem in old:
+                    known[stem] = old[stem]
+                elif stem not in known:
+                    fresh.add(stem)
             else:
-                fresh.append(u)
-        stems = {u[:-1] for u in ends} - known.keys()
-        for u in stems & old.keys():
-            known[u] = old[u]
-        fresh.extend(stems - known.keys() - set(fresh))
-        self._encode(fresh)
+                fresh.add(u)
+        self._encode(list(fresh))
         for u in ends:
             known[u] = known[u[:-1]] + self.stops[u[-1]]
         return known
 
     def _encode(self, fresh: list[str]) -> None:
-        plain = [u for u in fresh if u.isascii() and "\n" not in u and len(self.line) == 1]
-        if plain:
-            text = "\n".join(self.prefix + u for u in plain)
+        known, prefix = self.known, self.prefix
+        if fresh:
             ids = np.array(self.tokenizer.encode_batch_fast(
-                [text], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(ids == self.line[0])
-            if len(at) == len(plain) - 1:
-                for u, part in zip(plain, np.split(ids, at), strict=True):
-                    self.known[u] = part.tobytes() if u is plain[0] else part[1:].tobytes()
-                fresh = [u for u in fresh if u not in self.known]
+                [prefix + (self.border + prefix).join(fresh)],
+                add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(ids == self.border_id)
+            # as many borders as there should be: no unit holds one itself
+            if len(at) == len(fresh) - 1:
+                raw = ids.tobytes()
+                start = 0
+                for u, end in zip(fresh, [*(at * 4).tolist(), len(raw)], strict=True):
+                    known[u] = raw[start:end]
+                    start = end + 4
+                return
         for u in fresh:
-            self.known[u] = self._single(self.prefix + u)
+            known[u] = self._single(prefix + u)
 
 
 class TextEncoder:
@@ -102,10 +109,10 @@ class TextEncoder:
         if style not in ("byte", "word"):
             raise ValueError(f"unknown style {style!r}")
         self.byte = style == "byte"
-        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.first = _Units(self.tokenizer, "", line, self.byte)
-        self.later = _Units(self.tokenizer, " " if self.byte else "", line, self.byte)
-        self.line = np.array(line, "<u4").tobytes()
+        border = "\n" if self.byte else " \x01 "
+        self.first = _Units(self.tokenizer, "", border, self.byte)
+        self.later = _Units(self.tokenizer, " " if self.byte else "", border, self.byte)
+        self.line = self.first._single("\n")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
