@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, work_dir
-from . import (embedding_join, language_id, mixing, packing, quote_links, risk_thresholds,
+from . import (embedding_join, language_id, mixing, ngram_join, packing, quote_links, risk_thresholds,
                simple8b, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op2_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all `embeddings` with cosine >= 0.9."""
     return embedding_join.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all `documents` whose 5-word shingle sets are 0.8 similar."""
+    return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
