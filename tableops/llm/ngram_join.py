@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..session import work_dir
 from .components import components
+from .repeats import BitTable, repeated_bits
 from .shingles import chunked, mix, shingle_sets
 
 # Links when PERCENT * union <= 100 * intersection.
@@ -125,75 +126,22 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             rows["n"].to_numpy(np.int64))
 
 
-def _repeated_bits(docs: DataFrame, orders: Orders) -> list[np.ndarray]:
+def _repeated_bits(docs: DataFrame, orders: Orders) -> list[BitTable]:
     """For each order the bit table of prefix tokens that occur in two texts."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(orders)
-    # shards grow with the configured parallelism; a shard's bits are a slice
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shard_bits = max(6, min(BITS - 6, (parts - 1).bit_length()))
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order_of = shared.value
-        held: list[list[np.ndarray]] = [[] for _ in range(ORDERS)]
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            rows: dict[str, list] = {"part": [], "seen": [], "again": []}
-            for r in range(ORDERS):
-                if not held[r]:
-                    continue
-                tokens, n = np.unique(np.concatenate(held[r]), return_counts=True)
-                shard = (tokens >> _U(64 - shard_bits)).astype(np.int64)
-                cut = np.searchsorted(shard, np.arange((1 << shard_bits) + 1))
-                for s in range(1 << shard_bits):
-                    own, k = tokens[cut[s]:cut[s + 1]], n[cut[s]:cut[s + 1]]
-                    if len(own):
-                        rows["part"].append(r << shard_bits | s)
-                        rows["seen"].append(own[k == 1].tobytes())
-                        rows["again"].append(own[k > 1].tobytes())
-                held[r] = []
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array(rows["part"], pa.int32()),
-                "seen": pa.array(rows["seen"], pa.binary()),
-                "again": pa.array(rows["again"], pa.binary())})
+    shared = docs.sparkSession.sparkContext.broadcast(orders)
 
-        for b in batches:
-            texts = b.column(0).to_pylist()
-            for i, j in chunked(texts):
-                for own in shingle_sets(texts[i:j]):
-                    if len(own):
-                        for r in range(ORDERS):
-                            held[r].append(order_of.prefix(own, r))
-                        size += prefix_size(len(own))
-                if size > 2_000_000:
-                    yield from flush()
-                    size = 0
-        yield from flush()
-
-    def meet(table: pa.Table) -> pa.Table:
-        part = table.column("part")[0].as_py()
-        again = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("again")]
-        seen = np.sort(np.concatenate(
-            [np.frombuffer(x.as_py(), np.uint64) for x in table.column("seen")]
-            + [np.unique(np.concatenate(again))]))
-        twice = np.concatenate([seen[1:][seen[1:] == seen[:-1]], *again])
-        bits = np.zeros(1 << (BITS - shard_bits), bool)
-        bits[((twice >> _U(64 - BITS)) & _U((1 << (BITS - shard_bits)) - 1)).astype(np.int64)] = 1
-        return pa.table({"part": pa.array([part], pa.int32()),
-                         "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    out = [np.zeros(1 << (BITS - 3), np.uint8) for _ in range(ORDERS)]
-    width = 1 << (BITS - shard_bits - 3)
-    # ORDERS * 2 ** BITS bits in all, whatever the input
-    for row in (docs.select("text").mapInArrow(emit, "part int, seen binary, again binary")
-                .groupBy("part").applyInArrow(meet, "part int, bits binary").toLocalIterator()):
-        order, shard = row["part"] >> shard_bits, row["part"] & ((1 << shard_bits) - 1)
-        out[order][shard * width:(shard + 1) * width] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def _profiles(docs: DataFrame, orders: Orders, bits: list[np.ndarray], path: str) -> DataFrame:
+    def tokens_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        texts = batch.column(0).to_pylist()
+        for i, j in chunked(texts):
+            for own in shingle_sets(texts[i:j]):
+                if len(own):
+                    for r in range(ORDERS):
+                        yield r, shared.value.prefix(own, r)
+
+    return repeated_bits(docs.select("text"), ORDERS, BITS, tokens_of)
+
+
+def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str) -> DataFrame:
     """Stored per document: id, n_shingles, set_key, the prefix tokens that may
     be repeated, by order, and the text of documents that have some in each."""
     spark = docs.sparkSession
@@ -209,9 +157,7 @@ def _profiles(docs: DataFrame, orders: Orders, bits: list[np.ndarray], path: str
                     found: list[list[int]] = []
                     for r in range(ORDERS if len(own) else 0):
                         p = order_of.prefix(own, r)
-                        at = (p >> _U(64 - BITS)).astype(np.int64)
-                        hit = (tables[r][at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-                        found.append(p[hit.astype(bool)].astype(np.int64))
+                        found.append(p[tables[r].may_repeat(p)].astype(np.int64))
                         if not len(found[-1]):
                             break
                     whole = len(found) == ORDERS and all(map(len, found))

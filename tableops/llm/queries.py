@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, work_dir
-from . import (embedding_join, language_id, mixing, ngram_join, packing, quote_links, risk_thresholds,
+from . import (bwt_dedup, embedding_join, language_id, mixing, ngram_join, packing, quote_links, risk_thresholds,
                simple8b, url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,9 @@ def op3_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all `documents` whose 5-word shingle sets are 0.8 similar."""
     return ngram_join.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of `documents` that repeat 50-byte strings of smaller doc_ids."""
+    return bwt_dedup.deduplicate(read_table(spark, sf_dir, "documents")).drop("kept_text")
