@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 SAMPLE_CHARS = 8_000_000
 MAX_WORDS = 40_000
 MAX_NGRAMS = 20_000
@@ -82,6 +84,7 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
         max_ngrams: int = MAX_NGRAMS) -> Model:
     """Learn from ``docs`` (text, lang).  Rows with a null text or lang are
     left out; no labelled row at all gives a model that answers ``und``."""
+    ensure_checkpoint_dir(docs.sparkSession)
     labelled = docs.select(F.col("text").alias("text"), F.col("lang").alias("lang")).filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = (labelled.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"))
@@ -175,8 +178,9 @@ class Judge:
             total - total[best], -700.0)).sum())
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred, score of every row of ``docs`` (doc_id, text).
+def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, lang_pred, score of every row of ``docs`` (doc_id, text), and
+    the columns of ``docs`` named in ``keep``.
 
     ``lang_pred`` is a learned language, or ``und`` with score 0 where the
     text is null or has no letter.  Repeated rows are judged one by one.
@@ -187,14 +191,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decide = Judge(shared.value)
         for b in batches:
-            got = [decide(t.as_py()) for t in b.column(1)]
+            got = [decide(t.as_py()) for t in b.column("judged_text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x[0] for x in got], pa.string()),
-                 pa.array([x[1] for x in got], pa.float64())],
-                names=["doc_id", "lang_pred", "score"])
+                 pa.array([x[1] for x in got], pa.float64()), *b.columns[2:]],
+                names=["doc_id", "lang_pred", "score", *keep])
 
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-            .mapInArrow(judge, "doc_id long, lang_pred string, score double"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.col("text").alias("judged_text"), *keep)
+    kept = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(judge, "doc_id long, lang_pred string, score double" + kept)
 
 
 def held_out():
