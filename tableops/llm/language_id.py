@@ -108,7 +108,8 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
                 found.setdefault(lang, Counter()).update(WORD.findall(text.as_py().lower()))
         for lang, counter in found.items():
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(counter)), "word": pa.array(list(counter)),
+                "lang": pa.array([lang] * len(counter), pa.string()),
+                "word": pa.array(list(counter), pa.string()),
                 "n": pa.array(list(counter.values()), pa.int64())})
 
     counts = (sample.mapInArrow(words, "lang string, word string, n long")
@@ -124,7 +125,8 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
                         own[padded[i:i + k]] += n
         for lang, counter in found.items():
             yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(counter)), "gram": pa.array(list(counter)),
+                "lang": pa.array([lang] * len(counter), pa.string()),
+                "gram": pa.array(list(counter), pa.string()),
                 "n": pa.array(list(counter.values()), pa.int64())})
 
     counts = counts.checkpoint()

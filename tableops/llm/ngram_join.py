@@ -229,7 +229,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A null or empty text, or one without words, has the empty set and links
     with nothing; a null doc_id gives a null component.  Repeated rows
-    link.  Very long texts are compared whole.  Extra columns are ignored.
+    link; rows of one doc_id with different texts share their links.  Very
+    long texts are compared whole.  Extra columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))

@@ -20,6 +20,21 @@ _U = np.uint64
 FLUSH_TOKENS = 2_000_000
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """Sorted distinct tokens as steps of 32 bits, or whole if a step is larger."""
+    steps = np.diff(tokens, prepend=tokens[:1])
+    if len(tokens) and int(steps.max()) < 1 << 32:
+        return b"S" + tokens[:1].tobytes() + steps.astype("<u4").tobytes()
+    return b"W" + tokens.tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    if raw[:1] == b"W":
+        return np.frombuffer(raw, np.uint64, offset=1)
+    first = np.frombuffer(raw, np.uint64, 1, 1)
+    return np.cumsum(np.frombuffer(raw, "<u4", offset=9).astype(np.uint64)) + first
+
+
 class BitTable:
     def __init__(self, bits: int):
         self.bits = bits
@@ -53,8 +68,8 @@ def repeated_bits(frame: DataFrame, kinds: int, bits: int,
                     own, k = tokens[cut[s]:cut[s + 1]], n[cut[s]:cut[s + 1]]
                     if len(own):
                         rows["part"].append(kind << shard_bits | s)
-                        rows["seen"].append(own[k == 1].tobytes())
-                        rows["again"].append(own[k > 1].tobytes())
+                        rows["seen"].append(packed(own[k == 1]))
+                        rows["again"].append(packed(own[k > 1]))
                 held[kind] = []
             return pa.RecordBatch.from_pydict({
                 "part": pa.array(rows["part"], pa.int32()),
@@ -74,9 +89,9 @@ def repeated_bits(frame: DataFrame, kinds: int, bits: int,
     def meet(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         again = np.unique(np.concatenate(
-            [np.frombuffer(x.as_py(), np.uint64) for x in table.column("again")]))
+            [unpacked(x.as_py()) for x in table.column("again")]))
         seen = np.sort(np.concatenate(
-            [again, *(np.frombuffer(x.as_py(), np.uint64) for x in table.column("seen"))]))
+            [again, *(unpacked(x.as_py()) for x in table.column("seen"))]))
         twice = np.concatenate([seen[1:][seen[1:] == seen[:-1]], again])
         own = np.zeros(1 << (bits - shard_bits), bool)
         own[((twice >> _U(64 - bits)) & _U((1 << (bits - shard_bits)) - 1)).astype(np.int64)] = 1
