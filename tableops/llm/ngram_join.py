@@ -1,9 +1,11 @@
 """Operator 7, n-gram Jaccard join by several global token orders.
 
-Sets x and y with Jaccard similarity >= t share a token in their prefixes
-(the first ``n - ceil(t * n) + 1`` tokens) under *every* global order of the
-tokens.  Here tokens have ``ORDERS`` orders: each puts tokens that were found
-frequent behind all others, and is otherwise a different pseudo-random order.
+If sets x and y have Jaccard similarity >= t, their prefixes (the first
+``n - ceil(t * n) + l`` tokens) share l tokens or more under *every* global
+order of the tokens, where l is the smaller of both sets' ``shared_size``, a
+tenth of the set.  Here tokens have ``ORDERS`` orders: each puts tokens that
+were found frequent behind all others, and is otherwise a different
+pseudo-random order.
 
 1. Frequent tokens: tasks count their tokens; the ``FREQUENT`` most counted
    make up the orders' rear (any choice gives right results; it only keeps
@@ -17,8 +19,8 @@ frequent behind all others, and is otherwise a different pseudo-random order.
    as many comparisons as it has members.
 4. What is left are postings whose classes are still in different
    components: such pairs, of fitting sizes, are counted under each order;
-   a pair stays a candidate if under every order the shared prefix tokens
-   reach what its sizes demand.  Candidates are verified on their texts.
+   a pair stays a candidate if under every order its prefixes share as many
+   tokens as they must.  Candidates are verified on their texts.
 
 Verification compares whole shingle sets.  No step collects a posting list,
 and pairs inside a component are never made.
@@ -52,9 +54,18 @@ _U = np.uint64
 _SEEDS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
 
+def shared_size(n: int) -> int:
+    """Tokens that prefixes share if the smaller set has ``n``."""
+    return 1 + n // 10
+
+
+def least_partner(n: int) -> int:
+    """Size of the smallest set that can be similar to one of ``n``."""
+    return (PERCENT * n + 99) // 100
+
+
 def prefix_size(n: int) -> int:
-    """Tokens of a set of ``n`` that a similar set cannot all miss."""
-    return n - (PERCENT * n + 99) // 100 + 1
+    return min(n, n - (PERCENT * n + 99) // 100 + shared_size(n))
 
 
 class Orders:
@@ -158,9 +169,11 @@ def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str)
                     for r in range(ORDERS if len(own) else 0):
                         p = order_of.prefix(own, r)
                         found.append(p[tables[r].may_repeat(p)].astype(np.int64))
-                        if not len(found[-1]):
+                        if len(found[-1]) < shared_size(least_partner(len(own))):
                             break
-                    whole = len(found) == ORDERS and all(map(len, found))
+                    else:
+                        found.append([])
+                    whole = len(own) > 0 and len(found) > ORDERS
                     sizes.append(len(own))
                     keys.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                     kept.append(text if whole else None)
@@ -258,8 +271,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = postings(0)
     score = first.groupBy(F.col("id").alias("sid")).agg(F.count(F.lit(1)).alias("score"))
     path = work_dir(spark, "scored")
-    (first.join(score, F.col("id") == F.col("sid")).select("token", "id", "n", "score")
-     .write.parquet(path))
+    must = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 10)
+    (first.join(score, F.col("id") == F.col("sid")).filter(F.col("score") >= must)
+     .select("token", "id", "n", "score").write.parquet(path))
     scored = spark.read.parquet(path)
 
     def fits(a: str, b: str):
@@ -291,7 +305,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     survivors = None
     for r in range(ORDERS):
-        p = (first if not r else postings(r)).join(groups, "id", "left").withColumn(
+        p = (scored if not r else postings(r)).join(groups, "id", "left").withColumn(
             "part", F.coalesce("part", "id"))
         mixed = (p.groupBy(F.col("token").alias("tk"))
                  .agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi"))
@@ -300,15 +314,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             .write.parquet(path)
         p = spark.read.parquet(path)
         q = p.toDF("token", "id2", "n2", "part2")
-        size = lambda n: F.col(n) - F.floor((PERCENT * F.col(n) + 99) / 100)
-        # both rests behind the prefixes can hold at most so many shared tokens
-        rest = F.greatest(F.col("n") - size("n") - 1, F.col("n2") - size("n2") - 1)
-        need = F.ceil(PERCENT * (F.col("n") + F.col("n2")) / (100 + PERCENT)) - rest
         met = (p.join(q, "token").filter((F.col("part") != F.col("part2"))
                                          & (F.col("id") < F.col("id2")) & fits("n", "n2"))
                .groupBy(F.col("id").alias("a"), F.col("id2").alias("b"), "n", "n2")
                .agg(F.count(F.lit(1)).alias("c"))
-               .filter(F.col("c") >= need).select("a", "b"))
+               .filter(F.col("c") >= 1 + F.floor(F.least("n", "n2") / 10)).select("a", "b"))
         survivors = met if survivors is None else survivors.join(met, ["a", "b"], "left_semi")
     links.append(_verified(survivors, texts))
     groups = _parts(links)

@@ -61,8 +61,12 @@ def test_prefixes_of_similar_sets_meet_in_every_order():
         for drop in range(n // 5 + 1):
             y = np.concatenate([x[drop:], rng.integers(0, 99, n // 20, dtype=np.uint64)])
             if ngram_join.similar(np.unique(x), np.unique(y)):
+                y = np.unique(y)
+                least = ngram_join.shared_size(min(len(x), len(y)))
+                assert least >= ngram_join.shared_size(ngram_join.least_partner(n))
                 for r in range(ngram_join.ORDERS):
-                    assert set(orders.prefix(x, r)) & set(orders.prefix(np.unique(y), r))
+                    both = set(orders.prefix(x, r)) & set(orders.prefix(y, r))
+                    assert len(both) >= least
 
 
 def check_near_duplicates(rows, got):
