@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import spread
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour
@@ -23,6 +22,8 @@ STATUS_SUCCESS = 2
 STATUS_QUOTA_EXCEEDED = 11
 RETRY_AFTER_SECONDS = 30
 PAGE_SIZE = 1000
+# Pages that one block of the request plan expands to.
+PAGES_PER_BLOCK = 10_000
 MAX_RANGE_MONTHS = 3
 # Response list names of the six entity calls.
 BUSINESS_UNITS = "BusinessUnitInformation"
@@ -97,7 +98,7 @@ def route(code: Column) -> Column:
 
 def parse_responses(responses: DataFrame, header: str, element: T.StructType) -> DataFrame:
     """Parse landed responses once: ``(call_id, route, error, payload)``."""
-    p = spread(responses).select(
+    p = responses.select(
         "call_id", parse_payload(envelope_text("body"), header, element).alias("payload"))
     code = F.col("payload.Status.Code")
     return p.select(
@@ -161,6 +162,8 @@ def request_windows(ranges: DataFrame, start: str = "date_from", end: str = "dat
     start, so the windows cover the range without gaps even from a
     month-end start.  The starts are built per row with a higher-order
     function over a bounded index sequence (no self-join, no driver loop)."""
+    # a reversed or incomplete range asks for nothing
+    ranges = ranges.filter(F.col(end) >= F.col(start))
     s, e = F.col(start), F.col(end)
     n = (F.floor(F.months_between(e, s) / months) + 2).cast("int")
 
@@ -178,9 +181,18 @@ def request_windows(ranges: DataFrame, start: str = "date_from", end: str = "dat
 
 def request_pages(totals: DataFrame, total: str = "n_rows",
                   page_size: int = PAGE_SIZE) -> DataFrame:
-    """Page start rows 0, page_size, ... below the row total (one call each)."""
-    return (totals.filter(F.col(total) > 0)
-            .withColumn("start_row", F.explode(F.sequence(
-                F.lit(0).cast("long"), (F.col(total) - 1).cast("long"),
-                F.lit(page_size).cast("long"))))
-            .withColumn("page_size", F.lit(page_size)))
+    """Page start rows 0, page_size, ... below the row total (one call each).
+
+    Blocks of pages first, then the pages of a block, so that no row holds
+    an array of all pages; the blocks are dealt out before they are expanded."""
+    pages = F.ceil(F.col(total) / F.lit(page_size)).cast("long")
+    block = F.lit(PAGES_PER_BLOCK).cast("long")
+    one = F.lit(1).cast("long")
+    last = F.least(F.col("_block") + block, F.col("_pages")) - one
+    return (totals.filter(F.col(total) > 0).withColumn("_pages", pages)
+            .withColumn("_block", F.explode(F.sequence(
+                F.lit(0).cast("long"), F.col("_pages") - one, block)))
+            .repartition("_block")
+            .withColumn("_page", F.explode(F.sequence(F.col("_block"), last, one)))
+            .withColumn("start_row", F.col("_page") * F.lit(page_size))
+            .withColumn("page_size", F.lit(page_size)).drop("_pages", "_block", "_page"))

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour
 # ---------------------------------------------------------------------------
@@ -119,6 +121,7 @@ def commit_results(old_base: str, new: DataFrame, source_key: int) -> str:
     a new version (nothing is written when the new run has no rows)."""
     from ..sinks.writers import latest_version, read_latest, write_version
     spark = new.sparkSession
+    new = cut_lineage(new)  # counted once; the steps below see one result
     if latest_version(spark, old_base) is None:
         return write_version(new, old_base)
     if new.isEmpty():

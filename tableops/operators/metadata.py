@@ -101,7 +101,7 @@ def convert_tables(spark: SparkSession, frames: dict[str, DataFrame],
             out[name] = conv
             status.append((name, "converted", None))
         except Exception as e:  # noqa: BLE001 - reported per table, like the reference
-            status.append((name, "failed", str(e).splitlines()[0][:500]))
+            status.append((name, "failed", str(e)))
     return out, spark.createDataFrame(status, "table_name string, status string, error string")
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import entity_class
 
@@ -102,14 +103,30 @@ def entities(edges: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     return ents.join(folded, "entity", "left")
 
 
+def _key_text(name: str, kind: T.DataType) -> Column:
+    """A key as text; equal numbers of any numeric type give equal text."""
+    c = F.col(name)
+    if isinstance(kind, T.DecimalType) and kind.scale:
+        return F.regexp_replace(c.cast("string"), r"\.?0+$", "")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e18))
+        return F.when(whole, c.cast("decimal(38,0)").cast("string")).otherwise(
+            F.when(F.abs(c) < F.lit(1e18), F.regexp_replace(
+                c.cast("decimal(38,15)").cast("string"), r"\.?0+$", ""))
+            .otherwise(c.cast("string")))
+    return c.cast("string")
+
+
 def _tagged_keys(frames: dict[str, DataFrame], wanted: dict[str, list[tuple[int, str]]],
                  key_type: str) -> DataFrame:
     """(edge, k) rows: each table read once for all the edges listed for it,
     its key columns exploded side by side."""
     parts = []
     for table, cols in wanted.items():
-        items = [F.struct(F.lit(e).alias("edge"), F.col(c).cast(key_type).alias("k"))
-                 for e, c in cols]
+        kinds = {f.name: f.dataType for f in frames[table].schema.fields}
+        items = [F.struct(F.lit(e).alias("edge"),
+                          (F.col(c).cast("bigint") if key_type == "bigint"
+                           else _key_text(c, kinds[c])).alias("k")) for e, c in cols]
         parts.append(frames[table].select(F.explode(F.array(*items)).alias("x"))
                      .select("x.edge", "x.k"))
     return reduce(DataFrame.unionByName, parts)

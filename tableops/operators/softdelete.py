@@ -29,10 +29,11 @@ def view_sql(source: str, columns: list[str], flag: str = DELETE_FLAG) -> str:
 
 
 def soft_delete_views(spark: SparkSession, source_db: str, target_db: str,
-                      flag: str = DELETE_FLAG, exclude: str = AUDIT_TABLE) -> list[str]:
+                      flag: str = DELETE_FLAG, exclude: str = AUDIT_TABLE) -> DataFrame:
     """One create-or-replace view per table of ``source_db`` (except the
     audit table, P6) in ``target_db``; safe to re-run.  Loops over table
-    names on the driver; every view is a plan, no data moves."""
+    names on the driver; every view is a plan, no data moves.  Returns
+    ``(table_name, view_name, status)``; a table without the flag has no view."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {target_db}")
     made = []
     for t in sorted(spark.catalog.listTables(source_db), key=lambda t: t.name):
@@ -41,8 +42,9 @@ def soft_delete_views(spark: SparkSession, source_db: str, target_db: str,
         cols = [c.name for c in spark.catalog.listColumns(f"{source_db}.{t.name}")]
         keep = [c for c in cols if c.upper() != flag.upper()]
         if len(keep) == len(cols):
-            continue  # no delete flag: nothing to hide
+            made.append((t.name, None, f"no column {flag}"))
+            continue
         spark.sql(f"CREATE OR REPLACE VIEW {target_db}.{t.name} AS "
                   + view_sql(f"{source_db}.{t.name}", keep, flag))
-        made.append(f"{target_db}.{t.name}")
-    return made
+        made.append((t.name, f"{target_db}.{t.name}", "created"))
+    return spark.createDataFrame(made, "table_name string, view_name string, status string")

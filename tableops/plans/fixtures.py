@@ -155,8 +155,7 @@ def write_file_tree(rows: DataFrame, base: str) -> str:
                     fh.write(content)
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    from ..session import spread
-    spread(rows.select("rel_path", "content")).mapInPandas(_write, "n long") \
+    rows.select("rel_path", "content").repartition("rel_path").mapInPandas(_write, "n long") \
         .agg(F.sum("n")).collect()
     return base
 
@@ -315,14 +314,14 @@ CONVERSATION_ROLES = ["user", "assistant", "system"]
 
 def conversation_sheet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A sheet with one row per conversation and one column per role, each
-    cell the role's first turn (display value: its first 20 characters)."""
+    cell the role's first turn (also its display value)."""
     c = read_table(spark, sf_dir, "conversations")
     first = c.groupBy("conv_id", "role").agg(F.min_by("text", "turn").alias("text"))
     ids = F.element_at(F.create_map(*[x for i, r in enumerate(CONVERSATION_ROLES)
                                       for x in (F.lit(r), F.lit(i + 1))]), F.col("role"))
     cells = first.select(F.col("conv_id").alias("row_id"), ids.cast("long").alias("column_id"),
                          F.col("text").alias("value"),
-                         F.substring("text", 1, 20).alias("display_value"))
+                         F.col("text").alias("display_value"))
     columns = spark.createDataFrame([(i + 1, r) for i, r in enumerate(CONVERSATION_ROLES)],
                                     "column_id long, title string")
     return cells, columns

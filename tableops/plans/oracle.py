@@ -219,24 +219,21 @@ mapped AS (
     ON c.table_catalog = t.table_catalog AND c.table_schema = t.table_schema
    AND c.table_name = t.table_name
   WHERE t.table_type = 'BASE TABLE' AND c.data_type NOT IN ('varbinary', 'image', 'binary')),
+naming_rules(pattern, never, unless, suffix, target) AS (VALUES
+  ('^.*KEY$', ['MD_NATURAL_KEY', 'PKEY'], '^$', '_DIM', NULL),
+  ('^.*KEY$', ['MD_NATURAL_KEY', 'PKEY'], '^$', '_DFACT', NULL),
+  ('^.*MONTH.*KEY$', ['MD_NATURAL_KEY', 'PKEY'], '^$', NULL, 'MONTH_DIM_VIEW'),
+  ('^.*DATE.*KEY$', ['MD_NATURAL_KEY', 'PKEY', 'DATE_KEY'], 'MONTH', NULL, 'DATE_DIM')),
+named AS (
+  SELECT c.table_name AS left_table, c.column_name AS left_column, r.target,
+         CASE WHEN r.suffix IS NOT NULL THEN left(c.column_name, -4) || r.suffix END AS computed
+  FROM cat_columns c JOIN naming_rules r ON regexp_matches(c.column_name, r.pattern)
+   AND NOT list_contains(r.never, c.column_name)
+   AND NOT regexp_matches(c.column_name, r.unless)),
 edges AS (
-  SELECT CL.table_name AS left_table, CL.column_name AS left_column,
-         TR.table_name AS right_table, 'PKEY' AS right_column
-  FROM cat_columns CL, (SELECT DISTINCT table_name FROM cat_columns) TR
-  WHERE CL.column_name LIKE '%KEY' AND CL.column_name NOT IN ('MD_NATURAL_KEY', 'PKEY')
-    AND TR.table_name = substr(CL.column_name, 1, length(CL.column_name) - 4) || '_DIM'
-  UNION
-  SELECT CL.table_name, CL.column_name, TR.table_name, 'PKEY'
-  FROM cat_columns CL, (SELECT DISTINCT table_name FROM cat_columns) TR
-  WHERE CL.column_name LIKE '%KEY' AND CL.column_name NOT IN ('MD_NATURAL_KEY', 'PKEY')
-    AND TR.table_name = substr(CL.column_name, 1, length(CL.column_name) - 4) || '_DFACT'
-  UNION
-  SELECT table_name, column_name, 'MONTH_DIM_VIEW', 'PKEY' FROM cat_columns
-  WHERE column_name LIKE '%MONTH%KEY' AND column_name NOT IN ('MD_NATURAL_KEY', 'PKEY')
-  UNION
-  SELECT table_name, column_name, 'DATE_DIM', 'PKEY' FROM cat_columns
-  WHERE column_name LIKE '%DATE%KEY' AND column_name NOT LIKE '%MONTH%'
-    AND column_name NOT IN ('MD_NATURAL_KEY', 'PKEY', 'DATE_KEY'))
+  SELECT DISTINCT left_table, left_column, coalesce(target, computed) AS right_table,
+         'PKEY' AS right_column
+  FROM named WHERE target IS NOT NULL OR computed IN (SELECT table_name FROM cat_columns))
 """
 
 ORACLE["type_mapping"] = f"""WITH {_CATALOG_CTES}
@@ -455,30 +452,37 @@ SELECT conv_id AS row_id,
        max(CASE WHEN role = 'user' THEN text END) AS "user",
        max(CASE WHEN role = 'assistant' THEN text END) AS assistant,
        max(CASE WHEN role = 'system' THEN text END) AS system,
-       max(CASE WHEN role = 'user' THEN substr(text, 1, 20) END) AS user__display
+       max(CASE WHEN role = 'user' THEN text END) AS user__display
 FROM {_CONV_FIRST} GROUP BY conv_id"""
 
 
+_HTML_CELL = '<div style="font-size: 110%;">'
+_HTML_BORDER = 'style="border: 1px solid #ddd;padding: 8;">'
+
+
 def _form_html_sql() -> str:
-    from ..operators import forms as f
-    sql = ["'" + f.HTML_HEADER.replace("'", "''") + "'"]
-    shown = {
-        "Owner": "c.c_name", "Project Name": "'Order ' || o.o_orderkey", "Client": "c.c_name",
-        "Comments": "CASE WHEN o.o_orderpriority LIKE '5%' THEN '' "
-                    "ELSE 'Priority ' || o.o_orderpriority END",
-        "Address": "n.n_name", "Market": "c.c_mktsegment",
-        "Value": "'$' || format('{:,.2f}', CAST(o.o_totalprice AS DECIMAL(18,2)))",
-        "Precon Start Date": "strftime(o.o_orderdate, '%Y-%m-%d')",
-        "Construction Start Date": "strftime(o.o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d')",
-        "Const Completion Date": "strftime(o.o_orderdate + INTERVAL 365 DAY, '%Y-%m-%d')",
-        "Client Contact": "CAST(c.c_custkey AS VARCHAR)", "Designer": "''",
-    }
-    for title, label, alt in f.NOTIFICATION_ROWS:
-        start = f.ROW_HTML_START.format(bg=f.ALT_BACKGROUND if alt else f.ROW_BACKGROUND)
-        sql.append("'" + (start + label + f.ROW_HTML_MIDDLE).replace("'", "''") + "'")
-        sql.append(f"({shown[title]})")
-        sql.append("'" + f.ROW_HTML_END + "'")
-    sql.append("'" + f.HTML_FOOTER.replace("'", "''") + "'")
+    """The expected page, written out here (not taken from the job)."""
+    rows = [
+        ("Submitted By", "c.c_name"), ("Project Name", "'Order ' || o.o_orderkey"),
+        ("Client", "c.c_name"),
+        ("Comments", "CASE WHEN o.o_orderpriority LIKE '5%' THEN '' "
+                     "ELSE 'Priority ' || o.o_orderpriority END"),
+        ("Address", "n.n_name"), ("Market", "c.c_mktsegment"),
+        ("Value", "'$' || format('{:,.2f}', CAST(o.o_totalprice AS DECIMAL(18,2)))"),
+        ("Precon Start Date", "strftime(o.o_orderdate, '%Y-%m-%d')"),
+        ("Construction Start Date", "strftime(o.o_orderdate + INTERVAL 30 DAY, '%Y-%m-%d')"),
+        ("Completion Date", "strftime(o.o_orderdate + INTERVAL 365 DAY, '%Y-%m-%d')"),
+        ("Client Contact", "CAST(c.c_custkey AS VARCHAR)"), ("Designer", "''"),
+    ]
+    sql = ["""'<html><body style="font-family: sans-serif"><table style="width: 85%">'"""]
+    for i, (label, value) in enumerate(rows):
+        color = "f2f2f2" if i % 2 else "ffffff"
+        sql.append(f"""chr(10) || '<tr style="background-color:#{color};"><td width="50" """
+                   f"""{_HTML_BORDER}{_HTML_CELL}{label}</div></td><td width="250" """
+                   f"""{_HTML_BORDER}{_HTML_CELL}'""")
+        sql.append(f"({value})")
+        sql.append("'</div></td></tr>'")
+    sql.append("'</table></body></html>'")
     return " || ".join(sql)
 
 
@@ -538,6 +542,23 @@ FROM (SELECT 'region' AS t, count(*) AS n FROM region UNION ALL
       SELECT 'supplier', count(*) FROM supplier UNION ALL
       SELECT 'part', count(*) FROM part)"""
 
+ORACLE["transfer_all_tables"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows_after, TRUE AS matched, TRUE AS equal_values "
+    f"FROM {t}" for t in (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+        "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
+
+ORACLE["cell_updates"] = """
+SELECT c.conv_id AS row_id, coalesce(u.column_id, 1) AS column_id,
+       CASE WHEN u.column_id = 1 AND c.conv_id % 3 = 0 THEN NULL
+            WHEN u.column_id = 1 AND c.conv_id % 3 = 1 THEN 'second'
+            WHEN u.column_id = 1 THEN c.text ELSE 'added' END AS value
+FROM (SELECT conv_id, min_by(text, turn) AS text FROM conversations GROUP BY conv_id) c
+CROSS JOIN (VALUES (1), (99)) u(column_id)"""
+
+ORACLE["replicate_refresh"] = "SELECT * FROM orders"
+ORACLE["replicate_restart"] = "SELECT * FROM orders"
+
 ORACLE["csv_round_trip"] = "SELECT * FROM orders"
 
 ORACLE["json_lines"] = """

@@ -226,12 +226,37 @@ def replicate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "table_name string, column_name string, key_ordinal int")
     key_cols = replicate.primary_key_columns(keys, "orders")
     target = work_dir(spark, "replica-orders")
-    earlier = paging.with_chunks(paging.global_rank(o, key_cols), 500).drop("ranking")
-    earlier.filter(F.col("chunk_id") == 0).write.partitionBy("chunk_id").parquet(target)
+    replicate.replicate_table(spark, o, "orders", target, key_cols, batch=500, max_chunks=1)
     res = replicate.replicate_table(spark, o, "orders", target, key_cols, batch=500)
     if res.skipped_chunks != 1 or res.written_chunks != res.total_chunks - 1:
         raise AssertionError(f"unexpected restart bookkeeping: {res}")
-    return spark.read.parquet(target).drop("chunk_id")
+    return replicate.read_copy(spark, target).drop("chunk_id")
+
+
+@register
+def replicate_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 run again after the source grew and changed: the new copy replaces
+    the older one row for row."""
+    o = read_table(spark, sf_dir, "orders")
+    older = o.filter(F.col("o_orderstatus") != "F").withColumn("o_totalprice", F.lit(0.0))
+    target = work_dir(spark, "replica-refresh")
+    replicate.replicate_table(spark, older, "orders", target, ["o_orderkey"], batch=5000)
+    replicate.replicate_table(spark, o, "orders", target, ["o_orderkey"], batch=5000)
+    return replicate.read_copy(spark, target).drop("chunk_id")
+
+
+@register
+def replicate_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R3 interrupted, then continued on a source that has more rows with low
+    keys by then: the unfinished run is not reused."""
+    o = read_table(spark, sf_dir, "orders")
+    target = work_dir(spark, "replica-restart")
+    replicate.replicate_table(spark, o.filter(F.col("o_custkey") % 2 == 0), "orders", target,
+                              ["o_orderkey"], batch=5000, max_chunks=1)
+    res = replicate.replicate_table(spark, o, "orders", target, ["o_orderkey"], batch=5000)
+    if res.skipped_chunks:
+        raise AssertionError(f"chunks of another source were reused: {res}")
+    return replicate.read_copy(spark, target).drop("chunk_id")
 
 
 @register
@@ -243,8 +268,7 @@ def replicate_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         replicate.replicate_table(spark, n, "nation", target, None)
-    # chunk folders are discovered as partition values (typed int by inference)
-    return spark.read.parquet(target).withColumn("chunk_id", F.col("chunk_id").cast("long"))
+    return replicate.read_copy(spark, target)
 
 
 # -- 4. catalog metadata and relationships ----------------------------------
@@ -590,11 +614,34 @@ def form_status_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New entries marked processed; the sheet's Record Source after."""
     cells, columns = fx.order_sheet(spark, sf_dir)
     wide = forms.pivot_sheet(forms.new_entry_cells(cells, columns), columns, forms.FORM_TITLES)
-    updated = forms.apply_updates(cells, forms.status_updates(forms.new_entries(wide), columns))
+    updated = forms.apply_updates(
+        cells, forms.status_updates(forms.new_entries(wide), columns), "updated_at")
     after = forms.pivot_sheet(updated, columns, [forms.RECORD_SOURCE])
     return after.select("row_id", F.col(f"`{forms.RECORD_SOURCE}`").alias("record_source"))
 
 
+@register
+def cell_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First turns as cells of one column; every third cell is cleared,
+    every third updated twice, and an empty cell of each row filled."""
+    c = read_table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("row_id")).agg(
+        F.min_by("text", "turn").alias("value"))
+    cells = c.select("row_id", F.lit(1).alias("column_id"), "value",
+                     F.col("value").alias("display_value"))
+    ids = c.select("row_id")
+
+    def update(rows: DataFrame, column: int, value: str | None, at: int) -> DataFrame:
+        return rows.select("row_id", F.lit(column).alias("column_id"),
+                           F.lit(value).cast("string").alias("new_value"), F.lit(at).alias("at"))
+
+    second = ids.filter("row_id % 3 = 1")
+    updates = (update(ids.filter("row_id % 3 = 0"), 1, None, 1)
+               .unionByName(update(second, 1, "second", 2))
+               .unionByName(update(second, 1, "first", 1))
+               .unionByName(update(ids, 99, "added", 1)))
+    return forms.apply_updates(cells, updates, "at").select("row_id", "column_id", "value")
+
+
 @register
 def classify_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incoming notification headers (one per event) classified."""
@@ -669,6 +716,21 @@ def truncate_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transfer.transfer_dataset(spark, tables, exp, tgt)
 
 
+@register
+def transfer_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R18 over every table: exported to CSV, loaded strictly, counts and
+    values of both sides compared."""
+    exp, tgt = work_dir(spark, "export-all"), work_dir(spark, "target-all")
+    tables = {n: read_table(spark, sf_dir, n) for n in TEST_TABLES}
+    result = transfer.transfer_dataset(spark, tables, exp, tgt)
+    equal = spark.createDataFrame(
+        [(n, replicate.source_manifest(df, None, 0)
+          == replicate.source_manifest(spark.read.parquet(f"{tgt}/{n}"), None, 0))
+         for n, df in tables.items()], "name string, equal_values boolean")
+    return (result.join(equal, F.col("table_name") == F.col("name"))
+            .select("table_name", "rows_after", "matched", "equal_values"))
+
+
 @register
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4 (all quoted), S4: `orders` written as headerless quoted CSV and

@@ -1,16 +1,23 @@
 """R3 ``replicate_table``: keyed, chunked, restartable copy of a source table.
 
-Source rows are ranked by the primary key (distributed ``global_rank``),
-split into chunks of ``batch`` ranks and written under
-``chunk_id=<n>`` folders with dynamic partition overwrite: a chunk folder
-appears only when the job that wrote it commits, and re-writing a chunk
-replaces it, so a rerun after a failure is idempotent.  Chunks already
-present are skipped on restart (the anti-join is against the small set of
-finished chunk ids).  A table without a key is copied as one chunk.
+Every call copies the whole source again, as the next run: a folder
+``run=<n>`` under the target with the chunks and a manifest (source rows, a
+hash over all rows, batch size, key, schema).  Source rows are ranked by the
+primary key (distributed ``global_rank``), split into chunks of ``batch``
+ranks and written under ``chunk_id=<n>`` with dynamic partition overwrite: a
+chunk appears only when the job that wrote it commits, and re-writing it
+replaces it.  A run that was interrupted is resumed only if its manifest is
+that of the source as it is now; otherwise a new run starts.  A run is marked
+committed when it is complete, and readers take the newest committed one
+(``read_copy``), so a changed source never mixes with an older copy.  A table
+without a key is copied as one chunk.
 """
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
 import warnings
 from dataclasses import dataclass
 
@@ -40,40 +47,77 @@ def primary_key_columns(keys: DataFrame, table_name: str) -> list[str]:
     return [r["column_name"] for r in (row["k"] or [])]
 
 
-def key_range_predicates(key: str, lo: int, hi: int, n: int) -> list[str]:
-    """``n`` non-overlapping key-range predicates covering [lo, hi] for a
-    partitioned JDBC read (``spark.read.jdbc(url, table, predicates=...)``)."""
-    step = max((hi - lo + 1 + n - 1) // n, 1)
-    preds = []
-    for i in range(n):
-        a = lo + i * step
-        if a > hi:
-            break
-        b = min(a + step - 1, hi)
-        preds.append(f"{key} >= {a} AND {key} <= {b}")
-    preds.append(f"{key} IS NULL")
-    return preds
-
-
-def read_source_table(spark: SparkSession, url: str, table: str, predicates: list[str],
-                      properties: dict) -> DataFrame:
-    """Predicate-bounded parallel read of a relational source."""
-    return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
-
-
 def finished_chunks(spark: SparkSession, target_path: str) -> DataFrame | None:
     if not path_exists(spark, target_path):
         return None
     return spark.read.parquet(target_path).select(CHUNK_COL).distinct()
 
 
+RUN_PREFIX, DONE_MARK = "run=", "_COMMITTED"
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def runs(spark: SparkSession, target_path: str) -> list[str]:
+    """Run folders of a target, newest first (a listing of folder names)."""
+    fs, root = _fs(spark, target_path)
+    if not fs.exists(root):
+        return []
+    names = sorted((s.getPath().getName() for s in fs.listStatus(root)), reverse=True)
+    return [f"{target_path.rstrip('/')}/{n}" for n in names if n.startswith(RUN_PREFIX)]
+
+
+def is_committed(spark: SparkSession, run: str) -> bool:
+    return path_exists(spark, f"{run}/{DONE_MARK}")
+
+
+def read_copy(spark: SparkSession, target_path: str) -> DataFrame:
+    """The newest complete copy, with its ``chunk_id``."""
+    for run in runs(spark, target_path):
+        if is_committed(spark, run):
+            return spark.read.parquet(f"{run}/data").withColumn(
+                CHUNK_COL, F.col(CHUNK_COL).cast("long"))
+    raise FileNotFoundError(f"no committed copy under {target_path}")
+
+
+def source_manifest(source: DataFrame, key_cols: list[str] | None, batch: int) -> str:
+    """What a run copies: rows, an order-free hash of all values, batch, key, schema."""
+    values = [F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, T.MapType)
+              else F.col(f"`{f.name}`") for f in source.schema.fields]
+    n, total = source.agg(F.count(F.lit(1)), F.sum(
+        F.xxhash64(*values).cast("decimal(38,0)"))).first()
+    return json.dumps({"rows": n, "hash": str(total), "batch": batch, "key": key_cols,
+                       "schema": source.schema.simpleString()}, sort_keys=True)
+
+
+def _open_run(spark: SparkSession, target_path: str, manifest: str) -> str:
+    """The newest run if it is unfinished and has this manifest, else a new one."""
+    for run in runs(spark, target_path)[:1]:
+        if not is_committed(spark, run) and path_exists(spark, f"{run}/manifest/_SUCCESS"):
+            if spark.read.text(f"{run}/manifest").first()["value"] == manifest:
+                return run
+    run = (f"{target_path.rstrip('/')}/{RUN_PREFIX}{int(time.time() * 1e6):018d}-"
+           f"{uuid.uuid4().hex[:8]}")
+    spark.createDataFrame([(manifest,)], "value string").coalesce(1).write.text(f"{run}/manifest")
+    return run
+
+
 def replicate_table(spark: SparkSession, source: DataFrame, table_name: str,
                     target_path: str, key_cols: list[str] | None,
                     batch: int = DEFAULT_BATCH,
-                    target_schema: T.StructType | None = None) -> ReplicationResult:
+                    target_schema: T.StructType | None = None,
+                    max_chunks: int | None = None) -> ReplicationResult:
+    """Copy ``source`` as the next run under ``target_path``, or go on with an
+    interrupted run of the same source.  ``max_chunks`` ends the call after
+    that many chunks and leaves the run open for the next call."""
     if target_schema is not None:
         source = source.select(*[F.col(f.name).cast(f.dataType).alias(f.name)
                                  for f in target_schema.fields])
+    manifest = source_manifest(source, key_cols, batch)
+    run = _open_run(spark, target_path, manifest)
     if key_cols:
         ranked, n_rows = ranked_with_count(source, key_cols)
         chunked = with_chunks(ranked, batch).drop(RANK_COL)
@@ -82,17 +126,23 @@ def replicate_table(spark: SparkSession, source: DataFrame, table_name: str,
         warnings.warn(f"{table_name}: no primary key, copied as one chunk", stacklevel=2)
         chunked = source.withColumn(CHUNK_COL, F.lit(0).cast("long"))
         total = 1
-    # finished chunks are the target's chunk folders (a footer-only read)
-    done = finished_chunks(spark, target_path)
-    if done is not None:
-        done = done.filter(F.col(CHUNK_COL) < total).cache()
-    todo = chunked if done is None else chunked.join(done, CHUNK_COL, "left_anti")
-    skipped = 0 if done is None else done.count()
-    (todo.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(CHUNK_COL).parquet(target_path))
+    data = f"{run}/data"
+    done = finished_chunks(spark, data)
+    skipped = 0
     if done is not None:
-        done.unpersist()
-    return ReplicationResult(table_name, target_path, total, total - skipped, skipped)
+        done = done.checkpoint()
+        skipped = done.count()
+        chunked = chunked.join(done, CHUNK_COL, "left_anti")
+    last = total if max_chunks is None else skipped + max_chunks
+    if last < total:
+        # chunks are finished in order of their numbers
+        chunked = chunked.filter(F.col(CHUNK_COL) < last)
+    (chunked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(CHUNK_COL).parquet(data))
+    if last >= total:
+        fs, mark = _fs(spark, f"{run}/{DONE_MARK}")
+        fs.create(mark, True).close()
+    return ReplicationResult(table_name, data, total, min(last, total) - skipped, skipped)
 
 
 def replicate_tables(spark: SparkSession, frames: dict[str, DataFrame], keys: DataFrame,
@@ -112,7 +162,7 @@ def replicate_tables(spark: SparkSession, frames: dict[str, DataFrame], keys: Da
             rows.append((name, r.total_chunks, r.written_chunks, r.skipped_chunks,
                          "copied" if key_cols else "copied as one chunk (no key)", None))
         except Exception as e:  # noqa: BLE001 - reported per table
-            rows.append((name, None, None, None, "failed", str(e).splitlines()[0][:500]))
+            rows.append((name, None, None, None, "failed", str(e)))
     return spark.createDataFrame(rows, "table_name string, total_chunks long, "
                                        "written_chunks long, skipped_chunks long, "
                                        "status string, error string")

@@ -1,10 +1,17 @@
 """R18 ``transfer_dataset``: for each table of a dataset, count, export to
 CSV (one folder per table), empty the target, load the export strictly
-(any bad row fails) and count again; one result row per table."""
+(any bad row fails) and count again; one result row per table.
+
+The export keeps every value: a column is written as text that casts back to
+the same value (JSON for arrays and structs, base64 for binary), NULL as
+``\\N`` and a text that starts with a backslash with one more, so that
+NULL, '' and line breaks inside quotes differ.  Files have a bounded number
+of rows, as a file with quoted line breaks is read by one task."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sinks.writers import count_or_zero, write_csv
@@ -17,6 +24,37 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("rows_after", T.LongType()),
     T.StructField("matched", T.BooleanType()),
 ])
+NULL_MARK = "\\N"
+ROWS_PER_FILE = 100_000
+_NESTED = (T.ArrayType, T.StructType, T.MapType)
+
+
+def to_text(field: T.StructField) -> Column:
+    """A column as text that ``from_text`` turns back into the same values."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.StringType):
+        text = F.when(F.startswith(c, F.lit("\\")), F.concat(F.lit("\\"), c)).otherwise(c)
+    elif isinstance(field.dataType, T.BinaryType):
+        text = F.base64(c)
+    elif isinstance(field.dataType, _NESTED):
+        text = F.to_json(c, {"ignoreNullFields": "false"})
+    else:
+        text = c.cast("string")
+    return F.coalesce(text, F.lit(NULL_MARK)).alias(field.name)
+
+
+def from_text(field: T.StructField) -> Column:
+    raw = F.coalesce(F.col(f"`{field.name}`"), F.lit(""))  # the reader's NULL is ''
+    text = F.when(raw != NULL_MARK, raw)
+    if isinstance(field.dataType, T.StringType):
+        value = F.when(F.startswith(text, F.lit("\\")), F.substr(text, F.lit(2))).otherwise(text)
+    elif isinstance(field.dataType, T.BinaryType):
+        value = F.unbase64(text)
+    elif isinstance(field.dataType, _NESTED):
+        value = F.from_json(text, field.dataType, {"mode": "FAILFAST"})
+    else:
+        value = text.cast(field.dataType)
+    return value.alias(field.name)
 
 
 def transfer_table(spark: SparkSession, name: str, df: DataFrame, export_base: str,
@@ -24,10 +62,13 @@ def transfer_table(spark: SparkSession, name: str, df: DataFrame, export_base: s
     export = f"{export_base}/{name}"
     target = f"{target_base}/{name}"
     source_count = df.count()
-    write_csv(df, export, quote_all=True, header=True)                  # K5
+    fields = df.schema.fields
+    write_csv(df.select(*map(to_text, fields)), export, quote_all=True, header=True,  # K5
+              rows_per_file=ROWS_PER_FILE)
     before = count_or_zero(spark, target)                                # K3: count before
-    loaded = read_strict(spark, export, df.schema, header=True)          # S3
-    loaded.write.mode("overwrite").parquet(target)                       # truncate + load
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
+    loaded = read_strict(spark, export, texts, header=True, multi_line=True)  # S3
+    loaded.select(*map(from_text, fields)).write.mode("overwrite").parquet(target)
     after = spark.read.parquet(target).count()                           # count after
     return name, source_count, before, after, source_count == after      # A7
 

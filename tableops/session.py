@@ -46,8 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is
-    only read.  Where it is unset (local tests) a fresh folder is made and
-    set once for the session.
+    only read, and must be set.  Where it is unset in local mode (tests) a
+    fresh folder is made and set once for the session.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tableops-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -85,36 +87,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-# Inputs smaller than this are spread over all cores before CPU-heavy
-# row-local work (a parquet row group is never split, so a small input
-# can be a single task); larger inputs already have enough splits.
-SPREAD_BELOW_BYTES = 256 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores before CPU-heavy row-local work (text
-    parsing) when the input is small (see ``SPREAD_BELOW_BYTES``); larger
-    inputs pass unchanged (no shuffle is added).  Runs no job."""
-    size = input_bytes(df)
-    if size == 0 or size >= SPREAD_BELOW_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the relations a DataFrame reads: the sum of the planner's
     size statistics of the plan's leaves (for files, the listed file sizes
-    after partition pruning).  No job and no file-system call; 0 when the
-    statistics are not available."""
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        it = leaves.iterator()
-        total = 0
-        while it.hasNext():
-            total += int(it.next().stats().sizeInBytes())
-        return total
-    except Exception:  # noqa: BLE001 - sizing is advisory only
-        return 0
+    after partition pruning).  No job and no file-system call."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    it = leaves.iterator()
+    total = 0
+    while it.hasNext():
+        total += int(it.next().stats().sizeInBytes())
+    return total
 
 
 def sized_partitions(df: DataFrame, bytes_per_partition: int | None = None) -> int:

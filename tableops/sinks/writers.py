@@ -47,31 +47,25 @@ def replace_table(df: DataFrame, path: str, name: str | None = None,
                                   description=comment)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    """K2: append rows (insert-select / chunk append)."""
-    df.write.mode("append").parquet(path)
-
-
-def truncate_and_load(df: DataFrame, path: str) -> tuple[int, int]:
-    """K3: empty the target, load, and return (rows before, rows after)."""
-    spark = df.sparkSession
-    before = count_or_zero(spark, path)
-    df.write.mode("overwrite").parquet(path)
-    after = spark.read.parquet(path).count()
-    return before, after
+# Spark writes milliseconds by default.
+TIME_FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, header: bool = True,
-              sep: str = ",") -> None:
-    """K4/K5: CSV sink, all fields quoted or minimal quoting."""
-    (df.write.mode("overwrite").option("header", header).option("sep", sep)
+              sep: str = ",", rows_per_file: int = 0) -> None:
+    """K4/K5: CSV sink, all fields quoted or minimal quoting; at most
+    ``rows_per_file`` rows a file (0: as the tasks have them)."""
+    (df.write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").option("header", header).option("sep", sep)
      .option("quoteAll", quote_all).option("escape", '"').option("nullValue", "")
-     .csv(path))
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .options(**TIME_FORMATS).csv(path))
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
     """K6: one JSON object per line, null fields kept."""
-    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    (df.write.mode("overwrite").option("ignoreNullFields", False).options(**TIME_FORMATS)
+     .json(path))
 
 
 def write_text_lines(df: DataFrame, column: str, path: str, ordered: bool = False) -> None:
@@ -84,13 +78,6 @@ def write_text_lines(df: DataFrame, column: str, path: str, ordered: bool = Fals
     out.write.mode("overwrite").text(path)
 
 
-def create_view(spark: SparkSession, name: str, df_sql: str, database: str | None = None) -> None:
-    """K9: create-or-replace view with an explicit column list."""
-    if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {df_sql}")
-
-
 def history_row(spark: SparkSession, table_name: str, started: _dt.datetime,
                 rows_before: int, rows_after: int, rejects: int, status: str) -> DataFrame:
     """One history row per load."""

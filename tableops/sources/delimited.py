@@ -51,14 +51,14 @@ def read_delimited(spark: SparkSession, path: str, file_format: str = "CSV",
     (or write the frame, as the loader does): with CSV column pruning a
     narrower projection would not see the malformed rows.
     """
-    # A pruned CSV parse does not see extra or missing fields (rows would
-    # pass as good); parse whole lines whenever malformed rows are tracked.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     names = names or header_names(spark, path, file_format)
     schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names]
                           + [T.StructField(CORRUPT_COL, T.StringType(), True)])
     df = (_reader(spark, delimiter_for(file_format), True)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT_COL)
+          # a pruned parse does not see extra or missing fields (rows would pass
+          # as good): whole lines are parsed where malformed rows are tracked
+          .option("columnPruning", False)
           .schema(schema).csv(path))
     return (df.withColumn(FILE_COL, F.col("_metadata.file_path"))
             .withColumn(BLOCK_COL, F.col("_metadata.file_block_start"))
@@ -143,10 +143,11 @@ def reject_rows(raw: DataFrame, table_name: str, numbered: DataFrame | None = No
 
 
 def read_strict(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                header: bool = True) -> DataFrame:
-    """S3: any malformed row fails the job (ON_ERROR = ABORT)."""
+                header: bool = True, multi_line: bool = False) -> DataFrame:
+    """S3: any malformed row fails the job (ON_ERROR = ABORT).  ``multi_line``
+    reads quoted line breaks; a file is then read by one task."""
     return (_reader(spark, sep, header, "UTF-8").option("mode", "FAILFAST")
-            .schema(schema).csv(path))
+            .option("multiLine", multi_line).schema(schema).csv(path))
 
 
 def read_headerless(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -1,6 +1,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tableops.operators import filesets, paging
@@ -61,20 +62,35 @@ def test_replayed_batch_is_skipped(spark, tmp_dir):
     run(rows, 7)
     run(rows, 7)          # replay of the same batch id: nothing is sent again
     run(rows, 8)          # a new batch is processed
+    form_events.process_batch(f"{tmp_dir}/out", 1, "other")(rows, 7)  # another stream's batch
     notes = spark.read.parquet(f"{tmp_dir}/out/{form_events.NOTIFY_DIR}")
-    assert sorted(r.batch_id for r in notes.collect()) == [7, 8]
+    assert sorted((r.stream_id, r.batch_id) for r in notes.collect()) == [
+        ("other", 7), ("stream", 7), ("stream", 8)]
 
 
-def test_replication_restart_is_idempotent(spark, tmp_dir):
+def test_replication_resumes_only_the_same_source(spark, tmp_dir):
     from tableops.plans import replicate
     src = spark.range(0, 2345).select((F.col("id") * 3).alias("k"), (F.col("id") % 7).alias("v"))
     target = f"{tmp_dir}/replica"
-    first = replicate.replicate_table(spark, src, "t", target, ["k"], batch=500)
-    again = replicate.replicate_table(spark, src, "t", target, ["k"], batch=500)
-    assert (first.total_chunks, first.written_chunks) == (5, 5)
-    assert (again.skipped_chunks, again.written_chunks) == (5, 0)
-    back = spark.read.parquet(target)
-    assert back.count() == 2345 and back.select("k").distinct().count() == 2345
+    copy = lambda s, key=("k",), **kw: replicate.replicate_table(
+        spark, s, "t", target, list(key) if key else None, batch=500, **kw)
+    rows = lambda: sorted((r.k, r.v) for r in replicate.read_copy(spark, target).collect())
+    first = copy(src, max_chunks=2)
+    again = copy(src)
+    assert (first.total_chunks, first.written_chunks) == (5, 2)
+    assert (again.skipped_chunks, again.written_chunks) == (2, 3)
+    assert rows() == sorted((i * 3, i % 7) for i in range(2345))
+    # low keys arrive while a run is open: all rows once, none of the old chunks
+    copy(src, max_chunks=3)
+    more = src.unionByName(spark.range(1, 6).select((-F.col("id")).alias("k"),
+                                                    F.lit(0).cast("long").alias("v")))
+    changed = copy(more)
+    assert changed.skipped_chunks == 0 and len(rows()) == 2350
+    # a smaller source leaves nothing behind, and a full run copies again
+    assert copy(src.limit(30)).written_chunks == 1 and len(rows()) == 30
+    with pytest.warns(UserWarning):
+        assert copy(src.limit(50), key=None).written_chunks == 1
+    assert len(rows()) == 50
 
 
 def test_zip_parts_split_hot_group(spark):
@@ -100,7 +116,7 @@ def test_replicate_tables_reports_each(spark, tmp_dir):
            replicate.replicate_tables(spark, frames, keys, f"{tmp_dir}/rep", batch=500).collect()}
     assert out["a"].status == "copied" and out["a"].total_chunks == 3
     assert out["b"].status == "failed" and out["b"].error
-    assert spark.read.parquet(f"{tmp_dir}/rep/a").count() == 1200
+    assert replicate.read_copy(spark, f"{tmp_dir}/rep/a").count() == 1200
 
 
 def test_watermark_dedupe_and_challenges_ignored(spark, tmp_dir):
