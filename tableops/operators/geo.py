@@ -3,29 +3,26 @@
 
 Point-in-polygon is a grid-cell equi-join followed by an exact test:
 
-* every polygon is exploded into the grid cells its bounding box covers;
-* every point gets the one cell it falls in;
-* points and polygon cells meet in an equi-join on (cell x, cell y), so the
+* every polygon has a level by its size and meets at most four cells of
+  that level's grid;
+* every point falls into one cell of each level that the layer has;
+* points and polygon boxes meet in an equi-join on (level, cell), so the
   work is a hash/sort-merge join (no nested loop, no cross join);
-* a bounding-box filter and an exact even-odd ray cast over all rings'
-  edges (holes and multi-part shapes included) follow, as JVM-side
+* a bounding-box filter, then a join with the edges and an exact even-odd ray
+  cast over all rings (holes and multi-part shapes included), as JVM-side
   higher-order functions.  A point on an edge or vertex is outside, like a
   geometry library's ``contains``.
 
-The default cell size bounds the exploded polygon-cell table to a small
-multiple of the polygon count (see ``default_cell_size``), whatever the
-coordinate units or the mix of shapes; neither side is broadcast unless
-AQE sees it is small.
+Neither side is broadcast unless AQE sees it is small.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import mercator_x, mercator_y
+from ..session import cut_lineage
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour
@@ -63,46 +60,56 @@ def polygon_edges(polygons: DataFrame) -> DataFrame:
             .withColumn("maxy", F.expr(f"array_max(transform({pts}, p -> p.y))")))
 
 
-# Target cells per polygon on average (bounds the exploded cell table).
-CELLS_PER_POLYGON = 4
+def polygon_cells(poly: DataFrame) -> DataFrame:
+    """(poly_row, level, cx, cy, bbox) of the grid cells a polygon's box meets.
+
+    A polygon's level is the power of two at or above its larger side, and a
+    cell is one level wide, so a polygon meets at most four cells, whatever
+    the mix of huge and tiny shapes in the layer."""
+    side = F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))
+    level = F.when(side > 0, F.ceil(F.log2(side))).otherwise(F.lit(MIN_LEVEL))
+    width = F.pow(F.lit(2.0), F.col("level"))
+    return (poly.withColumn("level", F.greatest(level, F.lit(MIN_LEVEL)).cast("int"))
+            .withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / width),
+                                                   F.floor(F.col("maxx") / width))))
+            .withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / width),
+                                                   F.floor(F.col("maxy") / width))))
+            .select("poly_row", "level", "cx", "cy", "minx", "maxx", "miny", "maxy"))
 
 
-def default_cell_size(poly: DataFrame, k: int = CELLS_PER_POLYGON) -> float:
-    """Cell size c that bounds the polygon-cell table: a bbox w x h covers at
-    most (w/c + 1)(h/c + 1) = wh/c^2 + (w+h)/c + 1 cells, so with
-    c = max(sqrt(sum wh / kn), sum(w+h) / kn) all n polygons cover at most
-    (2k + 1) n cells, whatever the mix of huge, thin and tiny shapes (one
-    aggregate over the layer)."""
-    w, h = F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")
-    r = poly.agg(F.sum(w * h).alias("a"), F.sum(w + h).alias("p"),
-                 F.count(F.lit(1)).alias("n")).first()
-    if not r or not r["n"]:
-        return 1.0
-    kn = float(k * r["n"])
-    c = max(math.sqrt((r["a"] or 0.0) / kn), (r["p"] or 0.0) / kn)
-    return c if c > 0 else 1.0
+# Smallest cell width (2 ** MIN_LEVEL), for points and tiny shapes.
+MIN_LEVEL = -30
 
 
-def point_in_polygon(points: DataFrame, polygons: DataFrame, cell_size: float | None = None,
-                     x: str = "px", y: str = "py") -> DataFrame:
+def point_in_polygon(points: DataFrame, polygons: DataFrame, x: str = "px",
+                     y: str = "py") -> DataFrame:
     """One row per (point, containing polygon); a point in k polygons
     gives k rows, in none gives none.  Point columns and polygon columns
-    (except the shape) are both kept."""
-    poly = polygon_edges(polygons)
-    cell = cell_size or default_cell_size(poly)
-    c = F.lit(cell)
-    cells = (poly.withColumn("cx", F.explode(F.sequence(F.floor(F.col("minx") / c),
-                                                        F.floor(F.col("maxx") / c))))
-             .withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / c),
-                                                    F.floor(F.col("maxy") / c))))
-             .drop("rings"))
+    (except the shape) are both kept.
+
+    Points meet polygons by (level, cell), once for each level that the layer
+    has (a handful: sides differ by powers of two).  Only boxes travel through
+    that join; the edges join the pairs whose box holds the point.  A crowded
+    cell is a skewed join key, which adaptive execution splits."""
+    poly = cut_lineage(polygon_edges(polygons).withColumn(
+        "poly_row", F.monotonically_increasing_id()))
+    cells = polygon_cells(poly)
+    # at most one entry per power of two
+    levels = [r["level"] for r in cells.select("level").distinct().collect()]
+    level = F.explode(F.array(*[F.lit(v) for v in levels]) if levels
+                      else F.array().cast("array<int>"))
+    width = F.pow(F.lit(2.0), F.col("level"))
     pts = (points.withColumn("px", F.col(x)).withColumn("py", F.col(y))
-           .withColumn("cx", F.floor(F.col("px") / c)).withColumn("cy", F.floor(F.col("py") / c)))
-    cand = pts.join(cells, ["cx", "cy"]).filter(
+           .withColumn("level", level)
+           .withColumn("cx", F.floor(F.col("px") / width))
+           .withColumn("cy", F.floor(F.col("py") / width)))
+    cand = (pts.join(cells, ["level", "cx", "cy"]).filter(
         F.col("px").between(F.col("minx"), F.col("maxx"))
         & F.col("py").between(F.col("miny"), F.col("maxy")))
+        .drop("level", "cx", "cy", "minx", "maxx", "miny", "maxy"))
+    shapes = poly.drop("rings", "minx", "maxx", "miny", "maxy")
     inside = (F.expr(_CROSSINGS) % 2 == 1) & ~F.expr(_ON_EDGE)
-    return cand.filter(inside).drop("cx", "cy", "edges", "minx", "maxx", "miny", "maxy")
+    return cand.join(shapes, "poly_row").filter(inside).drop("edges", "poly_row")
 
 
 def area_records(matches: DataFrame) -> DataFrame:

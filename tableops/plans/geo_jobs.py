@@ -10,12 +10,12 @@ from ..operators import geo
 from ..sinks.writers import write_text_lines
 
 
-def area_tag_job(points: DataFrame, done: DataFrame, polygons: DataFrame, out_path: str,
-                 cell_size: float | None = None) -> str:
+def area_tag_job(points: DataFrame, done: DataFrame, polygons: DataFrame,
+                 out_path: str) -> str:
     """S11 -> T14 -> J5 -> T20 -> K6 over points ``(id, record_source,
     latitude, longitude)`` not yet processed."""
     todo = geo.missing_worklist(points, done, "id")
-    matches = geo.point_in_polygon(geo.to_web_mercator(todo), polygons, cell_size)
+    matches = geo.point_in_polygon(geo.to_web_mercator(todo), polygons)
     recs = geo.area_records(matches)
     recs.select(F.to_json(F.struct(*geo.AREA_FIELDS), {"ignoreNullFields": "false"})
                 .alias("json")).write.mode("overwrite").text(out_path)

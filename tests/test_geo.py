@@ -11,16 +11,16 @@ def _sq(a, b):
     return [{"x": a, "y": a}, {"x": b, "y": a}, {"x": b, "y": b}, {"x": a, "y": b}, {"x": a, "y": a}]
 
 
-def _hits(spark, pts, polys, cell=None):
+def _hits(spark, pts, polys):
     p = spark.createDataFrame(pts, "id int, px double, py double")
-    return sorted((r.id, r.poly_id) for r in point_in_polygon(p, polys, cell).collect())
+    return sorted((r.id, r.poly_id) for r in point_in_polygon(p, polys).collect())
 
 
 def test_square_boundary_is_outside(spark):
     polys = _poly(spark, [("A", "a", "l", [_sq(0.0, 4.0)])])
     pts = [(1, 1.0, 1.0), (2, 0.0, 1.0), (3, 4.0, 1.0), (4, 4.0, 4.0), (5, 2.0, 0.0), (6, 5.0, 1.0)]
     assert _hits(spark, pts, polys) == [(1, "A")]
-    assert _hits(spark, pts, polys, cell=0.7) == [(1, "A")]
+    assert _hits(spark, pts, polys) == [(1, "A")]
 
 
 def test_hole_and_overlap(spark):
@@ -46,21 +46,27 @@ def test_brute_force_agreement(spark):
                 c = not c
         return c
     expect = sorted((i, "T") for i, x, y in pts if inside(x, y))
-    assert _hits(spark, pts, polys, cell=1.3) == expect
+    assert _hits(spark, pts, polys) == expect
 
 
-def test_cell_table_is_bounded_for_mixed_shapes(spark):
-    from tableops.operators.geo import default_cell_size, polygon_edges
+def test_one_large_and_many_small_polygons(spark):
     from pyspark.sql import functions as F
-    thin = [{"x": 0.0, "y": 0.0}, {"x": 1e6, "y": 0.0}, {"x": 1e6, "y": 1.0}, {"x": 0.0, "y": 1.0}]
-    rows = [("THIN", "t", "l", [thin]), ("HUGE", "h", "l", [_sq(0.0, 1e5)])] + \
-        [(f"s{i}", "s", "l", [_sq(float(i), i + 0.5)]) for i in range(200)]
-    poly = polygon_edges(_poly(spark, rows))
-    c = default_cell_size(poly)
-    cells = poly.select(((F.floor(F.col("maxx") / c) - F.floor(F.col("minx") / c) + 1)
-                         * (F.floor(F.col("maxy") / c) - F.floor(F.col("miny") / c) + 1))
-                        .alias("n")).agg(F.sum("n")).first()[0]
-    assert cells <= (2 * 4 + 1) * len(rows)
+
+    from tableops.operators.geo import polygon_cells, polygon_edges
+    rows = [("HUGE", "h", "l", [_sq(0.0, 100_000.0)])] + [
+        (f"s{i}", "s", "l", [_sq(float(10 * i), 10 * i + 5.0)]) for i in range(2000)]
+    poly = polygon_edges(_poly(spark, rows)).withColumn("poly_row", F.monotonically_increasing_id())
+    cells = polygon_cells(poly)
+    assert cells.count() <= 4 * len(rows)
+    # candidates (same level and cell) stay near the hits: the huge one and the own one
+    pts = [(i, 10 * i + 1.0, 10 * i + 1.0) for i in range(2000)]
+    points = spark.createDataFrame(pts, "id long, px double, py double")
+    w = F.pow(F.lit(2.0), F.col("level"))
+    met = points.join(cells, (F.floor(F.col("px") / w) == F.col("cx"))
+                      & (F.floor(F.col("py") / w) == F.col("cy")))
+    assert met.count() <= 3 * 2 * len(pts)
+    assert _hits(spark, pts, _poly(spark, rows)) == sorted(
+        [(i, "HUGE") for i in range(2000)] + [(i, f"s{i}") for i in range(2000)])
 
 
 def test_hot_cell_points(spark):
@@ -68,7 +74,7 @@ def test_hot_cell_points(spark):
     # a third of the points fall into one small area (one grid cell)
     pts = [(i, 50.0 + (i % 97) / 1000.0, 50.0 + (i % 89) / 1000.0) for i in range(1000)] + \
           [(1000 + i, (i * 37) % 130 - 15.0 + 0.5, (i * 53) % 130 - 15.0 + 0.5) for i in range(2000)]
-    got = _hits(spark, pts, polys, cell=10.0)
+    got = _hits(spark, pts, polys)
 
     def inside(x, y, lo, hi):
         return lo < x < hi and lo < y < hi
