@@ -65,10 +65,6 @@ def group_files(rows: DataFrame, group_col: str = "invoice_id",
             .drop("_r", "_r0"))
 
 
-def group_sizes(pairs: DataFrame, group_col: str = "invoice_id") -> DataFrame:
-    return pairs.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_files"))
-
-
 def archive_name(prefix: str, folder) -> F.Column:
     """``PREFIX_<folder>`` with spaces removed, plus the extension."""
     return F.concat(strip_spaces(F.concat(F.lit(f"{prefix}_"), folder)), F.lit(ARCHIVE_EXT))

@@ -114,11 +114,3 @@ def typed_projection(stage: DataFrame, profile: list[ColumnProfile]) -> DataFram
     """
     return stage.select(*[typed_column(p.column_name, p) for p in profile
                           if p.data_type is not None])
-
-
-def spark_type(p: ColumnProfile) -> T.DataType:
-    if p.data_type == NUMBER:
-        return T.DecimalType(38, p.scale or 0)
-    if p.data_type == DATETIME:
-        return T.TimestampNTZType()
-    return T.StringType()

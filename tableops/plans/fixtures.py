@@ -164,9 +164,12 @@ def doc_file_name(id_col: str = "doc_id") -> F.Column:
     return F.concat(F.lit("doc_"), F.col(id_col).cast("string"), F.lit(".txt"))
 
 
-def document_files(spark: SparkSession, sf_dir: str) -> str:
-    """A folder with one text file per document, except the Spanish ones."""
-    d = read_table(spark, sf_dir, "documents").filter(F.col("lang") != "es")
+def document_files(spark: SparkSession, sf_dir: str, missing: str | None = None) -> str:
+    """A folder with one text file per document, except those in the language
+    ``missing`` (files that a manifest names and the folder lacks)."""
+    d = read_table(spark, sf_dir, "documents")
+    if missing is not None:
+        d = d.filter(F.col("lang") != missing)
     base = work_dir(spark, "fixture-docfiles")
     return write_file_tree(d.select(doc_file_name().alias("rel_path"),
                                     F.encode("text", "UTF-8").alias("content")), base)
@@ -315,6 +318,7 @@ CONVERSATION_ROLES = ["user", "assistant", "system"]
 def conversation_sheet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A sheet with one row per conversation and one column per role, each
     cell the role's first turn (also its display value)."""
+    from ..operators import forms
     c = read_table(spark, sf_dir, "conversations")
     first = c.groupBy("conv_id", "role").agg(F.min_by("text", "turn").alias("text"))
     ids = F.element_at(F.create_map(*[x for i, r in enumerate(CONVERSATION_ROLES)
@@ -324,7 +328,10 @@ def conversation_sheet(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
                          F.col("text").alias("display_value"))
     columns = spark.createDataFrame([(i + 1, r) for i, r in enumerate(CONVERSATION_ROLES)],
                                     "column_id long, title string")
-    return cells, columns
+    base = work_dir(spark, "fixture-sheet")
+    cells.write.parquet(f"{base}/cells")
+    columns.write.parquet(f"{base}/columns")
+    return forms.read_sheet(spark, f"{base}/cells", f"{base}/columns")
 
 
 def event_notifications(spark: SparkSession, sf_dir: str, base: str) -> str:

@@ -78,10 +78,3 @@ def load_file(spark: SparkSession, source_path: str, table_name: str,
     hist = history_row(spark, table_name, started, rows_before, rows_after, rejects,
                        STATUS_LOADED)
     return LoadResult(final_path, stage_path, profile, hist, STATUS_LOADED, source_path)
-
-
-def load_files(spark: SparkSession, jobs: list[tuple[str, str, str]],
-               target_dir: str | None = None) -> list[LoadResult]:
-    """Several files in sequence, one load per (path, table, format)."""
-    return [load_file(spark, p, t, f, target_dir) for p, t, f in jobs]
-

@@ -299,11 +299,11 @@ def _edge_sql(child, ccol, parent, pcol):
 ORACLE["check_relationships"] = " UNION ALL ".join(_edge_sql(*e) for e in _TEST_EDGES)
 
 ORACLE["file_list"] = """
-SELECT 'doc_' || doc_id || '.txt' AS file_name FROM documents WHERE lang <> 'es'"""
+SELECT 'doc_' || doc_id || '.txt' AS file_name FROM documents"""
 
 ORACLE["copy_files"] = """
 SELECT 'doc_' || doc_id || '.txt' AS file_name, CAST(strlen(text) AS BIGINT) AS bytes
-FROM documents WHERE lang <> 'es'"""
+FROM documents"""
 
 ORACLE["manifest_join"] = """
 SELECT source AS invoice_id, 'doc_' || doc_id || '.txt' AS file_name
@@ -525,13 +525,21 @@ SELECT 'zBACKUP_PROD_DB_' || strftime(d, '%m_%d_%Y') AS name, d AS snapshot_date
        d <= DATE '2001-08-16' - INTERVAL 15 DAY AS drop_older
 FROM {_SNAPSHOTS}"""
 
-ORACLE["snapshot_tables"] = """
-SELECT t AS table_name, n AS rows_before, n AS rows_after,
-       'snapshot zBACKUP_PROD_DB_08_16_2001' AS status
-FROM (SELECT 'region' AS t, count(*) AS n FROM region UNION ALL
-      SELECT 'nation', count(*) FROM nation UNION ALL
-      SELECT 'supplier', count(*) FROM supplier UNION ALL
-      SELECT 'customer', count(*) FROM customer)"""
+_ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+               "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+
+ORACLE["snapshot_tables"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS rows_before, count(*) AS rows_after, "
+    f"'snapshot zBACKUP_PROD_DB_08_16_2001' AS status FROM {t}" for t in _ALL_TABLES)
+
+ORACLE["catalog_columns"] = f"""
+SELECT table_name, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+            WHEN 'DOUBLE' THEN 'float' WHEN 'VARCHAR' THEN 'varchar'
+            WHEN 'TIMESTAMP' THEN 'datetime2' WHEN 'DATE' THEN 'date'
+            WHEN 'FLOAT[]' THEN 'array<float>' ELSE data_type END AS data_type,
+       ordinal_position
+FROM information_schema.columns WHERE table_name IN {_ALL_TABLES}"""
 
 ORACLE["truncate_and_load"] = """
 SELECT t AS table_name, n AS source_count,
@@ -544,9 +552,7 @@ FROM (SELECT 'region' AS t, count(*) AS n FROM region UNION ALL
 
 ORACLE["transfer_all_tables"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows_after, TRUE AS matched, TRUE AS equal_values "
-    f"FROM {t}" for t in (
-        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-        "documents", "embeddings", "pages", "benchmark", "labels", "conversations"))
+    f"FROM {t}" for t in _ALL_TABLES)
 
 ORACLE["cell_updates"] = """
 SELECT c.conv_id AS row_id, coalesce(u.column_id, 1) AS column_id,

@@ -7,6 +7,7 @@ names match the DuckDB SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -343,7 +344,7 @@ def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- 5. files, manifests and archives ----------------------------------------
 @register
 def file_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of the files in a folder (one file per non-Spanish
+    """Names of the files in a folder (one file per
     document) written as text lines and loaded as the system's file list."""
     table = files.file_list_job(spark, fx.document_files(spark, sf_dir), "DOCS",
                                 work_dir(spark, "file-list"))
@@ -374,14 +375,14 @@ def _attachments(spark, sf_dir):
 @register
 def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 + O1: attachment records joined to the folder listing."""
-    listing = files.list_files(spark, fx.document_files(spark, sf_dir))
+    listing = files.list_files(spark, fx.document_files(spark, sf_dir, missing="es"))
     return filesets.manifest_join(_attachments(spark, sf_dir), listing)
 
 
 @register
 def bundle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each invoice's present files in order, numbered 1..n."""
-    listing = files.list_files(spark, fx.document_files(spark, sf_dir))
+    listing = files.list_files(spark, fx.document_files(spark, sf_dir, missing="es"))
     pairs = filesets.manifest_join(_attachments(spark, sf_dir), listing)
     return filesets.group_files(pairs).select("invoice_id", "file_seq", "file_name")
 
@@ -390,7 +391,7 @@ def bundle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files_vs_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folder listing vs expected records (given as Windows paths);
     records are the non-French documents."""
-    listing = files.list_files(spark, fx.document_files(spark, sf_dir))
+    listing = files.list_files(spark, fx.document_files(spark, sf_dir, missing="es"))
     d = read_table(spark, sf_dir, "documents").filter(F.col("lang") != "fr")
     records = d.select(F.concat(F.lit("C:\\invoices\\"), F.col("source"), F.lit("\\"),
                                 fx.doc_file_name()).alias("file_name"))
@@ -695,16 +696,36 @@ def retention_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def snapshot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dated copies of four tables, taken twice (the second
-    replaces the first); history rows without clock columns."""
+    """Dated copies of every base table of the catalog, taken
+    twice (the second replaces the first); history rows without clock columns."""
     import datetime as dt
-    tables = {n: read_table(spark, sf_dir, n) for n in ("region", "nation", "supplier", "customer")}
+    frames = {n: read_table(spark, sf_dir, n) for n in TEST_TABLES}
+    catalog, _ = metadata.frame_catalog(frames)
+    names = [r.table_name for r in metadata.list_tables(catalog, "default").collect()]
+    tables = {n: frames[n] for n in names}
     base = work_dir(spark, "snapshots")
     snapshots.snapshot_tables(spark, tables, base, "PROD_DB", dt.date(2001, 8, 16))
     hist = snapshots.snapshot_tables(spark, tables, base, "PROD_DB", dt.date(2001, 8, 16))
     return hist.select("table_name", "rows_before", "rows_after", "status")
 
 
+def _dataset(spark: SparkSession, sf_dir: str) -> str:
+    """A database that holds the test tables where they are."""
+    name = f"dataset_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    for t in TEST_TABLES:
+        spark.catalog.createTable(f"{name}.{t}", path=f"{sf_dir}/{t}.parquet", source="parquet")
+    return name
+
+
+@register
+def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and columns of a database as an information schema."""
+    tables, columns = metadata.session_catalog(spark, _dataset(spark, sf_dir))
+    return (columns.join(metadata.list_tables(tables).select("table_name"), "table_name")
+            .select("table_name", "column_name", "data_type", "ordinal_position"))
+
+
 @register
 def truncate_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R18 (S8, A4, K5, K3, S3, A7): four tables exported to CSV and loaded
@@ -718,10 +739,11 @@ def truncate_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def transfer_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R18 over every table: exported to CSV, loaded strictly, counts and
+    """R18, S8 over every table of a database: exported to CSV, loaded strictly, counts and
     values of both sides compared."""
     exp, tgt = work_dir(spark, "export-all"), work_dir(spark, "target-all")
-    tables = {n: read_table(spark, sf_dir, n) for n in TEST_TABLES}
+    db = _dataset(spark, sf_dir)
+    tables = {n: spark.table(f"{db}.{n}") for n in metadata.dataset_tables(spark, db)}
     result = transfer.transfer_dataset(spark, tables, exp, tgt)
     equal = spark.createDataFrame(
         [(n, replicate.source_manifest(df, None, 0)

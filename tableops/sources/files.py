@@ -15,13 +15,23 @@ def list_files(spark: SparkSession, directory: str, recursive: bool = False) ->
 
     The listing is Spark's file index; only ``path`` is selected, so file
     contents are never read (the plan's ReadSchema is empty).  Sub-folders
-    are not listed as names (files only)."""
+    are not listed as names (files only).  Spark leaves out names that start
+    with ``_`` or ``.``: ``hidden_files`` gives those."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
             .load(directory).select(F.col("path")).select(
                 F.substring_index(F.col("path"), "/", -1).alias("file_name"),
                 F.col("path")))
 
 
+def hidden_files(spark: SparkSession, directory: str) -> list[str]:
+    """Names in a folder that Spark's file index leaves out (``_x``, ``.x``),
+    from the file system's own listing of that folder on the driver."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(directory)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(path)
+                  if s.isFile() and s.getPath().getName()[:1] in "_.")
+
+
 def read_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """Files with content: ``(path, file_name, folder, length, content)``."""
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", recursive)

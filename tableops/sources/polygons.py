@@ -58,11 +58,3 @@ def write_geojson_lines(polygons: DataFrame, path: str) -> None:
                      F.lit("Path"), F.col("path")).alias("properties"),
         F.struct(F.lit("Polygon").alias("type"), coords.alias("coordinates")).alias("geometry"))
     polygons.select(F.to_json(feat).alias("value")).write.mode("overwrite").text(path)
-
-
-def read_polygon_table(spark: SparkSession, path: str) -> DataFrame:
-    """A polygon layer stored as parquet, checked for the ring shape."""
-    df = spark.read.parquet(path)
-    if "rings" not in df.columns or df.schema["rings"].dataType != RINGS:
-        raise ValueError(f"{path}: expected column rings {RINGS.simpleString()}")
-    return df

@@ -151,3 +151,12 @@ def test_checkpoint_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_hidden_names_are_reported(spark, tmp_dir):
+    from tableops.sources import files
+    for name in ("a.txt", "_b.txt", ".c.txt"):
+        with open(f"{tmp_dir}/{name}", "w") as fh:
+            fh.write(name)
+    assert [r.file_name for r in files.list_files(spark, tmp_dir).collect()] == ["a.txt"]
+    assert files.hidden_files(spark, tmp_dir) == [".c.txt", "_b.txt"]
