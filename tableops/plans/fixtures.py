@@ -160,6 +160,21 @@ def write_file_tree(rows: DataFrame, base: str) -> str:
     return base
 
 
+def documents_csv(spark: SparkSession, sf_dir: str) -> str:
+    """`documents` as a CSV file in the sources' encoding: texts with line breaks
+    and quotes, every fifth language empty."""
+    out = work_dir(spark, "fixture-documents-csv")
+    text = F.concat(F.col("text"), F.when(F.col("doc_id") % 7 == 0, F.lit(' "quoted"\n,"tail"'))
+                    .otherwise(F.lit("")))
+    (read_table(spark, sf_dir, "documents")
+     .select(F.col("doc_id").alias("Doc Id"), text.alias("Text"),
+             F.when(F.col("doc_id") % 5 > 0, F.col("lang")).alias("Lang"))
+     .write.option("header", True).option("encoding", "ISO-8859-1").option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(out))
+    return out
+
+
 def doc_file_name(id_col: str = "doc_id") -> F.Column:
     return F.concat(F.lit("doc_"), F.col(id_col).cast("string"), F.lit(".txt"))
 

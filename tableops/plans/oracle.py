@@ -565,6 +565,11 @@ CROSS JOIN (VALUES (1), (99)) u(column_id)"""
 ORACLE["replicate_refresh"] = "SELECT * FROM orders"
 ORACLE["replicate_restart"] = "SELECT * FROM orders"
 
+ORACLE["load_documents_file"] = """
+SELECT doc_id, text || CASE WHEN doc_id % 7 = 0 THEN ' "quoted"' || chr(10) || ',"tail"' ELSE '' END
+         AS text, CASE WHEN doc_id % 5 > 0 THEN lang END AS lang
+FROM documents"""
+
 ORACLE["csv_round_trip"] = "SELECT * FROM orders"
 
 ORACLE["json_lines"] = """

@@ -73,6 +73,15 @@ def load_file_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(res.table_path)
 
 
+@register
+def load_documents_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`documents` as a CSV file with quoted line breaks, loaded end to end."""
+    res = load_file(spark, fx.documents_csv(spark, sf_dir), "DOCUMENTS_LOADED", "CSV")
+    out = spark.read.parquet(res.table_path)
+    return out.select(F.col("DOC_ID").cast("long").alias("doc_id"), F.col("TEXT").alias("text"),
+                      F.col("LANG").alias("lang"))
+
+
 @register
 def normalize_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 over header-like strings composed from `part` text columns."""

@@ -19,7 +19,11 @@ CORRUPT_COL = "_corrupt_record"
 FILE_COL = "_source_file"
 BLOCK_COL = "_block_start"
 ROW_COL = "_row_in_part"
-POS_COLS = [BLOCK_COL, "_part", ROW_COL]
+# Line on which a record starts, where the parse itself knows it.
+LINE_COL = "_line"
+POS_COLS = [BLOCK_COL, "_part", ROW_COL, LINE_COL]
+# A line that the CSV reader skips: empty after Java trim().
+BLANK = r"^[\x00-\x20]*$"
 
 
 def delimiter_for(file_format: str) -> str:
@@ -63,7 +67,71 @@ def read_delimited(spark: SparkSession, path: str, file_format: str = "CSV",
     return (df.withColumn(FILE_COL, F.col("_metadata.file_path"))
             .withColumn(BLOCK_COL, F.col("_metadata.file_block_start"))
             .withColumn("_part", F.spark_partition_id())
-            .withColumn(ROW_COL, F.monotonically_increasing_id()))
+            .withColumn(ROW_COL, F.monotonically_increasing_id())
+            .withColumn(LINE_COL, F.lit(None).cast("long")))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Physical lines of the files, in split order, with their quote count."""
+    raw = spark.read.text(path)
+    text = F.decode(F.col("value").cast("binary"), SOURCE_ENCODING)
+    return (raw.select(F.col("_metadata.file_path").alias(FILE_COL),
+                       F.col("_metadata.file_block_start").alias(BLOCK_COL),
+                       F.spark_partition_id().alias("_part"),
+                       F.monotonically_increasing_id().alias(ROW_COL), text.alias("value"))
+            .withColumn("_q", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))))
+
+
+def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether some line leaves a quote open (the scan ends at the first)."""
+    return _lines(spark, path).filter(F.col("_q") % 2 == 1).limit(1).count() > 0
+
+
+def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV",
+                        names: list[str] | None = None) -> DataFrame:
+    """S1 + S2 for files whose quoted fields hold line breaks; the shape is
+    that of ``read_delimited``, and ``_line`` is the record's first line.
+
+    A record ends on a line after which the number of quotes in the file is
+    even.  Every split counts its quotes and lines (one row per split), the
+    running sums over the splits say in which state each begins, and windows
+    inside a split give each line its record.  A record's lines are put
+    together, so a record may cross splits; no task reads a whole file."""
+    names = names or header_names(spark, path, file_format)
+    keys = [FILE_COL, BLOCK_COL, "_part"]
+    lines = _lines(spark, path)
+    earlier = Window.partitionBy(FILE_COL).orderBy(BLOCK_COL).rowsBetween(
+        Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    splits = lines.groupBy(*keys).agg(F.sum("_q").alias("q"), F.count(F.lit(1)).alias("n")).select(
+        *keys, F.coalesce(F.sum("q").over(earlier), zero).alias("_q_before"),
+        F.coalesce(F.sum("n").over(earlier), zero).alias("_n_before"))
+    inside = Window.partitionBy(*keys).orderBy(ROW_COL)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    opened = (F.col("_q_before") + F.coalesce(F.sum("_q").over(before), zero)) % 2 == 1
+    numbered = (lines.join(splits, keys)
+                .withColumn("_at", F.col("_n_before") + F.row_number().over(inside))
+                .withColumn("_first", F.when(~opened, F.col("_at")))
+                .withColumn("_first", F.last("_first", ignorenulls=True).over(inside)))
+    # a split may begin inside a record: the last start of an earlier split
+    carried = numbered.groupBy(*keys).agg(F.max("_first").alias("l")).select(
+        *keys, F.last("l", ignorenulls=True).over(earlier).alias("_carried"))
+    whole = (numbered.join(carried, keys)
+             .withColumn(LINE_COL, F.coalesce("_first", "_carried"))
+             .groupBy(FILE_COL, LINE_COL)
+             .agg(F.array_sort(F.collect_list(F.struct("_at", "value"))).alias("l"))
+             .select(FILE_COL, LINE_COL, F.array_join(F.transform(
+                 "l", lambda x: x["value"]), "\n").alias("_text"))
+             .filter(~F.col("_text").rlike(BLANK)))
+    headers = whole.groupBy(FILE_COL).agg(F.min(LINE_COL).alias(LINE_COL))
+    schema = ", ".join(f"`{n}` string" for n in [*names, CORRUPT_COL])
+    parsed = F.from_csv("_text", schema, {
+        "sep": delimiter_for(file_format), "quote": '"', "escape": '"', "nullValue": "",
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
+    return (whole.join(headers, [FILE_COL, LINE_COL], "left_anti").withColumn("_p", parsed)
+            .select("_p.*", FILE_COL, F.lit(None).cast("long").alias(BLOCK_COL),
+                    F.lit(None).cast("int").alias("_part"),
+                    F.lit(None).cast("long").alias(ROW_COL), LINE_COL))
 
 
 def number_rejects(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
@@ -77,6 +145,10 @@ def number_rejects(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
     k moved past every blank line at or before it; its line number adds the
     lines of the file's earlier splits.  No step shuffles all lines, and
     only the malformed rows are joined."""
+    known = raw.filter(F.col(CORRUPT_COL).isNotNull() & F.col(LINE_COL).isNotNull())
+    if known.limit(1).count():  # the parse numbered its records
+        return known.select(FILE_COL, CORRUPT_COL,
+                            F.col(LINE_COL).cast("decimal(38,0)").alias("line"))
     keys = [FILE_COL, BLOCK_COL, "_part"]
     first = raw.groupBy(*keys).agg(F.min(ROW_COL).alias("_first"))
     bad = (raw.filter(F.col(CORRUPT_COL).isNotNull()).select(*keys, ROW_COL, CORRUPT_COL)
@@ -89,7 +161,7 @@ def number_rejects(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
                  F.spark_partition_id().alias("_part"),
                  F.monotonically_increasing_id().alias(ROW_COL),
                  # the CSV reader skips lines that are empty after Java trim()
-                 F.col("value").rlike(r"^[\x00-\x20]*$").alias("_blank")))
+                 F.col("value").rlike(BLANK).alias("_blank")))
     splits = t.groupBy(*keys).agg(F.min(ROW_COL).alias("_first"),
                                   F.count(F.lit(1)).alias("_n"))
     before = splits.select(FILE_COL, BLOCK_COL, F.coalesce(F.sum("_n").over(
@@ -98,7 +170,9 @@ def number_rejects(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
     blanks = (t.filter("_blank").join(splits, keys)
               .groupBy(FILE_COL, BLOCK_COL)
               .agg(F.array_sort(F.collect_list(F.col(ROW_COL) - F.col("_first"))).alias("_bl")))
-    located = (bad.join(before, [FILE_COL, BLOCK_COL])
+    # a split that the second read does not have (other split sizes) leaves
+    # the line open instead of losing the row
+    located = (bad.join(before, [FILE_COL, BLOCK_COL], "left")
                .join(blanks, [FILE_COL, BLOCK_COL], "left")
                .withColumn("_p", F.aggregate(
                    F.coalesce(F.col("_bl"), F.array().cast("array<bigint>")), F.col("_k"),
@@ -112,8 +186,10 @@ def land_delimited(spark: SparkSession, path: str, out_path: str, file_format: s
                    names: list[str] | None = None) -> DataFrame:
     """Parse once and write the raw parse (stage rows and malformed rows) as
     parquet; return it read back.  Reading malformed rows from the landed
-    copy avoids a second parse and the corrupt-column-only restriction."""
-    read_delimited(spark, path, file_format, names).write.mode("overwrite").parquet(out_path)
+    copy avoids a second parse and the corrupt-column-only restriction.
+    Files with quoted line breaks are parsed record by record, others by line."""
+    read = read_quoted_records if has_quoted_breaks(spark, path) else read_delimited
+    read(spark, path, file_format, names).write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 
 

@@ -160,3 +160,24 @@ def test_hidden_names_are_reported(spark, tmp_dir):
             fh.write(name)
     assert [r.file_name for r in files.list_files(spark, tmp_dir).collect()] == ["a.txt"]
     assert files.hidden_files(spark, tmp_dir) == [".c.txt", "_b.txt"]
+
+
+def test_quoted_line_breaks(spark, tmp_dir):
+    from tableops.sources import delimited
+    text = ('ID,NOTE\n1,"one\ntwo"\n\n2,plain\n3\n4,"say ""hi""\n\nbye"\n5,a,b\n6,"\u00e9"\n'
+            + "".join(f'{i},"x\n{i}"\n' for i in range(10, 400)))
+    with open(f"{tmp_dir}/f.csv", "wb") as fh:
+        fh.write(text.encode("latin-1"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (old, "700"):  # also with records that cross splits
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            raw = delimited.land_delimited(spark, f"{tmp_dir}/f.csv", f"{tmp_dir}/out{size}")
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        good = {int(r.ID): r.NOTE for r in delimited.good_rows(raw).collect()}
+        assert good == {1: "one\ntwo", 2: "plain", 4: 'say "hi"\n\nbye', 6: "\u00e9",
+                        **{i: f"x\n{i}" for i in range(10, 400)}}
+        bad = delimited.number_rejects(spark, f"{tmp_dir}/f.csv", raw)
+        assert sorted((int(r.line), r._corrupt_record) for r in bad.collect()) == [
+            (6, "3"), (10, "5,a,b")]
