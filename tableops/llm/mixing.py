@@ -11,7 +11,8 @@ The flow is solved on the summed patterns, whose number is checked
 A pattern that gives f words then takes every document ``f div words`` times
 and the rest from documents in a seeded order (hash of seed, id, text and
 source) until it is reached.  The order's running sums come from a histogram
-of hash ranges; only the one range in which a pattern's rest ends is sorted.
+of hash ranges, then of the finer ranges in the one where a pattern's rest
+ends; only the fine range in which it ends is sorted.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ WEIGHTS = (5.0, 2.0, 1.0)
 EPOCHS = 3
 SEED = 20
 MAX_PATTERNS = 100_000
-# Hash ranges per pattern of the seeded order (2 ** BITS).
-BITS = 16
+# Hash ranges of the seeded order, and finer ranges in one (2 ** BITS each).
+BITS = 8
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -162,18 +163,28 @@ def mix(docs: DataFrame, sources: Column, size: Column, weights=WEIGHTS, epochs:
     # at most MAX_PATTERNS rows: a checked bound
     doc = sized.join(F.broadcast(plan), F.col("sources_").eqNullSafe(F.col("p_"))).drop("p_")
 
-    span = F.shiftrightunsigned(F.col("hash_"), 64 - BITS)
-    ranges = doc.groupBy("sources_", "rest", span.alias("span_")).agg(F.sum("size_").alias("words"))
-    before = Window.partitionBy("sources_").orderBy("span_").rowsBetween(
-        Window.unboundedPreceding, -1)
-    ranges = (ranges.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-              # the range in which the rest ends: one row per pattern
-              .filter((F.col("before") < F.col("rest"))
-                      & (F.col("before") + F.col("words") >= F.col("rest")))
-              .select(F.col("sources_").alias("q_"), F.col("span_").alias("last_span"),
-                      F.col("before").alias("last_before")))
-    doc = doc.join(F.broadcast(ranges), F.col("sources_").eqNullSafe(F.col("q_")), "left").drop("q_")
-    inside = F.col("last_span").isNotNull() & (span == F.col("last_span"))
+    # (first, last) documents of the order up to where the rest ends: whole
+    # ranges before it, then the finer ranges of the range in which it ends
+    inside, taken = F.lit(True), F.lit(False)
+    doc = doc.withColumn("last_before", F.lit(0).cast("long"))
+    for k in (1, 2, 3):
+        span = F.shiftrightunsigned(F.col("hash_"), 64 - k * BITS)
+        ranges = (doc.filter(inside).groupBy("sources_", "rest", "last_before", span.alias("span_"))
+                  .agg(F.sum("size_").alias("words")))
+        before = Window.partitionBy("sources_").orderBy("span_").rowsBetween(
+            Window.unboundedPreceding, -1)
+        ranges = (ranges.withColumn("before", F.col("last_before")
+                                    + F.coalesce(F.sum("words").over(before), F.lit(0)))
+                  # the range in which the rest ends: one row per pattern
+                  .filter((F.col("before") < F.col("rest"))
+                          & (F.col("before") + F.col("words") >= F.col("rest")))
+                  .select(F.col("sources_").alias("q_"), F.col("span_").alias(f"span{k}"),
+                          F.col("before").alias("b_")))
+        doc = (doc.join(F.broadcast(ranges), F.col("sources_").eqNullSafe(F.col("q_")), "left")
+               .withColumn("last_before", F.coalesce("b_", "last_before")).drop("q_", "b_"))
+        here = F.col(f"span{k}").isNotNull()
+        taken = taken | (inside & here & (span < F.col(f"span{k}")))
+        inside = inside & here & (span == F.col(f"span{k}"))
     within = Window.partitionBy("sources_").orderBy("hash_").rowsBetween(
         Window.unboundedPreceding, -1)
     edge = (doc.filter(inside)
@@ -182,8 +193,7 @@ def mix(docs: DataFrame, sources: Column, size: Column, weights=WEIGHTS, epochs:
             # whole documents: the last one if that comes nearer to the rest
             .withColumn("more", 2 * (F.col("rest") - F.col("sum_")) > F.col("size_"))
             .drop("sum_"))
-    rest = doc.filter(~inside).withColumn(
-        "more", F.col("last_span").isNotNull() & (span < F.col("last_span")))
+    rest = doc.filter(~inside).withColumn("more", taken)
     return (edge.unionByName(rest)
             .select("doc_id", *keep, F.col("sources_").alias("sources"),
                     F.col("size_").alias("size"), "source_size", "target",

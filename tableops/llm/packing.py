@@ -6,9 +6,8 @@ open bin, or a new one, that makes the sum over the residual gaps g of
 (open bins with gap g) squared smallest; ties take the tightest gap, a new
 bin last.
 
-Packing runs in groups of ``GROUP_PIECES`` pieces, dealt by a hash: a task
-holds one group, however large the input is, and the bins' count statistics
-have settled long before a group ends.  The bins a group leaves with
+Packing runs in groups of ``GROUP_PIECES`` pieces, dealt by a hash, long
+pieces first: a task holds one group, however large the input is.  The bins a group leaves with
 ``MERGE_GAP`` tokens or more unused are packed once more as if each were one
 piece, in groups that again hold ``GROUP_PIECES`` of them.
 """
@@ -101,10 +100,8 @@ def _pack(rows: DataFrame, groups: int, key: list[str], size: str, extra: int,
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         group = int(pdf["g_"].iloc[0])
-        pdf = pdf.drop(columns="g_").sort_values([*key, size], kind="stable")
-        # a fixed shuffle: neither long nor short pieces come in runs
-        order = np.random.default_rng(extra).permutation(len(pdf))
-        pdf = pdf.iloc[order]
+        # long pieces first: the short ones fill what they leave
+        pdf = pdf.drop(columns="g_").sort_values([size, *key], ascending=False, kind="stable")
         bins, offsets = sum_of_squares(pdf[size].to_numpy(np.int64), capacity)
         return pdf.assign(bin=(bins * groups + group) * 4 + extra, at=offsets)
 
