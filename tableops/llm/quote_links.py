@@ -171,18 +171,21 @@ def _roots(links: DataFrame) -> DataFrame:
     Only messages whose pointer does not stand on a thread's first message
     yet take part in a round; the longest reply chain is halved by each.
     """
-    state = links.select("c", "t", "up", F.lit(1).cast("long").alias("hops")).checkpoint()
-    while True:
+    known = links.select(F.col("c").alias("nc"), F.col("t").alias("nt"))
+    state = (links.select("c", "t", "up", F.lit(1).cast("long").alias("hops"))
+             .join(known, (F.col("c") == F.col("nc")) & (F.col("up") == F.col("nt")), "left")
+             .withColumn("open", F.col("nt").isNotNull()).drop("nc", "nt").checkpoint())
+    while state.filter("open").limit(1).count():
         nxt = state.select(F.col("c").alias("nc"), F.col("t").alias("nt"),
-                           F.col("up").alias("nup"), F.col("hops").alias("nhops"))
-        moved = (state.join(nxt, (F.col("c") == F.col("nc")) & (F.col("up") == F.col("nt")), "left")
-                 .select("c", "t", F.coalesce("nup", "up").alias("up"),
-                         (F.col("hops") + F.coalesce("nhops", F.lit(0))).alias("hops"),
-                         F.col("nup").isNotNull().alias("moved")).checkpoint())
-        again = moved.filter("moved").limit(1).count()
-        state = moved.drop("moved")
-        if not again:
-            return state.select("c", "t", F.col("up").alias("root"), F.col("hops").alias("depth"))
+                           F.col("up").alias("nup"), F.col("hops").alias("nhops"),
+                           F.col("open").alias("nopen"))
+        moved = (state.filter("open")
+                 .join(nxt, (F.col("c") == F.col("nc")) & (F.col("up") == F.col("nt")))
+                 .select("c", "t", F.col("nup").alias("up"),
+                         (F.col("hops") + F.col("nhops")).alias("hops"),
+                         F.col("nopen").alias("open")))
+        state = state.filter("not open").unionByName(moved).checkpoint()
+    return state.select("c", "t", F.col("up").alias("root"), F.col("hops").alias("depth"))
 
 
 def quoting_messages(conversations: DataFrame) -> DataFrame:
