@@ -20,19 +20,27 @@ _U = np.uint64
 FLUSH_TOKENS = 2_000_000
 
 
+# Low bits that are not sent: 46 bits tell tokens apart (a set bit only says
+# that a token may repeat).
+DROPPED_BITS = 18
+
+
 def packed(tokens: np.ndarray) -> bytes:
-    """Sorted distinct tokens as steps of 32 bits, or whole if a step is larger."""
-    steps = np.diff(tokens, prepend=tokens[:1])
-    if len(tokens) and int(steps.max()) < 1 << 32:
-        return b"S" + tokens[:1].tobytes() + steps.astype("<u4").tobytes()
-    return b"W" + tokens.tobytes()
+    """Sorted tokens without their low bits, as steps of 32 bits where they fit."""
+    short = tokens >> _U(DROPPED_BITS)
+    steps = np.diff(short, prepend=short[:1])
+    if len(short) and int(steps.max()) < 1 << 32:
+        return b"S" + short[:1].tobytes() + steps.astype("<u4").tobytes()
+    return b"W" + short.tobytes()
 
 
 def unpacked(raw: bytes) -> np.ndarray:
+    """Sorted tokens, low bits zero."""
     if raw[:1] == b"W":
-        return np.frombuffer(raw, np.uint64, offset=1)
+        return np.frombuffer(raw, np.uint64, offset=1) << _U(DROPPED_BITS)
     first = np.frombuffer(raw, np.uint64, 1, 1)
-    return np.cumsum(np.frombuffer(raw, "<u4", offset=9).astype(np.uint64)) + first
+    steps = np.cumsum(np.frombuffer(raw, "<u4", offset=9).astype(np.uint64))
+    return (steps + first) << _U(DROPPED_BITS)
 
 
 class BitTable:
