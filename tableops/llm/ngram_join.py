@@ -46,10 +46,10 @@ PERCENT = 80
 ORDERS = 3
 FREQUENT = 100_000
 # Bits of each order's table of repeated prefix tokens (2 ** BITS).
-BITS = 27
+BITS = 26
 # Members that a task compares with one copy of a leader's text.
 LEADER_CHUNK = 1000
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 _U = np.uint64
 _SEEDS = (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 
@@ -301,24 +301,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                  # one question a round; the last step asks for all pairs left
                  .filter("r = 1").select("a", "b"))
         links.append(_verified(asked, texts))
-        groups = _parts(links)
+        groups = _labels(links) if turn + 1 < LEADER_ROUNDS else _parts(links)
 
     survivors = None
     for r in range(ORDERS):
         p = (scored if not r else postings(r)).join(groups, "id", "left").withColumn(
             "part", F.coalesce("part", "id"))
-        mixed = (p.groupBy(F.col("token").alias("tk"))
-                 .agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi"))
+        # of each token with several components, the one with most postings
+        sizes = p.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
+        mixed = (sizes.groupBy(F.col("token").alias("tk"))
+                 .agg(F.max(F.struct("k", "part"))["part"].alias("big"),
+                      F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
         path = work_dir(spark, "mixed")
-        p.join(mixed, F.col("token") == F.col("tk")).select("token", "id", "n", "part") \
-            .write.parquet(path)
+        (p.join(mixed, F.col("token") == F.col("tk"))
+         .select("token", "id", "n", "part", "big").write.parquet(path))
         p = spark.read.parquet(path)
-        q = p.toDF("token", "id2", "n2", "part2")
-        met = (p.join(q, "token").filter((F.col("part") != F.col("part2"))
-                                         & (F.col("id") < F.col("id2")) & fits("n", "n2"))
-               .groupBy(F.col("id").alias("a"), F.col("id2").alias("b"), "n", "n2")
+        q = p.toDF("token", "id2", "n2", "part2", "big2")
+        # postings outside the large component ask all of other components, so
+        # a large group of near copies meets the few others, not itself
+        met = (p.filter(F.col("part") != F.col("big")).join(q, "token")
+               .filter((F.col("part") != F.col("part2")) & fits("n", "n2")
+                       & ((F.col("part2") == F.col("big2")) | (F.col("id") < F.col("id2"))))
+               .groupBy(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"),
+                        F.least("n", "n2").alias("m"))
                .agg(F.count(F.lit(1)).alias("c"))
-               .filter(F.col("c") >= 1 + F.floor(F.least("n", "n2") / 10)).select("a", "b"))
+               .filter(F.col("c") >= 1 + F.floor(F.col("m") / 10)).select("a", "b"))
         survivors = met if survivors is None else survivors.join(met, ["a", "b"], "left_semi")
     links.append(_verified(survivors, texts))
     groups = _parts(links)
@@ -334,11 +341,30 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                     .alias("component_id")))
 
 
-def _parts(links: list[DataFrame]) -> DataFrame:
-    """(id, part) of all links so far."""
+def _union(links: list[DataFrame]) -> DataFrame:
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
+    return out
+
+
+def _labels(links: list[DataFrame]) -> DataFrame:
+    """(id, part): nodes with one part are in one component; a component may
+    still have several.  Two steps towards the smallest id, for stars enough."""
+    low = F.least("a", "b").alias("part")
+    pairs = _union(links)
+    one = (pairs.select(F.col("a").alias("id"), low).unionByName(
+        pairs.select(F.col("b").alias("id"), low)).groupBy("id").agg(F.min("part").alias("part")))
+    path = work_dir(pairs.sparkSession, "labels")
+    one.write.parquet(path)
+    one = pairs.sparkSession.read.parquet(path)
+    return one.join(one.toDF("i", "next"), F.col("part") == F.col("i")).select(
+        "id", F.col("next").alias("part"))
+
+
+def _parts(links: list[DataFrame]) -> DataFrame:
+    """(id, part) by the components of all links so far."""
+    out = _union(links)
     got = components(out).select("id", F.col("component").alias("part"))
     path = work_dir(out.sparkSession, "parts")
     got.write.parquet(path)
