@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from ..session import work_dir
 from .components import components
 from .repeats import BitTable, repeated_bits
-from .shingles import chunked, mix, shingle_sets
+from .shingles import chunked, mix, shingle_sets, slices
 
 # Links when PERCENT * union <= 100 * intersection.
 PERCENT = 80
@@ -120,7 +120,7 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             keep = counts >= least
             tokens, counts, fresh = tokens[keep], counts[keep], []
 
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(0).to_pylist()
             for i, j in chunked(texts):
                 fresh.extend(shingle_sets(texts[i:j]))
@@ -160,7 +160,7 @@ def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order_of, tables = shared.value
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(1).to_pylist()
             sizes, keys, kept, lists = [], [], [], [[] for _ in range(ORDERS)]
             for i, j in chunked(texts):
@@ -216,7 +216,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lead: tuple | None = None
         chief = np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in slices(batches):
             b, salt, a = (batch.column(i).to_pylist() for i in range(3))
             texts_ = batch.column(3).to_pylist()
             out_a, out_b = [], []

@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shingles import slices
+
 _U = np.uint64
 # Tokens that a task holds before it sends them on.
 FLUSH_TOKENS = 2_000_000
@@ -85,7 +87,7 @@ def repeated_bits(frame: DataFrame, kinds: int, bits: int,
                 "again": pa.array(rows["again"], pa.binary())})
 
         size = 0
-        for b in batches:
+        for b in slices(batches):
             for kind, tokens in tokens_of(b):
                 held[kind].append(tokens)
                 size += len(tokens)

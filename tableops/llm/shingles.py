@@ -87,6 +87,13 @@ def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     return out
 
 
+def slices(batches, rows: int = 500):
+    """Batches of few rows, which bound the Python objects that are alive."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def chunked(texts: list[str | None], chars: int = 2_000_000):
     """Positions (from, to) of runs of texts of about ``chars`` characters."""
     start = size = 0
