@@ -71,20 +71,39 @@ def read_delimited(spark: SparkSession, path: str, file_format: str = "CSV",
             .withColumn(LINE_COL, F.lit(None).cast("long")))
 
 
-def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Physical lines of the files, in split order, with their quote count."""
+def _ends_open(sep: str) -> tuple[str, str]:
+    """Patterns of the lines that end inside a quoted field, for lines that
+    begin outside and inside of one.  As in the parser, a quote opens only as
+    the first character of a field, a doubled quote stays inside, and what
+    follows a closing quote belongs to the field up to the delimiter.  All
+    repeats are possessive: one pass, no recursion on long lines."""
+    d = "\\t" if sep == "\t" else sep
+    body = '[^"]*+(?:""[^"]*+)*+'
+    rest = f"[^{d}]*+"
+    fields = f'(?:(?:"{body}"{rest}|[^"{d}]{rest}|){d})*+'
+    opens = f'{fields}"{body}\\z'
+    return f"\\A{opens}", f'\\A{body}(?:\\z|"{rest}{d}{opens})'
+
+
+def _lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """Physical lines of the files, in split order, and whether they end inside
+    a quoted field if they begin outside (``_o``) or inside (``_i``) of one."""
     raw = spark.read.text(path)
     text = F.decode(F.col("value").cast("binary"), SOURCE_ENCODING)
+    outside, inside = _ends_open(sep)
+    quoted = F.col("value").contains('"')
     return (raw.select(F.col("_metadata.file_path").alias(FILE_COL),
                        F.col("_metadata.file_block_start").alias(BLOCK_COL),
                        F.spark_partition_id().alias("_part"),
                        F.monotonically_increasing_id().alias(ROW_COL), text.alias("value"))
-            .withColumn("_q", F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))))
+            .withColumn("_o", F.when(quoted, F.col("value").rlike(outside)).otherwise(False))
+            .withColumn("_i", F.when(quoted, F.col("value").rlike(inside)).otherwise(True)))
 
 
-def has_quoted_breaks(spark: SparkSession, path: str) -> bool:
-    """Whether some line leaves a quote open (the scan ends at the first)."""
-    return _lines(spark, path).filter(F.col("_q") % 2 == 1).limit(1).count() > 0
+def has_quoted_breaks(spark: SparkSession, path: str, file_format: str = "CSV") -> bool:
+    """Whether some line leaves a quoted field open (the scan ends at the first).
+    Quotes inside an unquoted field open nothing."""
+    return _lines(spark, path, delimiter_for(file_format)).filter("_o").limit(1).count() > 0
 
 
 def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV",
@@ -92,43 +111,77 @@ def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV"
     """S1 + S2 for files whose quoted fields hold line breaks; the shape is
     that of ``read_delimited``, and ``_line`` is the record's first line.
 
-    A record ends on a line after which the number of quotes in the file is
-    even.  Every split counts its quotes and lines (one row per split), the
-    running sums over the splits say in which state each begins, and windows
-    inside a split give each line its record.  A record's lines are put
-    together, so a record may cross splits; no task reads a whole file."""
+    A record ends on a line after which no quoted field is open.  A line maps
+    the state before it (0 outside, 1 inside of a quoted field) to the state
+    after it: it keeps the state, turns it or sets it.  After a setting line
+    with ``turns`` turning lines before it, the state is ``_base`` (the state
+    set less ``turns``) plus the turns so far, modulo 2, so two running values
+    compose the lines of a split and, with one row per split, the splits of a
+    file.  Windows inside a split give each line its record.  A record's lines
+    are put together, so a record may cross splits; no task reads a whole file.
+
+    A quoted field that no line closes makes no record: each line from its
+    first one to the end of the file is a malformed row of its own."""
+    sep = delimiter_for(file_format)
     names = names or header_names(spark, path, file_format)
     keys = [FILE_COL, BLOCK_COL, "_part"]
-    lines = _lines(spark, path)
     earlier = Window.partitionBy(FILE_COL).orderBy(BLOCK_COL).rowsBetween(
         Window.unboundedPreceding, -1)
+    file = Window.partitionBy(FILE_COL)
     zero = F.lit(0).cast("long")
-    splits = lines.groupBy(*keys).agg(F.sum("_q").alias("q"), F.count(F.lit(1)).alias("n")).select(
-        *keys, F.coalesce(F.sum("q").over(earlier), zero).alias("_q_before"),
-        F.coalesce(F.sum("n").over(earlier), zero).alias("_n_before"))
     inside = Window.partitionBy(*keys).orderBy(ROW_COL)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    opened = (F.col("_q_before") + F.coalesce(F.sum("_q").over(before), zero)) % 2 == 1
+    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    lines = (_lines(spark, path, sep)
+             .withColumn("_turn", (F.col("_o") & ~F.col("_i")).cast("long"))
+             .withColumn("_turns", F.sum("_turn").over(so_far))
+             .withColumn("_base", F.when(F.col("_o") == F.col("_i"),
+                                         F.col("_o").cast("long") - F.col("_turns"))))
+
+    def state(base, turns):
+        return F.pmod(base + turns, F.lit(2))
+
+    splits = (lines.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("_turn").alias("_t"),
+        F.max(F.when(F.col("_base").isNotNull(), F.struct(ROW_COL, "_base")))["_base"].alias("_b"))
+        .withColumn("_t_before", F.coalesce(F.sum("_t").over(earlier), zero))
+        # the split's base with the turns of the earlier splits taken off
+        .withColumn("_b", F.when(F.col("_b").isNotNull(),
+                                 state(F.col("_b"), F.col("_t")) - F.col("_t_before") - F.col("_t")))
+        .withColumn("_b_before", F.coalesce(F.last("_b", ignorenulls=True).over(earlier), zero))
+        .withColumn("_after", state(F.coalesce("_b", "_b_before"),
+                                    F.col("_t_before") + F.col("_t")))
+        .select(*keys, state(F.col("_b_before"), F.col("_t_before")).alias("_begin"),
+                F.coalesce(F.sum("_n").over(earlier), zero).alias("_n_before"),
+                (F.max(F.struct(BLOCK_COL, "_after")).over(file)["_after"] == 1).alias("_open")))
+    opened = state(F.coalesce(F.last("_base", ignorenulls=True).over(before), F.col("_begin")),
+                   F.col("_turns") - F.col("_turn")) == 1
     numbered = (lines.join(splits, keys)
                 .withColumn("_at", F.col("_n_before") + F.row_number().over(inside))
                 .withColumn("_first", F.when(~opened, F.col("_at")))
                 .withColumn("_first", F.last("_first", ignorenulls=True).over(inside)))
     # a split may begin inside a record: the last start of an earlier split
     carried = numbered.groupBy(*keys).agg(F.max("_first").alias("l")).select(
-        *keys, F.last("l", ignorenulls=True).over(earlier).alias("_carried"))
+        *keys, F.last("l", ignorenulls=True).over(earlier).alias("_carried"),
+        F.max("l").over(file).alias("_last"))
+    start = F.coalesce("_first", "_carried")
     whole = (numbered.join(carried, keys)
-             .withColumn(LINE_COL, F.coalesce("_first", "_carried"))
-             .groupBy(FILE_COL, LINE_COL)
+             .withColumn("_unclosed", F.col("_open") & (start == F.col("_last")))
+             .withColumn(LINE_COL, F.when(F.col("_unclosed"), F.col("_at")).otherwise(start))
+             .groupBy(FILE_COL, LINE_COL, "_unclosed")
              .agg(F.array_sort(F.collect_list(F.struct("_at", "value"))).alias("l"))
-             .select(FILE_COL, LINE_COL, F.array_join(F.transform(
+             .select(FILE_COL, LINE_COL, "_unclosed", F.array_join(F.transform(
                  "l", lambda x: x["value"]), "\n").alias("_text"))
              .filter(~F.col("_text").rlike(BLANK)))
     headers = whole.groupBy(FILE_COL).agg(F.min(LINE_COL).alias(LINE_COL))
     schema = ", ".join(f"`{n}` string" for n in [*names, CORRUPT_COL])
     parsed = F.from_csv("_text", schema, {
-        "sep": delimiter_for(file_format), "quote": '"', "escape": '"', "nullValue": "",
+        "sep": sep, "quote": '"', "escape": '"', "nullValue": "",
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
-    return (whole.join(headers, [FILE_COL, LINE_COL], "left_anti").withColumn("_p", parsed)
+    unclosed = F.struct(*[F.lit(None).cast("string").alias(n) for n in names],
+                        F.col("_text").alias(CORRUPT_COL))
+    return (whole.join(headers, [FILE_COL, LINE_COL], "left_anti")
+            .withColumn("_p", F.when(F.col("_unclosed"), unclosed).otherwise(parsed))
             .select("_p.*", FILE_COL, F.lit(None).cast("long").alias(BLOCK_COL),
                     F.lit(None).cast("int").alias("_part"),
                     F.lit(None).cast("long").alias(ROW_COL), LINE_COL))
@@ -188,7 +241,8 @@ def land_delimited(spark: SparkSession, path: str, out_path: str, file_format: s
     parquet; return it read back.  Reading malformed rows from the landed
     copy avoids a second parse and the corrupt-column-only restriction.
     Files with quoted line breaks are parsed record by record, others by line."""
-    read = read_quoted_records if has_quoted_breaks(spark, path) else read_delimited
+    broken = has_quoted_breaks(spark, path, file_format)
+    read = read_quoted_records if broken else read_delimited
     read(spark, path, file_format, names).write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
 

@@ -181,3 +181,59 @@ def test_quoted_line_breaks(spark, tmp_dir):
         bad = delimited.number_rejects(spark, f"{tmp_dir}/f.csv", raw)
         assert sorted((int(r.line), r._corrupt_record) for r in bad.collect()) == [
             (6, "3"), (10, "5,a,b")]
+
+
+def land(spark, folder, text, size=None):
+    """Good rows and (line, text) of the malformed ones, with splits of ``size`` bytes."""
+    from tableops.sources import delimited
+    with open(f"{folder}/f.csv", "wb") as fh:
+        fh.write(text.encode("latin-1"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size or old)
+    try:
+        raw = delimited.land_delimited(spark, f"{folder}/f.csv", f"{folder}/out")
+        bad = delimited.number_rejects(spark, f"{folder}/f.csv", raw).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    return (sorted((tuple(r) for r in delimited.good_rows(raw).collect()), key=str),
+            sorted((int(r.line), r._corrupt_record) for r in bad))
+
+
+def test_stray_quotes_open_nothing(spark, tmp_dir):
+    stray = 'ID,NOTE\n1,5" pipe\n2,abc\n3,def\n'
+    want = [("1", '5" pipe'), ("2", "abc"), ("3", "def")]
+    assert land(spark, tmp_dir, stray) == (want, [])
+    # beside a record that does hold a line break; also with splits inside it
+    tail = '4,"a\nb"\n5," ""x"" "\n7,5"\n8,"e,""\nf"\n9,g\n'
+    for size in (None, "9"):
+        assert land(spark, tmp_dir, stray + tail, size) == (
+            [*want, ("4", "a\nb"), ("5", ' "x" '), ("7", '5"'), ("8", 'e,"\nf'), ("9", "g")], [])
+
+
+def test_unclosed_quote_is_rejected_by_line(spark, tmp_dir):
+    for size in (None, "9"):
+        assert land(spark, tmp_dir, 'ID,NOTE\n1,"a\nb"\n2,x\n3,"abc\n4,def\n\n5,5" pipe\n"",""x\n',
+                    size)[0][:2] == [("1", "a\nb"), ("2", "x")]
+        assert land(spark, tmp_dir, 'ID,NOTE\n1,"a\nb"\n2,x\n3,"abc\n4,def\n\n5,ghi\n', size) == (
+            [("1", "a\nb"), ("2", "x")], [(5, '3,"abc'), (6, "4,def"), (8, "5,ghi")])
+
+
+def test_records_end_where_the_parser_ends_them(spark, tmp_dir):
+    import random
+    rng = random.Random(11)
+    for _ in range(4):
+        lines = ["".join(rng.choice(['"', '"', ",", "x", " ", '""']) for _ in range(
+            rng.randint(1, 9))) for _ in range(60)]
+        # the line before the last closes what is open, and opens nothing
+        text = "A,B,C\n" + "\n".join(lines) + '\nx",x\n1,2,3\n'
+        good, bad = land(spark, tmp_dir, text, rng.choice([None, "40"]))
+        with open(f"{tmp_dir}/f.csv", "wb") as fh:
+            fh.write(text.encode())
+        want = (spark.read.option("header", True).option("escape", '"').option("nullValue", "")
+                .option("multiLine", True).schema("A string, B string, C string, _bad string")
+                .option("columnNameOfCorruptRecord", "_bad").csv(f"{tmp_dir}/f.csv").collect())
+        key = lambda r: tuple(map(str, r))
+        assert sorted(good, key=key) == sorted(
+            (tuple(r)[:3] for r in want if r._bad is None), key=key)
+        # this reader counts lines of blanks as records
+        assert len(bad) == sum(r._bad is not None and bool(r._bad.strip()) for r in want)
