@@ -187,6 +187,26 @@ def test_suffix_dedup(spark, monkeypatch):
     assert bwt_dedup.deduplicate(df.limit(0)).count() == 0
 
 
+def test_anchors_that_agree_in_the_bits_sent(spark, monkeypatch):
+    """``settle`` sees 10 bits of an anchor here, so it takes different ones for one."""
+    few = np.uint64(54)
+
+    def packed(tokens):
+        return (tokens >> few).tobytes()
+
+    def unpacked(raw):
+        return np.frombuffer(raw, np.uint64) << few
+
+    monkeypatch.setattr(bwt_dedup, "ANCHOR_BITS", 10)
+    monkeypatch.setattr(bwt_dedup, "packed", lambda tokens: packed(tokens))
+    monkeypatch.setattr(bwt_dedup, "unpacked", lambda raw: unpacked(raw))
+    rng = random.Random(17)
+    shared = [sentence(rng, 40) for _ in range(25)]
+    rows = [(i, f"{sentence(rng, 9)} {shared[i % 25]} {sentence(rng, 9)}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_dedup(rows, bwt_dedup.deduplicate(df.repartition(4)).collect())
+
+
 def test_cut_characters_leave_whole_ones():
     raw = "aé文b".encode()
     gone = np.array([0, 0, 1, 0, 0, 0, 0], bool)
