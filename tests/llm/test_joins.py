@@ -207,6 +207,28 @@ def test_anchors_that_agree_in_the_bits_sent(spark, monkeypatch):
     check_dedup(rows, bwt_dedup.deduplicate(df.repartition(4)).collect())
 
 
+def test_hot_anchors_stay_out_of_the_index(spark, monkeypatch):
+    real = bwt_dedup.older_docs
+
+    def checked(parts, docs):
+        assert len(parts) <= 60, "a hot anchor's contexts met in one shard"
+        return real(parts, docs)
+
+    monkeypatch.setattr(bwt_dedup, "older_docs", lambda parts, docs: checked(parts, docs))
+    monkeypatch.setattr(bwt_dedup, "HOT_CONTEXTS", 25, raising=False)
+    monkeypatch.setattr(bwt_dedup, "NAMED_CONTEXTS", 4, raising=False)
+    monkeypatch.setattr(bwt_dedup, "SHARD_CONTEXTS", 20)
+    rng = random.Random(23)
+    rule, line = "-" * 24, sentence(rng, 14)
+    # a short piece and a passage between differing texts, some of which come again
+    sides = [sentence(rng, 12) for _ in range(150)]
+    rows = [(i, f"{sides[i]}{rule}{sides[-1 - i]} {line} {rng.choice(sides)}{rule}"
+             f"{rng.choice(sides)}" + "=" * (i % 9 * 20)) for i in range(150)]
+    rows += [(7, "other " + rows[3][1][40:]), (None, rows[5][1]), (200, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_dedup(rows, bwt_dedup.deduplicate(df.repartition(4)).collect())
+
+
 def test_cut_characters_leave_whole_ones():
     raw = "aé文b".encode()
     gone = np.array([0, 0, 1, 0, 0, 0, 0], bool)
