@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table, work_dir
-from . import (bwt_dedup, embedding_join, language_id, mixing, ngram_join, packing, quote_links, risk_thresholds,
-               simple8b, url_filter)
+from . import (bwt_dedup, embedding_join, feast_whitening, language_id, mixing, ngram_join, packing,
+               positional_index, prefix_trie, quote_links, risk_thresholds, simple8b, url_filter)
+from .oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def register(fn):
@@ -96,3 +96,25 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of `documents` that repeat 50-byte strings of smaller doc_ids."""
     return bwt_dedup.deduplicate(read_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix nodes of all `conversations`, rebuilt with the openings of their blocks."""
+    return prefix_trie.openings_trie(read_table(spark, sf_dir, "conversations"))
+
+
+@register
+def op12_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all `documents` inside of ten-word phrases of `benchmark`."""
+    got = positional_index.decontaminate(read_table(spark, sf_dir, "documents"),
+                                         read_table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@register
+def op13_feast_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All `embeddings` on the 16 leading components of their distinct vectors."""
+    return feast_whitening.whitened_embeddings(read_table(spark, sf_dir, "embeddings"))
