@@ -37,6 +37,22 @@ def orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def orders_before_and_after(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """`orders` with even keys, and an older state of them: without the first
+    keys, with other prices in one hundredth of the key range and with rows of
+    odd keys, gone by now, in another."""
+    o = read_table(spark, sf_dir, "orders")
+    top = o.agg(F.max("o_orderkey")).first()[0]
+    newer = o.withColumn("o_orderkey", F.col("o_orderkey") * 2)
+    share = F.floor(F.col("o_orderkey") * 50 / F.lit(top + 1))
+    older = newer.filter(F.col("o_orderkey") > 20).withColumn(
+        "o_totalprice", F.when(share == 20, F.col("o_totalprice") + 1)
+        .otherwise(F.col("o_totalprice")))
+    gone = newer.filter((share == 70) & (F.col("o_orderkey") % 20 == 0)).withColumn(
+        "o_orderkey", F.col("o_orderkey") + 1)
+    return older.unionByName(gone), newer
+
+
 # Renderings of one timestamp, one per candidate mask (Spark patterns).
 EVENT_TS_RENDERINGS = [
     ("ts_dd_mon_yy", "dd-MMM-yy"),

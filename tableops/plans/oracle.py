@@ -565,6 +565,35 @@ CROSS JOIN (VALUES (1), (99)) u(column_id)"""
 ORACLE["replicate_refresh"] = "SELECT * FROM orders"
 ORACLE["replicate_restart"] = "SELECT * FROM orders"
 
+ORACLE["replicate_delta"] = "SELECT * REPLACE (o_orderkey * 2 AS o_orderkey) FROM orders"
+
+ORACLE["replicate_delta_log"] = """
+WITH newer AS (SELECT * REPLACE (o_orderkey * 2 AS o_orderkey) FROM orders),
+shares AS (SELECT *, o_orderkey * 50 // (SELECT max(o_orderkey) + 1 FROM orders) AS share FROM newer),
+older AS (
+    SELECT * EXCLUDE (share) REPLACE (
+        CASE WHEN share = 20 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+    FROM shares WHERE o_orderkey > 20
+    UNION ALL
+    SELECT * EXCLUDE (share) REPLACE (o_orderkey + 1 AS o_orderkey)
+    FROM shares WHERE share = 70 AND o_orderkey % 20 = 0),
+ranked AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) - 1 AS r FROM older),
+borders AS (SELECT CASE WHEN r = 0 THEN -1 ELSE k END AS k, r // 100 AS id FROM ranked WHERE r % 100 = 0),
+differing AS (
+    (SELECT * FROM (SELECT * FROM older EXCEPT ALL SELECT * FROM newer))
+    UNION ALL (SELECT * FROM (SELECT * FROM newer EXCEPT ALL SELECT * FROM older))),
+changed AS (
+    SELECT DISTINCT b.id FROM differing d ASOF JOIN borders b ON d.o_orderkey >= b.k),
+copied AS (
+    SELECT count(*) AS n FROM newer d ASOF JOIN borders b ON d.o_orderkey >= b.k
+    WHERE b.id IN (SELECT id FROM changed))
+SELECT 0 AS call, (SELECT count(*) FROM borders) AS ranges, (SELECT count(*) FROM borders) AS copied_ranges,
+       (SELECT count(*) FROM older) AS copied_rows
+UNION ALL SELECT 1, (SELECT count(*) FROM borders), 0, 0
+UNION ALL SELECT 2, (SELECT count(*) FROM borders), (SELECT count(*) FROM changed), (SELECT n FROM copied)"""
+
+ORACLE["append_loads"] = "SELECT * FROM events"
+
 ORACLE["load_documents_file"] = """
 SELECT doc_id, text || CASE WHEN doc_id % 7 = 0 THEN ' "quoted"' || chr(10) || ',"tail"' ELSE '' END
          AS text, CASE WHEN doc_id % 5 > 0 THEN lang END AS lang

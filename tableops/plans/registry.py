@@ -19,6 +19,7 @@ from ..functions.scalars import normalize_header_col
 from ..functions.scalars import backup_name
 from ..operators import (api, audit, filesets, forms, geo, metadata, paging, relations,
                          snapshots, softdelete)
+from ..sinks import commits
 from ..sinks.writers import write_csv, write_json_lines, write_text_lines, write_version
 from ..streaming import form_events
 from ..sources import files, polygons
@@ -27,7 +28,7 @@ from ..session import read_table, work_dir
 from ..sources.delimited import (good_rows, land_delimited, read_headerless, read_strict,
                                  reject_rows)
 from . import fixtures as fx
-from . import geo_jobs, replicate, transfer
+from . import delta, geo_jobs, replicate, transfer
 from .loader import load_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,6 +270,42 @@ def replicate_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replicate.read_copy(spark, target).drop("chunk_id")
 
 
+def _refreshed_orders(spark, sf_dir):
+    """A replica of the older `orders` refreshed to the newer ones, and the log
+    of both calls and of one in between that finds nothing to do."""
+    older, newer = fx.orders_before_and_after(spark, sf_dir)
+    target = work_dir(spark, "replica-delta")
+    log = [delta.refresh_table(x, target, ["o_orderkey"], batch=100)
+           for x in (older, older, newer)]
+    return target, log
+
+
+@register
+def replicate_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`orders` replicated, then refreshed by key ranges after values
+    changed, keys came in before the first one and others went."""
+    return delta.read_refreshed(spark, _refreshed_orders(spark, sf_dir)[0])
+
+
+@register
+def replicate_delta_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges and rows that each of the three calls copied."""
+    log = _refreshed_orders(spark, sf_dir)[1]
+    return spark.createDataFrame(
+        [(i, r.ranges, r.copied_ranges, r.copied_rows) for i, r in enumerate(log)],
+        "call int, ranges long, copied_ranges long, copied_rows long")
+
+
+@register
+def append_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: `events` appended in four loads, each of them sent twice."""
+    e = read_table(spark, sf_dir, "events")
+    base = work_dir(spark, "appended-events")
+    for i in (0, 1, 2, 3, 0, 1, 2, 3):
+        commits.append_table(e.filter(F.col("event_id") % 4 == i), base, f"events {i} of 4")
+    return commits.read_appended(spark, base)
+
+
 @register
 def replicate_keyless(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R3 without a key: `nation` copied as one chunk."""

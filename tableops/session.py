@@ -90,12 +90,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the relations a DataFrame reads: the sum of the planner's
     size statistics of the plan's leaves (for files, the listed file sizes
-    after partition pruning).  No job and no file-system call."""
+    after partition pruning).  No job and no file-system call.  A leaf whose
+    size the planner does not know (it then assumes the largest long) counts 0."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     it = leaves.iterator()
     total = 0
     while it.hasNext():
-        total += int(it.next().stats().sizeInBytes())
+        size = int(it.next().stats().sizeInBytes())
+        total += size if size < 1 << 60 else 0
     return total
 
 
