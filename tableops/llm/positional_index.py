@@ -23,7 +23,8 @@ one in 10^7 blocks.
 Test phrases go to the tasks in chunks of at most ``CHUNK_WORDS`` words, so what
 is broadcast at once is bounded however large the benchmark is; there is one
 pass over the index (not over the texts) per chunk.  Starts are made in groups
-of ``GROUP_STARTS``, so memory follows a block, not the number of matches.
+of ``GROUP_STARTS``, so memory follows a block (some ten bytes a byte of its text),
+not the number of matches.
 
 Odd rows: a null, empty or wordless text has no words and no hits; each row
 stays a row, also where doc_ids repeat or are null; a very long text is a block
@@ -34,6 +35,7 @@ no rows or no hits; columns other than those named are not read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +48,10 @@ from ..session import work_dir
 from .shingles import mix, powers, prefix_sums
 
 WINDOW = 10
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
+# Bytes that are hashed at once, and length from which a word is hashed alone.
+PIECE_BYTES = 1 << 18
+LONG_WORD = 1 << 16
 CHUNK_WORDS = 1_000_000
 GROUP_STARTS = 1 << 20
 # Test rows encoded at once.
@@ -76,9 +81,24 @@ def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    sums = prefix_sums(data.astype(np.uint64) + _U(1))
-    _, down = powers(len(data) + 1)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hashes of the words, made piece by piece."""
+    out = np.empty(len(starts), np.uint64)
+    long = ends - starts >= LONG_WORD
+    if long.any():
+        for i in np.flatnonzero(long):
+            word = data[starts[i]:ends[i]].tobytes()
+            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest())
+        out[~long] = word_hashes(data, starts[~long], ends[~long])
+        return out
+    cuts = np.flatnonzero(np.diff(starts // PIECE_BYTES, prepend=-1)).tolist() + [len(starts)]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        base = int(starts[a])
+        own = data[base:int(ends[b - 1])]
+        first, last = starts[a:b] - base, ends[a:b] - base
+        sums = prefix_sums(own.astype(np.uint64) + _U(1))
+        _, down = powers(len(own) + 1)
+        out[a:b] = mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+    return out
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

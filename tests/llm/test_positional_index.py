@@ -42,13 +42,13 @@ def passages():
     long = sentence(rng, 40)
     items = [(1, long), (10, sentence(rng, 25)), (2, docs[0][1][:200]), (3, "Three Words Here"),
              (4, None), (5, ""), (6, "the the the the the the the the the the the"), (None, sentence(rng, 12)),
-             (3, sentence(rng, 15)), (7, "... !"), (8, "ab " * 30), (1, long), (9, "Ünïcode é文字")]
+             (3, sentence(rng, 15)), (7, "... !"), (8, "ab " * 30), (1, long), (9, "Ünïcode é文字"), (11, "A " + "w" * 70_000)]
     for i in range(40):
         w = items[rng.choice([0, 1, 2, 7, 8])][1].split()
         a = rng.randint(0, max(0, len(w) - 9))
         docs.append((200 + i, sentence(rng, rng.randint(0, 30)) + " " + " ".join(
             w[a:a + rng.choice([8, 9, 10, 11, 20])]).upper() + "; " + sentence(rng, 5)))
-    docs += [(300, "the " * 50), (301, "x three--WORDS__here y"), (302, long + " " + long),
+    docs += [(300, "the " * 50), (301, "x three--WORDS__here y"), (302, long + " " + long), (305, "w" * 70_000 + " " + "a " * 300_000 + "w" * 70_000),
              # a phrase must not go on in the next document
              (303, " ".join(long.split()[:5])), (304, " ".join(long.split()[5:]))]
     return docs, items
