@@ -98,7 +98,9 @@ def paths(turns: DataFrame, ids: DataFrame) -> DataFrame:
     the segment and those after each of its turns, ``sizes`` the texts' bytes."""
     heads = ids.select("conv_id", F.lit(-1).alias("part"), F.lit(-1).alias("pos"),
                        F.lit(None).cast("binary").alias("digest"), F.lit(0).cast("long").alias("n_bytes"))
-    rows = (turns.select(*heads.columns).unionByName(heads).repartition("conv_id")
+    # by an expression of its own: a union of frames that are dealt by conv_id counts
+    # as dealt by it, but its parts may be coalesced each in its own way at run time
+    rows = (turns.select(*heads.columns).unionByName(heads).repartition(F.xxhash64("conv_id"))
             .sortWithinPartitions("conv_id", "part", "pos").select("conv_id", "part", "digest", "n_bytes"))
 
     def chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

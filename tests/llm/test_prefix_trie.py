@@ -88,3 +88,20 @@ def test_many_equal_conversations_and_turnless_ones(spark):
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert prefix_trie.openings_trie(empty).collect() == []
+
+
+def test_partitions_of_uneven_sizes(spark):
+    # sizes at which the parts of a union are coalesced differently
+    rng = random.Random(4)
+    rows = [(c, t, "user", rng.choice(["a", "b", rng.randbytes(200).hex()]))
+            for c in range(4000) for t in range(rng.randint(1, 9))]
+    names = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "300k", "spark.sql.autoBroadcastJoinThreshold": "1k",
+             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    old = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        check(spark, rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
