@@ -99,6 +99,37 @@ def customer_csv_with_rejects(spark: SparkSession, sf_dir: str) -> str:
     return out
 
 
+CUSTOMER_HEADER = "c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment"
+
+
+def customer_csv_with_errors(spark: SparkSession, sf_dir: str) -> str:
+    """`customer` as one CSV file per nation, in key order, with a field too many
+    (negative balances), records that end after two fields, blank lines, quoted
+    line breaks (nations of even keys) and, in the first nation, a last record
+    whose quote is not closed.  Folders are named ``folder=<nation>``."""
+    c = read_table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
+    key = F.col("c_custkey")
+    last = c.filter("c_nationkey = 0").agg(F.max("c_custkey")).first()[0]
+    name = F.when((key % 13 == 5) & (F.col("c_nationkey") % 2 == 0),
+                  F.concat(F.lit('"'), F.col("c_name"), F.lit('\nand ""more"""'))) \
+        .otherwise(F.col("c_name"))
+    whole = F.concat_ws(",", key, name, "c_nationkey",
+                        F.col("c_acctbal").cast("decimal(18,2)"), "c_mktsegment")
+    record = (F.when(key == (last or 0), F.concat(key, F.lit(',"'), F.col("c_name"), F.lit(",x")))
+              .when(F.col("c_acctbal") < 0, F.concat(whole, F.lit(",EXTRA")))
+              .when(key % 11 == 3, F.concat(key, F.lit(","), F.col("c_name")))
+              .otherwise(whole))
+    rows = c.select(F.col("c_nationkey").alias("folder"), key.alias("at"), F.concat(
+        F.when(key % 17 == 1, F.lit(" \n")).otherwise(F.lit("")), record).alias("value"))
+    head = rows.select("folder").distinct().select(
+        "folder", F.lit(-1).cast("long").alias("at"), F.lit(CUSTOMER_HEADER).alias("value"))
+    out = work_dir(spark, "fixture-customer-errors")
+    (rows.unionByName(head).repartition(F.xxhash64("folder")).sortWithinPartitions("folder", "at")
+     .select("folder", "value").write.partitionBy("folder").text(out))
+    return out
+
+
 # Source column types given to the catalog rows derived from `part`
 # (the type list of the reference's source system, binary ones included).
 SOURCE_TYPES = ["smallint", "tinyint", "decimal", "float", "int", "money", "numeric",

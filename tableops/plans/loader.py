@@ -35,6 +35,7 @@ class LoadResult:
     history: DataFrame
     status: str
     source_path: str = ""
+    file_format: str = "CSV"
 
     def stage(self, spark: SparkSession) -> DataFrame:
         return good_rows(spark.read.parquet(self.stage_path))
@@ -45,7 +46,7 @@ class LoadResult:
         (one extra text scan of the source files)."""
         raw = spark.read.parquet(self.stage_path)
         numbered = number_rejects(spark, self.source_path, raw) if with_lines else None
-        return reject_rows(raw, table_name, numbered)
+        return reject_rows(raw, table_name, numbered, self.file_format)
 
 
 def load_file(spark: SparkSession, source_path: str, table_name: str,
@@ -67,7 +68,7 @@ def load_file(spark: SparkSession, source_path: str, table_name: str,
     if not any(p.data_type for p in profile):
         hist = history_row(spark, table_name, started, rows_before, rows_before, rejects,
                            STATUS_NO_DATA)
-        return LoadResult(None, stage_path, profile, hist, STATUS_NO_DATA, source_path)
+        return LoadResult(None, stage_path, profile, hist, STATUS_NO_DATA, source_path, file_format)
 
     # pass 3: typed projection, create-or-replace with the source file comment
     source_name = source_path.replace("\\", "/").rstrip("/").rsplit("/", 1)[-1]
@@ -77,4 +78,4 @@ def load_file(spark: SparkSession, source_path: str, table_name: str,
     rows_after = spark.read.parquet(final_path).count()
     hist = history_row(spark, table_name, started, rows_before, rows_after, rejects,
                        STATUS_LOADED)
-    return LoadResult(final_path, stage_path, profile, hist, STATUS_LOADED, source_path)
+    return LoadResult(final_path, stage_path, profile, hist, STATUS_LOADED, source_path, file_format)

@@ -106,8 +106,36 @@ SELECT p_partkey, raw AS raw_header,
 FROM (SELECT p_partkey, p_type || ' (' || p_brand || ')/' || p_name || '.' AS raw FROM part)"""
 
 ORACLE["load_rejects"] = """
-SELECT c_custkey, 'parsing' AS category, 'CUSTOMER' AS table_name
-FROM customer WHERE c_acctbal < 0"""
+WITH texts AS (
+    SELECT *, CASE WHEN c_custkey % 13 = 5 AND c_nationkey % 2 = 0
+                   THEN '"' || c_name || chr(10) || 'and ""more""' || '"' ELSE c_name END AS name,
+           c_custkey = (SELECT max(c_custkey) FROM customer WHERE c_nationkey = 0) AS unclosed
+    FROM customer),
+wholes AS (
+    SELECT *, c_custkey || ',' || name || ',' || c_nationkey || ','
+              || CAST(c_acctbal AS DECIMAL(18,2)) || ',' || c_mktsegment AS whole FROM texts),
+records AS (
+    SELECT *, CASE WHEN unclosed THEN c_custkey || ',"' || c_name || ',x'
+                   WHEN c_acctbal < 0 THEN whole || ',EXTRA'
+                   WHEN c_custkey % 11 = 3 THEN c_custkey || ',' || c_name ELSE whole END AS record,
+           CASE WHEN unclosed THEN 'unclosed' WHEN c_acctbal < 0 THEN 'many'
+                WHEN c_custkey % 11 = 3 THEN 'few' END AS kind
+    FROM wholes),
+placed AS (
+    SELECT *, length(record) - length(replace(record, chr(10), '')) + 1 AS n_lines,
+           CASE WHEN c_custkey % 17 = 1 THEN 1 ELSE 0 END AS blank FROM records)
+SELECT c_nationkey,
+       2 + CAST(coalesce(sum(n_lines + blank) OVER (PARTITION BY c_nationkey ORDER BY c_custkey
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) + blank AS line,
+       CASE kind WHEN 'many' THEN length(whole) + 2 WHEN 'few' THEN length(record) + 1
+                 ELSE length(c_custkey::VARCHAR) + 2 END AS character,
+       CASE kind WHEN 'many' THEN 'too many fields: 6 instead of 5'
+                 WHEN 'few' THEN 'too few fields: 2 instead of 5'
+                 ELSE 'quoted field is not closed' END AS error,
+       CASE kind WHEN 'many' THEN 'c_mktsegment' WHEN 'few' THEN 'c_nationkey' ELSE 'c_name' END
+           AS column_name,
+       'parsing' AS category, 'CUSTOMER' AS table_name, record AS rejected_record
+FROM placed QUALIFY kind IS NOT NULL"""
 
 ORACLE["load_good_rows"] = """
 SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE NOT (c_acctbal < 0)"""

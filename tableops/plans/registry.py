@@ -25,8 +25,8 @@ from ..streaming import form_events
 from ..sources import files, polygons
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
 from ..session import read_table, work_dir
-from ..sources.delimited import (good_rows, land_delimited, read_headerless, read_strict,
-                                 reject_rows)
+from ..sources.delimited import (good_rows, land_delimited, number_rejects, read_headerless,
+                                 read_strict, reject_rows)
 from . import fixtures as fx
 from . import delta, geo_jobs, replicate, transfer
 from .loader import load_file
@@ -95,13 +95,20 @@ def normalize_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Malformed lines of a `customer` CSV captured as rejects."""
-    src = fx.customer_csv_with_rejects(spark, sf_dir)
-    raw = land_delimited(spark, src, work_dir(spark, "stage-customer"), "CSV")
-    rej = reject_rows(raw, "CUSTOMER")
+    """Malformed records of `customer` CSV files captured as rejects, with
+    the broken rule, line, character and column; the files of nations with even
+    keys hold quoted line breaks, the others do not."""
+    src = fx.customer_csv_with_errors(spark, sf_dir)
+    out = []
+    for digits in ("02468", "13579"):
+        path = f"{src}/folder=*[{digits}]"
+        raw = land_delimited(spark, path, work_dir(spark, "stage-customer"), "CSV")
+        out.append(reject_rows(raw, "CUSTOMER", number_rejects(spark, path, raw)))
+    rej = out[0].unionByName(out[1])
     return rej.select(
-        F.split(F.col("rejected_record"), ",").getItem(0).cast("long").alias("c_custkey"),
-        F.col("category"), F.col("table_name"))
+        F.regexp_extract("file", r"folder=(\d+)", 1).cast("long").alias("c_nationkey"),
+        F.col("line").cast("long").alias("line"), F.col("character").cast("long").alias("character"),
+        "error", "column_name", "category", "table_name", "rejected_record")
 
 
 @register

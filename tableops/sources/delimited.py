@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,17 +85,27 @@ def _ends_open(sep: str) -> tuple[str, str]:
     return f"\\A{opens}", f'\\A{body}(?:\\z|"{rest}{d}{opens})'
 
 
-def _lines(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """Physical lines of the files, in split order, and whether they end inside
-    a quoted field if they begin outside (``_o``) or inside (``_i``) of one."""
-    raw = spark.read.text(path)
-    text = F.decode(F.col("value").cast("binary"), SOURCE_ENCODING)
+def _lines(spark: SparkSession, path: str, sep: str, encoding: str = SOURCE_ENCODING) -> DataFrame:
+    """Physical lines of the files, in split order, with the line end that
+    follows them (``_end``: LF, CR or both), and whether they end inside a quoted
+    field if they begin outside (``_o``) or inside (``_i``) of one."""
+    # splits at LF only; what CR parts is taken apart here, to know each line's end
+    raw = spark.read.option("lineSep", "\n").text(path)
+    text = F.decode(F.col("value").cast("binary"), encoding)
+    whole = F.when(text.endswith("\r"), F.substr(text, F.lit(1), F.length(text) - 1)).otherwise(text)
+    last = F.when(text.endswith("\r"), F.lit("\r\n")).otherwise(F.lit("\n"))
+    pieces = F.when(whole.contains("\r"), F.split(whole, "\r")).otherwise(F.array(whole))
     outside, inside = _ends_open(sep)
     quoted = F.col("value").contains('"')
     return (raw.select(F.col("_metadata.file_path").alias(FILE_COL),
                        F.col("_metadata.file_block_start").alias(BLOCK_COL),
-                       F.spark_partition_id().alias("_part"),
-                       F.monotonically_increasing_id().alias(ROW_COL), text.alias("value"))
+                       last.alias("_last"), F.posexplode(pieces).alias("_piece", "value"),
+                       F.size(pieces).alias("_pieces"))
+            .withColumn("_end", F.when(F.col("_piece") == F.col("_pieces") - 1, F.col("_last"))
+                        .otherwise(F.lit("\r")))
+            .drop("_piece", "_pieces", "_last")
+            .withColumn("_part", F.spark_partition_id())
+            .withColumn(ROW_COL, F.monotonically_increasing_id())
             .withColumn("_o", F.when(quoted, F.col("value").rlike(outside)).otherwise(False))
             .withColumn("_i", F.when(quoted, F.col("value").rlike(inside)).otherwise(True)))
 
@@ -106,10 +116,10 @@ def has_quoted_breaks(spark: SparkSession, path: str, file_format: str = "CSV")
     return _lines(spark, path, delimiter_for(file_format)).filter("_o").limit(1).count() > 0
 
 
-def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV",
-                        names: list[str] | None = None) -> DataFrame:
-    """S1 + S2 for files whose quoted fields hold line breaks; the shape is
-    that of ``read_delimited``, and ``_line`` is the record's first line.
+def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True,
+                   encoding: str = SOURCE_ENCODING) -> DataFrame:
+    """Records of files whose quoted fields may hold line breaks: the file, the
+    record's first line, its text, and whether it is ``_unclosed``.
 
     A record ends on a line after which no quoted field is open.  A line maps
     the state before it (0 outside, 1 inside of a quoted field) to the state
@@ -121,9 +131,8 @@ def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV"
     are put together, so a record may cross splits; no task reads a whole file.
 
     A quoted field that no line closes makes no record: each line from its
-    first one to the end of the file is a malformed row of its own."""
-    sep = delimiter_for(file_format)
-    names = names or header_names(spark, path, file_format)
+    first one to the end of the file is an unclosed record of its own.  Line
+    ends inside of quotes stay as they are in the file."""
     keys = [FILE_COL, BLOCK_COL, "_part"]
     earlier = Window.partitionBy(FILE_COL).orderBy(BLOCK_COL).rowsBetween(
         Window.unboundedPreceding, -1)
@@ -132,7 +141,7 @@ def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV"
     inside = Window.partitionBy(*keys).orderBy(ROW_COL)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    lines = (_lines(spark, path, sep)
+    lines = (_lines(spark, path, sep, encoding)
              .withColumn("_turn", (F.col("_o") & ~F.col("_i")).cast("long"))
              .withColumn("_turns", F.sum("_turn").over(so_far))
              .withColumn("_base", F.when(F.col("_o") == F.col("_i"),
@@ -169,18 +178,31 @@ def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV"
              .withColumn("_unclosed", F.col("_open") & (start == F.col("_last")))
              .withColumn(LINE_COL, F.when(F.col("_unclosed"), F.col("_at")).otherwise(start))
              .groupBy(FILE_COL, LINE_COL, "_unclosed")
-             .agg(F.array_sort(F.collect_list(F.struct("_at", "value"))).alias("l"))
+             .agg(F.array_sort(F.collect_list(F.struct("_at", "value", "_end"))).alias("l"))
              .select(FILE_COL, LINE_COL, "_unclosed", F.array_join(F.transform(
-                 "l", lambda x: x["value"]), "\n").alias("_text"))
+                 "l", lambda x, i: F.when(i == F.size("l") - 1, x["value"])
+                 .otherwise(F.concat(x["value"], x["_end"]))), "").alias("_text"))
              .filter(~F.col("_text").rlike(BLANK)))
+    if not header:
+        return whole
     headers = whole.groupBy(FILE_COL).agg(F.min(LINE_COL).alias(LINE_COL))
+    return whole.join(headers, [FILE_COL, LINE_COL], "left_anti")
+
+
+def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV",
+                        names: list[str] | None = None) -> DataFrame:
+    """S1 + S2 for files whose quoted fields hold line breaks; the shape is
+    that of ``read_delimited``, and ``_line`` is the record's first line.
+    Unclosed records (``quoted_records``) are malformed rows."""
+    sep = delimiter_for(file_format)
+    names = names or header_names(spark, path, file_format)
     schema = ", ".join(f"`{n}` string" for n in [*names, CORRUPT_COL])
     parsed = F.from_csv("_text", schema, {
         "sep": sep, "quote": '"', "escape": '"', "nullValue": "",
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
     unclosed = F.struct(*[F.lit(None).cast("string").alias(n) for n in names],
                         F.col("_text").alias(CORRUPT_COL))
-    return (whole.join(headers, [FILE_COL, LINE_COL], "left_anti")
+    return (quoted_records(spark, path, sep)
             .withColumn("_p", F.when(F.col("_unclosed"), unclosed).otherwise(parsed))
             .select("_p.*", FILE_COL, F.lit(None).cast("long").alias(BLOCK_COL),
                     F.lit(None).cast("int").alias("_part"),
@@ -251,33 +273,91 @@ def good_rows(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col(CORRUPT_COL).isNull()).drop(CORRUPT_COL, FILE_COL, *POS_COLS)
 
 
-def reject_rows(raw: DataFrame, table_name: str, numbered: DataFrame | None = None) -> DataFrame:
-    """Rejected lines in the shape of the load-error table; ``numbered``
+TOO_MANY, TOO_FEW, UNCLOSED = "too many fields", "too few fields", "quoted field is not closed"
+AFTER_UNCLOSED = "line after a quoted field that is not closed"
+
+
+def record_error(record: Column, names: list[str], sep: str) -> Column:
+    """Which rule a malformed record breaks first, and where:
+    ``struct(error, field, character, column_name)``.
+
+    The record's fields are walked with the parser's quote rules (see
+    ``_ends_open``).  ``field`` and ``character`` count from 1, characters from
+    the record's first one, line ends included.  Too many fields: the first
+    character of the first field too many, and the column after which the record
+    should have ended.  Too few: the place after the last character, and the
+    first column without a field.  An unclosed quoted field: its quote and its
+    column.  A line that an earlier unclosed field has swallowed may break no
+    rule of its own: character 1, no column."""
+    d = "\\t" if sep == "\t" else sep
+    body = '[^"]*+(?:""[^"]*+)*+'
+    field = f'(?:"{body}"[^{d}]*+|[^"{d}][^{d}]*+|)'
+    # a delimiter is put after the record, so every closed field ends with one
+    fields = F.regexp_extract_all(F.concat(record, F.lit(sep)),
+                                  F.lit(f'\\G(?:{field}{d}|"{body}\\z)'), F.lit(0))
+    wanted, known = len(names), F.array(*[F.lit(x) for x in names])
+
+    def judged(f: Column) -> Column:
+        n = F.size(f)
+        unclosed = F.element_at(f, -1).rlike(f'\\A"{body}\\z')
+
+        def start(k: Column) -> Column:
+            return F.aggregate(F.slice(f, F.lit(1), k), F.lit(1), lambda at, x: at + F.length(x))
+
+        def found(error: Column, number: Column, character: Column, column: Column) -> Column:
+            return F.struct(error.alias("error"), number.cast("decimal(38,0)").alias("field"),
+                            character.cast("decimal(38,0)").alias("character"),
+                            column.alias("column_name"))
+
+        def count(text: str) -> Column:
+            return F.concat(F.lit(f"{text}: "), n.cast("string"), F.lit(f" instead of {wanted}"))
+
+        return (F.when(n > wanted, found(count(TOO_MANY), F.lit(wanted + 1), start(F.lit(wanted)),
+                                         F.lit(names[-1])))
+                .when(unclosed, found(F.lit(UNCLOSED), n, start(n - 1), F.get(known, n - 1)))
+                .when(n < wanted, found(count(TOO_FEW), n + 1, F.length(record) + 1,
+                                        F.get(known, n)))
+                .otherwise(found(F.lit(AFTER_UNCLOSED), F.lit(None).cast("int"), F.lit(1),
+                                 F.lit(None).cast("string"))))
+
+    # a record's fields are cut once
+    return F.get(F.transform(F.array(fields), judged), F.lit(0))
+
+
+def reject_rows(raw: DataFrame, table_name: str, numbered: DataFrame | None = None,
+                file_format: str = "CSV") -> DataFrame:
+    """Rejected records in the shape of the load-error table: what is wrong,
+    where in the record and in which column (``record_error``); ``numbered``
     (from ``number_rejects``) fills the line column."""
+    names = [c for c in raw.columns if c not in (CORRUPT_COL, FILE_COL, *POS_COLS)]
     src = raw.filter(F.col(CORRUPT_COL).isNotNull())
     line = F.lit(None).cast("decimal(38,0)")
     if numbered is not None:
         src, line = numbered, F.col("line")
-    return src.select(
-        F.lit("malformed record: field count or quoting does not match the header")
-         .alias("error"),
-        F.col(FILE_COL).alias("file"),
-        line.alias("line"),
-        F.lit(None).cast("decimal(38,0)").alias("character"),
-        F.lit("parsing").alias("category"),
-        F.lit(table_name).alias("table_name"),
-        F.lit(None).cast("string").alias("column_name"),
-        F.col(CORRUPT_COL).alias("rejected_record"),
-        F.localtimestamp().alias("md_insert_date"),
-    )
+    return (src.select(FILE_COL, line.alias("line"), CORRUPT_COL)
+            .withColumn("_e", record_error(F.col(CORRUPT_COL), names, delimiter_for(file_format)))
+            .select("_e.error", F.col(FILE_COL).alias("file"), "line", "_e.character",
+                    F.lit("parsing").alias("category"), F.lit(table_name).alias("table_name"),
+                    "_e.column_name", F.col(CORRUPT_COL).alias("rejected_record"),
+                    F.localtimestamp().alias("md_insert_date")))
 
 
 def read_strict(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",",
-                header: bool = True, multi_line: bool = False) -> DataFrame:
-    """S3: any malformed row fails the job (ON_ERROR = ABORT).  ``multi_line``
-    reads quoted line breaks; a file is then read by one task."""
-    return (_reader(spark, sep, header, "UTF-8").option("mode", "FAILFAST")
-            .option("multiLine", multi_line).schema(schema).csv(path))
+                header: bool = True) -> DataFrame:
+    """S3: any malformed row fails the job (ON_ERROR = ABORT).
+
+    Files with quoted line breaks are cut into records by ``quoted_records``, so
+    many tasks read one file; an unclosed quote fails the job, too."""
+    if not _lines(spark, path, sep, "UTF-8").filter("_o").limit(1).count():
+        return (_reader(spark, sep, header, "UTF-8").option("mode", "FAILFAST")
+                .option("columnPruning", False).schema(schema).csv(path))
+    options = {"sep": sep, "quote": '"', "escape": '"', "nullValue": "", "mode": "FAILFAST"}
+    text = F.when(F.col("_unclosed"), F.raise_error(F.concat(
+        F.lit(f"{UNCLOSED}: "), F.col(FILE_COL), F.lit(" line "), F.col(LINE_COL).cast("string"))))
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return (quoted_records(spark, path, sep, header, "UTF-8")
+            .select(F.from_csv(F.coalesce(text.cast("string"), F.col("_text")), columns,
+                               options).alias("r")).select("r.*"))
 
 
 def read_headerless(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
