@@ -11,10 +11,16 @@ information schema, or from any DataFrame of that shape.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import work_dir
+
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour
 # ---------------------------------------------------------------------------
@@ -82,27 +88,109 @@ def convert_schema(df: DataFrame, mapping: list[tuple[str, str]]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(spark_type_for(t)).alias(c) for c, t in mapping])
 
 
-def convert_tables(spark: SparkSession, frames: dict[str, DataFrame],
-                   mapped: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
-    """R2 over several tables: converted frames plus one status row per table.
-    A table that fails is reported and the others continue."""
+REJECTS_COL, KEY_COL = "_conversion_rejects", "_conversion_key"
+CONVERTED, IN_PART, FAILED = "converted", "converted in part", "failed"
+REJECT_SCHEMA = "table_name string, key string, column_name string, value string, target_type string"
+
+
+def convert_with_rejects(df: DataFrame, mapping: list[tuple[str, str]],
+                         key: list[str] | None = None) -> DataFrame:
+    """R2: ``convert_schema`` with each cast paired with its tolerant twin.
+
+    A value that its target type cannot hold becomes NULL and an entry of
+    ``_conversion_rejects`` (column, value, target type); rows with entries keep
+    their key as JSON in ``_conversion_key``.  Nothing fails at run time."""
+    columns, entries = [], []
+    for name, target in mapping:
+        c = F.col(f"`{name}`")
+        cast = c.try_cast(spark_type_for(target))
+        columns.append(cast.alias(name))
+        if not isinstance(spark_type_for(target), T.StringType):
+            entries.append(F.when(c.isNotNull() & cast.isNull(), F.struct(
+                F.lit(name).alias("column_name"), c.cast("string").alias("value"),
+                F.lit(target).alias("target_type"))))
+    none = F.array().cast("array<struct<column_name:string,value:string,target_type:string>>")
+    rejects = F.array_compact(F.array(*entries)) if entries else none
+    row_key = F.to_json(F.struct(*[F.col(f"`{k}`") for k in key])) if key else F.lit(None)
+    return (df.select(*columns, rejects.alias(REJECTS_COL), row_key.cast("string").alias(KEY_COL))
+            .withColumn(KEY_COL, F.when(F.size(REJECTS_COL) > 0, F.col(KEY_COL))))
+
+
+@dataclass
+class Conversion:
+    """``frames`` the copies by table, ``status`` a row per table, ``rejects`` a row
+    per value that its target type cannot hold."""
+    frames: dict[str, DataFrame]
+    status: DataFrame
+    rejects: DataFrame
+
+
+def _copy_converted(df: DataFrame, mapping: list[tuple[str, str]], key: list[str] | None,
+                    path: str) -> tuple:
+    """Copy one table in one pass and read its counts from the copy."""
+    convert_with_rejects(df, mapping, key).write.parquet(path)
+    copied = df.sparkSession.read.parquet(path).select(REJECTS_COL)
+    n = F.size(REJECTS_COL)
+    counts = copied.agg(F.count(F.lit(1)), F.count_if(n > 0), F.coalesce(F.sum(n), F.lit(0)),
+                        F.min(F.when(n > 0, F.get(REJECTS_COL, F.lit(0))))).first()
+    return tuple(counts)
+
+
+def convert_tables(spark: SparkSession, frames: dict[str, DataFrame], mapped: DataFrame,
+                   target_base: str | None = None, keys: dict[str, list[str]] | None = None,
+                   keep_good_rows: bool = False, parallel: int = 4) -> Conversion:
+    """R2 over several tables: each copied with its columns cast to their
+    target types, one status row per table.
+
+    A table fails if its mapping cannot be applied, if it cannot be read, or if
+    a value cannot be converted; it is reported, its bad values are in
+    ``rejects``, and the others continue.  With ``keep_good_rows`` a table with
+    bad values is kept without the rows that hold them.  Tables are copied
+    ``parallel`` at a time, each by a distributed write into a folder of its own
+    (``<target_base>/<table>-<id>``; the shared work folder by default)."""
     per_table: dict[str, list[tuple[int, str, str]]] = {}
     wanted = mapped.filter(F.col("table_name").isin(list(frames)))
     for r in wanted.select("table_name", "ordinal_position", "column_name",
                            "target_type").collect():
         per_table.setdefault(r.table_name, []).append(
             (r.ordinal_position, r.column_name, r.target_type))
-    out, status = {}, []
-    for name, df in frames.items():
+    base = (target_base or work_dir(spark, "converted")).rstrip("/")
+    keys = keys or {}
+
+    def attempt(name: str) -> tuple:
+        path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+        if name not in per_table:
+            return name, path, None, "no columns are mapped"
         try:
-            cols = [(c, t) for _, c, t in sorted(per_table[name])]
-            conv = convert_schema(df, cols)
-            conv.schema  # analysis errors surface here
-            out[name] = conv
-            status.append((name, "converted", None))
+            mapping = [(c, t) for _, c, t in sorted(per_table[name])]
+            return name, path, _copy_converted(frames[name], mapping, keys.get(name), path), None
         except Exception as e:  # noqa: BLE001 - reported per table, like the reference
-            status.append((name, "failed", str(e)))
-    return out, spark.createDataFrame(status, "table_name string, status string, error string")
+            return name, path, None, str(e)[:2000]
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        done = list(pool.map(attempt, frames))
+    out, status = {}, []
+    rejects = spark.createDataFrame([], REJECT_SCHEMA)
+    for name, path, counts, error in done:
+        if counts is None:
+            status.append((name, FAILED, error, None, None, None))
+            continue
+        n_rows, bad_rows, bad_values, first = counts
+        if bad_values:
+            error = (f"{bad_values} values cannot be converted; one is {first['value']!r} in "
+                     f"{first['column_name']} for {first['target_type']}")
+            copied = spark.read.parquet(path).filter(F.size(REJECTS_COL) > 0)
+            rejects = rejects.unionByName(
+                copied.select(KEY_COL, F.explode(REJECTS_COL).alias("r")).select(
+                    F.lit(name).alias("table_name"), F.col(KEY_COL).alias("key"), "r.*"))
+        state = CONVERTED if not bad_values else IN_PART if keep_good_rows else FAILED
+        if state != FAILED:
+            out[name] = (spark.read.parquet(path).filter(F.size(REJECTS_COL) == 0)
+                         .drop(REJECTS_COL, KEY_COL))
+        status.append((name, state, error, n_rows, bad_rows, bad_values))
+    return Conversion(out, spark.createDataFrame(
+        status, "table_name string, status string, error string, n_rows long, "
+                "rejected_rows long, rejected_values long"), rejects)
 
 
 # -- S7 / S9 from the session catalog ----------------------------------------

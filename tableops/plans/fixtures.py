@@ -185,6 +185,24 @@ def catalog_from_part(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
     return spark.read.parquet(f"{base}/tables"), spark.read.parquet(f"{base}/columns")
 
 
+def frames_to_convert(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Tables with the column types of their source: `orders` as texts, some of
+    which are no numbers or dates, `supplier` without one of its columns."""
+    from ..operators import metadata
+    frames = {n: read_table(spark, sf_dir, n) for n in ("orders", "customer", "lineitem", "supplier")}
+    mapped = metadata.type_mapping(*metadata.frame_catalog(frames))
+    key = F.col("o_orderkey")
+    frames["orders"] = frames["orders"].select(
+        key, "o_custkey", "o_orderstatus",
+        F.when(key % 50 == 7, F.lit("n/a")).when(key % 50 == 8, F.lit(None))
+         .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("o_totalprice"),
+        F.when(key % 70 == 7, F.concat(F.date_format("o_orderdate", "yyyy-13-dd")))
+         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("o_orderdate"),
+        "o_orderpriority")
+    frames["supplier"] = frames["supplier"].drop("s_acctbal")
+    return frames, mapped
+
+
 def write_file_tree(rows: DataFrame, base: str) -> str:
     """Write ``(rel_path, content)`` rows as files under ``base`` (sub-folders
     made as needed), spread over tasks with ``mapInPandas``."""

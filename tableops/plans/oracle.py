@@ -280,6 +280,39 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS
        o_orderdate, o_orderpriority
 FROM orders"""
 
+_CONVERT_CTES = """
+WITH texts AS (
+    SELECT * REPLACE (
+        CASE WHEN o_orderkey % 50 = 7 THEN 'n/a' WHEN o_orderkey % 50 = 8 THEN NULL
+             ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS o_totalprice,
+        CASE WHEN o_orderkey % 70 = 7 THEN strftime(o_orderdate, '%Y-13-%d')
+             ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS o_orderdate)
+    FROM orders),
+bad AS (
+    SELECT o_orderkey, 'o_totalprice' AS column_name, o_totalprice AS value,
+           'NUMBER(38, 0)' AS target_type
+    FROM texts WHERE o_totalprice = 'n/a'
+    UNION ALL
+    SELECT o_orderkey, 'o_orderdate', o_orderdate, 'DATETIME' FROM texts WHERE o_orderkey % 70 = 7)"""
+
+ORACLE["convert_rejects"] = _CONVERT_CTES + """
+SELECT 'orders' AS table_name, '{"o_orderkey":' || o_orderkey || '}' AS key, column_name, value, target_type
+FROM bad"""
+
+ORACLE["convert_status"] = _CONVERT_CTES + """
+SELECT 'orders' AS table_name, 'failed' AS status, (SELECT count(*) FROM orders) AS n_rows,
+       (SELECT count(DISTINCT o_orderkey) FROM bad) AS rejected_rows,
+       (SELECT count(*) FROM bad) AS rejected_values
+UNION ALL SELECT 'customer', 'converted', (SELECT count(*) FROM customer), 0, 0
+UNION ALL SELECT 'lineitem', 'converted', (SELECT count(*) FROM lineitem), 0, 0
+UNION ALL SELECT 'supplier', 'failed', NULL, NULL, NULL"""
+
+ORACLE["convert_good_rows"] = _CONVERT_CTES + """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+       CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(38,0)) AS o_totalprice,
+       CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, o_orderpriority
+FROM texts WHERE o_orderkey NOT IN (SELECT o_orderkey FROM bad)"""
+
 ORACLE["relationships"] = f"WITH {_CATALOG_CTES} SELECT * FROM edges"
 
 ORACLE["entities"] = f"""WITH {_CATALOG_CTES},

@@ -349,11 +349,36 @@ def convert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     converted to the mapped target types; `orders` returned."""
     frames = {n: read_table(spark, sf_dir, n) for n in ("orders", "customer")}
     tables, columns = metadata.frame_catalog(frames)
-    conv, status = metadata.convert_tables(spark, frames, metadata.type_mapping(tables, columns))
-    failed = [r for r in status.collect() if r.status != "converted"]
+    conv = metadata.convert_tables(spark, frames, metadata.type_mapping(tables, columns))
+    failed = [r for r in conv.status.collect() if r.status != metadata.CONVERTED]
     if failed:
         raise RuntimeError(f"conversion failed: {failed}")
-    return conv["orders"]
+    return conv.frames["orders"]
+
+
+def _conversion(spark, sf_dir, keep_good_rows=False):
+    frames, mapped = fx.frames_to_convert(spark, sf_dir)
+    return metadata.convert_tables(spark, frames, mapped, keys={"orders": ["o_orderkey"]},
+                                   keep_good_rows=keep_good_rows)
+
+
+@register
+def convert_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2, T5: the values of `orders` texts that their target types cannot hold."""
+    return _conversion(spark, sf_dir).rejects
+
+
+@register
+def convert_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2: `orders` fails by its values, `supplier` by a missing column, the
+    other tables are copied."""
+    return _conversion(spark, sf_dir).status.drop("error")
+
+
+@register
+def convert_good_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R2, T5: `orders` without the rows that hold such values."""
+    return _conversion(spark, sf_dir, keep_good_rows=True).frames["orders"]
 
 
 @register
