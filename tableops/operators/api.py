@@ -10,6 +10,8 @@ the JVM per row) except the joins of the entity hierarchy.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -135,6 +137,49 @@ def extract_all(responses: DataFrame, elements: dict[str, T.StructType]
             for h, el in elements.items()}
 
 
+# Types that a schema of variants names, and those the entity rows get: texts
+# for what is never set or not always of one type, doubles for decimals.
+_ELEMENT_TYPES = {"OBJECT<": "STRUCT<", "VARIANT": "STRING", "VOID": "STRING"}
+_TYPE_WORD = re.compile(r"`(?:[^`]|``)*`|OBJECT<|DECIMAL\(\d+, ?\d+\)|VARIANT|VOID")
+
+
+def _element_type(schema: str) -> T.StructType | None:
+    """The element type of a list from its variant schema (``ARRAY<OBJECT<...>>``)."""
+    ddl = _TYPE_WORD.sub(lambda m: m[0] if m[0][0] == "`" else _ELEMENT_TYPES.get(m[0], "DOUBLE"),
+                         schema)
+    # names that the schema leaves unquoted are quoted for the parser
+    ddl = re.sub(r"(?<=[<,\s])([^\s`<>,:]+):", r"`\1`:", ddl)
+    kind = T.DataType.fromDDL(ddl)
+    element = kind.elementType if isinstance(kind, T.ArrayType) else None
+    return element if isinstance(element, T.StructType) and element.fields else None
+
+
+def infer_elements(responses: DataFrame, headers: list[str] | None = None
+                   ) -> dict[str, T.StructType]:
+    """The element type of each list, from all landed responses.
+
+    Every payload is parsed to a variant, and one aggregate per list merges the
+    schemas of its successful calls: fields that only some responses have are
+    part of it, numbers of any kind widen, and a field that is a number here and
+    a text there becomes a text.  A list without elements has no entry."""
+    headers = headers or ENTITY_LISTS
+    payload = F.try_parse_json(envelope_text("body"))
+    rows = responses.filter(F.col("header").isin(headers)).select("header", payload.alias("v"))
+    ok = F.try_variant_get("v", "$.Status.Code", "int") == STATUS_SUCCESS
+    items = F.coalesce(*[F.when(ok & (F.col("header") == h),
+                                F.try_variant_get("v", f"$.{h}", "variant")) for h in headers])
+    found = rows.groupBy("header").agg(F.schema_of_variant_agg(items).alias("s")).collect()
+    types = {r["header"]: _element_type(r["s"]) for r in found if r["s"]}
+    return {h: types[h] for h in headers if types.get(h)}
+
+
+def extract_entities(responses: DataFrame, headers: list[str] | None = None
+                     ) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
+    """R16 for lists whose fields nobody has written down: (data, retry, errors)
+    per list, typed by ``infer_elements``."""
+    return extract_all(responses, infer_elements(responses, headers))
+
+
 def package_trade_lookup(tasks: DataFrame, trades: DataFrame) -> DataFrame:
     """Each task with the trade (division) of the package it was issued to."""
     t = trades.select(F.col("package_id").alias("IssuedToPackageID"), "division")

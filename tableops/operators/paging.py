@@ -72,6 +72,12 @@ def ranked_with_count(df: DataFrame, keys: list[str | Column], num_partitions: i
     return ranked, sum(sizes.values())
 
 
+def with_position(df: DataFrame, keys: list[str | Column]) -> DataFrame:
+    """O1: rows in the order of ``keys`` with their 1-based ``position``, so the
+    order survives whatever reads the result."""
+    return global_rank(df, keys, rank_col="position")
+
+
 def rank_between(ranked: DataFrame, lo: int, hi: int, rank_col: str = RANK_COL) -> DataFrame:
     """Rows with ``lo <= rank <= hi`` (inclusive)."""
     return ranked.filter(F.col(rank_col).between(lo, hi))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import BACKUP_DATE_FORMAT, BACKUP_PREFIX
-from ..sinks.writers import _now, count_or_zero, history_row
+from ..sinks.writers import LOAD_HISTORY_SCHEMA, _now, count_or_zero, history_row
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's behaviour
@@ -20,9 +20,10 @@ MODE_EXACT, MODE_OLDER = "exact", "older_or_equal"
 
 
 def snapshot_date(name: Column | str) -> Column:
-    """Date of a snapshot name ``zBACKUP_<db>_<MM_dd_yyyy>``."""
+    """Date of a snapshot name ``zBACKUP_<db>_<MM_dd_yyyy>``; NULL, and so
+    never dropped, if the name ends in no date."""
     n = F.col(name) if isinstance(name, str) else name
-    return F.to_date(F.substring_index(n, "_", -3), BACKUP_DATE_FORMAT)
+    return F.try_to_date(F.substring_index(n, "_", -3), BACKUP_DATE_FORMAT)
 
 
 def snapshot_db(name: Column | str) -> Column:
@@ -70,8 +71,7 @@ def snapshot_tables(spark: SparkSession, tables: dict[str, DataFrame], base_path
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         done = list(pool.map(_copy, tables.items()))
-    rows = [history_row(spark, t, s, b, a, 0, f"snapshot {name}") for t, s, b, a in done]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    out = spark.createDataFrame([], LOAD_HISTORY_SCHEMA)
+    for t, s, b, a in done:
+        out = out.unionByName(history_row(spark, t, s, b, a, 0, f"snapshot {name}"))
     return out

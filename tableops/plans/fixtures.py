@@ -463,3 +463,41 @@ def task_and_project_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("call_id"),
                     F.when(is_task, F.lit(api.TASKS)).otherwise(F.lit(api.PROJECTS))
                     .alias("header"), body.alias("body"))
+
+
+def entity_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses of four lists, one call per row of `region` (business
+    units), `nation` (projects, some with a manager), `part` (package trades,
+    some with a rate that is no number) and `orders` (forms); calls for large
+    orders failed."""
+    from ..operators import api
+    tables = {n: read_table(spark, sf_dir, n) for n in ("region", "nation", "part", "orders")}
+
+    def landed(df, call, header, items, code=F.lit(2)):
+        status = F.to_json(F.struct(code.alias("Code"), F.lit("Said <so> & so.").alias("Message")))
+        payload = F.concat(F.lit('{"' + header + '":['), items, F.lit('],"Status":'), status, F.lit("}"))
+        escaped = F.replace(F.replace(payload, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return df.select(F.col(call).cast("long").alias("call_id"), F.lit(header).alias("header"),
+                         F.concat(F.lit("<E><B><R>"), escaped, F.lit("</R></B></E>")).alias("body"))
+
+    def item(*columns):
+        return F.to_json(F.struct(*columns))
+
+    unit = item(F.col("r_regionkey").alias("BusinessUnitID"), F.col("r_name").alias("Name"))
+    manager = F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("M "), F.col("n_name")))
+    project = item(F.col("n_nationkey").alias("ProjectID"), F.col("n_regionkey").alias("BusinessUnitID"),
+                   F.col("n_name").alias("Name"), manager.alias("Manager"))
+    trade = [F.col("p_partkey").alias("PackageID"), F.col("p_type").alias("Trade")]
+    rate = F.when(F.col("p_size") % 10 == 0, item(*trade, F.lit("open").alias("Rate"))) \
+        .otherwise(item(*trade, F.col("p_size").alias("Rate")))
+    form = [F.col("o_orderkey").alias("FormID"), F.col("o_orderstatus").alias("Status"),
+            (F.col("o_orderstatus") == "F").alias("Closed"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("StatusDate")]
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    cost = F.when(F.col("o_orderkey") % 2 == 0, item(*form, price.cast("long").alias("Cost"))) \
+        .otherwise(item(*form, price.alias("Cost")))
+    code = F.when(price > 150_000, F.lit(5)).otherwise(F.lit(2))
+    return (landed(tables["region"], "r_regionkey", api.BUSINESS_UNITS, unit)
+            .unionByName(landed(tables["nation"], "n_nationkey", api.PROJECTS, project))
+            .unionByName(landed(tables["part"], "p_partkey", api.PACKAGE_TRADES, rate))
+            .unionByName(landed(tables["orders"], "o_orderkey", api.FORMS, cost, code)))

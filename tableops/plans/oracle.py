@@ -687,3 +687,34 @@ SELECT event_id AS call_id, 'T' || event_id AS TaskID, user_id AS TaskTypeLinkID
        event_type = 'purchase' AS Complete, date_trunc('second', ts) AS LastModified,
        CAST(NULL AS BOOLEAN) AS Closed
 FROM events WHERE event_type IN ('click', 'view', 'purchase')"""
+
+
+ORACLE["api_business_units"] = """
+SELECT CAST(r_regionkey AS BIGINT) AS call_id, CAST(r_regionkey AS BIGINT) AS "BusinessUnitID", r_name AS "Name"
+FROM region"""
+
+ORACLE["api_projects"] = """
+SELECT CAST(n_nationkey AS BIGINT) AS call_id, CAST(n_nationkey AS BIGINT) AS "ProjectID",
+       CAST(n_regionkey AS BIGINT) AS "BusinessUnitID", n_name AS "Name",
+       CASE WHEN n_nationkey % 3 = 0 THEN 'M ' || n_name END AS "Manager"
+FROM nation"""
+
+ORACLE["api_package_trades"] = """
+SELECT p_partkey AS call_id, p_partkey AS "PackageID", p_type AS "Trade",
+       CASE WHEN p_size % 10 = 0 THEN 'open' ELSE CAST(p_size AS VARCHAR) END AS "Rate"
+FROM part"""
+
+ORACLE["api_forms"] = """
+SELECT o_orderkey AS call_id, o_orderkey AS "FormID", o_orderstatus AS "Status",
+       o_orderstatus = 'F' AS "Closed", strftime(o_orderdate, '%Y-%m-%d') AS "StatusDate",
+       CASE WHEN o_orderkey % 2 = 0 THEN CAST(trunc(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)
+            ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) END AS "Cost"
+FROM orders WHERE CAST(o_totalprice AS DECIMAL(18,2)) <= 150000"""
+
+ORACLE["ordered_relationships"] = f"""WITH {_CATALOG_CTES}
+SELECT *, row_number() OVER (ORDER BY right_table, left_table, left_column, right_column) AS position
+FROM edges"""
+
+ORACLE["ordered_manifest"] = f"""
+SELECT *, row_number() OVER (ORDER BY invoice_id NULLS FIRST, file_name) AS position
+FROM ({ORACLE["manifest_join"]})"""

@@ -7,6 +7,7 @@ names match the DuckDB SQL in ``oracle.py``.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -20,7 +21,7 @@ from ..functions.scalars import backup_name
 from ..operators import (api, audit, filesets, forms, geo, metadata, paging, relations,
                          snapshots, softdelete)
 from ..sinks import commits
-from ..sinks.writers import write_csv, write_json_lines, write_text_lines, write_version
+from ..sinks.writers import write_csv, write_json_lines, write_text_lines
 from ..streaming import form_events
 from ..sources import files, polygons
 from ..operators.profiling import profile_columns, profile_frame, typed_projection
@@ -168,15 +169,13 @@ def count_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def retire_and_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results of sources 1..3 stored as a versioned table; a new run of
-    source 2 retires its old rows and is committed as a new version."""
+    """Results of sources 1..3 committed source by source; a new run of
+    source 2 retires its old rows and leaves the other sources' files alone."""
     base = work_dir(spark, "count-results")
-    old = reduce(DataFrame.unionByName,
-                 [audit.count_audit(k, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[k]))
-                  for k in sorted(AUDIT_SOURCES)])
-    write_version(old, base)
-    new = audit.count_audit(2, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[2]))
-    return _no_clock(spark.read.parquet(audit.commit_results(base, new, 2)))
+    for k in (*sorted(AUDIT_SOURCES), 2):
+        audit.commit_results(base, audit.count_audit(
+            k, *_audit_inputs(spark, sf_dir, AUDIT_SOURCES[k])), k)
+    return _no_clock(audit.read_results(spark, base))
 
 
 @register
@@ -208,7 +207,11 @@ def soft_delete_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.catalog.createTable(f"{src_db}.{softdelete.AUDIT_TABLE}", path=f"{base}/data/audit",
                               source="parquet")
     softdelete.soft_delete_views(spark, src_db, rpt_db)
-    return spark.table(f"{rpt_db}.events")
+    out = spark.table(f"{rpt_db}.events")
+    # the view is part of the plan by now; its files are not the database's
+    for db in (rpt_db, src_db):
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+    return out
 
 
 # -- 3. paging and chunked replication ---------------------------------------
@@ -457,6 +460,22 @@ def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filesets.manifest_join(_attachments(spark, sf_dir), listing)
 
 
+@register
+def ordered_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined manifest with the position of every row in its order."""
+    listing = files.list_files(spark, fx.document_files(spark, sf_dir, missing="es"))
+    return paging.with_position(filesets.manifest_join(_attachments(spark, sf_dir), listing),
+                                ["invoice_id", "file_name"])
+
+
+@register
+def ordered_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The edges by right, then left table, with their positions."""
+    tables, columns = fx.catalog_from_part(spark, sf_dir)
+    return paging.with_position(relations.infer_relationships(tables, columns),
+                                ["right_table", "left_table", "left_column", "right_column"])
+
+
 @register
 def bundle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each invoice's present files in order, numbered 1..n."""
@@ -787,19 +806,24 @@ def snapshot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hist.select("table_name", "rows_before", "rows_after", "status")
 
 
-def _dataset(spark: SparkSession, sf_dir: str) -> str:
-    """A database that holds the test tables where they are."""
+@contextlib.contextmanager
+def _dataset(spark: SparkSession, sf_dir: str):
+    """A database that holds the test tables where they are, for as long as needed."""
     name = f"dataset_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {name}")
-    for t in TEST_TABLES:
-        spark.catalog.createTable(f"{name}.{t}", path=f"{sf_dir}/{t}.parquet", source="parquet")
-    return name
+    try:
+        for t in TEST_TABLES:
+            spark.catalog.createTable(f"{name}.{t}", path=f"{sf_dir}/{t}.parquet", source="parquet")
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 @register
 def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables and columns of a database as an information schema."""
-    tables, columns = metadata.session_catalog(spark, _dataset(spark, sf_dir))
+    with _dataset(spark, sf_dir) as db:
+        tables, columns = metadata.session_catalog(spark, db)
     return (columns.join(metadata.list_tables(tables).select("table_name"), "table_name")
             .select("table_name", "column_name", "data_type", "ordinal_position"))
 
@@ -820,8 +844,8 @@ def transfer_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R18, S8 over every table of a database: exported to CSV, loaded strictly, counts and
     values of both sides compared."""
     exp, tgt = work_dir(spark, "export-all"), work_dir(spark, "target-all")
-    db = _dataset(spark, sf_dir)
-    tables = {n: spark.table(f"{db}.{n}") for n in metadata.dataset_tables(spark, db)}
+    with _dataset(spark, sf_dir) as db:
+        tables = {n: spark.table(f"{db}.{n}") for n in metadata.dataset_tables(spark, db)}
     result = transfer.transfer_dataset(spark, tables, exp, tgt)
     equal = spark.createDataFrame(
         [(n, replicate.source_manifest(df, None, 0)
@@ -898,3 +922,31 @@ def api_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = out[api.TASKS][0]
     return tasks.select("call_id", "TaskID", "TaskTypeLinkID", "TaskType", "IssuedToPackageID",
                         "Cost", "Complete", "LastModified", "Closed")
+
+
+def _entities(spark: SparkSession, sf_dir: str, header: str) -> DataFrame:
+    return api.extract_entities(fx.entity_responses(spark, sf_dir), [header])[header][0]
+
+
+@register
+def api_business_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed business units, their fields found in the landed responses."""
+    return _entities(spark, sf_dir, api.BUSINESS_UNITS)
+
+
+@register
+def api_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed projects; some responses have a field that others lack."""
+    return _entities(spark, sf_dir, api.PROJECTS)
+
+
+@register
+def api_package_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed package trades; a rate is a number here and a text there."""
+    return _entities(spark, sf_dir, api.PACKAGE_TRADES)
+
+
+@register
+def api_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed forms, whole numbers and fractions in one field."""
+    return _entities(spark, sf_dir, api.FORMS)

@@ -10,6 +10,8 @@ breaks is read back by many tasks (``read_strict``)."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,8 +74,10 @@ def transfer_table(spark: SparkSession, name: str, df: DataFrame, export_base: s
 
 
 def transfer_dataset(spark: SparkSession, tables: dict[str, DataFrame], export_base: str,
-                     target_base: str) -> DataFrame:
-    """S8 loop over the dataset's tables (names only on the driver)."""
-    rows = [transfer_table(spark, n, df, export_base, target_base)
-            for n, df in sorted(tables.items())]
+                     target_base: str, parallel: int = 4) -> DataFrame:
+    """S8 loop over the dataset's tables (names only on the driver), ``parallel``
+    at a time; each is moved by jobs of its own."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        rows = list(pool.map(lambda t: transfer_table(spark, *t, export_base, target_base),
+                             sorted(tables.items())))
     return spark.createDataFrame(rows, RESULT_SCHEMA)

@@ -152,7 +152,11 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
 
     splits = (lines.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_turn").alias("_t"),
-        F.max(F.when(F.col("_base").isNotNull(), F.struct(ROW_COL, "_base")))["_base"].alias("_b"))
+        F.max(F.when(F.col("_base").isNotNull(), F.struct(ROW_COL, "_base")))["_base"].alias("_b"),
+        # the split's first line that is not blank, from 1
+        (F.min(F.when(~F.col("value").rlike(BLANK), F.col(ROW_COL))) - F.min(ROW_COL) + 1)
+        .alias("_head"))
+        .withColumn("_n_before", F.coalesce(F.sum("_n").over(earlier), zero))
         .withColumn("_t_before", F.coalesce(F.sum("_t").over(earlier), zero))
         # the split's base with the turns of the earlier splits taken off
         .withColumn("_b", F.when(F.col("_b").isNotNull(),
@@ -161,7 +165,7 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
         .withColumn("_after", state(F.coalesce("_b", "_b_before"),
                                     F.col("_t_before") + F.col("_t")))
         .select(*keys, state(F.col("_b_before"), F.col("_t_before")).alias("_begin"),
-                F.coalesce(F.sum("_n").over(earlier), zero).alias("_n_before"),
+                "_n_before", F.min(F.col("_n_before") + F.col("_head")).over(file).alias("_header"),
                 (F.max(F.struct(BLOCK_COL, "_after")).over(file)["_after"] == 1).alias("_open")))
     opened = state(F.coalesce(F.last("_base", ignorenulls=True).over(before), F.col("_begin")),
                    F.col("_turns") - F.col("_turn")) == 1
@@ -177,16 +181,13 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
     whole = (numbered.join(carried, keys)
              .withColumn("_unclosed", F.col("_open") & (start == F.col("_last")))
              .withColumn(LINE_COL, F.when(F.col("_unclosed"), F.col("_at")).otherwise(start))
-             .groupBy(FILE_COL, LINE_COL, "_unclosed")
+             .groupBy(FILE_COL, LINE_COL, "_unclosed", "_header")
              .agg(F.array_sort(F.collect_list(F.struct("_at", "value", "_end"))).alias("l"))
-             .select(FILE_COL, LINE_COL, "_unclosed", F.array_join(F.transform(
+             .select(FILE_COL, LINE_COL, "_unclosed", "_header", F.array_join(F.transform(
                  "l", lambda x, i: F.when(i == F.size("l") - 1, x["value"])
                  .otherwise(F.concat(x["value"], x["_end"]))), "").alias("_text"))
              .filter(~F.col("_text").rlike(BLANK)))
-    if not header:
-        return whole
-    headers = whole.groupBy(FILE_COL).agg(F.min(LINE_COL).alias(LINE_COL))
-    return whole.join(headers, [FILE_COL, LINE_COL], "left_anti")
+    return (whole.filter(F.col(LINE_COL) != F.col("_header")) if header else whole).drop("_header")
 
 
 def read_quoted_records(spark: SparkSession, path: str, file_format: str = "CSV",

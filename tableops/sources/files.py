@@ -80,10 +80,12 @@ def copy_files(files: DataFrame, target_prefix: str) -> DataFrame:
 
 def file_list_job(spark: SparkSession, directory: str, system_name: str, target_base: str
                   ) -> str:
-    """S5 + K7 + K1: the names in ``directory`` written as text lines
-    (``<SYSTEM>_FILES``) and as the one-column table ``<SYSTEM>_FILE_LIST``
+    """S5 + K7 + K1: all names in ``directory``, hidden ones included, written as
+    text lines (``<SYSTEM>_FILES``) and as the one-column table ``<SYSTEM>_FILE_LIST``
     (``FILE_NAME``), replacing an earlier list.  Returns the table path."""
-    names = list_files(spark, directory).select(F.col("file_name").alias("FILE_NAME"))
+    hidden = spark.createDataFrame([(n,) for n in hidden_files(spark, directory)], "FILE_NAME string")
+    names = list_files(spark, directory).select(F.col("file_name").alias("FILE_NAME")) \
+        .unionByName(hidden)
     base = target_base.rstrip("/")
     names.write.mode("overwrite").text(f"{base}/{system_name}_FILES")
     table = f"{base}/{system_name}_FILE_LIST"

@@ -8,9 +8,12 @@ fields>...)``.  A row announced by several notifications is handled once:
 * X1 ``notification_stream`` reads the stream and classifies each
   notification (T23);
 * X2 ``new_form_entries`` keeps rows whose Record Source is
-  'Form - New Entry' and drops repeats of a row id with the streaming
-  state store (exact, state partitioned by row id across tasks), or within
-  an event-time watermark when one is given (bounded state);
+  'Form - New Entry', and a row id is handled once.  By default the stream
+  keeps no state: a batch drops its own repeats and the row ids that the
+  committed status table has, so a repeat is found however late it comes, also
+  after a restart or with a new checkpoint.  With ``keep_state`` the streaming
+  state store drops repeats (one row per row id for ever), or those within an
+  event-time watermark (late rows are then dropped, too);
 * X3 ``process_batch`` runs per micro-batch in the reference's order:
   status updates first, then notifications, then comments.  Outputs are
   partitioned by stream id and batch id.  After the status step a marker is
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import forms
+from ..sinks.writers import path_exists
 
 STATUS_DIR, NOTIFY_DIR, COMMENT_DIR = "status_updates", "notifications", "comments"
 DONE_DIR = "done_batches"
@@ -56,9 +60,13 @@ def notification_stream(spark: SparkSession, source_dir: str,
     return reader.json(source_dir).withColumn("kind", forms.classify_notification("header"))
 
 
-def new_form_entries(stream: DataFrame, watermark: str | None = None) -> DataFrame:
-    """Change notifications only, new entries only, each row id once."""
+def new_form_entries(stream: DataFrame, watermark: str | None = None,
+                     keep_state: bool = True) -> DataFrame:
+    """Change notifications only, new entries only; with ``keep_state`` each
+    row id once (without it, ``process_batch`` has to drop repeats)."""
     rows = forms.new_entries(stream.filter(F.col("kind") == forms.KIND_CHANGE))
+    if not keep_state:
+        return rows
     if watermark:
         return (rows.withWatermark("event_time", watermark)
                 .dropDuplicatesWithinWatermark(["row_id"]))
@@ -71,9 +79,26 @@ def _marker(spark: SparkSession, out_dir: str, stream_id: str, batch_id: int):
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def process_batch(out_dir: str, record_source_column_id: int,
-                  stream_id: str = "stream") -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function writing the three outputs in order.
+STATUS_KEYS = "row_id long, stream_id string, batch_id long"
+
+
+def not_handled(rows: DataFrame, out_dir: str, stream_id: str, batch_id: int) -> DataFrame:
+    """X2 without state: the rows of a batch, one per row id, whose id no other
+    batch has put into the status table (its ids alone are read)."""
+    spark = rows.sparkSession
+    fresh = rows.dropDuplicates(["row_id"])
+    status = f"{out_dir}/{STATUS_DIR}"
+    if not path_exists(spark, status):
+        return fresh
+    own = (F.col("stream_id") == stream_id) & (F.col("batch_id") == batch_id)
+    seen = spark.read.schema(STATUS_KEYS).parquet(status).filter(~own).select("row_id")
+    return fresh.join(seen, "row_id", "left_anti")
+
+
+def process_batch(out_dir: str, record_source_column_id: int, stream_id: str = "stream",
+                  drop_handled: bool = False) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function writing the three outputs in order;
+    with ``drop_handled`` for rows that no batch has handled before.
 
     ``stream_id`` names the stream whose batch ids count: a new checkpoint is a
     new stream, whose batch 0 is no replay of another stream's."""
@@ -85,6 +110,8 @@ def process_batch(out_dir: str, record_source_column_id: int,
             batch.write.format("noop").mode("overwrite").save()
             return
         rows = batch.select(*[c for c in batch.columns if c != "kind"])
+        if drop_handled:
+            rows = not_handled(rows, out_dir, stream_id, batch_id)
         rows.persist()
         try:
             tags = [F.lit(stream_id).alias("stream_id"),
@@ -111,14 +138,15 @@ def process_batch(out_dir: str, record_source_column_id: int,
 
 def run_available(spark: SparkSession, source_dir: str, out_dir: str, checkpoint_dir: str,
                   record_source_column_id: int = 1, max_files_per_trigger: int | None = None,
-                  watermark: str | None = None) -> None:
+                  watermark: str | None = None, keep_state: bool = False) -> None:
     """Process everything present in ``source_dir`` now (``availableNow``)
     and stop; rerunning later picks up only new files.  The checkpoint folder
-    names the stream."""
+    names the stream.  With a ``watermark`` state is kept, too."""
+    keep_state = keep_state or watermark is not None
     stream_id = hashlib.sha256(checkpoint_dir.encode()).hexdigest()[:16]
     stream = notification_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger)
-    q = (new_form_entries(stream, watermark).writeStream
-         .foreachBatch(process_batch(out_dir, record_source_column_id, stream_id))
+    q = (new_form_entries(stream, watermark, keep_state).writeStream
+         .foreachBatch(process_batch(out_dir, record_source_column_id, stream_id, not keep_state))
          .option("checkpointLocation", checkpoint_dir)
          .trigger(availableNow=True).start())
     q.awaitTermination()

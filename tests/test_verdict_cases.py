@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tableops import session
 from tableops.operators import api, audit, forms, relations, softdelete
 from tableops.plans import transfer
-from tableops.sinks.writers import read_latest, write_json_lines
+from tableops.sinks.writers import write_json_lines
 from tableops.streaming import form_events
 
 
@@ -119,7 +119,7 @@ def test_new_counts_are_taken_once(spark, tmp_dir):
         seen = row.mapInArrow(count, row.schema)
         audit.commit_results(f"{tmp_dir}/res", seen, 1)
     assert calls.value == 2
-    flags = sorted(r.md_active_flag for r in read_latest(spark, f"{tmp_dir}/res").collect())
+    flags = sorted(r.md_active_flag for r in audit.read_results(spark, f"{tmp_dir}/res").collect())
     assert flags == ["N", "Y"]
 
 
