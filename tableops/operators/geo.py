@@ -8,17 +8,20 @@ Point-in-polygon is a grid-cell equi-join followed by an exact test:
 * every point falls into one cell of each level that the layer has;
 * points and polygon boxes meet in an equi-join on (level, cell), so the
   work is a hash/sort-merge join (no nested loop, no cross join);
-* a bounding-box filter, then a join with the edges and an exact even-odd ray
-  cast over all rings (holes and multi-part shapes included), as JVM-side
-  higher-order functions.  A point on an edge or vertex is outside, like a
-  geometry library's ``contains``.
+* a bounding-box filter, then an equi-join on (polygon, strip) with the edges
+  that reach into the point's horizontal strip of the polygon, and an exact
+  even-odd ray cast over them (holes and multi-part shapes included), as JVM-side
+  higher-order functions.  A ray to the side crosses edges of its own strip
+  only, so a point meets some ``EDGES_PER_STRIP`` edges however many the shape
+  has.  A point on an edge or vertex is outside, like a geometry library's
+  ``contains``.
 
 Neither side is broadcast unless AQE sees it is small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import mercator_x, mercator_y
@@ -74,9 +77,37 @@ def polygon_cells(poly: DataFrame) -> DataFrame:
                                                    F.floor(F.col("maxx") / width))))
             .withColumn("cy", F.explode(F.sequence(F.floor(F.col("miny") / width),
                                                    F.floor(F.col("maxy") / width))))
-            .select("poly_row", "level", "cx", "cy", "minx", "maxx", "miny", "maxy"))
+            .select("poly_row", "level", "cx", "cy", "minx", "maxx", "miny", "maxy", "strips"))
 
 
+def with_strips(poly: DataFrame) -> DataFrame:
+    """Number of horizontal strips of equal height: about ``EDGES_PER_STRIP``
+    edges each, and not thinner than the edges are high on average, so that an
+    edge lies in two strips or so on average."""
+    n = F.size("edges")
+    heights = F.aggregate("edges", F.lit(0.0), lambda a, e: a + F.abs(e["y2"] - e["y1"]))
+    most = F.least(n / F.lit(EDGES_PER_STRIP),
+                   F.when(heights > 0, (F.col("maxy") - F.col("miny")) * n / heights).otherwise(1))
+    return poly.withColumn("strips", F.greatest(F.lit(1), F.floor(most)).cast("int"))
+
+
+def strip_of(y: Column) -> Column:
+    """The strip that a height inside of the box lies in (never falls with it)."""
+    height = F.col("maxy") - F.col("miny")
+    at = F.when(height > 0, F.floor((y - F.col("miny")) * (F.col("strips") / height))).otherwise(0)
+    return F.least(F.col("strips") - 1, at).cast("int")
+
+
+def strip_edges(poly: DataFrame) -> DataFrame:
+    """(poly_row, strip, edges): the edges that reach into each strip."""
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    return (poly.select("poly_row", "miny", "maxy", "strips", F.explode("edges").alias("e"))
+            .withColumn("strip", F.explode(F.sequence(strip_of(low), strip_of(high))))
+            .groupBy("poly_row", "strip").agg(F.collect_list("e").alias("edges")))
+
+
+# Edges of one strip, about.
+EDGES_PER_STRIP = 16
 # Smallest cell width (2 ** MIN_LEVEL), for points and tiny shapes.
 MIN_LEVEL = -30
 
@@ -89,9 +120,10 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, x: str = "px",
 
     Points meet polygons by (level, cell), once for each level that the layer
     has (a handful: sides differ by powers of two).  Only boxes travel through
-    that join; the edges join the pairs whose box holds the point.  A crowded
-    cell is a skewed join key, which adaptive execution splits."""
-    poly = cut_lineage(polygon_edges(polygons).withColumn(
+    that join; the pairs whose box holds the point meet the edges of their strip,
+    and what is inside then gets the polygon's columns.  A crowded cell or strip is
+    a skewed join key, which adaptive execution splits."""
+    poly = cut_lineage(with_strips(polygon_edges(polygons)).withColumn(
         "poly_row", F.monotonically_increasing_id()))
     cells = polygon_cells(poly)
     # at most one entry per power of two
@@ -106,10 +138,12 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, x: str = "px",
     cand = (pts.join(cells, ["level", "cx", "cy"]).filter(
         F.col("px").between(F.col("minx"), F.col("maxx"))
         & F.col("py").between(F.col("miny"), F.col("maxy")))
-        .drop("level", "cx", "cy", "minx", "maxx", "miny", "maxy"))
-    shapes = poly.drop("rings", "minx", "maxx", "miny", "maxy")
+        .withColumn("strip", strip_of(F.col("py")))
+        .drop("level", "cx", "cy", "minx", "maxx", "miny", "maxy", "strips"))
     inside = (F.expr(_CROSSINGS) % 2 == 1) & ~F.expr(_ON_EDGE)
-    return cand.join(shapes, "poly_row").filter(inside).drop("edges", "poly_row")
+    hits = cand.join(strip_edges(poly), ["poly_row", "strip"]).filter(inside).drop("edges", "strip")
+    shapes = poly.drop("rings", "edges", "minx", "maxx", "miny", "maxy", "strips")
+    return hits.join(shapes, "poly_row").drop("poly_row")
 
 
 def area_records(matches: DataFrame) -> DataFrame:

@@ -52,10 +52,11 @@ def test_brute_force_agreement(spark):
 def test_one_large_and_many_small_polygons(spark):
     from pyspark.sql import functions as F
 
-    from tableops.operators.geo import polygon_cells, polygon_edges
+    from tableops.operators.geo import polygon_cells, polygon_edges, with_strips
     rows = [("HUGE", "h", "l", [_sq(0.0, 100_000.0)])] + [
         (f"s{i}", "s", "l", [_sq(float(10 * i), 10 * i + 5.0)]) for i in range(2000)]
-    poly = polygon_edges(_poly(spark, rows)).withColumn("poly_row", F.monotonically_increasing_id())
+    poly = with_strips(polygon_edges(_poly(spark, rows))).withColumn(
+        "poly_row", F.monotonically_increasing_id())
     cells = polygon_cells(poly)
     assert cells.count() <= 4 * len(rows)
     # candidates (same level and cell) stay near the hits: the huge one and the own one
@@ -105,3 +106,49 @@ def test_geojson_multipolygon_layer(spark, tmp_dir):
     pts = [(1, 1.0, 1.0), (2, 6.0, 6.0), (3, 5.2, 5.2), (4, 3.0, 3.0)]
     # (1, 1) is a corner of P (outside P); (6, 6) is in the hole of M and a corner of P
     assert _hits(spark, pts, layer) == [(1, "M"), (3, "M"), (3, "P"), (4, "P")]
+
+
+def _even_odd(x, y, rings):
+    """Inside, by all edges; None on an edge."""
+    c = False
+    for ring in rings:
+        for i in range(len(ring)):
+            (x1, y1), (x2, y2) = ring[i], ring[(i + 1) % len(ring)]
+            if ((x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2)
+                    and min(y1, y2) <= y <= max(y1, y2)):
+                return False
+            if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+                c = not c
+    return c
+
+
+def test_large_shapes_meet_points_by_strips(spark):
+    import math
+    import random
+
+    from pyspark.sql import functions as F
+
+    from tableops.operators import geo
+    rng = random.Random(5)
+    n = 3000
+    coast = [(r * math.cos(2 * math.pi * i / n), r * math.sin(2 * math.pi * i / n))
+             for i in range(n) for r in [rng.uniform(8, 10)]]
+    shapes = {"coast": [coast, [(-2.0, -2.0), (2.0, -2.0), (2.0, 2.0), (-2.0, 2.0)]],
+              # edges as high as the shape, parts with a gap between them, no height
+              "saw": [[(i / 50, 9.0 if i % 2 else -9.0) for i in range(400)] + [(8.0, -10.0), (0.0, -10.0)]],
+              "parts": [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)],
+                        [(0.0, 7.0), (1.0, 7.0), (1.0, 8.0), (0.0, 8.0)]],
+              "flat": [[(0.0, 3.0), (5.0, 3.0), (2.0, 3.0)]]}
+    polys = _poly(spark, [(k, k, "l", [[{"x": x, "y": y} for x, y in r] for r in rings])
+                          for k, rings in shapes.items()])
+    spots = [(rng.uniform(-11, 11), rng.uniform(-11, 11)) for _ in range(700)]
+    spots += coast[::100] + [(0.5, 0.0), (0.5, 7.0), (0.5, 7.5), (0.5, 4.0), (1.0, 3.0), (0.02, 0.0), (0.0, 1.0)]
+    pts = [(i, x, y) for i, (x, y) in enumerate(spots)]
+    want = sorted((i, k) for i, x, y in pts for k, rings in shapes.items() if _even_odd(x, y, rings))
+    assert _hits(spark, pts, polys) == want
+    poly = geo.with_strips(geo.polygon_edges(polys)).withColumn("poly_row", F.col("poly_id"))
+    size = geo.strip_edges(poly).groupBy("poly_row").agg(
+        F.max(F.size("edges")).alias("most"), F.sum(F.size("edges")).alias("all"), F.count("*").alias("n"))
+    got = {r.poly_row: r for r in size.collect()}
+    assert got["coast"].most < 400 and got["coast"].n > 40
+    assert all(got[k]["all"] <= 4 * sum(map(len, rings)) for k, rings in shapes.items())
