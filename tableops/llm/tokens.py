@@ -2,8 +2,9 @@
 
 Encoding a text unit by unit gives the same ids as encoding it whole, if
 the units end where the tokenizer's own pre-tokenizer always ends a piece.
-``TextEncoder`` cuts texts at such places, encodes every distinct unit once
-with the library and keeps the result, since words repeat a lot.
+``TextEncoder`` cuts the texts of a chunk at such places, numbers the distinct
+units with Arrow's dictionary encoding, gets the ids of units it has not seen
+from the library, and puts the texts' ids together with array operations.
 
 * ``style="byte"`` (byte-level BPE, a word keeps the space before it): a
   single space or line break between two non-space characters is a border;
@@ -11,7 +12,9 @@ with the library and keeps the result, since words repeat a lot.
 * ``style="word"`` (white space dropped): every space or line break is a
   border.
 
-A special token's string inside a text is ordinary text.
+A unit of Latin letters is one piece of both pre-tokenizers, and goes to the
+library's model directly; all others go through the whole tokenizer.  Texts with
+the string of a special token are encoded whole, by the library's own rules.
 """
 
 from __future__ import annotations
@@ -21,81 +24,52 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-# Distinct units kept per Python worker and position (two generations each).
-CACHE_UNITS = 200_000
-# Texts are encoded in chunks of about so many characters.
-CHUNK_CHARS = 1_000_000
+# Distinct units kept per Python worker.
+CACHE_UNITS = 1_000_000
+# Texts are encoded in chunks of about so many bytes.
+CHUNK_BYTES = 2_000_000
 
 # Python's white space holds every white-space character of the tokenizers'
 # patterns, so a non-space character here is one there too.
 _BORDER = re.compile(r"(?<=\S)([ \n])(?=\S)")
-_STOPS = (".", ",")
-
-
-class _Units:
-    """Ids of units, as little-endian uint32 bytes, that stand behind ``prefix``.
-
-    ``learn`` encodes the units it has not seen in one call, joined by
-    ``border``, whose single id marks the borders in the result.
-    """
-
-    def __init__(self, tokenizer, prefix: str, border: str, checked: bool):
-        self.tokenizer, self.prefix, self.border, self.checked = tokenizer, prefix, border, checked
-        self.border_id, = tokenizer.encode(border, add_special_tokens=False).ids
-        self.known: dict[str, bytes | None] = {}
-        self.old: dict[str, bytes | None] = {}
-        self.stops = {c: self._single(c) for c in _STOPS}
-
-    def _single(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                        "<u4").tobytes()
-
-    def learn(self, units: set[str]) -> dict[str, bytes | None]:
-        """The table, with all ``units`` in it (None: not a unit by itself)."""
-        if len(self.known) > CACHE_UNITS:
-            self.old, self.known = self.known, {}
-        known, old, checked = self.known, self.old, self.checked
-        fresh, ends = set(), []
-        for u in units:
-            if u in known:
-                continue
-            if u in old:
-                known[u] = old[u]
-            elif checked and (not u or u[0].isspace() or u[-1].isspace()):
-                known[u] = None
-            # a full stop or comma after letters is always a piece of its own
-            elif u[-1:] in _STOPS and u[:-1].isalpha():
-                ends.append(u)
-                stem = u[:-1]
-                if stem in old:
-                    known[stem] = old[stem]
-                elif stem not in known:
-                    fresh.add(stem)
-            else:
-                fresh.add(u)
-        self._encode(list(fresh))
-        for u in ends:
-            known[u] = known[u[:-1]] + self.stops[u[-1]]
-        return known
-
-    def _encode(self, fresh: list[str]) -> None:
-        known, prefix = self.known, self.prefix
-        if fresh:
-            ids = np.array(self.tokenizer.encode_batch_fast(
-                [prefix + (self.border + prefix).join(fresh)],
-                add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(ids == self.border_id)
-            # as many borders as there should be: no unit holds one itself
-            if len(at) == len(fresh) - 1:
-                raw = ids.tobytes()
-                start = 0
-                for u, end in zip(fresh, [*(at * 4).tolist(), len(raw)], strict=True):
-                    known[u] = raw[start:end]
-                    start = end + 4
-                return
-        for u in fresh:
-            known[u] = self._single(prefix + u)
+# Units of composed Latin letters with one lower-case letter each.
+_LETTERS = "\\A[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+\\z"
+_SPACE, _LINE, _STOP, _COMMA = b" \n.,"
+_ASCII_LETTER = np.zeros(256, bool)
+_ASCII_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+# Stands for the space before a word where pieces are joined by spaces.
+_MARK = "\x02"
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level BPE's letter for each byte: itself if it is printable in
+    Latin-1, else the next one from 256 on.  The space stays, ``_MARK`` gets its letter."""
+    out, free = {}, 256
+    for b in range(256):
+        if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b:
+            out[b] = chr(b)
+        else:
+            out[b] = chr(free)
+            free += 1
+    out[ord(_MARK)] = out.pop(_SPACE)
+    return out
+
+
+def _runs(ids: list[int], border: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids without border ids, and the sizes of the runs between these."""
+    got = np.array(ids, "<u4")
+    at = np.flatnonzero(got == border)
+    return np.delete(got, at), np.diff(at, prepend=-1, append=len(got)) - 1
+
+
+def _filled(sizes: np.ndarray, at: np.ndarray, flat: np.ndarray, pool: np.ndarray,
+            starts: np.ndarray) -> None:
+    """Put runs of ``flat`` (of the given sizes) into ``pool`` from ``starts[at]`` on."""
+    before = np.cumsum(sizes) - sizes
+    pool[np.repeat(starts[at] - before, sizes) + np.arange(len(flat))] = flat
 
 
 class TextEncoder:
@@ -103,55 +77,172 @@ class TextEncoder:
 
     def __init__(self, path: str, style: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if style not in ("byte", "word"):
             raise ValueError(f"unknown style {style!r}")
         self.byte = style == "byte"
-        border = "\n" if self.byte else " \x01 "
-        self.first = _Units(self.tokenizer, "", border, self.byte)
-        self.later = _Units(self.tokenizer, " " if self.byte else "", border, self.byte)
-        self.line = self.first._single("\n")
+        self.special = [t.content.encode() for t in
+                        self.tokenizer.get_added_tokens_decoder().values()]
+        # the model alone, for pieces that are parted by spaces
+        self.pieces = Tokenizer(self.tokenizer.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = _byte_letters()
+        # between units that are encoded in one call; its single id marks the borders
+        self.border = "\n" if self.byte else " \x01 "
+        self.border_id, = self.tokenizer.encode(self.border, add_special_tokens=False).ids
+        self.line = self._ids("\n")
+        self.stops = {ord(c): self._ids(c) for c in ".,"}
+        self._forget()
+
+    def _forget(self) -> None:
+        # units begin with the byte before them: a space, a line break, or 0 at
+        # the beginning of a text (a space always, where white space is dropped),
+        # or are a full stop or comma; size -1: not a unit by itself
+        self.units = pa.array([], pa.large_binary())
+        self.sizes, self.pool = np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = []
-        chunk: list[str] = []
+        chunk: list[bytes] = []
         size = 0
         for t in texts:
-            chunk.append(t or "")
+            chunk.append((t or "").encode())
             size += len(chunk[-1])
-            if size >= CHUNK_CHARS:
+            if size >= CHUNK_BYTES:
                 out.extend(self._chunk(chunk))
                 chunk, size = [], 0
         return out + self._chunk(chunk)
 
-    def _chunk(self, texts: list[str]) -> list[bytes]:
+    def _chunk(self, raws: list[bytes]) -> list[bytes]:
+        if not raws:
+            return []
+        joined = b"\0" + b"\0".join(raws)
+        data = np.frombuffer(joined, np.uint8)
+        begins = np.cumsum([0, *(len(r) + 1 for r in raws[:-1])])
+        border = (data == _SPACE) | (data == _LINE)
+        border[begins] = True
+        # a full stop or comma after a letter and before a border is a piece of its own
+        stops = np.flatnonzero((data == _STOP) | (data == _COMMA))
+        stops = stops[_ASCII_LETTER[data[stops - 1]] & np.append(border, True)[stops + 1]]
         if not self.byte:
-            units = [t.replace("\n", " ").split(" ") for t in texts]
-            known = self.first.learn(set().union(*units) | {""})
-            return [b"".join(map(known.__getitem__, u)) for u in units]
-        lines = [[x.split(" ") for x in t.split("\n")] for t in texts]
-        first = self.first.learn({x[0] for t in lines for x in t})
-        # first units are learnt here too, which does no harm
-        later = self.later.learn(set().union(*(x for t in lines for x in t)))
-        out = []
-        for text, split in zip(texts, lines, strict=True):
-            try:
-                out.append(self.line.join(
-                    [first[x[0]] + b"".join(map(later.__getitem__, x[1:])) for x in split]))
-            except TypeError:  # runs of white space, or white space at an end
-                out.append(self._by_borders(text))
+            data = np.where(border, np.uint8(_SPACE), data)
+        border[stops] = True
+        starts = np.flatnonzero(border)
+        offsets = np.append(starts, len(data)).astype(np.int64)
+        units = pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                      [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        numbered = units.dictionary_encode()
+        which = self._numbers(numbered.dictionary)[np.asarray(numbered.indices)]
+        # all units' ids, and with them those of the texts, by array operations
+        sizes = np.maximum(self.sizes, 0)
+        n = sizes[which]
+        ends = np.cumsum(n)
+        flat = self.pool[np.repeat((np.cumsum(sizes) - sizes)[which] - (ends - n), n)
+                         + np.arange(int(ends[-1]))].tobytes()
+        first = np.searchsorted(starts, begins)
+        cuts = (4 * np.append((ends - n)[first], ends[-1])).tolist()
+        out = [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        # runs of white space, or white space at an end
+        odd = np.searchsorted(first, np.flatnonzero(self.sizes[which] < 0), side="right") - 1
+        for i in np.unique(odd).tolist():
+            out[i] = self._by_borders(raws[i].decode())
+        for token in self.special:
+            if token in joined:
+                for i, raw in enumerate(raws):
+                    if token in raw:
+                        out[i] = self._ids(raw.decode()).tobytes()
+        return out
+
+    def _numbers(self, units: pa.Array) -> np.ndarray:
+        """Numbers of distinct units in the table, which learns those it lacks."""
+        if len(self.units) > CACHE_UNITS:
+            self._forget()
+        at = pc.index_in(units, value_set=self.units)
+        fresh = units.filter(at.is_null())
+        out = np.asarray(at.fill_null(-1)).astype(np.int64)
+        if len(fresh):
+            sizes, pool = self._learn(fresh.to_pylist())
+            out[out < 0] = len(self.units) + np.arange(len(fresh))
+            self.units = pa.concat_arrays([self.units, fresh])
+            self.sizes, self.pool = np.append(self.sizes, sizes), np.append(self.pool, pool)
         return out
 
+    def _learn(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of new units."""
+        words = [u[1:].decode() for u in units]
+        kinds = np.frombuffer(b"".join(u[:1] for u in units), np.uint8)
+        letters = np.asarray(pc.match_substring_regex(pa.array(words, pa.large_string()), _LETTERS)
+                             .to_numpy(zero_copy_only=False))
+        spaced = (kinds == _SPACE) & self.byte
+        alone = np.zeros(len(units), bool)
+        rest = []
+        for i in np.flatnonzero(~letters).tolist():
+            word = words[i]
+            if units[i][0] in self.stops:
+                continue
+            if self.byte and (not word or word[0].isspace() or word[-1].isspace()):
+                alone[i] = True
+            elif word:
+                rest.append(i)
+        runs = [self._letters_ids(words, spaced, np.flatnonzero(letters))]
+        for prefix, own in ((" ", [i for i in rest if spaced[i]]),
+                            ("", [i for i in rest if not spaced[i]])):
+            runs.append((np.array(own, np.int64), *self._other_ids(prefix, [words[i] for i in own])))
+        sizes = np.zeros(len(units), np.int64)
+        for at, _, n in runs:
+            sizes[at] = n
+        fixed = [(np.flatnonzero(kinds == k), ids) for k, ids in self.stops.items()]
+        if self.byte:  # the line break before a unit
+            fixed.append((np.flatnonzero((kinds == _LINE) & ~alone), self.line))
+        for at, ids in fixed:
+            sizes[at] += len(ids)
+        starts = np.cumsum(sizes) - sizes
+        pool = np.zeros(int(sizes.sum()), "<u4")
+        for at, ids in fixed:
+            for k, x in enumerate(ids):
+                pool[starts[at] + k] = x
+            starts[at] += len(ids)
+        for at, flat, n in runs:
+            _filled(n, at, flat, pool, starts)
+        return np.where(alone, -1, sizes), pool
+
+    def _letters_ids(self, words: list[str], spaced: np.ndarray, at: np.ndarray
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Units that are one piece of letters, by the model in one call."""
+        if not len(at):
+            return at, self.pool[:0], np.zeros(0, np.int64)
+        text = f" {self.border.strip(' ')} ".join(
+            [_MARK + words[i] if spaced[i] else words[i] for i in at.tolist()])
+        text = (text if self.byte else text.lower()).encode().decode("latin-1")
+        got = self.pieces.encode_batch_fast([text.translate(self.letters)], add_special_tokens=False)
+        return at, *_runs(got[0].ids, self.border_id)
+
+    def _other_ids(self, prefix: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Units that are not of letters alone, by the whole tokenizer."""
+        if not words:
+            return self.pool[:0], np.zeros(0, np.int64)
+        got = self.tokenizer.encode_batch_fast(
+            [prefix + (self.border + prefix).join(words)], add_special_tokens=False)
+        flat, sizes = _runs(got[0].ids, self.border_id)
+        if len(sizes) != len(words):  # a unit holds a border itself
+            parts = [self._ids(prefix + w) for w in words]
+            flat, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
+        return flat, sizes
+
     def _by_borders(self, text: str) -> bytes:
         if not text:
             return b""
-        one = self.first._single
+        def one(unit: str) -> bytes:
+            return self._ids(unit).tobytes()
+
         parts = _BORDER.split(text)
         out = [one(parts[0])]
         for border, unit in zip(parts[1::2], parts[2::2], strict=True):
-            out.append(one(" " + unit) if border == " " else self.line + one(unit))
+            out.append(one(" " + unit) if border == " " else self.line.tobytes() + one(unit))
         return b"".join(out)
 
 
