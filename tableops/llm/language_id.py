@@ -4,20 +4,22 @@ A text's score for a language is the sum over its words of the word's log
 frequency in that language.  A word the model does not know falls back to
 its character n-grams, longest first: the first length of which the model
 knows any n-gram gives the mean of their log frequencies, less a penalty for
-each step down.  Words are runs of letters, lower-cased.
+each step down.  Words are runs of letters with their combining marks,
+lower-cased; digits, numerals and symbols are no letters.
 
 ``fit`` learns from a bounded sample of labelled rows: about
 ``sample_chars`` characters of whole texts per language, chosen by a hash of
 the text, so that the model's size does not grow with the corpus.  The model
 keeps the ``max_words`` most frequent words of each language and the
-``max_ngrams`` most frequent n-grams of each length, which bounds what is
-broadcast (model parameters, not a limit on the texts that are judged).
-``predict`` judges every whole text.
+``max_ngrams`` most frequent n-grams of each length (model parameters, not a
+limit on the texts that are judged; words beyond them back off).  It is sparse: a
+key has an entry per language that knows it, so its size is at most languages
+times keys of one.  Spark puts the entries of a key together, the driver gets
+them as Arrow columns.  ``predict`` judges every whole text, very long ones too.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -25,6 +27,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,47 +41,107 @@ MAX_LANGUAGES = 400
 LENGTHS = (5, 4, 3, 2, 1)
 STEP_PENALTY = 0.5
 UNKNOWN = "und"
-CACHE_WORDS = 200_000
+# Numbers that a worker keeps for words that needed a fallback.
+CACHE_NUMBERS = 1_000_000
 
-WORD = re.compile(r"[^\W\d_]+")
+# Texts of Latin letters take the faster of two patterns with one meaning.
+_LATIN = re.compile("[a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u024f]+")
+_BEYOND = re.compile("[^\u0000-\u024f]")
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+
+
+def words_of(text: str) -> list[str]:
+    low = text.lower()
+    return _WORD.findall(low) if _BEYOND.search(low) else _LATIN.findall(low)
+
+
+class Table:
+    """Log frequencies of keys in every language: ``base`` for a language that
+    does not know the key, more by log(2 n + 1) for one that has seen it n times."""
+
+    def __init__(self, base: np.ndarray, keys: pa.Array, ends: np.ndarray, langs: np.ndarray,
+                 values: np.ndarray):
+        self.base, self.keys, self.ends, self.langs, self.values = base, keys, ends, langs, values
+        self.index: dict[str, int] | None = None
+
+    def __getstate__(self):
+        return {**self.__dict__, "index": None}
+
+    def row_of(self, key: str) -> int | None:
+        if self.index is None:
+            self.index = {k: i for i, k in enumerate(self.keys.to_pylist())}
+        return self.index.get(key)
+
+    def mean(self, rows: list[int]) -> np.ndarray:
+        """Mean of the keys' log frequencies."""
+        out = self.base.copy()
+        for r in rows:
+            a, b = self.ends[r], self.ends[r + 1]
+            out[self.langs[a:b]] += self.values[a:b] / len(rows)
+        return out
+
+    def __getitem__(self, key: str) -> np.ndarray:
+        return self.mean([self.row_of(key)])
 
 
 @dataclass
 class Model:
-    """Log frequencies: one row of ``len(langs)`` numbers per word or n-gram."""
+    """Log frequencies of words and, by length, of n-grams."""
 
     langs: list[str]
-    words: dict[str, np.ndarray]
-    ngrams: dict[int, dict[str, np.ndarray]]
+    words: Table
+    ngrams: dict[int, Table]
 
     def word_scores(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
+        known = self.words.row_of(word)
         if known is not None:
-            return known
+            return self.words.mean([known])
         padded = f" {word} "
         for step, n in enumerate(LENGTHS):
             table = self.ngrams[n]
-            hits = [table[g] for i in range(len(padded) - n + 1)
-                    if (g := padded[i:i + n]) in table]
+            hits = [r for i in range(len(padded) - n + 1)
+                    if (r := table.row_of(padded[i:i + n])) is not None]
             if hits:
-                return np.mean(hits, axis=0) - STEP_PENALTY * (step + 1)
+                return table.mean(hits) - STEP_PENALTY * (step + 1)
         return np.zeros(len(self.langs))
 
 
 def count_words(text: str) -> Counter:
-    return Counter(WORD.findall(text.lower()))
+    return Counter(words_of(text))
+
+
+def _table(rows: pa.Table, langs: list[str]) -> Table:
+    """Table of the rows ``key, entries`` (language number and count)."""
+    entries = rows.column("entries").combine_chunks()
+    flat = entries.flatten()
+    n = np.asarray(flat.field("n")).astype(float)
+    lang = np.asarray(flat.field("lang"))
+    ends = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(entries)))])
+    total = np.bincount(lang, weights=n, minlength=len(langs)) + 0.5 * max(1, len(rows))
+    return Table(np.log(0.5 / total), rows.column("key").combine_chunks(), ends,
+                 lang.astype(np.int32), np.log(2 * n + 1))
+
+
+_ENTRIES = pa.schema([("size", pa.int32()), ("key", pa.string()),
+                      ("entries", pa.list_(pa.struct([("lang", pa.int32()), ("n", pa.int64())])))])
+
 
+def _model(langs: list[str], rows: pa.Table) -> Model:
+    """Model of rows ``size`` (0 for words, else the n-gram's length), ``key, entries``."""
+    tables = {k: _table(rows.filter(pc.equal(rows.column("size"), k)), langs)
+              for k in (0, *LENGTHS)}
+    return Model(langs, tables.pop(0), tables)
 
-def _log_frequencies(counts: dict[str, dict[str, int]], langs: list[str],
-                     totals: dict[str, int]) -> dict[str, np.ndarray]:
-    """Smoothed log frequency of each key in each language."""
-    size = max(1, len(counts))
-    floor = np.array([totals.get(x, 0) + 0.5 * size for x in langs], float)
-    out = {}
-    for key, by_lang in counts.items():
-        n = np.array([by_lang.get(x, 0) for x in langs], float)
-        out[key] = np.log((n + 0.5) / floor)
-    return out
+
+def build_model(langs: list[str], word_rows: list[tuple[str, str, int]],
+                gram_rows: list[tuple[str, str, int]]) -> Model:
+    """Model from (lang, word, n) and (lang, n-gram, n) counts."""
+    found: dict[tuple[int, str], list[dict]] = {}
+    for size, rows in [(lambda _: 0, word_rows), (len, gram_rows)]:
+        for lang, key, n in rows:
+            found.setdefault((size(key), key), []).append({"lang": langs.index(lang), "n": n})
+    return _model(langs, pa.Table.from_pylist(
+        [{"size": k, "key": key, "entries": own} for (k, key), own in found.items()], _ENTRIES))
 
 
 def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_WORDS,
@@ -93,7 +157,7 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
         raise ValueError(f"more than {MAX_LANGUAGES} languages: not language labels")
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
-        return Model([], {}, {n: {} for n in LENGTHS})
+        return build_model([], [], [])
     # a language's share of rows; the hash decides by whole text
     share = F.element_at(F.create_map(*[
         F.lit(v) for r in sizes
@@ -105,7 +169,7 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
         found: dict[str, Counter] = {}
         for b in batches:
             for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
-                found.setdefault(lang, Counter()).update(WORD.findall(text.as_py().lower()))
+                found.setdefault(lang, Counter()).update(words_of(text.as_py()))
         for lang, counter in found.items():
             yield pa.RecordBatch.from_pydict({
                 "lang": pa.array([lang] * len(counter), pa.string()),
@@ -131,28 +195,22 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
 
     counts = counts.checkpoint()
     top_words = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    word_rows = (counts.withColumn("r", F.row_number().over(top_words))
-                 .filter(F.col("r") <= max_words).select("lang", "word", "n").collect())
+    words_kept = (counts.withColumn("r", F.row_number().over(top_words))
+                  .filter(F.col("r") <= max_words)
+                  .select("lang", F.col("word").alias("key"), "n", F.lit(0).alias("size")))
     by_size = Window.partitionBy("lang", F.length("gram")).orderBy(F.desc("n"), "gram")
-    gram_rows = (counts.mapInArrow(grams, "lang string, gram string, n long")
-                 .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-                 .withColumn("r", F.row_number().over(by_size))
-                 .filter(F.col("r") <= max_ngrams).select("lang", "gram", "n").collect())
-    return build_model(langs, [tuple(r) for r in word_rows], [tuple(r) for r in gram_rows])
-
-
-def build_model(langs: list[str], word_rows: list[tuple[str, str, int]],
-                gram_rows: list[tuple[str, str, int]]) -> Model:
-    """Model from (lang, word, n) and (lang, n-gram, n) counts."""
-    tables: list[dict[str, dict[str, int]]] = [{} for _ in range(max(LENGTHS) + 1)]
-    totals: list[dict[str, int]] = [{} for _ in range(max(LENGTHS) + 1)]
-    for size, rows in [(lambda _: 0, word_rows), (len, gram_rows)]:
-        for lang, key, n in rows:
-            k = size(key)
-            tables[k].setdefault(key, {})[lang] = n
-            totals[k][lang] = totals[k].get(lang, 0) + n
-    return Model(langs, _log_frequencies(tables[0], langs, totals[0]),
-                 {n: _log_frequencies(tables[n], langs, totals[n]) for n in LENGTHS})
+    grams_kept = (counts.mapInArrow(grams, "lang string, gram string, n long")
+                  .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+                  .withColumn("r", F.row_number().over(by_size))
+                  .filter(F.col("r") <= max_ngrams)
+                  .select("lang", F.col("gram").alias("key"), "n", F.length("gram").alias("size")))
+    number = F.element_at(F.create_map(*[F.lit(v) for i, x in enumerate(langs) for v in (x, i)]),
+                          F.col("lang"))
+    # an entry per language that has the key
+    entry = F.struct(number.cast("int").alias("lang"), F.col("n").cast("long").alias("n"))
+    rows = (words_kept.unionByName(grams_kept).groupBy("size", "key")
+            .agg(F.array_sort(F.collect_list(entry)).alias("entries")))
+    return _model(langs, rows.select("size", "key", "entries").toArrow().cast(_ENTRIES))
 
 
 class Judge:
@@ -166,7 +224,7 @@ class Judge:
         words = count_words(text) if text else {}
         if not words or not self.model.langs:
             return UNKNOWN, 0.0
-        if len(self.seen) > CACHE_WORDS:
+        if len(self.seen) * len(self.model.langs) > CACHE_NUMBERS:
             self.seen.clear()
         rows = []
         for w in words:
@@ -210,8 +268,3 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1,
                       F.lit(False))
 
-
-def model_bytes_bound(n_langs: int) -> int:
-    """Upper bound of the broadcast model: keys times a row of numbers."""
-    keys = n_langs * (MAX_WORDS + MAX_NGRAMS * len(LENGTHS))
-    return math.ceil(keys * (8 * n_langs + 250))

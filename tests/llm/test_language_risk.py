@@ -1,5 +1,8 @@
+import math
 import random
 import re
+import unicodedata
+from collections import Counter
 from math import comb
 
 import pytest
@@ -28,12 +31,80 @@ def test_held_out_accuracy_and_odd_rows(spark):
     out = li.predict(odd, model, keep=("text", "lang")).collect()
     assert len(out) == odd.count()
     for r in out:
-        if r.text is None or not re.search(r"[^\W\d_]", r.text):
+        if r.text is None or not any(c.isalpha() for c in r.text):
             assert (r.lang_pred, r.score) == ("und", 0.0)
         else:
             assert r.lang_pred in ("aa", "bb") and 0.0 <= r.score <= 1.0
 
 
+def test_words_are_letters_with_their_marks():
+    rng = random.Random(6)
+    pool = "aZéßİſǅΣς½²Ⅷ①٣9_-\u0301\u093f हिन्दी語文\U00010400 .,\n"
+    for _ in range(3000):
+        text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 12)))
+        low, want, own = text.lower(), [], ""
+        for c in low + " ":
+            if c.isalpha() or (own and unicodedata.category(c)[0] == "M"):
+                own += c
+            elif own:
+                want.append(own)
+                own = ""
+        assert li.words_of(text) == want, ascii(text)
+        assert bool(want) == any(c.isalpha() for c in low)
+    assert li.words_of("½ ² Ⅷ ①") == [] and li.words_of("हिन्दी") == ["हिन्दी"]
+
+
+def slow_prediction(text, rows, langs):
+    """The whole prediction once more, from counted training texts."""
+    def counted(keys):
+        out = {}
+        for lang, text in rows:
+            for w in li.words_of(text):
+                for k in keys(w):
+                    out.setdefault(k, Counter())[lang] += 1
+        return out
+
+    tables = {0: counted(lambda w: [w])}
+    for n in li.LENGTHS:
+        tables[n] = counted(lambda w, n=n: [f" {w} "[i:i + n] for i in range(len(w) + 3 - n)])
+
+    def log(n, key, lang):
+        total = sum(c[lang] for c in tables[n].values()) + 0.5 * len(tables[n])
+        return math.log((tables[n][key][lang] + 0.5) / total)
+
+    scores = []
+    for lang in langs:
+        total = 0.0
+        for w in li.words_of(text or ""):
+            if w in tables[0]:
+                total += log(0, w, lang)
+                continue
+            for step, n in enumerate(li.LENGTHS):
+                hits = [g for i in range(len(w) + 3 - n) if (g := f" {w} "[i:i + n]) in tables[n]]
+                if hits:
+                    total += sum(log(n, g, lang) for g in hits) / len(hits) - li.STEP_PENALTY * (step + 1)
+                    break
+        scores.append(total)
+    if not li.words_of(text or ""):
+        return "und", 0.0
+    best = max(range(len(langs)), key=lambda i: (scores[i], -i))
+    return langs[best], 1 / sum(math.exp(max(-700.0, s - scores[best])) for s in scores)
+
+
+def test_whole_prediction_matches_brute_force(spark):
+    rng = random.Random(8)
+    syllables = {**SYLLABLES, "cc": "né çö ша हि 文 ba zor".split()}
+    rows = [(lang, " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randint(1, 3)))
+                            for _ in range(12))) for lang in ("aa", "bb", "cc") for _ in range(12)]
+    df = spark.createDataFrame([(t, lang) for lang, t in rows], "text string, lang string").repartition(4)
+    model = li.fit(df)
+    texts = [t for _, t in rows[::5]] + ["bax zorkq", "½ 9", "", None, "qqqq", "हिन्दी ba", "né" * 50, "ZOR. ba-ba!"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for r in li.predict(docs, model).collect():
+        lang, score = slow_prediction(texts[r.doc_id], rows, ["aa", "bb", "cc"])
+        assert r.lang_pred == lang and abs(r.score - score) < 1e-9
+
+
 def test_nothing_to_learn_from(spark):
     empty = spark.createDataFrame([], SCHEMA)
     model = li.fit(empty)
