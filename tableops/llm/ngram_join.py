@@ -18,9 +18,11 @@ pseudo-random order.
    and verified links unite them, so a large group of near copies needs about
    as many comparisons as it has members.
 4. What is left are postings whose classes are still in different
-   components: such pairs, of fitting sizes, are counted under each order;
-   a pair stays a candidate if under every order its prefixes share as many
-   tokens as they must.  Candidates are verified on their texts.
+   components.  The first token that x and y share under an order has at most
+   ``|x| - o`` tokens of x and ``|y| - o`` of y before it, where o is the least
+   intersection of similar sets of these sizes.  So pairs of fitting sizes meet
+   by tokens that stand so far in front in both; a pair stays a candidate
+   if it meets under every order.  Candidates are verified on their texts.
 
 Verification compares whole shingle sets.  No step collects a posting list,
 and pairs inside a component are never made.
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import work_dir
@@ -80,7 +82,7 @@ class Orders:
         self.table[(self.tokens >> _U(44)).astype(np.int64)] = True
 
     def prefix(self, tokens: np.ndarray, order: int) -> np.ndarray:
-        """The prefix of a set of tokens, by the order."""
+        """The prefix of a set of tokens, in the order."""
         key = mix(tokens ^ _U(_SEEDS[order])) >> _U(1)
         maybe = np.flatnonzero(self.table[(tokens >> _U(44)).astype(np.int64)])
         if len(maybe) and len(self.tokens):
@@ -89,9 +91,9 @@ class Orders:
             rows = maybe[hit]
             key[rows] = (_U(1) << _U(63)) | (self.rank[at[hit]] << _U(57)) | (key[rows] >> _U(7))
         size = prefix_size(len(tokens))
-        if size >= len(tokens):
-            return tokens
-        return tokens[np.argpartition(key, size - 1)[:size]]
+        front = np.argpartition(key, size - 1)[:size] if size < len(tokens) else np.arange(size)
+        # in their order; equal keys by token, as in every other set
+        return tokens[front[np.lexsort((tokens[front], key[front]))]]
 
 
 def similar(x: np.ndarray, y: np.ndarray) -> bool:
@@ -153,8 +155,10 @@ def _repeated_bits(docs: DataFrame, orders: Orders) -> list[BitTable]:
 
 
 def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str) -> DataFrame:
-    """Stored per document: id, n_shingles, set_key, the prefix tokens that may
-    be repeated, by order, and the text of documents that have some in each."""
+    """Stored per document: id, n_shingles, set_key, by order the prefix tokens
+    that may be repeated (t0, ...) and their places from 0 (p0, ...), and the text
+    of documents that have enough in each order.  Of the orders after the first,
+    only tokens in whose place two similar sets may share their first one."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((orders, bits))
 
@@ -162,30 +166,35 @@ def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str)
         order_of, tables = shared.value
         for b in slices(batches):
             texts = b.column(1).to_pylist()
-            sizes, keys, kept, lists = [], [], [], [[] for _ in range(ORDERS)]
+            sizes, keys, kept, lists = [], [], [], [[] for _ in range(2 * ORDERS)]
             for i, j in chunked(texts):
                 for text, own in zip(texts[i:j], shingle_sets(texts[i:j]), strict=True):
-                    found: list[list[int]] = []
-                    for r in range(ORDERS if len(own) else 0):
+                    found: list[np.ndarray] = []
+                    whole = len(own) > 0
+                    for r in range(ORDERS if whole else 0):
                         p = order_of.prefix(own, r)
-                        found.append(p[tables[r].may_repeat(p)].astype(np.int64))
-                        if len(found[-1]) < shared_size(least_partner(len(own))):
+                        at = np.flatnonzero(tables[r].may_repeat(p))
+                        whole = len(at) >= shared_size(least_partner(len(own)))
+                        if not whole:
                             break
-                    else:
-                        found.append([])
-                    whole = len(own) > 0 and len(found) > ORDERS
+                        if r:
+                            at = at[at <= len(own) - least_partner(len(own))]
+                        found += [p[at].astype(np.int64), at.astype(np.int32)]
                     sizes.append(len(own))
                     keys.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                     kept.append(text if whole else None)
-                    for r in range(ORDERS):
+                    for r in range(2 * ORDERS):
                         lists[r].append(found[r] if whole else None)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(kept, pa.string()), *(pa.array(x, pa.list_(pa.int64())) for x in lists)],
-                names=["id", "n", "set_key", "text", *(f"t{r}" for r in range(ORDERS))])
+                 pa.array(kept, pa.string()),
+                 *(pa.array(x, pa.list_(pa.int32() if r % 2 else pa.int64()))
+                   for r, x in enumerate(lists))],
+                names=["id", "n", "set_key", "text",
+                       *(f"{c}{r}" for r in range(ORDERS) for c in "tp")])
 
     (docs.mapInArrow(run, "id long, n long, set_key binary, text string, "
-                     + ", ".join(f"t{r} array<long>" for r in range(ORDERS)))
+                     + ", ".join(f"t{r} array<long>, p{r} array<int>" for r in range(ORDERS)))
      .write.parquet(path))
     return spark.read.parquet(path)
 
@@ -252,7 +261,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = _profiles(docs, orders, bits, work_dir(spark, "profiles"))
 
     path = work_dir(spark, "classes")
-    lists = [f"t{r}" for r in range(ORDERS)]
+    lists = [f"{c}{r}" for r in range(ORDERS) for c in "tp"]
     classes = (rows.filter(F.col("text").isNotNull() & F.col("id").isNotNull())
                .groupBy("set_key").agg(F.min(F.struct("id", "n", "text", *lists)).alias("x")))
     classes.select("x.*").write.parquet(path)
@@ -260,12 +269,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = classes.select("id", "text")
 
     def postings(order: int) -> DataFrame:
-        """(token, id, n) of tokens that at least two classes have."""
-        p = classes.select(F.explode(lists[order]).alias("token"), "id", "n")
+        """(token, pos, id, n) of tokens that at least two classes have."""
+        p = classes.select(F.explode(F.arrays_zip(
+            F.col(f"t{order}").alias("token"), F.col(f"p{order}").alias("pos"))).alias("x"),
+            "id", "n").select("x.token", "x.pos", "id", "n")
         twice = (p.groupBy(F.col("token").alias("tk")).agg(F.count(F.lit(1)).alias("df"))
                  .filter("df > 1"))
         path = work_dir(spark, "postings")
-        p.join(twice, F.col("token") == F.col("tk")).select("token", "id", "n").write.parquet(path)
+        p.join(twice, F.col("token") == F.col("tk")).select("token", "pos", "id", "n") \
+            .write.parquet(path)
         return spark.read.parquet(path)
 
     first = postings(0)
@@ -273,7 +285,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     path = work_dir(spark, "scored")
     must = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 10)
     (first.join(score, F.col("id") == F.col("sid")).filter(F.col("score") >= must)
-     .select("token", "id", "n", "score").write.parquet(path))
+     .select("token", "pos", "id", "n", "score").write.parquet(path))
     scored = spark.read.parquet(path)
 
     def fits(a: str, b: str):
@@ -303,10 +315,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links.append(_verified(asked, texts))
         groups = _labels(links) if turn + 1 < LEADER_ROUNDS else _parts(links)
 
+    def in_front(pos: str, n: str, least: Column) -> Column:
+        return F.col(pos) <= F.col(n) - least
+
+    # the least intersection of similar sets: with the smallest partner, and of a pair
+    alone = F.floor((PERCENT * F.col("n") + 99) / 100)
+    both = F.floor((PERCENT * (F.col("n") + F.col("n2")) + 99 + PERCENT) / (100 + PERCENT))
     survivors = None
     for r in range(ORDERS):
-        p = (scored if not r else postings(r)).join(groups, "id", "left").withColumn(
-            "part", F.coalesce("part", "id"))
+        p = (scored if not r else postings(r)).filter(in_front("pos", "n", alone)) \
+            .join(groups, "id", "left").withColumn("part", F.coalesce("part", "id"))
         # of each token with several components, the one with most postings
         sizes = p.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
         mixed = (sizes.groupBy(F.col("token").alias("tk"))
@@ -314,18 +332,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                       F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
         path = work_dir(spark, "mixed")
         (p.join(mixed, F.col("token") == F.col("tk"))
-         .select("token", "id", "n", "part", "big").write.parquet(path))
+         .select("token", "pos", "id", "n", "part", "big").write.parquet(path))
         p = spark.read.parquet(path)
-        q = p.toDF("token", "id2", "n2", "part2", "big2")
+        q = p.toDF("token", "pos2", "id2", "n2", "part2", "big2")
         # postings outside the large component ask all of other components, so
         # a large group of near copies meets the few others, not itself
         met = (p.filter(F.col("part") != F.col("big")).join(q, "token")
                .filter((F.col("part") != F.col("part2")) & fits("n", "n2")
+                       & in_front("pos", "n", both) & in_front("pos2", "n2", both)
                        & ((F.col("part2") == F.col("big2")) | (F.col("id") < F.col("id2"))))
-               .groupBy(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"),
-                        F.least("n", "n2").alias("m"))
-               .agg(F.count(F.lit(1)).alias("c"))
-               .filter(F.col("c") >= 1 + F.floor(F.col("m") / 10)).select("a", "b"))
+               .select(F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"))
+               .distinct())
         survivors = met if survivors is None else survivors.join(met, ["a", "b"], "left_semi")
     links.append(_verified(survivors, texts))
     groups = _parts(links)
