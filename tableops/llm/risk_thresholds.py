@@ -4,12 +4,18 @@ Each rule rejects a document whose measure is above a cutoff.  For every
 stratum (language) and rule the cutoff is the smallest candidate for which
 the labelled holdout proves that the rule rejects at most ``alpha / rules`` of
 the stratum's good documents (quality 1): with n good documents of which k
-are above the cutoff, P(Binomial(n, alpha / rules) <= k) must not exceed
-``delta / (strata * rules * candidates)`` (an exact bound, with Bonferroni's
-correction for all tests).  The union of the rules then rejects at most
-``alpha`` of each stratum's good documents, in all strata at once, with
-probability ``1 - delta``.  A rule without a proven cutoff rejects nothing
-in that stratum; a stratum without labels has no rules.
+are above the cutoff, P(Binomial(n, alpha / rules) <= k), an exact bound, must
+not exceed the chain's level.
+
+A stratum and a rule make a chain: its candidates are tested in a fixed order,
+from the loosest to the strictest, and the first that fails ends it, so they
+need no correction among themselves.  Over the chains goes Holm's step-down
+correction of ``delta``: each of m chains has ``delta / m``, and a chain that
+is proven down to its strictest candidate leaves its level to the others.  The
+union of the rules then rejects at most ``alpha`` of each stratum's good
+documents, in all strata at once, with probability ``1 - delta``.  A rule
+without a proven cutoff rejects nothing in that stratum; a stratum without
+labels has no rules.  Very long texts are measured whole.
 
 Candidates are fixed numbers, so no data choose them, and every labelled row
 is holdout.
@@ -19,7 +25,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -163,30 +169,43 @@ def select_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = ALPHA,
              for i, r in enumerate(rules)]
     counts = (holdout.select(F.col("lang").alias("stratum_"), F.explode(F.array(*steps)).alias("s"))
               .groupBy("stratum_", "s.rule", "s.above").agg(F.count(F.lit(1)).alias("n")))
-    tests = sum(len(c) for c in CUTOFFS.values())
     path = work_dir(spark, "holdout")
-    counts.write.parquet(path)
-    counts = spark.read.parquet(path)
-    n_strata = counts.agg(F.count_distinct(F.coalesce(
-        F.concat(F.lit("="), "stratum_"), F.lit("null")))).first()[0]
-    level = delta / max(1, n_strata * tests)
-    share = alpha / len(rules)
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        out: dict = {"stratum_": [pdf["stratum_"].iloc[0]]}
-        for i, r in enumerate(rules):
-            own = pdf[pdf["rule"] == i]
-            total, cut = int(own["n"].sum()), None
-            for j, c in enumerate(CUTOFFS[r]):
-                rejected = int(own.loc[own["above"] > j, "n"].sum())
-                if total and binomial_cdf(rejected, total, share) <= level:
-                    cut = c
-                    break
-            out[r] = [cut]
-        return pd.DataFrame(out)
-
-    return counts.groupBy("stratum_").applyInPandas(
-        choose, "stratum_ string, " + ", ".join(f"{r} double" for r in rules))
+    counts.groupBy("stratum_").applyInPandas(
+        lambda pdf: p_values(pdf, alpha), "stratum_ string, rule int, p array<double>"
+    ).write.parquet(path)
+    chains = spark.read.parquet(path)
+    level = step_down(chains.count(), delta, lambda x: chains.filter(
+        F.get("p", F.lit(0)) <= x).count())
+    # candidates ascend, and so the strictest that is proven is the first one
+    first = F.array_position(F.transform("p", lambda p: p <= level), True).cast("int")
+    cut = {r: F.max(F.when((F.col("rule") == i) & (first > 0), F.get(
+        F.array(*map(F.lit, map(float, CUTOFFS[r]))), first - 1))).alias(r)
+        for i, r in enumerate(rules)}
+    return chains.groupBy("stratum_").agg(*cut.values())
+
+
+def p_values(pdf: pd.DataFrame, alpha: float = ALPHA) -> pd.DataFrame:
+    """A stratum's p-values of every rule's candidates, from its histogram."""
+    out = []
+    for i, r in enumerate(CUTOFFS):
+        own = pdf[pdf["rule"] == i]
+        total = int(own["n"].sum())
+        rejected = [int(own.loc[own["above"] > j, "n"].sum()) for j in range(len(CUTOFFS[r]))]
+        out.append((pdf["stratum_"].iloc[0], i, [
+            binomial_cdf(k, total, alpha / len(CUTOFFS)) if total else 1.0 for k in rejected]))
+    return pd.DataFrame(out, columns=["stratum_", "rule", "p"])
+
+
+def step_down(chains: int, delta: float, proven: Callable[[float], int]) -> float:
+    """The level of the chains that are left when those proven to their end at a
+    level (``proven`` counts them) have left theirs to the others."""
+    done = 0
+    while True:
+        level = delta / max(1, chains - done)
+        more = proven(level)
+        if more <= done:
+            return level
+        done = more
 
 
 def judge(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA,

@@ -5,6 +5,7 @@ import unicodedata
 from collections import Counter
 from math import comb
 
+import numpy as np
 import pytest
 
 from odd_rows import SCHEMA, odd_documents
@@ -184,3 +185,69 @@ def test_cutoffs_hold_the_bound_and_odd_rows(spark):
     assert {w for w in want if w[1]} <= seen
     assert all(not r.kept for r in out if r.base_failed)
     assert rt.judge(odd.limit(0), lab.limit(0)).count() == 0
+
+
+def slow_cutoffs(rows, alpha=rt.ALPHA, delta=rt.DELTA):
+    """The choice once more: chains of exact tests, Holm's correction over chains.
+    ``rows``: (stratum, measures by rule) of the good documents of the holdout."""
+    share = alpha / len(rt.CUTOFFS)
+    chains = {}
+    for s in {r[0] for r in rows}:
+        own = [r[1] for r in rows if r[0] == s]
+        for rule, cuts in rt.CUTOFFS.items():
+            chains[s, rule] = [sum(comb(len(own), i) * share ** i * (1 - share) ** (len(own) - i)
+                                   for i in range(sum(m[rule] > c for m in own) + 1)) for c in cuts]
+    left, out = dict(chains), {}
+    while True:
+        level = delta / max(1, len(left))
+        ended = [k for k, p in left.items() if p[0] <= level]
+        if not ended:
+            break
+        for k in ended:
+            left.pop(k)
+    for (s, rule), p in chains.items():
+        cut = None
+        for c, x in reversed(list(zip(rt.CUTOFFS[rule], p, strict=True))):
+            if x > level:
+                break
+            cut = c
+        out.setdefault(s, {})[rule] = cut
+    return out
+
+
+def test_choice_of_cutoffs_matches_brute_force(spark):
+    rng = random.Random(12)
+    rows, good = [], []
+    for i in range(2400):
+        lang = ["en", "de", None][i % 3]
+        words = [f"{rng.choice('abcdefghij')}{rng.randint(0, 10 ** (9 if rng.random() < .3 else 3))}"
+                 for _ in range(70)]
+        if rng.random() < (0.004 if lang == "en" else 0.02):
+            words = [w + "#" * rng.randint(0, 9) for w in words]
+        text = "\n".join(" ".join(words[k:k + 10]) for k in range(0, 70, 10))
+        if rng.random() < 0.05:
+            text += "\nsame line here\nsame line here" * rng.randint(1, 6)
+        rows.append((i, text, lang))
+        n, chars, symbols, dup, repeat = rt.measure(text)
+        if not (n < 50 or 100 * repeat > 50 * n):
+            good.append((lang, {"symbol_share": symbols / chars, "dup_lines_per_100_words": 100.0 * dup / n,
+                                "repeat_share": repeat / n, "word_length": chars / n}))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(2400)], "doc_id long, quality int")
+    got = {r.stratum_: {c: r[c] for c in rt.CUTOFFS} for r in
+           rt.select_cutoffs(rt.base_measures(docs), labels).collect()}
+    assert got == slow_cutoffs(good)
+    assert sum(c is not None for own in got.values() for c in own.values()) >= 6
+
+
+def test_false_rejections_stay_below_the_risk():
+    # good documents whose rejection rate is exactly the risk at some candidate:
+    # choosing that one or a stricter one is an error, in few of many draws
+    rng = np.random.default_rng(5)
+    share, n, chains, errors = rt.ALPHA / len(rt.CUTOFFS), 900, 8, 0
+    rates = np.array([4, 2, 1.0, 0.5, 0.1, 0]) * share      # strictest candidate first
+    for _ in range(400):
+        p = [[rt.binomial_cdf(int(k), n, share) for k in rng.binomial(n, rates)] for _ in range(chains)]
+        level = rt.step_down(chains, rt.DELTA, lambda x: sum(c[0] <= x for c in p))
+        errors += any(min(c[:3]) <= level for c in p)
+    assert errors <= 400 * rt.DELTA + 3 * (400 * rt.DELTA) ** 0.5
