@@ -86,12 +86,20 @@ def cells_of(unit: np.ndarray, threshold: float) -> list[dict]:
     return out
 
 
+def _near_one(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that products neither overflow nor
+    vanish; cosines stay the same to the last bit."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, initial=0.0))
+    return np.ldexp(x, -exponent[:, None])
+
+
 def _links(home: np.ndarray, base: np.ndarray, block: int, threshold: float,
            skip) -> tuple[np.ndarray, np.ndarray]:
     """Linked (home row, base row) pairs that ``block`` is the first to find.
 
     ``skip(i, j)`` masks pairs that another place or order stands for."""
     dim = home.shape[1]
+    home, base = _near_one(home), _near_one(base)
     share, parts = budgets(dim, threshold), block_slices(dim)
     norm = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
     h, b = norm(home), norm(base)

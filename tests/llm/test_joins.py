@@ -234,3 +234,15 @@ def test_cut_characters_leave_whole_ones():
     gone = np.array([0, 0, 1, 0, 0, 0, 0], bool)
     assert bwt_dedup.whole_characters(raw, gone) == "a文b"
     assert bwt_dedup.whole_characters(b"", np.zeros(0, bool)) == ""
+
+
+def test_vectors_of_any_scale_link(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(16)
+    other = base + 0.1 * rng.standard_normal(16)
+    far = rng.standard_normal(16)
+    rows = [(i, [float(e) for e in v * s]) for i, (v, s) in enumerate(
+        [(base, 1e200), (other, 1e-200), (base, 1.0), (far, 1e200), (other, 1e-300)])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join.near_duplicates(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (0, 3), 4: (3, 0)}
