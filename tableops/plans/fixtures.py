@@ -328,8 +328,9 @@ EVENT_STATUS = {"error": (5, "Invalid request parameter"), "signup": (11, "Quota
 
 def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One landed API response per event: XML envelope around the JSON text
-    ``{"EventInformation": [event], "Status": {...}}``."""
-    e = read_table(spark, sf_dir, "events")
+    ``{"EventInformation": [event], "Status": {...}}``.  Dealt by call, as calls
+    land in many files."""
+    e = read_table(spark, sf_dir, "events").repartition("event_id")
     code, msg = F.lit(2), F.lit("Success.")
     for et, (c, m) in EVENT_STATUS.items():
         code = F.when(F.col("event_type") == et, F.lit(c)).otherwise(code)

@@ -1,4 +1,4 @@
-"""Table and file sinks."""
+"""Table and file sinks."""
 
 from __future__ import annotations
 
@@ -83,45 +83,3 @@ def history_row(spark: SparkSession, table_name: str, started: _dt.datetime,
     return spark.createDataFrame(
         [(table_name, started, _now(), rows_before, rows_after, rejects, status)],
         LOAD_HISTORY_SCHEMA)
-
-
-# -- versioned tables (replace without UPDATE) --------------------------------
-VERSION_PREFIX = "v="
-
-
-def write_version(df: DataFrame, base: str) -> str:
-    """Write ``df`` as a new version folder under ``base`` and return it.
-
-    Parquet has no UPDATE and a path being read must not be overwritten, so
-    a changed table is written whole to a new folder; readers switch to it
-    once the write job committed (its ``_SUCCESS`` marker exists)."""
-    import time
-    import uuid
-    path = f"{base.rstrip('/')}/{VERSION_PREFIX}{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
-    return path
-
-
-def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Newest committed version folder under ``base`` (a listing of folder
-    names on the driver; the number of versions is small)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root):
-        return None
-    names = sorted((s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()),
-                   reverse=True)
-    for name in names:
-        if name.startswith(VERSION_PREFIX) and fs.exists(
-                jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{name}/_SUCCESS")):
-            return f"{base.rstrip('/')}/{name}"
-    return None
-
-
-def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    path = latest_version(spark, base)
-    if path is None:
-        raise FileNotFoundError(f"no committed version under {base}")
-    return spark.read.parquet(path)
