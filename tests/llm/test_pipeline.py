@@ -53,5 +53,5 @@ def test_empty_table(spark, tmp_dir):
 def test_registered():
     import __spark_entry__ as entry
     names = [q for q in entry.queries() if q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
