@@ -41,7 +41,7 @@ MAX_LANGUAGES = 400
 LENGTHS = (5, 4, 3, 2, 1)
 STEP_PENALTY = 0.5
 UNKNOWN = "und"
-# Numbers that a worker keeps for words that needed a fallback.
+# Numbers that a worker keeps of words that needed a fallback, and of each table's rows.
 CACHE_NUMBERS = 1_000_000
 
 # Texts of Latin letters take the faster of two patterns with one meaning.
@@ -62,26 +62,32 @@ class Table:
     def __init__(self, base: np.ndarray, keys: pa.Array, ends: np.ndarray, langs: np.ndarray,
                  values: np.ndarray):
         self.base, self.keys, self.ends, self.langs, self.values = base, keys, ends, langs, values
-        self.index: dict[str, int] | None = None
+        # (from, to) of each key's entries, and the rows of keys in use
+        self.index: dict[str, tuple[int, int]] | None = None
+        self.rows: dict[str, np.ndarray] = {}
 
     def __getstate__(self):
-        return {**self.__dict__, "index": None}
-
-    def row_of(self, key: str) -> int | None:
-        if self.index is None:
-            self.index = {k: i for i, k in enumerate(self.keys.to_pylist())}
-        return self.index.get(key)
-
-    def mean(self, rows: list[int]) -> np.ndarray:
-        """Mean of the keys' log frequencies."""
-        out = self.base.copy()
-        for r in rows:
-            a, b = self.ends[r], self.ends[r + 1]
-            out[self.langs[a:b]] += self.values[a:b] / len(rows)
-        return out
+        return {**self.__dict__, "index": None, "rows": {}}
+
+    def get(self, key: str) -> np.ndarray | None:
+        """The key's log frequencies, None if no language knows it."""
+        row = self.rows.get(key)
+        if row is None:
+            if self.index is None:
+                ends = self.ends.tolist()
+                self.index = dict(zip(self.keys.to_pylist(), zip(ends, ends[1:]), strict=False))
+            at = self.index.get(key)
+            if at is None:
+                return None
+            row = self.base.copy()
+            row[self.langs[at[0]:at[1]]] += self.values[at[0]:at[1]]
+            if len(self.rows) * len(row) > CACHE_NUMBERS:
+                self.rows.clear()
+            self.rows[key] = row
+        return row
 
     def __getitem__(self, key: str) -> np.ndarray:
-        return self.mean([self.row_of(key)])
+        return self.get(key)
 
 
 @dataclass
@@ -93,16 +99,16 @@ class Model:
     ngrams: dict[int, Table]
 
     def word_scores(self, word: str) -> np.ndarray:
-        known = self.words.row_of(word)
+        known = self.words.get(word)
         if known is not None:
-            return self.words.mean([known])
+            return known
         padded = f" {word} "
         for step, n in enumerate(LENGTHS):
             table = self.ngrams[n]
-            hits = [r for i in range(len(padded) - n + 1)
-                    if (r := table.row_of(padded[i:i + n])) is not None]
+            hits = [row for i in range(len(padded) - n + 1)
+                    if (row := table.get(padded[i:i + n])) is not None]
             if hits:
-                return table.mean(hits) - STEP_PENALTY * (step + 1)
+                return sum(hits[1:], hits[0]) / len(hits) - STEP_PENALTY * (step + 1)
         return np.zeros(len(self.langs))
 
 
