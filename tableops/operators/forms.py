@@ -58,9 +58,10 @@ def read_sheet(spark, cells_path: str, columns_path: str) -> tuple[DataFrame, Da
 
 
 def cells_with_titles(cells: DataFrame, columns: DataFrame) -> DataFrame:
-    """Resolve every cell's column title (adaptive execution broadcasts
-    the column list if it is small)."""
-    return cells.join(columns.select("column_id", "title"), "column_id")
+    """Resolve every cell's column title.  The column list, one row per
+    column of the sheet (the pivot makes two columns of each), is broadcast: a
+    shuffle by the few column ids would put a whole column into one task."""
+    return cells.join(F.broadcast(columns.select("column_id", "title")), "column_id")
 
 
 def pivot_sheet(cells: DataFrame, columns: DataFrame, titles: list[str] | None = None

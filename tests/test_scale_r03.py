@@ -2,9 +2,14 @@
 import os
 
 import pytest
+from tableops.operators import forms
 from tableops.sources import files
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("recursive", [False, True])
 def test_tasks_list_and_read_a_folder(spark, tmp_dir, monkeypatch, recursive):
     for name in ["a.txt", "_b.txt", ".c.txt", ".a.txt.crc", "_m=1", "e._COPYING_", "sub dir/f.txt",
@@ -28,3 +33,13 @@ def test_tasks_list_and_read_a_folder(spark, tmp_dir, monkeypatch, recursive):
     monkeypatch.setattr(files, "_mounted_folder", lambda *_: None)
     assert by_tasks == found()
     assert len(by_tasks[0]) == (4 if recursive else 2)
+
+
+def test_column_titles_do_not_shuffle_the_cells(spark):
+    cells = spark.createDataFrame([(1, 1, "a", "A"), (2, 1, "b", "B"), (2, 2, "c", None), (3, 9, "d", "D")],
+                                  "row_id long, column_id long, value string, display_value string")
+    columns = spark.createDataFrame([(1, "t"), (2, "u")], "column_id long, title string")
+    titled = forms.cells_with_titles(cells, columns)
+    assert "BroadcastHashJoin" in _plan(titled) and "Exchange hashpartitioning" not in _plan(titled)
+    assert sorted((r.row_id, r.title, r.value) for r in titled.collect()) == [
+        (1, "t", "a"), (2, "t", "b"), (2, "u", "c")]
