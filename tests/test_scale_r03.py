@@ -2,7 +2,9 @@
 import os
 
 import pytest
-from tableops.operators import forms
+from pyspark.sql import functions as F
+
+from tableops.operators import filesets, forms
 from tableops.sources import files
 
 
@@ -43,3 +45,13 @@ def test_column_titles_do_not_shuffle_the_cells(spark):
     assert "BroadcastHashJoin" in _plan(titled) and "Exchange hashpartitioning" not in _plan(titled)
     assert sorted((r.row_id, r.title, r.value) for r in titled.collect()) == [
         (1, "t", "a"), (2, "t", "b"), (2, "u", "c")]
+
+
+def test_archives_are_opened_a_few_at_a_time(spark):
+    rows = spark.range(300).select(F.col("id").cast("string").alias("g"), F.lit("x/n.txt").alias("file_name"),
+                                   F.encode(F.repeat(F.lit("x"), F.col("id").cast("int")), "UTF-8")
+                                   .alias("content"))
+    opened = filesets.archive_contents(filesets.zip_bundles(rows, "g"))
+    assert "ArrowEvalPython" not in _plan(opened)
+    assert sorted((int(r.group_id), r.n_entries, r.n_bytes) for r in opened.collect()) == [
+        (i, 1, i) for i in range(300)]
