@@ -21,6 +21,8 @@ BLOCK_COL = "_block_start"
 ROW_COL = "_row_in_part"
 # Line on which a record starts, where the parse itself knows it.
 LINE_COL = "_line"
+# Part of a split, and the lines in it at most.
+PIECE_COL, PIECE_LINES = "_piece", 1 << 14
 POS_COLS = [BLOCK_COL, "_part", ROW_COL, LINE_COL]
 # A line that the CSV reader skips: empty after Java trim().
 BLANK = r"^[\x00-\x20]*$"
@@ -126,15 +128,17 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
     after it: it keeps the state, turns it or sets it.  After a setting line
     with ``turns`` turning lines before it, the state is ``_base`` (the state
     set less ``turns``) plus the turns so far, modulo 2, so two running values
-    compose the lines of a split and, with one row per split, the splits of a
-    file.  Windows inside a split give each line its record.  A record's lines
-    are put together, so a record may cross splits; no task reads a whole file.
+    compose the lines of a piece (``PIECE_LINES`` lines of a split at most) and,
+    with one row per piece, the pieces of a file.  Windows inside a piece give each
+    line its record.  A record's lines are put together, so a record may cross
+    pieces; no task reads a whole file, and pieces, unlike splits, are many enough
+    to spread evenly.
 
     A quoted field that no line closes makes no record: each line from its
     first one to the end of the file is an unclosed record of its own.  Line
     ends inside of quotes stay as they are in the file."""
-    keys = [FILE_COL, BLOCK_COL, "_part"]
-    earlier = Window.partitionBy(FILE_COL).orderBy(BLOCK_COL).rowsBetween(
+    keys = [FILE_COL, BLOCK_COL, "_part", PIECE_COL]
+    earlier = Window.partitionBy(FILE_COL).orderBy(BLOCK_COL, PIECE_COL).rowsBetween(
         Window.unboundedPreceding, -1)
     file = Window.partitionBy(FILE_COL)
     zero = F.lit(0).cast("long")
@@ -142,6 +146,8 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     lines = (_lines(spark, path, sep, encoding)
+             # the low bits of a row's id are its place in the task
+             .withColumn(PIECE_COL, F.floor(F.col(ROW_COL).bitwiseAND((1 << 33) - 1) / PIECE_LINES))
              .withColumn("_turn", (F.col("_o") & ~F.col("_i")).cast("long"))
              .withColumn("_turns", F.sum("_turn").over(so_far))
              .withColumn("_base", F.when(F.col("_o") == F.col("_i"),
@@ -153,12 +159,12 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
     splits = (lines.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.sum("_turn").alias("_t"),
         F.max(F.when(F.col("_base").isNotNull(), F.struct(ROW_COL, "_base")))["_base"].alias("_b"),
-        # the split's first line that is not blank, from 1
+        # the piece's first line that is not blank, from 1
         (F.min(F.when(~F.col("value").rlike(BLANK), F.col(ROW_COL))) - F.min(ROW_COL) + 1)
         .alias("_head"))
         .withColumn("_n_before", F.coalesce(F.sum("_n").over(earlier), zero))
         .withColumn("_t_before", F.coalesce(F.sum("_t").over(earlier), zero))
-        # the split's base with the turns of the earlier splits taken off
+        # the piece's base with the turns of the earlier pieces taken off
         .withColumn("_b", F.when(F.col("_b").isNotNull(),
                                  state(F.col("_b"), F.col("_t")) - F.col("_t_before") - F.col("_t")))
         .withColumn("_b_before", F.coalesce(F.last("_b", ignorenulls=True).over(earlier), zero))
@@ -166,14 +172,14 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
                                     F.col("_t_before") + F.col("_t")))
         .select(*keys, state(F.col("_b_before"), F.col("_t_before")).alias("_begin"),
                 "_n_before", F.min(F.col("_n_before") + F.col("_head")).over(file).alias("_header"),
-                (F.max(F.struct(BLOCK_COL, "_after")).over(file)["_after"] == 1).alias("_open")))
+                (F.max(F.struct(BLOCK_COL, PIECE_COL, "_after")).over(file)["_after"] == 1).alias("_open")))
     opened = state(F.coalesce(F.last("_base", ignorenulls=True).over(before), F.col("_begin")),
                    F.col("_turns") - F.col("_turn")) == 1
     numbered = (lines.join(splits, keys)
                 .withColumn("_at", F.col("_n_before") + F.row_number().over(inside))
                 .withColumn("_first", F.when(~opened, F.col("_at")))
                 .withColumn("_first", F.last("_first", ignorenulls=True).over(inside)))
-    # a split may begin inside a record: the last start of an earlier split
+    # a piece may begin inside a record: the last start of an earlier piece
     carried = numbered.groupBy(*keys).agg(F.max("_first").alias("l")).select(
         *keys, F.last("l", ignorenulls=True).over(earlier).alias("_carried"),
         F.max("l").over(file).alias("_last"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableops.operators import filesets, forms
-from tableops.sources import files
+from tableops.sources import delimited, files
 
 
 def _plan(df):
@@ -55,3 +55,19 @@ def test_archives_are_opened_a_few_at_a_time(spark):
     assert "ArrowEvalPython" not in _plan(opened)
     assert sorted((int(r.group_id), r.n_entries, r.n_bytes) for r in opened.collect()) == [
         (i, 1, i) for i in range(300)]
+
+
+def test_records_cross_pieces_of_a_split(spark, tmp_dir, monkeypatch):
+    text = "a,b\n" + "".join(f'{i},"x{i}\n{i}\n\n""q"""\n \n{i},y\n' for i in range(200)) + '7,"open\nz\n'
+    with open(f"{tmp_dir}/in.csv", "w", newline="") as fh:
+        fh.write(text)
+
+    def records():
+        return sorted((r[delimited.LINE_COL], r._text, r._unclosed)
+                      for r in delimited.quoted_records(spark, f"{tmp_dir}/in.csv", ",").collect())
+
+    whole = records()
+    assert len(whole) == 402 and whole[0][:2] == (2, '0,"x0\n0\n\n""q"""')
+    for lines in (1, 3, 64):
+        monkeypatch.setattr(delimited, "PIECE_LINES", lines)
+        assert records() == whole
