@@ -12,7 +12,8 @@ Borders come from ranking the keys alone (not the rows), every ``batch`` ranks;
 a range that has grown beyond twice that is cut again, and one that has lost
 all rows joins its neighbour.  At most ``MAX_RANGES`` ranges exist (a larger
 table gets longer ranges), so borders may go to every task.  A row finds its
-range by binary search over the borders, in the order Spark sorts the keys.
+range by binary search over the borders, in the order Spark sorts the keys (whole
+numbers and texts a batch at a time in Python, other keys by an expression).
 
 A run's files hold rows of many ranges, ordered by range, so the number of
 files follows the bytes copied, and readers prune by range.  Fingerprints in
@@ -27,11 +28,14 @@ Without a key the table is one range.
 
 from __future__ import annotations
 
+import bisect
 import json
 import time
 import uuid
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +46,8 @@ from ..sinks.commits import _hadoop, publish, published, read_published
 from ..sinks.writers import TIME_FORMATS
 
 MAX_RANGES = 1 << 16
+# Key types that a batch of keys is searched for as a whole.
+SEARCHED = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.StringType())
 RANGE_COL, RUN_COL = "_copied_range", "_copied_by_run"
 COMMITS, RUNS = "commits", "runs"
 
@@ -108,6 +114,8 @@ def position(key: list[str], schema: T.StructType, borders: list[str]) -> Column
     """Number of borders (JSON of keys, ascending) that are at or below the row's key."""
     if not borders:
         return F.lit(0)
+    if len(key) == 1 and schema[key[0]].dataType in SEARCHED:
+        return _single(key[0], borders)(F.col(f"`{key[0]}`"))
     kind = T.ArrayType(T.StructType([schema[k] for k in key]))
     # a constant: parsed once, and read in place by every row
     known = F.from_json(F.lit("[" + ",".join(borders) + "]"), kind, TIME_FORMATS)
@@ -117,8 +125,31 @@ def position(key: list[str], schema: T.StructType, borders: list[str]) -> Column
         at + step).otherwise(at))
 
 
-def _range_id(key: list[str], schema: T.StructType, ranges: list[Range]) -> Column:
-    ids = F.from_json(F.lit(json.dumps([r.range_id for r in ranges])), "array<int>")
+def _single(key: str, borders: list[str]):
+    """``position`` for a key of one whole number or text: Arrow batches of keys and
+    one search per row by numpy or ``bisect`` (higher-order functions are not
+    compiled and take some 14 us a row)."""
+    known = [json.loads(b)[key] for b in borders]
+    if isinstance(known[0], str):
+        def place(keys: pa.Array) -> pa.Array:
+            return pa.array([0 if k is None else bisect.bisect_right(known, k)
+                             for k in keys.to_pylist()], pa.int32())
+    else:
+        numbers = np.array(known, np.int64)
+
+        def place(keys: pa.Array) -> pa.Array:
+            at = np.searchsorted(numbers, keys.cast(pa.int64()).fill_null(0).to_numpy(), "right")
+            at[keys.is_null().to_numpy(zero_copy_only=False)] = 0
+            return pa.array(at, pa.int32())
+    return F.arrow_udf(place, "int")
+
+
+def _range_id(key: list[str], schema: T.StructType, ranges: list[Range],
+              only: set[int] | None = None) -> Column:
+    """The id of the row's range; of ranges that are not in ``only``, null."""
+    ids = F.from_json(F.lit(json.dumps([
+        r.range_id if only is None or r.range_id in only else None for r in ranges])),
+        "array<int>")
     return F.get(ids, position(key, schema, [r.lower for r in ranges if r.lower is not None]))
 
 
@@ -216,8 +247,9 @@ def refresh_table(source: DataFrame, target: str, key: list[str] | None,
         if max_steps is not None and i == max_steps:
             return RefreshResult(number - 1, len(ranges), copied, rows, False)
         if part:
-            ranges = _copy(source, target, key, schema, ranges, set(part))
-            rows += sum(r.rows for r in ranges if r.range_id in set(part))
+            own = set(part)
+            ranges = _copy(source, target, key, schema, ranges, own)
+            rows += sum(r.rows for r in ranges if r.range_id in own)
             copied += len(part)
         complete = i == len(parts) - 1
         _publish(spark, target, Commit(number, shape, key, complete,
@@ -239,7 +271,8 @@ def _recut(source: DataFrame, key: list[str], schema: T.StructType, ranges: list
     if not long or not key:
         return ranges, set()
     at = _range_id(key, schema, ranges)
-    inside = source.filter(_between(key, schema, ranges, long)).filter(at.isin(sorted(long)))
+    inside = source.filter(_between(key, schema, ranges, long)).filter(
+        _range_id(key, schema, ranges, long).isNotNull())
     fresh = _borders(inside, key, batch)[1:]
     # where the new borders lie, by the same search
     kind = T.StructType([schema[k] for k in key])
@@ -270,12 +303,10 @@ def _copy(source: DataFrame, target: str, key: list[str], schema: T.StructType,
     spark = source.sparkSession
     run = f"{int(time.time() * 1e6):018d}-{uuid.uuid4().hex[:8]}"
     path = f"{target}/{RUNS}/{run}"
-    at = _range_id(key, schema, ranges)
-    rows = source.withColumn(RANGE_COL, at)
+    rows = source.withColumn(RANGE_COL, _range_id(key, schema, ranges))
     if len(part) < len(ranges):
-        # ids as a constant too: a set of numbers, looked up by hash
-        rows = source.filter(_between(key, schema, ranges, part)).withColumn(RANGE_COL, at) \
-            .filter(F.col(RANGE_COL).isin(sorted(part)))
+        rows = source.filter(_between(key, schema, ranges, part)).withColumn(
+            RANGE_COL, _range_id(key, schema, ranges, part)).filter(F.col(RANGE_COL).isNotNull())
     share = len(part) / len(ranges)
     advisory = _parse_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"))
     files = int(input_bytes(source) * share / advisory) + 1
