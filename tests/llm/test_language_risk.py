@@ -1,6 +1,8 @@
 import math
+import pickle
 import random
 import re
+import tracemalloc
 import unicodedata
 from collections import Counter
 from math import comb
@@ -251,3 +253,25 @@ def test_false_rejections_stay_below_the_risk():
         level = rt.step_down(chains, rt.DELTA, lambda x: sum(c[0] <= x for c in p))
         errors += any(min(c[:3]) <= level for c in p)
     assert errors <= 400 * rt.DELTA + 3 * (400 * rt.DELTA) ** 0.5
+
+
+def test_memory_of_a_model_in_a_worker_follows_the_words_in_use(monkeypatch):
+    """Pipeline: a dictionary entry and an array for each known word filled the workers."""
+    words = [f"{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{chr(97 + i // 100 % 26)}x"
+             f"{chr(97 + i // 2600 % 26)}" for i in range(30_000)]
+    counts = [(lang, w, 1 + i % 7) for lang in ("de", "en") for i, w in enumerate(words)]
+    model = li.build_model(["de", "en"], counts, [("en", "x", 9)])
+    want = li.Judge(model)(" ".join(words[:50]))
+    tracemalloc.start()
+    judge = li.Judge(pickle.loads(pickle.dumps(model)))
+    began = tracemalloc.get_traced_memory()[0]
+    assert judge(" ".join(words[:50])) == want
+    used = tracemalloc.get_traced_memory()[0] - began
+    tracemalloc.stop()
+    assert used < 40 * len(words)
+    # keys with one hash are told apart
+    known = [model.words.get(w) for w in words[:3]]
+    monkeypatch.setattr(li, "hash", lambda key: 7, raising=False)
+    few = pickle.loads(pickle.dumps(model))
+    assert all((few.words.get(w) == k).all() for w, k in zip(words, known, strict=False))
+    assert few.words.get("unknown") is None
