@@ -848,9 +848,7 @@ def transfer_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables = {n: spark.table(f"{db}.{n}") for n in metadata.dataset_tables(spark, db)}
     result = transfer.transfer_dataset(spark, tables, exp, tgt)
     equal = spark.createDataFrame(
-        [(n, replicate.source_manifest(df, None, 0)
-          == replicate.source_manifest(spark.read.parquet(f"{tgt}/{n}"), None, 0))
-         for n, df in tables.items()], "name string, equal_values boolean")
+        transfer.equal_values(spark, tables, tgt), "name string, equal_values boolean")
     return (result.join(equal, F.col("table_name") == F.col("name"))
             .select("table_name", "rows_after", "matched", "equal_values"))
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..sinks.writers import count_or_zero, write_csv
 from ..sources.delimited import read_strict
+from .replicate import source_manifest
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -81,3 +82,15 @@ def transfer_dataset(spark: SparkSession, tables: dict[str, DataFrame], export_b
         rows = list(pool.map(lambda t: transfer_table(spark, *t, export_base, target_base),
                              sorted(tables.items())))
     return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def equal_values(spark: SparkSession, tables: dict[str, DataFrame], target_base: str,
+                 parallel: int = 4) -> list[tuple[str, bool]]:
+    """Whether each table and its target hold the same values (``source_manifest``),
+    ``parallel`` tables at a time."""
+    def compare(name: str) -> tuple[str, bool]:
+        target = spark.read.parquet(f"{target_base}/{name}")
+        return name, source_manifest(tables[name], None, 0) == source_manifest(target, None, 0)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(compare, sorted(tables)))
