@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .shingles import slices
+from .workers import release
 
 SAMPLE_CHARS = 8_000_000
 MAX_WORDS = 40_000
@@ -201,6 +203,7 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
         F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         found: dict[str, Counter] = {}
         for b in batches:
             for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
@@ -287,18 +290,23 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
+    # a kept text goes to the worker once
+    names = ["doc_id", *dict.fromkeys(("text", *keep))]
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         decide = Judge(shared.value)
-        for b in batches:
-            got = [decide(t.as_py()) for t in b.column("judged_text")]
+        # few rows at once: a batch of whole texts is not built a second time
+        for b in slices(batches):
+            got = [decide(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x[0] for x in got], pa.string()),
-                 pa.array([x[1] for x in got], pa.float64()), *b.columns[2:]],
+                 pa.array([x[1] for x in got], pa.float64()), *(b.column(c) for c in keep)],
                 names=["doc_id", "lang_pred", "score", *keep])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.col("text").alias("judged_text"), *keep)
-    kept = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *names[1:])
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    kept = "".join(f", {c} {kinds[c]}" for c in keep)
     return rows.mapInArrow(judge, "doc_id long, lang_pred string, score double" + kept)
 
 

@@ -27,6 +27,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .workers import kept
+
 # Distinct units kept per Python worker.
 CACHE_UNITS = 1_000_000
 # Texts are encoded in chunks of about so many bytes.
@@ -251,12 +253,6 @@ def crc32(ids: bytes) -> int:
     return zlib.crc32(ids) & 0xFFFFFFFF
 
 
-_ENCODERS: dict[tuple[str, str], TextEncoder] = {}
-
-
 def encoder(path: str, style: str) -> TextEncoder:
-    """The worker's encoder for a tokenizer file (loaded once per process)."""
-    key = (path, style)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = TextEncoder(path, style)
-    return _ENCODERS[key]
+    """The worker's encoder for a tokenizer file (kept for its next tasks)."""
+    return kept(("encoder", path, style), lambda: TextEncoder(path, style))

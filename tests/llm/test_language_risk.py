@@ -4,15 +4,19 @@ import random
 import re
 import tracemalloc
 import unicodedata
+import weakref
 from collections import Counter
 from math import comb
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from odd_rows import SCHEMA, odd_documents
 from tableops.llm import language_id as li
 from tableops.llm import risk_thresholds as rt
+from tableops.llm import tokens
 
 SYLLABLES = {"aa": "ba be bi bo bu da de".split(), "bb": "zor kex wyn quu xil vrr jat".split()}
 
@@ -275,3 +279,26 @@ def test_memory_of_a_model_in_a_worker_follows_the_words_in_use(monkeypatch):
     few = pickle.loads(pickle.dumps(model))
     assert all((few.words.get(w) == k).all() for w, k in zip(words, known, strict=False))
     assert few.words.get("unknown") is None
+
+
+def test_language_tasks_hold_a_text_once_and_nothing_of_other_operators(spark, monkeypatch):
+    """Pipeline: a tokenizer that packing had left and each text twice filled the workers."""
+    docs = spark.createDataFrame([(1, "ein wort", "de", "s")],
+                                 "doc_id long, text string, lang string, source string")
+    model, seen = li.build_model(["de"], [("de", "wort", 3)], [("de", "w", 3)]), []
+    real = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema:
+                        seen.append((self.columns, f)) or real(self, f, schema))
+    got = li.predict(docs, model, keep=("text", "source"))
+    assert got.columns == ["doc_id", "lang_pred", "score", "text", "source"]
+    (columns, judge), = seen
+    assert columns == ["doc_id", "text", "source"]
+    kept = weakref.ref(tokens.encoder(public_tokenizers.path("word_bpe_49k.json"), "word"))
+    texts = ["wort", None, "wort"] * 400
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1200)), "text": texts,
+                                        "source": ["s"] * 1200})
+    out = list(judge(iter([batch])))
+    assert kept() is None
+    assert max(b.num_rows for b in out) <= 500
+    assert [x for b in out for x in b.column("text").to_pylist()] == texts
+    assert [x for b in out for x in b.column("lang_pred").to_pylist()] == ["de", "und", "de"] * 400
