@@ -157,6 +157,58 @@ def test_older_docs():
         assert low.tolist() == [first[p[i:i + 50]] for i in range(len(p) - 49)]
 
 
+def test_an_index_takes_few_sorts(monkeypatch):
+    """op9: each doubling from eight bytes on was a sort of all suffixes."""
+    rng, sorts = random.Random(4), []
+    real = bwt_dedup._ranks
+    monkeypatch.setattr(bwt_dedup, "_ranks", lambda keys: sorts.append(len(keys)) or real(keys))
+    for letters in ("ab", "".join(map(chr, range(32, 127))), "".join(map(chr, range(32, 700)))):
+        sorts.clear()
+        parts = ["".join(rng.choice(letters) for _ in range(rng.randint(50, 80))).encode()[:80]
+                 for _ in range(40)]
+        parts += [parts[3], parts[5][:60], parts[7][10:]]
+        index = bwt_dedup.RunLengthIndex(parts)
+        assert len(sorts) <= 3
+        text = index.text.tobytes()
+        ends = np.append(index.starts[1:], index.n)
+        suffixes = [text[i:ends[np.searchsorted(index.starts, i, side="right") - 1]]
+                    for i in range(index.n)]
+        heads = [suffixes[i][:50] for i in range(index.n)]
+        order = {x: i for i, x in enumerate(sorted(set(heads)))}
+        assert index.agree.tolist() == [order[x] for x in heads]
+        sa = sorted(range(index.n), key=lambda i: (suffixes[i], i))
+        assert (index.head_sa == np.array(sa)[index.run_start]).all()
+        assert (index.run_of[index.run_end] == np.arange(len(index.run_end))).all()
+
+
+def test_ranges_and_changes_of_many_documents_at_once():
+    """op9: ranges were merged and answers cut document by document in Python."""
+    rng = random.Random(6)
+    doc, a, z = np.array([(d, x, x + rng.randint(1, 9)) for d in (0, 2, 3) for x in
+                          rng.sample(range(60), 12)], np.int64).T
+    mix = np.random.default_rng(1).permutation(len(doc))
+    want = []
+    for d in (0, 2, 3):
+        gone = np.zeros(80, bool)
+        for x, y in zip(a[doc == d], z[doc == d], strict=True):
+            gone[x:y] = True
+        want += [(d, x, y + 1) for x, y in zip(*bwt_dedup.runs(gone), strict=True)]
+    got = bwt_dedup.merged(doc[mix], a[mix], z[mix])
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == want
+    none = np.zeros(0, np.int64)
+    assert all(len(x) == 0 for x in bwt_dedup.merged(none, none, none))
+    older = [np.array([rng.randint(3, 5) for _ in range(rng.randint(1, 9))]) for _ in range(40)]
+    last = np.array([rng.randint(2, 6) for _ in older])
+    hit, turn, oldest, ends = bwt_dedup.changes(older, last)
+    assert hit.tolist() == [i for i, x in enumerate(older) if x.min() < last[i]]
+    for k, i in enumerate(hit.tolist()):
+        x = older[i]
+        at = [0, *(j for j in range(1, len(x)) if x[j] != x[j - 1])]
+        assert turn[ends[k] + k:ends[k + 1] + k + 1].tolist() == [*at, len(x)]
+        assert oldest[ends[k]:ends[k + 1]].tolist() == x[at].tolist()
+    assert len(bwt_dedup.changes(older, np.full(40, 2))[0]) == 0
+
+
 def check_dedup(rows, got):
     first = {}
     for doc, text in rows:
