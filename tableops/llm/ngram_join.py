@@ -42,6 +42,7 @@ from ..session import work_dir
 from .components import components
 from .repeats import BitTable, repeated_bits
 from .shingles import chunked, mix, shingle_sets, slices
+from .workers import release
 
 # Links when PERCENT * union <= 100 * intersection.
 PERCENT = 80
@@ -110,6 +111,7 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """About the most frequent tokens: sums of what tasks found thrice or more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         tokens, counts, fresh = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
 
         def settle(least: int):
@@ -163,6 +165,7 @@ def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str)
     shared = spark.sparkContext.broadcast((orders, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         order_of, tables = shared.value
         for b in slices(batches):
             texts = b.column(1).to_pylist()
