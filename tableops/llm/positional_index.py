@@ -44,13 +44,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import bound_batches, work_dir
 from .shingles import mix, powers, prefix_sums
 
 WINDOW = 10
 BLOCK_BYTES = 2 << 20
 # Bytes that are hashed at once, and length from which a word is hashed alone.
 PIECE_BYTES = 1 << 18
+# Bytes of blocks that a writer gathers before they go to the file.
+GROUP_BYTES = 16 << 20
 LONG_WORD = 1 << 16
 CHUNK_WORDS = 1_000_000
 GROUP_STARTS = 1 << 20
@@ -164,8 +166,12 @@ def write_index(docs: DataFrame, path: str) -> None:
         if ids:
             yield flush()
 
+    bound_batches(docs.sparkSession)
+    # a row is some megabytes: sizes are looked at after each row, not after a hundred
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-     .mapInArrow(build, INDEX).write.parquet(path))
+     .mapInArrow(build, INDEX).write.option("parquet.page.size.row.check.min", 1)
+     .option("parquet.page.size.row.check.max", 1)
+     .option("parquet.block.size", GROUP_BYTES).parquet(path))
 
 
 def documents(spark: SparkSession, path: str) -> DataFrame:
@@ -338,6 +344,7 @@ def exact_matches(spark: SparkSession, path: str, chunk: Chunk) -> DataFrame:
     """Spans of documents covered by occurrences of the chunk's phrases, united
     per item: ``block, doc, doc_id, item, first, last`` (words of the document
     from 0, ``last`` exclusive)."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(chunk)  # at most CHUNK_WORDS words
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -375,6 +382,7 @@ def proximity_matches(spark: SparkSession, path: str, queries: dict[str, list[st
     ``exact_matches``.  A span is shortest if no other one lies inside it."""
     sets = {name: [_LOWER[np.frombuffer(w.encode(), np.uint8)].tobytes()
                    for w in dict.fromkeys(words)] for name, words in queries.items() if words}
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(
         [(name, Chunk({tuple(dict.fromkeys(words)): {name}}, len(set(words))))
          for name, words in sets.items()])

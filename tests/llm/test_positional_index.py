@@ -2,6 +2,8 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import functions as F
 
 from odd_rows import SCHEMA, odd_documents, sentence
@@ -102,6 +104,22 @@ def test_empty_tables(spark):
     assert run(spark, docs, [(1, "?"), (2, None)]) == slow(docs, [])
 
 
+def test_blocks_are_written_and_read_a_few_at_once(spark, monkeypatch):
+    monkeypatch.setattr(positional_index, "GROUP_BYTES", 1 << 20)
+    # each text is a block of over a million places (4 MB)
+    docs = [(i, f"w{i} " + "a " * 1_100_000) for i in range(5)]
+    path = work_dir(spark, "test-index")
+    positional_index.write_index(
+        spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), path)
+    local = path.removeprefix("file://").removeprefix("file:")
+    groups = [g.num_rows for f in ds.dataset(local).get_fragments() for g in f.row_groups]
+    assert groups == [1] * 5
+    got = (spark.read.parquet(path).coalesce(1).mapInArrow(
+        lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long")
+        .collect())
+    assert [r.n for r in got] == [1] * 5
+
+
 def slow_spans(w, query, distance):
     spans = []
     for a in range(len(w)):
