@@ -34,9 +34,9 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import bound_batches, ensure_checkpoint_dir
 from .shingles import slices
-from .workers import release
+from .workers import lean
 
 SAMPLE_CHARS = 8_000_000
 MAX_WORDS = 40_000
@@ -186,6 +186,7 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
     """Learn from ``docs`` (text, lang).  Rows with a null text or lang are
     left out; no labelled row at all gives a model that answers ``und``."""
     ensure_checkpoint_dir(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     labelled = docs.select(F.col("text").alias("text"), F.col("lang").alias("lang")).filter(
         F.col("text").isNotNull() & F.col("lang").isNotNull())
     sizes = (labelled.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"))
@@ -202,8 +203,8 @@ def fit(docs: DataFrame, sample_chars: int = SAMPLE_CHARS, max_words: int = MAX_
     sample = labelled.filter(
         F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share * F.lit(float(1 << 30)))
 
+    @lean
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         found: dict[str, Counter] = {}
         for b in batches:
             for text, lang in zip(b.column(0), b.column(1).to_pylist(), strict=True):
@@ -288,13 +289,14 @@ def predict(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFr
     text is null or has no letter.  Repeated rows are judged one by one.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     # a kept text goes to the worker once
     names = ["doc_id", *dict.fromkeys(("text", *keep))]
 
+    @lean
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         decide = Judge(shared.value)
         # few rows at once: a batch of whole texts is not built a second time
         for b in slices(batches):

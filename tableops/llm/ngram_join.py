@@ -38,11 +38,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import work_dir
+from ..session import bound_batches, work_dir
 from .components import components
 from .repeats import BitTable, repeated_bits
 from .shingles import chunked, mix, shingle_sets, slices
-from .workers import release
+from .workers import lean
 
 # Links when PERCENT * union <= 100 * intersection.
 PERCENT = 80
@@ -107,29 +107,50 @@ def similar(x: np.ndarray, y: np.ndarray) -> bool:
     return 100 * shared >= PERCENT * (len(x) + len(y) - shared)
 
 
+def counted(tokens: np.ndarray, counts: np.ndarray, new: np.ndarray, least: int
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of sorted distinct ``tokens`` with those of sorted ``new`` ones added:
+    what is counted ``least`` times or more (at least twice).  Most new tokens
+    occur once; no array of their counts is made."""
+    counts = counts + (np.searchsorted(new, tokens, side="right") - np.searchsorted(new, tokens))
+    same = np.zeros(len(new) + 1, bool)  # as the one before
+    same[1:-1] = new[1:] == new[:-1]
+    first = np.flatnonzero(same[1:] & ~same[:-1])
+    ends = np.flatnonzero(same[:-1] & ~same[1:]) + 1
+    repeated, n = new[first], ends - first
+    at = np.minimum(np.searchsorted(tokens, repeated), max(0, len(tokens) - 1))
+    fresh = tokens[at] != repeated if len(tokens) else np.ones(len(repeated), bool)
+    tokens, counts = np.concatenate([tokens, repeated[fresh]]), np.concatenate([counts, n[fresh]])
+    keep = np.flatnonzero(counts >= least)
+    keep = keep[np.argsort(tokens[keep], kind="stable")]
+    return tokens[keep], counts[keep]
+
+
 def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """About the most frequent tokens: sums of what tasks found thrice or more."""
 
+    @lean
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
-        tokens, counts, fresh = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+        tokens, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        fresh: list[np.ndarray] = []
+        size = had = 0
 
         def settle(least: int):
-            nonlocal tokens, counts, fresh
-            new, n = np.unique(np.concatenate(fresh), return_counts=True) if fresh else (
-                np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            tokens, inverse = np.unique(np.concatenate([tokens, new]), return_inverse=True)
-            counts = np.bincount(inverse, np.concatenate([counts, n]),
-                                 len(tokens)).astype(np.int64)
-            keep = counts >= least
-            tokens, counts, fresh = tokens[keep], counts[keep], []
+            nonlocal tokens, counts
+            new = np.concatenate([*fresh, np.zeros(0, np.uint64)])
+            fresh.clear()
+            new.sort()
+            tokens, counts = counted(tokens, counts, new, least)
 
         for b in slices(batches):
             texts = b.column(0).to_pylist()
             for i, j in chunked(texts):
                 fresh.extend(shingle_sets(texts[i:j]))
-                if sum(map(len, fresh)) > 4_000_000:
+                size += sum(map(len, fresh[had:]))
+                had = len(fresh)
+                if size > 4_000_000:
                     settle(2)
+                    size = had = 0
         settle(3)
         yield pa.RecordBatch.from_pydict({"token": pa.array(tokens.astype(np.int64)),
                                           "n": pa.array(counts)})
@@ -164,8 +185,8 @@ def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((orders, bits))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         order_of, tables = shared.value
         for b in slices(batches):
             texts = b.column(1).to_pylist()
@@ -258,6 +279,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     long texts are compared whole.  Extra columns are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     orders = Orders(*_frequent(docs))
     bits = _repeated_bits(docs, orders)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .workers import kept
+from .workers import kept, release
 
 # Distinct units kept per Python worker.
 CACHE_UNITS = 1_000_000
@@ -254,5 +254,10 @@ def crc32(ids: bytes) -> int:
 
 
 def encoder(path: str, style: str) -> TextEncoder:
-    """The worker's encoder for a tokenizer file (kept for its next tasks)."""
-    return kept(("encoder", path, style), lambda: TextEncoder(path, style))
+    """The worker's encoder for a tokenizer file (kept for its next tasks); what
+    other operators left in the worker goes first."""
+    def make() -> TextEncoder:
+        release()
+        return TextEncoder(path, style)
+
+    return kept(("encoder", path, style), make)

@@ -1,11 +1,13 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 
 from odd_rows import SCHEMA, odd_documents, sentence
-from tableops.llm import bwt_dedup, embedding_join, ngram_join, shingles
+from tableops import session
+from tableops.llm import bwt_dedup, embedding_join, ngram_join, shingles, workers
 from tableops.llm.components import components
 
 
@@ -298,3 +300,70 @@ def test_vectors_of_any_scale_link(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_join.near_duplicates(df).collect()}
     assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (0, 3), 4: (3, 0)}
+
+
+def test_settling_counts_takes_less_memory_than_the_tokens():
+    rng = np.random.default_rng(4)
+
+    def slow_counts(rounds):
+        found = {}
+        for new, least in rounds:
+            for x in new.tolist():
+                found[x] = found.get(x, 0) + 1
+            found = {k: n for k, n in found.items() if n >= least}
+        return sorted(found.items())
+
+    for size in (0, 1, 200):
+        for top in (2, 30, 5000):
+            rounds = [(np.sort(rng.integers(0, top, size).astype(np.uint64)), least)
+                      for least in (2, 2, 3)]
+            got = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+            for new, least in rounds:
+                got = ngram_join.counted(*got, new, least)
+            assert list(zip(got[0].tolist(), got[1].tolist(), strict=True)) == slow_counts(rounds)
+    new = np.sort(rng.integers(0, 1 << 62, 1_000_000).astype(np.uint64))
+    tracemalloc.start()
+    ngram_join.counted(np.zeros(0, np.uint64), np.zeros(0, np.int64), new, 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < new.nbytes
+
+
+def test_a_task_of_the_dedup_needs_one_worker(spark, monkeypatch):
+    frame = type(spark.range(1))
+    plain, plans = frame.mapInArrow, []
+
+    def watched(self, *args, **kw):
+        plans.append(self._jdf.queryExecution().analyzed().toString())
+        return plain(self, *args, **kw)
+
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    rows = [(1, "a" * 60), (2, "a" * 60), (3, "b" * 70)]
+    got = bwt_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in got) == [(1, 0), (2, 60), (3, 0)]
+    # a step in Python on what another one gives, with no join between them
+    assert plans and not [p for p in plans if "MapInArrow" in p and "Join" not in p]
+
+
+def test_lean_tasks_leave_nothing():
+    workers.kept("left by another", list)
+    seen = []
+
+    def run(batches):
+        seen.append(dict(workers._KEPT))
+        workers.kept("own", list)
+        yield from batches
+
+    assert list(workers.lean(run)(iter([1, 2]))) == [1, 2]
+    assert seen == [{}] and not workers._KEPT
+
+
+def test_batches_are_bounded_where_no_size_is_set(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    session.bound_batches(spark)
+    assert spark.conf.get(key) == str(session.BATCH_BYTES)
+    spark.conf.set(key, "7m")
+    session.bound_batches(spark)
+    assert spark.conf.get(key) == "7m"
+    spark.conf.unset(key)
