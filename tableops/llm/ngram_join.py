@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import bound_batches, work_dir
+from ..session import bound_batches, drop_folders, land, passing_folders, shuffles_removed, work_dir
 from .components import components
 from .repeats import BitTable, repeated_bits
 from .shingles import chunked, mix, shingle_sets, slices
@@ -155,9 +155,10 @@ def _frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         yield pa.RecordBatch.from_pydict({"token": pa.array(tokens.astype(np.int64)),
                                           "n": pa.array(counts)})
 
-    rows = (docs.select("text").mapInArrow(count, "token long, n long")
-            .groupBy("token").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas())
+    with shuffles_removed(docs.sparkSession):
+        rows = (docs.select("text").mapInArrow(count, "token long, n long")
+                .groupBy("token").agg(F.sum("n").alias("n"))
+                .orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas())
     return (rows["token"].to_numpy(np.int64).astype(np.uint64),
             rows["n"].to_numpy(np.int64))
 
@@ -217,10 +218,9 @@ def _profiles(docs: DataFrame, orders: Orders, bits: list[BitTable], path: str)
                 names=["id", "n", "set_key", "text",
                        *(f"{c}{r}" for r in range(ORDERS) for c in "tp")])
 
-    (docs.mapInArrow(run, "id long, n long, set_key binary, text string, "
-                     + ", ".join(f"t{r} array<long>, p{r} array<int>" for r in range(ORDERS)))
-     .write.parquet(path))
-    return spark.read.parquet(path)
+    return land(docs.mapInArrow(
+        run, "id long, n long, set_key binary, text string, "
+        + ", ".join(f"t{r} array<long>, p{r} array<int>" for r in range(ORDERS))), path)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -229,14 +229,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     A leader's text goes once to each chunk of its members; a task reads
     the leader, then streams the members."""
     spark = pairs.sparkSession
-    path = work_dir(spark, "pairs")
-    pairs.write.parquet(path)
-    pairs = spark.read.parquet(path)
+    own = work_dir(spark, "pairs"), work_dir(spark, "leaders")
+    pairs = land(pairs, own[0])
     chunks = pairs.groupBy(F.col("b").alias("lead")).agg(
         F.ceil(F.count(F.lit(1)) / LEADER_CHUNK).cast("int").alias("chunks"))
-    path = work_dir(spark, "leaders")
-    chunks.write.parquet(path)
-    chunks = spark.read.parquet(path)
+    chunks = land(chunks, own[1])
     salt = F.pmod(F.xxhash64("a"), F.col("chunks")).cast("int")
     members = (pairs.join(chunks, F.col("b") == F.col("lead"))
                .select("a", "b", salt.alias("salt"))
@@ -263,11 +260,11 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"a": pa.array(out_a, pa.int64()),
                                               "b": pa.array(out_b, pa.int64())})
 
-    path = work_dir(spark, "verified")
-    (leaders.unionByName(members).repartition("b", "salt")
-     .sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
-     .mapInArrow(compare, "a long, b long").write.parquet(path))
-    return spark.read.parquet(path)
+    verified = land(leaders.unionByName(members).repartition("b", "salt")
+                    .sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
+                    .mapInArrow(compare, "a long, b long"), work_dir(spark, "verified"))
+    drop_folders(spark, *own)
+    return verified
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -281,37 +278,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
+    path = work_dir(spark, "grouped")
+    with passing_folders(spark):
+        return land(_grouped(docs), path)
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` of (id, text), from work folders."""
+    spark = docs.sparkSession
     orders = Orders(*_frequent(docs))
     bits = _repeated_bits(docs, orders)
-    rows = _profiles(docs, orders, bits, work_dir(spark, "profiles"))
+    profiles = work_dir(spark, "profiles")
+    rows = _profiles(docs, orders, bits, profiles)
 
-    path = work_dir(spark, "classes")
     lists = [f"{c}{r}" for r in range(ORDERS) for c in "tp"]
     classes = (rows.filter(F.col("text").isNotNull() & F.col("id").isNotNull())
                .groupBy("set_key").agg(F.min(F.struct("id", "n", "text", *lists)).alias("x")))
-    classes.select("x.*").write.parquet(path)
-    classes = spark.read.parquet(path)
+    classes = land(classes.select("x.*"), work_dir(spark, "classes"))
+    rows = land(rows.select("id", "n", "set_key"), work_dir(spark, "sets"))
+    drop_folders(spark, profiles)  # its texts stand in the classes now
     texts = classes.select("id", "text")
 
-    def postings(order: int) -> DataFrame:
+    def postings(order: int, path: str) -> DataFrame:
         """(token, pos, id, n) of tokens that at least two classes have."""
         p = classes.select(F.explode(F.arrays_zip(
             F.col(f"t{order}").alias("token"), F.col(f"p{order}").alias("pos"))).alias("x"),
             "id", "n").select("x.token", "x.pos", "id", "n")
         twice = (p.groupBy(F.col("token").alias("tk")).agg(F.count(F.lit(1)).alias("df"))
                  .filter("df > 1"))
-        path = work_dir(spark, "postings")
-        p.join(twice, F.col("token") == F.col("tk")).select("token", "pos", "id", "n") \
-            .write.parquet(path)
-        return spark.read.parquet(path)
+        return land(p.join(twice, F.col("token") == F.col("tk"))
+                    .select("token", "pos", "id", "n"), path)
 
-    first = postings(0)
+    posted = [work_dir(spark, "postings") for _ in range(ORDERS)]
+    first = postings(0, posted[0])
     score = first.groupBy(F.col("id").alias("sid")).agg(F.count(F.lit(1)).alias("score"))
-    path = work_dir(spark, "scored")
     must = 1 + F.floor(F.floor((PERCENT * F.col("n") + 99) / 100) / 10)
-    (first.join(score, F.col("id") == F.col("sid")).filter(F.col("score") >= must)
-     .select("token", "pos", "id", "n", "score").write.parquet(path))
-    scored = spark.read.parquet(path)
+    scored = land(first.join(score, F.col("id") == F.col("sid")).filter(F.col("score") >= must)
+                  .select("token", "pos", "id", "n", "score"), work_dir(spark, "scored"))
+    drop_folders(spark, posted[0])
 
     def fits(a: str, b: str):
         return ((PERCENT * F.col(a) <= 100 * F.col(b)) & (PERCENT * F.col(b) <= 100 * F.col(a)))
@@ -348,17 +352,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     both = F.floor((PERCENT * (F.col("n") + F.col("n2")) + 99 + PERCENT) / (100 + PERCENT))
     survivors = None
     for r in range(ORDERS):
-        p = (scored if not r else postings(r)).filter(in_front("pos", "n", alone)) \
+        p = (scored if not r else postings(r, posted[r])).filter(in_front("pos", "n", alone)) \
             .join(groups, "id", "left").withColumn("part", F.coalesce("part", "id"))
         # of each token with several components, the one with most postings
         sizes = p.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
         mixed = (sizes.groupBy(F.col("token").alias("tk"))
                  .agg(F.max(F.struct("k", "part"))["part"].alias("big"),
                       F.count(F.lit(1)).alias("parts")).filter("parts > 1"))
-        path = work_dir(spark, "mixed")
-        (p.join(mixed, F.col("token") == F.col("tk"))
-         .select("token", "pos", "id", "n", "part", "big").write.parquet(path))
-        p = spark.read.parquet(path)
+        p = land(p.join(mixed, F.col("token") == F.col("tk"))
+                 .select("token", "pos", "id", "n", "part", "big"), work_dir(spark, "mixed"))
+        drop_folders(spark, posted[r])
         q = p.toDF("token", "pos2", "id2", "n2", "part2", "big2")
         # postings outside the large component ask all of other components, so
         # a large group of near copies meets the few others, not itself
@@ -397,9 +400,7 @@ def _labels(links: list[DataFrame]) -> DataFrame:
     pairs = _union(links)
     one = (pairs.select(F.col("a").alias("id"), low).unionByName(
         pairs.select(F.col("b").alias("id"), low)).groupBy("id").agg(F.min("part").alias("part")))
-    path = work_dir(pairs.sparkSession, "labels")
-    one.write.parquet(path)
-    one = pairs.sparkSession.read.parquet(path)
+    one = land(one, work_dir(pairs.sparkSession, "labels"))
     return one.join(one.toDF("i", "next"), F.col("part") == F.col("i")).select(
         "id", F.col("next").alias("part"))
 
@@ -408,6 +409,4 @@ def _parts(links: list[DataFrame]) -> DataFrame:
     """(id, part) by the components of all links so far."""
     out = _union(links)
     got = components(out).select("id", F.col("component").alias("part"))
-    path = work_dir(out.sparkSession, "parts")
-    got.write.parquet(path)
-    return out.sparkSession.read.parquet(path)
+    return land(got, work_dir(out.sparkSession, "parts"))
