@@ -15,10 +15,17 @@ hash, and each task joins one chunk of a cell's own vectors with one chunk
 of the vectors around: no task holds more than about ``HOME_CHUNK`` +
 ``BASE_CHUNK`` vectors.  Tasks return link counts and a spanning forest of
 their links, never the pairs.
+
+A vector goes to every chunk that its own chunk meets, so the vectors that
+move grow with the square of a cell.  The pairs of chunks are therefore dealt
+to waves of about as many bytes as the vectors themselves have (``WAVE_BYTES``
+at least), one after the other: every pair of chunks meets in one wave, and no
+more than a wave lies on disk at once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,19 +33,27 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import work_dir
+from ..session import drop_folders, input_bytes, land, passing_folders, work_dir
 from .components import components
 
 THRESHOLD = 0.9
 BLOCKS = 4
 SEED = 3
-HOME_CHUNK = 4096
-BASE_CHUNK = 32_768
-# Added to the distance budget, far above rounding of the block sums.
+# Equal chunks move the fewest vectors for the pairs that a task compares.
+HOME_CHUNK = 16_384
+BASE_CHUNK = 16_384
+# Bytes of vectors (and of links found) that are moved at once, or as many as all
+# vectors have; bytes of a moved row besides its vector.
+WAVE_BYTES = 128 << 20
+ROW_BYTES = 60
+# Added to the distance budget, far above rounding of the block sums; and to a
+# block's share where sums in single precision choose what is looked at.
 SLACK = 1e-9
+SINGLE_SLACK = 1e-4
 # A cell's own vectors and those of half of the cells around: every pair of
 # neighbouring cells meets in one place.
 _HALF = ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))
@@ -106,13 +121,17 @@ def _links(home: np.ndarray, base: np.ndarray, block: int, threshold: float,
     hr, br = h @ rotation(dim), b @ rotation(dim)
     s = parts[block]
     hb, bb = hr[:, s], br[:, s]
-    b2 = (bb * bb).sum(1)
+    # squared distances of the block as one product of rows with two more columns
+    one = lambda x: np.ones((len(x), 1))
+    square = lambda x: (x * x).sum(1, keepdims=True)
+    left_of = np.hstack([-2.0 * hb, square(hb), one(hb)]).astype(np.float32)
+    right_of = np.hstack([bb, one(bb), square(bb)]).astype(np.float32).T.copy()
+    most = np.float32(share[block] + SINGLE_SLACK)
     left, right = [], []
-    rows = max(1, 4_000_000 // max(1, len(base)))
+    rows = max(1, 1_000_000 // max(1, len(base)))
     for at in range(0, len(home), rows):
-        part = hb[at:at + rows]
-        near = (part * part).sum(1)[:, None] + b2[None, :] - 2.0 * part @ bb.T
-        i, j = np.nonzero(near <= share[block] + SLACK)
+        near = left_of[at:at + rows] @ right_of <= most
+        i, j = np.divmod(np.flatnonzero(near), max(1, len(base)))
         i += at
         keep = ~skip(i, j)
         i, j = i[keep], j[keep]
@@ -158,6 +177,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     repeat a vector are copies that link with each other.
     """
     spark = vectors.sparkSession
+    path = work_dir(spark, "linked-vectors")
+    with passing_folders(spark):
+        return land(_linked(vectors, threshold), path)
+
+
+def _linked(vectors: DataFrame, threshold: float) -> DataFrame:
+    """``near_duplicates`` from work folders."""
+    spark = vectors.sparkSession
+    # a vector is stored in as many bytes as it came in
+    kind = vectors.schema["embedding"].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    stored = "<f4" if single else "<f8"
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,24 +196,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
             for v in batch.column(1).to_pylist():
                 x = unit_vector(v)
                 raw = None if x is None else np.asarray(v, "<f8").tobytes()
-                vecs.append(raw)
+                vecs.append(raw and np.asarray(v, stored).tobytes())
                 keys.append(None if raw is None else xxhash.xxh3_128_digest(raw))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(keys, pa.binary()), pa.array(vecs, pa.binary())],
                 names=["vec_id", "key", "vec"])
 
     path = work_dir(spark, "vectors")
-    (vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
-                    F.col("embedding").cast("array<double>").alias("embedding"))
-     .mapInArrow(prepare, "vec_id long, key binary, vec binary").write.parquet(path))
-    rows = spark.read.parquet(path)
+    rows = land(vectors.select(F.col("vec_id").cast("long").alias("vec_id"),
+                               F.col("embedding").cast("array<double>").alias("embedding"))
+                .mapInArrow(prepare, "vec_id long, key binary, vec binary"), path)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("block", pa.int32()), ("cx", pa.int32()), ("cy", pa.int32())]))
         for batch in batches:
             cells, dims = [], []
             for raw in batch.column(3).to_pylist():
-                x = np.frombuffer(raw, "<f8")
+                x = np.frombuffer(raw, stored).astype(np.float64)
                 x = x / np.abs(x).max()
                 cells.append(cells_of(x / np.linalg.norm(x), threshold))
                 dims.append(len(x))
@@ -190,13 +220,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
                 [*batch.columns, pa.array(dims, pa.int32()), pa.array(cells, kind)],
                 names=["key", "id", "copies", "vec", "dim", "cells"])
 
-    path = work_dir(spark, "classes")
-    (rows.filter(F.col("key").isNotNull() & F.col("vec_id").isNotNull())
-     .groupBy("key").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"),
-                         F.first("vec").alias("vec"))
-     .mapInArrow(place, "key binary, id long, copies long, vec binary, dim int, "
-                 "cells array<struct<block:int,cx:int,cy:int>>").write.parquet(path))
-    classes = spark.read.parquet(path)
+    classes = land(
+        rows.filter(F.col("key").isNotNull() & F.col("vec_id").isNotNull())
+        .groupBy("key").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"),
+                            F.first("vec").alias("vec"))
+        .mapInArrow(place, "key binary, id long, copies long, vec binary, dim int, "
+                    "cells array<struct<block:int,cx:int,cy:int>>"), work_dir(spark, "classes"))
+    rows = land(rows.select("vec_id", "key"), work_dir(spark, "vector-keys"))
+    drop_folders(spark, path)  # the vectors stand in the classes now
 
     cell = ["dim", "block", "cx", "cy"]
     half = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _HALF])
@@ -205,31 +236,56 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
                      (F.col("c.cx") - F.col("o.dx")).alias("cx"),
                      (F.col("c.cy") - F.col("o.dy")).alias("cy"),
                      ((F.col("o.dx") == 0) & (F.col("o.dy") == 0)).alias("own")))
-    path = work_dir(spark, "cells")
-    (there.groupBy(cell).agg(F.count_if("own").alias("homes"), F.count(F.lit(1)).alias("bases"))
-     .filter("homes > 0")
-     .select(*[F.col(c).alias(c + "_") for c in cell],
-             F.ceil(F.col("homes") / HOME_CHUNK).cast("int").alias("n_home"),
-             F.ceil(F.col("bases") / BASE_CHUNK).cast("int").alias("n_base"))
-     .write.parquet(path))
-    sizes = spark.read.parquet(path)
-    met = there.join(sizes, [F.col(c) == F.col(c + "_") for c in cell])
-
-    def dealt(own: bool) -> DataFrame:
-        """A chunk of the cell's own vectors meets every chunk of all, and back."""
-        mine, others = ("n_home", "n_base") if own else ("n_base", "n_home")
-        salt = F.pmod(F.xxhash64("id", F.lit(own)), F.col(mine)).cast("int")
-        to = F.explode(F.sequence(F.lit(0), F.col(others) - 1))
-        part = met.filter("own") if own else met
-        return part.select(*cell, "id", "copies", "vec", "own", F.lit(own).alias("home"),
-                           salt.alias("hc" if own else "bc"), to.alias("bc" if own else "hc"))
+    # a few cells for each block and length of vectors; a cell's pairs of chunks have
+    # numbers from 0 (home chunk by home chunk), and bytes up to the cell's first one
+    sizes = land(
+        there.groupBy(cell).agg(F.count_if("own").alias("homes"), F.count(F.lit(1)).alias("bases"))
+        .filter("homes > 0")
+        .withColumn("n_home", F.ceil(F.col("homes") / HOME_CHUNK))
+        .withColumn("n_base", F.ceil(F.col("bases") / BASE_CHUNK))
+        .withColumn("moved", (F.col("homes") * F.col("n_base") + F.col("bases") * F.col("n_home"))
+                    * (F.col("dim") * np.dtype(stored).itemsize + ROW_BYTES))
+        .withColumn("before", F.sum("moved").over(Window.orderBy(*cell)) - F.col("moved"))
+        .select(*[F.col(c).alias(c + "_") for c in cell], "n_home", "n_base", "moved", "before"),
+        work_dir(spark, "cells"))
+    wave_bytes = max(WAVE_BYTES, input_bytes(classes))
+    waves = math.ceil((sizes.agg(F.sum("moved")).first()[0] or 0) / wave_bytes)
+
+    def first_pair(wave: int) -> Column:
+        """The cell's first pair of chunks that is not of an earlier wave."""
+        pairs = F.col("n_home") * F.col("n_base")
+        if wave == waves:
+            return pairs
+        share = F.ceil((F.lit(float(wave * wave_bytes)) - F.col("before")) * pairs / F.col("moved"))
+        return F.greatest(F.lit(0), F.least(pairs, share)).cast("long")
+
+    def dealt(wave: int, own: bool) -> DataFrame:
+        """A chunk of the cell's own vectors meets every chunk of all, and back: what
+        of that is the wave's."""
+        now = (sizes.withColumn("lo", first_pair(wave)).withColumn("hi", first_pair(wave + 1))
+               .filter("lo < hi"))
+        met = (there.filter("own") if own else there).join(
+            now, [F.col(c) == F.col(c + "_") for c in cell])
+        mine = "n_home" if own else "n_base"
+        met = met.withColumn("salt", F.pmod(F.xxhash64("id", F.lit(own)), F.col(mine)))
+        if own:  # of a home chunk's pairs, those from lo up to hi
+            start = F.col("salt") * F.col("n_base")
+            met = (met.withColumn("from", F.greatest(F.lit(0), F.col("lo") - start))
+                   .withColumn("to", F.least(F.col("n_base"), F.col("hi") - start)))
+        else:  # home chunks whose pair with this base chunk is one of them
+            after = lambda x: F.ceil((F.col(x) - F.col("salt")) / F.col("n_base"))
+            met = met.withColumn("from", after("lo")).withColumn("to", after("hi"))
+        others = F.explode(F.sequence(F.col("from"), F.col("to") - 1))
+        return met.filter(F.col("from") < F.col("to")).select(
+            *cell, "id", "copies", "vec", "own", F.lit(own).alias("home"),
+            F.col("salt").alias("hc" if own else "bc"), others.alias("bc" if own else "hc"))
 
     def join(pdf: pd.DataFrame) -> pd.DataFrame:
         home, base = pdf[pdf["home"]], pdf[~pdf["home"]]
         block = int(pdf["block"].iloc[0])
 
         def matrix(x: pd.DataFrame) -> np.ndarray:
-            return np.frombuffer(b"".join(x["vec"]), "<f8").reshape(len(x), -1)
+            return np.frombuffer(b"".join(x["vec"]), stored).reshape(len(x), -1).astype(np.float64)
 
         out = pd.DataFrame({"id": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64"),
                             "to": pd.Series(dtype="int64")})
@@ -252,10 +308,27 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
             pd.DataFrame({"id": bid[n_base > 0], "n": n_base[n_base > 0]}),
             pd.DataFrame({"id": a, "n": 0, "to": to})]).astype({"to": "Int64"})
 
-    path = work_dir(spark, "links")
-    (dealt(True).unionByName(dealt(False)).groupBy(*cell, "hc", "bc")
-     .applyInPandas(join, "id long, n long, to long").write.parquet(path))
-    found = spark.read.parquet(path)
+    def summed(found: DataFrame, path: str) -> DataFrame:
+        """No more than two rows of a vector: its links, and a link to its component."""
+        with passing_folders(spark):
+            stars = components(found.filter("to is not null").select(F.col("id").alias("a"),
+                                                                     F.col("to").alias("b")))
+            return land(found.groupBy("id").agg(F.sum("n").alias("n"))
+                        .withColumn("to", F.lit(None).cast("long"))
+                        .unionByName(stars.select("id", F.lit(0).cast("long").alias("n"),
+                                                  F.col("component").alias("to"))), path)
+
+    kind = "id long, n long, to long"
+    found, path, bound = spark.createDataFrame([], kind), work_dir(spark, "links"), wave_bytes
+    for wave in range(waves):
+        found = land(dealt(wave, True).unionByName(dealt(wave, False)).groupBy(*cell, "hc", "bc")
+                     .applyInPandas(join, kind), path, mode="append")
+        if input_bytes(found) > bound:
+            old, path = path, work_dir(spark, "links")
+            found = summed(found, path)
+            drop_folders(spark, old)
+            # what cannot be summed up further does not count again
+            bound = input_bytes(found) + wave_bytes
     counts = found.groupBy(F.col("id").alias("cid")).agg(F.sum("n").alias("n"))
     groups = components(found.filter("to is not null").select(F.col("id").alias("a"),
                                                               F.col("to").alias("b")))
