@@ -5,8 +5,9 @@ CSV (one folder per table), empty the target, load the export strictly
 The export keeps every value: a column is written as text that casts back to
 the same value (JSON for arrays and structs, base64 for binary), NULL as
 ``\\N`` and a text that starts with a backslash with one more, so that
-NULL, '' and line breaks inside quotes differ.  A file with quoted line
-breaks is read back by many tasks (``read_strict``)."""
+NULL, '' and line breaks inside quotes differ.  The files are gzipped, as a
+table's text is several times its parquet, and have ``FILE_ROWS`` rows at the
+most, so that many tasks read them back (``read_strict``)."""
 
 from __future__ import annotations
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shuffles_removed
 from ..sinks.writers import count_or_zero, write_csv
 from ..sources.delimited import read_strict
 from .replicate import source_manifest
@@ -28,6 +30,8 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("matched", T.BooleanType()),
 ])
 NULL_MARK = "\\N"
+# A gzipped file is read by one task.
+FILE_ROWS = 200_000
 _NESTED = (T.ArrayType, T.StructType, T.MapType)
 
 
@@ -65,7 +69,8 @@ def transfer_table(spark: SparkSession, name: str, df: DataFrame, export_base: s
     target = f"{target_base}/{name}"
     source_count = df.count()
     fields = df.schema.fields
-    write_csv(df.select(*map(to_text, fields)), export, quote_all=True, header=True)  # K5
+    write_csv(df.select(*map(to_text, fields)), export, quote_all=True, header=True,  # K5
+              compression="gzip", file_rows=FILE_ROWS)
     before = count_or_zero(spark, target)                                # K3: count before
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in fields])
     loaded = read_strict(spark, export, texts, header=True)          # S3
@@ -78,7 +83,7 @@ def transfer_dataset(spark: SparkSession, tables: dict[str, DataFrame], export_b
                      target_base: str, parallel: int = 4) -> DataFrame:
     """S8 loop over the dataset's tables (names only on the driver), ``parallel``
     at a time; each is moved by jobs of its own."""
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+    with shuffles_removed(spark), ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         rows = list(pool.map(lambda t: transfer_table(spark, *t, export_base, target_base),
                              sorted(tables.items())))
     return spark.createDataFrame(rows, RESULT_SCHEMA)

@@ -53,9 +53,11 @@ TIME_FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False, header: bool = True,
-              sep: str = ",") -> None:
-    """K4/K5: CSV sink, all fields quoted or minimal quoting."""
-    (df.write.mode("overwrite").option("header", header).option("sep", sep)
+              sep: str = ",", compression: str = "none", file_rows: int = 0) -> None:
+    """K4/K5: CSV sink, all fields quoted or minimal quoting; files of ``file_rows``
+    rows at the most, where given."""
+    (df.write.option("compression", compression).option("maxRecordsPerFile", file_rows)
+     .mode("overwrite").option("header", header).option("sep", sep)
      .option("quoteAll", quote_all).option("escape", '"').option("nullValue", "")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .options(**TIME_FORMATS).csv(path))

@@ -130,9 +130,10 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
     set less ``turns``) plus the turns so far, modulo 2, so two running values
     compose the lines of a piece (``PIECE_LINES`` lines of a split at most) and,
     with one row per piece, the pieces of a file.  Windows inside a piece give each
-    line its record.  A record's lines are put together, so a record may cross
-    pieces; no task reads a whole file, and pieces, unlike splits, are many enough
-    to spread evenly.
+    line its record.  A record's lines are put together: those of a record inside a
+    piece where the windows have left them, those at a piece's edges across pieces,
+    so the texts of the lines move once.  No task reads a whole file, and pieces,
+    unlike splits, are many enough to spread evenly.
 
     A quoted field that no line closes makes no record: each line from its
     first one to the end of the file is an unclosed record of its own.  Line
@@ -148,6 +149,7 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
     lines = (_lines(spark, path, sep, encoding)
              # the low bits of a row's id are its place in the task
              .withColumn(PIECE_COL, F.floor(F.col(ROW_COL).bitwiseAND((1 << 33) - 1) / PIECE_LINES))
+             .withColumn("_blank", F.col("value").rlike(BLANK))
              .withColumn("_turn", (F.col("_o") & ~F.col("_i")).cast("long"))
              .withColumn("_turns", F.sum("_turn").over(so_far))
              .withColumn("_base", F.when(F.col("_o") == F.col("_i"),
@@ -160,7 +162,7 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
         F.count(F.lit(1)).alias("_n"), F.sum("_turn").alias("_t"),
         F.max(F.when(F.col("_base").isNotNull(), F.struct(ROW_COL, "_base")))["_base"].alias("_b"),
         # the piece's first line that is not blank, from 1
-        (F.min(F.when(~F.col("value").rlike(BLANK), F.col(ROW_COL))) - F.min(ROW_COL) + 1)
+        (F.min(F.when(~F.col("_blank"), F.col(ROW_COL))) - F.min(ROW_COL) + 1)
         .alias("_head"))
         .withColumn("_n_before", F.coalesce(F.sum("_n").over(earlier), zero))
         .withColumn("_t_before", F.coalesce(F.sum("_t").over(earlier), zero))
@@ -182,17 +184,25 @@ def quoted_records(spark: SparkSession, path: str, sep: str, header: bool = True
     # a piece may begin inside a record: the last start of an earlier piece
     carried = numbered.groupBy(*keys).agg(F.max("_first").alias("l")).select(
         *keys, F.last("l", ignorenulls=True).over(earlier).alias("_carried"),
-        F.max("l").over(file).alias("_last"))
+        F.max("l").over(file).alias("_last"), F.col("l").alias("_tail"))
     start = F.coalesce("_first", "_carried")
     whole = (numbered.join(carried, keys)
              .withColumn("_unclosed", F.col("_open") & (start == F.col("_last")))
              .withColumn(LINE_COL, F.when(F.col("_unclosed"), F.col("_at")).otherwise(start))
-             .groupBy(FILE_COL, LINE_COL, "_unclosed", "_header")
-             .agg(F.array_sort(F.collect_list(F.struct("_at", "value", "_end"))).alias("l"))
-             .select(FILE_COL, LINE_COL, "_unclosed", "_header", F.array_join(F.transform(
-                 "l", lambda x, i: F.when(i == F.size("l") - 1, x["value"])
-                 .otherwise(F.concat(x["value"], x["_end"]))), "").alias("_text"))
-             .filter(~F.col("_text").rlike(BLANK)))
+             # begun in an earlier piece, or the piece's last one
+             .withColumn("_edge", F.coalesce(~F.col("_unclosed") & (
+                 F.col("_first").isNull() | (F.col("_first") == F.col("_tail"))), F.lit(True))))
+
+    def records(some: DataFrame, by: list[str]) -> DataFrame:
+        return (some.groupBy(*by, LINE_COL, "_unclosed", "_header")
+                .agg(F.array_sort(F.collect_list(F.struct("_at", "value", "_end"))).alias("l"))
+                .select(FILE_COL, LINE_COL, "_unclosed", "_header", F.array_join(F.transform(
+                    "l", lambda x, i: F.when(i == F.size("l") - 1, x["value"])
+                    .otherwise(F.concat(x["value"], x["_end"]))), "").alias("_text"))
+                .filter(~F.col("_text").rlike(BLANK)))
+
+    whole = records(whole.filter(~F.col("_edge")), keys).unionByName(
+        records(whole.filter("_edge"), [FILE_COL]))
     return (whole.filter(F.col(LINE_COL) != F.col("_header")) if header else whole).drop("_header")
 
 
